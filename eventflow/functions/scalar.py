@@ -22,40 +22,48 @@ def blank_or_null(text: Column) -> Column:
     return text.isNull() | is_blank(text)
 
 
-def field(json: Column, name: str) -> Column:
-    """Text of one JSON field; null when the field is missing or JSON null."""
-    return F.get_json_object(json, f"$.{name}")
+# --- fields of a JSON document -----------------------------------------------------------------
+# A document is a VARIANT column: parsed once per row, then looked up by field name. A malformed
+# document is null. Objects and arrays read as their JSON text.
 
+def document(json: Column) -> Column:
+    return F.try_parse_json(json)
 
-def str_or_empty(json: Column, name: str) -> Column:
-    return F.coalesce(field(json, name), F.lit(""))
 
+def field(doc: Column, name: str) -> Column:
+    """Text of one field; null when the field is missing or JSON null."""
+    return F.try_variant_get(doc, f"$.{name}", "string")
+
+
+def _kind(doc: Column, name: str) -> Column:
+    """Type of one field: BOOLEAN, BIGINT, STRING, ..."""
+    return F.schema_of_variant(F.try_variant_get(doc, f"$.{name}", "variant"))
 
-def text_or(json: Column, name: str, default: str) -> Column:
-    """Field text, or `default` when the field is absent. An empty string stays empty."""
-    return F.coalesce(field(json, name), F.lit(default))
 
+def str_or_empty(doc: Column, name: str) -> Column:
+    return F.coalesce(field(doc, name), F.lit(""))
 
-def _typed(json: Column, name: str, dtype: str) -> Column:
-    return F.from_json(json, f"`{name}` {dtype}")[name]
+
+def text_or(doc: Column, name: str, default: str) -> Column:
+    """Field text, or `default` when the field is absent. An empty string stays empty."""
+    return F.coalesce(field(doc, name), F.lit(default))
 
 
-def bool_strict(json: Column, name: str) -> Column:
+def bool_strict(doc: Column, name: str) -> Column:
     """Only a real JSON `true` counts."""
-    return F.coalesce(_typed(json, name, "BOOLEAN"), F.lit(False))
+    return F.coalesce((_kind(doc, name) == "BOOLEAN") & (field(doc, name) == "true"), F.lit(False))
 
 
-def bool_parse(json: Column, name: str) -> Column:
+def bool_parse(doc: Column, name: str) -> Column:
     """JSON `true`, or the text "true" in any case without padding."""
-    return F.coalesce(F.lower(field(json, name)) == "true", F.lit(False))
+    return F.coalesce(F.lower(field(doc, name)) == "true", F.lit(False))
 
 
-def bool_lenient(json: Column, name: str) -> Column:
+def bool_lenient(doc: Column, name: str) -> Column:
     """JSON `true`, a non-zero whole number, or the exact text "true" with padding allowed."""
-    return (
-        bool_strict(json, name)
-        | F.coalesce(_typed(json, name, "BIGINT") != 0, F.lit(False))
-        | F.coalesce(field(json, name).rlike(_TRUE_PADDED), F.lit(False))
+    text = field(doc, name)
+    return F.coalesce(
+        text.rlike(_TRUE_PADDED) | ((_kind(doc, name) == "BIGINT") & (text != "0")), F.lit(False)
     )
 
 

@@ -33,6 +33,8 @@ DEFAULTS = {
     "name": "user", "email": "unknown", "tier": "unknown", "currentTier": "UNKNOWN", "targetTier": "UNKNOWN",
     "reason": "not-provided", "deactivatedAt": "unknown-time", "refundTransactionId": "", "validationError": "unknown",
 }
+# Fields shown as numbers; other content counts as 0.
+NUMBERS = {"changePercent": "double", "postCount": "int"}
 CHAT_TEXTS = {
     "success": "✅ *Payment succeeded*\nTrace ID: {traceid}\nEmail: {email}\nName: {name}\nTier: {tier}\nAmount: {amount}\nTransaction: {transaction}",
     "failed": "⚠️ *Payment failed (signup cancelled)*\nTrace ID: {traceid}\nEmail: {email}\nName: {name}\nTier: {tier}\nAmount: {amount}\nNotification: PaymentFailedEvent",
@@ -50,14 +52,21 @@ def fill(template: str, values: dict[str, Column]) -> Column:
     return F.concat(*pieces)
 
 
-def render(template: str, json: Column, traceid: Column, brand: str) -> Column:
-    """Text of one template over a JSON payload; null when a mandatory field is absent."""
-    values = {"brand": F.lit(brand), "traceid": F.coalesce(traceid, F.lit("")), "refundDetail": refund_detail(
-        bool_lenient(json, "refundSkipped"), bool_lenient(json, "refundSuccess"), field(json, "refundTransactionId"),
-    )}
+def render(template: str, doc: Column, traceid: Column, brand: str) -> Column:
+    """Text of one template over a payload document; null when a mandatory field is absent."""
+    values = {
+        "brand": F.lit(brand), "traceid": F.coalesce(traceid, F.lit("")),
+        "refundDetail": refund_detail(
+            bool_lenient(doc, "refundSkipped"), bool_lenient(doc, "refundSuccess"),
+            field(doc, "refundTransactionId"),
+        ),
+    }
     for slot in _SLOT.findall(TEMPLATES[template]):
         if slot in values:
             continue
         mandatory = template in ALERTS or (template in STRICT and slot in ("name", "email", "tier"))
-        values[slot] = field(json, slot) if mandatory else text_or(json, slot, DEFAULTS[slot])
+        values[slot] = field(doc, slot) if mandatory else text_or(doc, slot, DEFAULTS[slot])
+        if slot in NUMBERS:
+            number = F.coalesce(field(doc, slot).try_cast(NUMBERS[slot]), F.lit(0).cast(NUMBERS[slot]))
+            values[slot] = F.when(field(doc, slot).isNotNull(), number.cast("string"))
     return fill(TEMPLATES[template], values)

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from eventflow.functions.scalar import document, field
 from eventflow.operators.routing import lookup
-from eventflow.schemas import ENVELOPE
 
 
 def lost_messages(sent: DataFrame, consumed: DataFrame, sent_key: str, consumed_key: str) -> DataFrame:
@@ -54,9 +54,9 @@ def notification_audit(commands: DataFrame, outcomes: DataFrame) -> DataFrame:
 def dead_letter_recovery(dead: DataFrame, log: DataFrame, progressed: Column) -> DataFrame:
     """Per dead-lettered trace: how often the start failed, the last reason, and whether the trace
     progressed afterwards. `dead` carries `value` (the original message) and `reason`."""
-    original = F.from_json(F.col("value"), ENVELOPE)
+    original = document(F.col("value"))
     failures = dead.select(
-        "traceid", "time", "id", "reason", original["type"].alias("original_type"),
+        "traceid", "time", "id", "reason", field(original, "type").alias("original_type"),
         F.lit(False).alias("progress"),
     )
     progress = log.filter(progressed).select(

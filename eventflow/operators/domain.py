@@ -157,7 +157,7 @@ def payment_event_legacy(df: DataFrame, source: str = DEFAULT_SOURCE) -> DataFra
     """Choreography variant: the outcome event repeats the request payload unchanged."""
     type_ = F.when(F.col("payment_success"), F.lit(PAYMENT_RECEIVED)).otherwise(F.lit(PAYMENT_FAILED))
     return df.withColumn(
-        "event", reply_event(type_, F.parse_json("data"), F.col("id"), source, F.col("time"), F.col("traceid"))
+        "event", reply_event(type_, F.col("data"), F.col("id"), source, F.col("time"), F.col("traceid"))
     )
 
 
@@ -229,7 +229,7 @@ def alerts_to_events(df: DataFrame, kind: str, source: str = DEFAULT_SOURCE) ->
 # --- notifications --------------------------------------------------------------------------
 
 def render_notification(df: DataFrame, brand: str = DEFAULT_BRAND, out: str = "text") -> DataFrame:
-    """Text for each row's `template` over its JSON `data`; null for an unknown template or a
+    """Text for each row's `template` over its payload document `data`; null for an unknown template or a
     missing mandatory field. The validation reason is taken from the payload, as intended by the
     modelled process, although the original worker dropped it on the way."""
     text = F.lit(None).cast("string")

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from eventflow.functions.scalar import (
-    blank_or_null, bool_lenient, derived_id, field, iso_time, str_or_empty,
+    blank_or_null, bool_lenient, derived_id, document, field, iso_time, str_or_empty,
 )
 from eventflow.schemas import (
-    DEACTIVATION_REQUESTED, ENVELOPE, SIGNUP_REQUESTED, UPGRADE_REQUESTED,
+    DEACTIVATION_REQUESTED, ENVELOPE, NOTIFICATION_OPTIONAL_FIELDS, SIGNUP_REQUESTED,
+    UPGRADE_REQUESTED,
 )
 
 CONTENT_TYPE = "application/json"
@@ -27,26 +28,26 @@ def event_type(df: DataFrame) -> DataFrame:
 
 
 def parse_envelope(df: DataFrame, value_col: str = "value") -> DataFrame:
-    """JSON text to envelope columns; `data` keeps the raw sub-document.
+    """JSON text to envelope columns. `data` is the payload as a document (VARIANT), so one parse of
+    the message serves the envelope and every payload field.
 
     When the row carries an `event_type` (the header), it wins over the type in the body and
     `type_mismatch` tells where the two differ.
     """
-    body = F.from_json(F.col(value_col), ENVELOPE, {"mode": "PERMISSIVE"})
-    parsed = df.withColumn("__body", body)
+    parsed = df.withColumn("__doc", document(F.col(value_col)))
+    doc = F.col("__doc")
+    body_type = field(doc, "type")
+    columns = {
+        name: field(doc, name) for name in ENVELOPE.fieldNames() if name not in ("type", "time", "data")
+    }
+    columns["time"] = field(doc, "time").try_cast("timestamp")
+    columns["data"] = F.try_variant_get(doc, "$.data", "variant")
     if "event_type" in df.columns:
-        parsed = parsed.withColumn(
-            "type_mismatch",
-            F.coalesce(F.col("event_type") != F.col("__body.type"), F.lit(False)),
-        )
-        type_col = F.coalesce(F.col("event_type"), F.col("__body.type"))
+        columns["type"] = F.coalesce(F.col("event_type"), body_type)
+        columns["type_mismatch"] = F.coalesce(F.col("event_type") != body_type, F.lit(False))
     else:
-        type_col = F.col("__body.type")
-    keep = [c for c in parsed.columns if c not in ("__body", "event_type", *ENVELOPE.fieldNames())]
-    fields = [F.col("__body")[n].alias(n) for n in ENVELOPE.fieldNames() if n not in ("type", "time")]
-    return parsed.select(
-        *keep, type_col.alias("type"), F.col("__body.time").try_cast("timestamp").alias("time"), *fields
-    )
+        columns["type"] = body_type
+    return parsed.withColumns(columns).drop("__doc", "event_type")
 
 
 def quarantine(df: DataFrame, required: tuple[str, ...] = ("type", "traceid", "data")) -> tuple[DataFrame, DataFrame]:
@@ -126,6 +127,9 @@ def extract_variables(df: DataFrame) -> DataFrame:
     return ensure_user_id(ensure_traceid(out))
 
 
-def copy_present(json: Column, fields: tuple[str, ...]) -> Column:
-    """JSON object holding only the non-null fields out of `fields`."""
-    return F.to_json(F.struct(*[field(json, name).alias(name) for name in fields]))
+def copy_present(doc: Column, fields: tuple[str, ...] = NOTIFICATION_OPTIONAL_FIELDS) -> Column:
+    """JSON object holding only the non-null fields out of `fields`, with their values unchanged."""
+    kept = F.map_filter(
+        doc.cast("map<string, variant>"), lambda k, v: k.isin(*fields) & ~F.is_variant_null(v)
+    )
+    return F.to_json(kept)

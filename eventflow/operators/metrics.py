@@ -9,9 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from eventflow.operators.ordered import running_sum
+from eventflow.operators.ordered import BlockPlan, block_plan, running_sum
 
 PERCENTILES = (50, 95, 99)
 
@@ -74,16 +74,15 @@ def _rank_hit(kind: str, percentile: int, total: Column, cumulative: Column) ->
 
 def summarize_latencies(
     counts: DataFrame, by: Sequence[str], kind: str = "nearest", include_failed: bool = False,
-    extra: Sequence[str] = (), timed: bool = True,
+    extra: Sequence[str] = (), timed: bool = True, plan: BlockPlan | None = None,
 ) -> DataFrame:
-    """Fold `latency_counts` into one row per label."""
+    """Fold `latency_counts` into one row per label. Pass a block plan where a label may have more
+    distinct values than one task should order."""
     weight = F.col("__ok") + F.col("__failed") if include_failed else F.col("__ok")
     weight = F.when(F.col("__x").isNotNull(), weight).otherwise(F.lit(0))
-    group = Window.partitionBy(*by)
-    ranked = counts.withColumn("__n", weight).withColumns({
-        "__cum": F.sum("__n").over(group.orderBy("__x").rowsBetween(Window.unboundedPreceding, 0)),
-        "__total": F.sum("__n").over(group),
-    })
+    ranked = running_sum(
+        counts.withColumn("__n", weight), by, ["__x"], {"__cum": F.col("__n")}, plan, {"__total": "__cum"}
+    )
     present = F.col("__n") > 0
     value = F.when(present, F.col("__x"))
     elapsed = (F.max("__last") - F.min("__first")) / 1000.0 if timed else None
@@ -133,15 +132,18 @@ def _starts(df: DataFrame, by: Sequence[str], time: str) -> DataFrame:
     return df.groupBy(*by).agg(F.min(_ms(F.col(time))).alias("__start"))
 
 
-def latency_since_start(df: DataFrame, by: Sequence[str], time: str = "cb_ts") -> DataFrame:
-    """Summary where the latency of a record is its time since the first record of its label."""
+def latency_since_start(
+    df: DataFrame, by: Sequence[str], time: str = "cb_ts", max_rows: int | None = None
+) -> DataFrame:
+    """Summary where the latency of a record is its time since the first record of its label. These
+    values spread over the whole run, so a label with very many of them is cut into blocks."""
     ticks = df.groupBy(*by, _ms(F.col(time)).alias("__ms")).agg(
         F.count_if("ok").alias("__ok"), F.count_if(~F.col("ok")).alias("__failed")
     )
     timed = ticks.join(_starts(df, by, time), list(by)).withColumns({
         "__x": F.col("__ms") - F.col("__start"), "__first": F.col("__ms"), "__last": F.col("__ms"),
     })
-    return summarize_latencies(timed, by)
+    return summarize_latencies(timed, by, plan=block_plan(timed, by, ["__x"], max_rows))
 
 
 # --- throughput over time -------------------------------------------------------------------
@@ -180,13 +182,16 @@ def progress_samples(df: DataFrame, by: Sequence[str], time: str, width: str = "
     return running_sum(counts, by, ["sampled_at"], {"total": F.col("processed")})
 
 
-def progress_marks(df: DataFrame, by: Sequence[str], time: str, every: int = 1000) -> DataFrame:
+def progress_marks(
+    df: DataFrame, by: Sequence[str], time: str, every: int = 1000, max_rows: int | None = None
+) -> DataFrame:
     """Time at which record 1 and every `every`-th record of a label was processed.
 
     Marks are read off the running totals per timestamp, so no record is numbered one by one.
     """
     counts = df.groupBy(*by, F.col(time).alias("at")).agg(F.count(F.lit(1)).alias("__n"))
-    totals = running_sum(counts, by, ["at"], {"__total": F.col("__n")})
+    plan = block_plan(counts, by, ["at"], max_rows)
+    totals = running_sum(counts, by, ["at"], {"__total": F.col("__n")}, plan)
     before = F.col("__total") - F.col("__n")
     first = (F.floor(before / every) + 1) * every
     last = F.floor(F.col("__total") / every) * every

@@ -149,24 +149,40 @@ def _with_carry(
 
 def running_sum(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], sums: dict[str, Column],
-    plan: BlockPlan | None = None,
+    plan: BlockPlan | None = None, totals: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Inclusive running sums, nulls counting as 0. Rows that tie on the order columns get rising sums."""
+    """Inclusive running sums, nulls counting as 0. Rows that tie on the order columns get rising sums.
+
+    `totals` names further columns for the sum over the whole group: new name -> name in `sums`.
+    """
+    totals = totals or {}
     blocked = with_blocks(df, plan, keys, order)
     window = _window(plan, keys, order, False).rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy(*keys) if plan is None else Window.partitionBy(*keys, BLOCK)
+    zero = F.lit(0)
     local = blocked.withColumns(
-        {name: F.coalesce(F.sum(value).over(window), F.lit(0)) for name, value in sums.items()}
+        {name: F.coalesce(F.sum(value).over(window), zero) for name, value in sums.items()}
+        | {name: F.coalesce(F.sum(sums[of]).over(whole), zero) for name, of in totals.items()}
     )
     if plan is None:
         return local.drop(BLOCK)
-    state = F.struct(*[F.coalesce(F.sum(v), F.lit(0)).alias(n) for n, v in sums.items()])
+    state = F.struct(*[F.coalesce(F.sum(v), zero).alias(n) for n, v in sums.items()])
     full = _with_carry(
         local, blocked, keys, state,
         lambda a, b: F.struct(*[(a[n] + b[n]).alias(n) for n in sums]), False,
-    )
-    return full.withColumns(
-        {n: F.col(n) + F.coalesce(F.col("__carry")[n], F.lit(0)) for n in sums}
-    ).drop("__carry", BLOCK)
+    ).withColumns({n: F.col(n) + F.coalesce(F.col("__carry")[n], zero) for n in sums}).drop("__carry")
+    if totals:
+        # one row per hot group, so bounded by MAX_HOT_GROUPS
+        hot = blocked.filter(F.col(BLOCK) >= 0).groupBy(
+            *[F.col(k).alias(f"__t{i}") for i, k in enumerate(keys)]
+        ).agg(*[F.sum(sums[of]).alias(f"__sum_{name}") for name, of in totals.items()])
+        full = full.join(
+            F.broadcast(hot), _same(full, hot, keys, [f"__t{i}" for i in range(len(keys))]), "left"
+        )
+        full = full.withColumns({
+            name: F.when(F.col(BLOCK) >= 0, F.col(f"__sum_{name}")).otherwise(F.col(name)) for name in totals
+        }).drop(*[f"__t{i}" for i in range(len(keys))], *[f"__sum_{name}" for name in totals])
+    return full.drop(BLOCK)
 
 
 def numbered(

@@ -37,7 +37,8 @@ def _any(condition: Column) -> Column:
     return F.bool_or(condition)
 
 
-_POSITION = F.struct(F.col("time").alias("time"), F.col("id").alias("id"))
+def _position() -> Column:
+    return F.struct("time", "id")
 
 
 # --- timeline -------------------------------------------------------------------------------
@@ -50,18 +51,19 @@ def trace_timeline(df: DataFrame, max_rows: int | None = None) -> DataFrame:
 
 # --- outcome of each kind of transaction ----------------------------------------------------
 
-_SIGNUP_FLAGS = {
-    "start_failed": _is(PROCESS_START_FAILED_EVENT),
-    "invalid": _notified(SIGNUP_VALIDATION_FAILED),
-    "activation_failed": _notified(ACTIVATION_FAILED),
-    "technical_error": _notified(TECHNICAL_ERROR),
-    "refunded": _is(PAYMENT_REFUNDED),
-    "refund_failed": _is(PAYMENT_REFUND_FAILED),
-    "paid": _is(PAYMENT_RECEIVED),
-    "pay_failed": _is(PAYMENT_FAILED),
-    "activated": _is(ACCOUNT_ACTIVATED_EVENT),
-    "requested": _is(SIGNUP_REQUESTED),
-}
+def _signup_flags() -> dict[str, Column]:
+    return {
+        "start_failed": _is(PROCESS_START_FAILED_EVENT),
+        "invalid": _notified(SIGNUP_VALIDATION_FAILED),
+        "activation_failed": _notified(ACTIVATION_FAILED),
+        "technical_error": _notified(TECHNICAL_ERROR),
+        "refunded": _is(PAYMENT_REFUNDED),
+        "refund_failed": _is(PAYMENT_REFUND_FAILED),
+        "paid": _is(PAYMENT_RECEIVED),
+        "pay_failed": _is(PAYMENT_FAILED),
+        "activated": _is(ACCOUNT_ACTIVATED_EVENT),
+        "requested": _is(SIGNUP_REQUESTED),
+    }
 
 
 def signup_state_of_flags() -> Column:
@@ -90,7 +92,7 @@ def signup_state_of_flags() -> Column:
 
 def signup_flags(df: DataFrame, *keys) -> DataFrame:
     return df.groupBy(*(keys or ("traceid",))).agg(
-        *[_any(condition).alias(name) for name, condition in _SIGNUP_FLAGS.items()]
+        *[_any(condition).alias(name) for name, condition in _signup_flags().items()]
     )
 
 
@@ -302,8 +304,8 @@ def refund_follow_up(df: DataFrame) -> DataFrame:
         df.filter(_is(PAYMENT_REFUNDED, PAYMENT_REFUND_FAILED))
         .groupBy("traceid")
         .agg(
-            F.max(F.when(_is(PAYMENT_REFUND_FAILED), _POSITION)).alias("failed"),
-            F.max(F.when(_is(PAYMENT_REFUNDED), _POSITION)).alias("refunded"),
+            F.max(F.when(_is(PAYMENT_REFUND_FAILED), _position())).alias("failed"),
+            F.max(F.when(_is(PAYMENT_REFUNDED), _position())).alias("refunded"),
         )
         .filter("failed IS NOT NULL AND (refunded IS NULL OR refunded < failed)")
         .select("traceid", F.col("failed.id").alias("refund_event_id"), F.col("failed.time").alias("failed_at"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from eventflow.functions.scalar import (
-    blank_or_null, bool_lenient, bool_parse, bool_strict, coalesce_null, field, long_or_zero,
+    blank_or_null, bool_lenient, bool_parse, bool_strict, coalesce_null, document, field, long_or_zero,
     price_for_tier, str_or_empty, text_or,
 )
 from eventflow.operators import audit, cluster, delivery, domain, envelope, metrics, routing, saga, signals
@@ -102,7 +102,7 @@ def notification_routes(spark, sf):
         "id", F.lit("log").alias("channel"), "template", F.lit(None).cast("boolean").alias("sent"),
         F.lit(None).cast("string").alias("error"), F.lit(None).cast("string").alias("outcome_type"),
     )
-    payload = F.to_json(F.expr(
+    payload = F.to_variant_object(F.expr(
         """named_struct('name', CASE WHEN k % 6 <> 0 THEN concat('User ', CAST(user_id AS STRING)) END,
            'email', concat('u', CAST(user_id AS STRING), '@example.com'), 'tier', tier)"""
     ))
@@ -151,10 +151,10 @@ def scalar_functions(spark, sf):
            WHEN 6 THEN '{"v":"TRUE"}' ELSE '{"v":12.7}' END"""
     )
     rows = views.bus(spark, sf).withColumns({
-        "j": json,
+        "j": document(json),
         "traceid": F.expr("CASE WHEN k % 6 = 0 THEN ' \t' ELSE traceid END"),
         "userId": F.expr("CASE WHEN k % 5 <> 0 THEN concat('u', CAST(user_id AS STRING)) END"),
-        "data": F.expr("CASE WHEN k % 9 <> 0 THEN '{}' END"),
+        "data": document(F.expr("CASE WHEN k % 9 <> 0 THEN '{}' END")),
     })
     ensured = envelope.ensure_user_id(envelope.ensure_traceid(rows))
     good, bad = envelope.quarantine(ensured)
@@ -204,7 +204,7 @@ def render_notifications(spark, sf):
     wanted = bus.filter(F.col("message").isin(*_RENDERED)).withColumn(
         "template", routing.lookup(F.col("message"), _RENDERED)
     )
-    payload = F.to_json(F.expr(
+    payload = F.to_variant_object(F.expr(
         """named_struct('name', CASE WHEN k % 11 <> 0 THEN name END, 'email', email, 'tier', tier,
            'currentTier', 'FREE', 'targetTier', CASE WHEN k % 13 <> 0 THEN 'PRO' END,
            'reason', CASE WHEN k % 3 <> 0 THEN concat('r', CAST(k AS STRING)) END,
@@ -242,8 +242,9 @@ def refund_plan(spark, sf):
         "email": F.lit("e"), "name": F.lit("n"),
     })
     planned = domain.refund_payment(rows)
-    events = domain.refund_event(planned).select(F.col("id").alias("eid"), F.col("event.type").alias("event_type"))
-    return planned.join(events, F.col("id") == F.col("eid"), "left").select(
+    published = domain.refund_event(planned).withColumn("event_type", F.col("event.type")).drop("event")
+    silent = planned.filter("refund_skipped").withColumn("event_type", F.lit(None).cast("string"))
+    return published.unionByName(silent).select(
         "id", "payment_amount", "refund_action", "refund_skipped", "refund_success",
         "refund_transaction_id", "event_type",
     )
@@ -267,8 +268,7 @@ def domain_events(spark, sf):
         field(data, "email").alias("email"), field(data, "tier").alias("tier"),
         field(data, "paymentAmount").try_cast("bigint").alias("payment_amount"),
         field(data, "transactionId").alias("transaction_id"),
-        F.to_json(F.from_json(envelope.copy_present(data, ("transactionId", "activatedAt")), "transactionId STRING"))
-        .alias("present"),
+        envelope.copy_present(data).alias("present"),
     )
 
 

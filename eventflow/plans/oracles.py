@@ -340,7 +340,8 @@ ORACLES: dict[str, str] = {
           FROM bus WHERE type = 'PaymentReceivedEvent'))"""),
     "domain_events": _sql("bus accounts", """SELECT sha256('shop:event:' || type || ':' || id) AS event_id, type, traceid,
         'shop' AS source, epoch_us(time) AS time_us, email, tier, payment_amount, transaction_id,
-        CASE WHEN transaction_id IS NULL THEN '{}' ELSE '{"transactionId":"' || transaction_id || '"}' END AS present
+        CASE WHEN payment_amount IS NULL THEN '{}' ELSE '{"paymentAmount":' || payment_amount
+          || coalesce(',"transactionId":"' || transaction_id || '"', '') || '}' END AS present
       FROM (SELECT id, traceid, time, email, tier, price AS payment_amount,
           CASE WHEN paid THEN 'PaymentReceivedEvent' ELSE 'PaymentFailedEvent' END AS type,
           CASE WHEN paid AND price > 0 THEN 'tx-' || id END AS transaction_id

@@ -11,9 +11,9 @@ def _struct(**fields: T.DataType) -> T.StructType:
 
 _S, _L, _I, _D, _B = T.StringType(), T.LongType(), T.IntegerType(), T.DoubleType(), T.BooleanType()
 
-# `data` is a STRING on read: from_json keeps the raw sub-document until the type is known.
+# `data` is any JSON value; parsed events carry it as VARIANT until the type is known.
 ENVELOPE = _struct(
-    type=_S, id=_S, source=_S, time=_S, data=_S, datacontenttype=_S, specversion=_S,
+    type=_S, id=_S, source=_S, time=_S, data=T.VariantType(), datacontenttype=_S, specversion=_S,
     traceid=_S, correlationid=_S, group=_S,
 )
 SIGNUP_REQUEST = _struct(

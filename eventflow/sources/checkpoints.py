@@ -22,7 +22,9 @@ def shared_dir(spark: SparkSession) -> str:
         return configured
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    return _LOCAL.setdefault(context.applicationId, tempfile.mkdtemp(prefix="eventflow-"))
+    if context.applicationId not in _LOCAL:
+        _LOCAL[context.applicationId] = tempfile.mkdtemp(prefix="eventflow-")
+    return _LOCAL[context.applicationId]
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

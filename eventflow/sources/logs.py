@@ -19,6 +19,8 @@ KAFKA = "kafka"
 # Leading and trailing white space as a browser form trims it.
 _EDGES = r"^[\s\p{Z}\x{feff}]+|[\s\p{Z}\x{feff}]+\z"
 
+_PROBE_TEXT = r"^(?:(?:msg|value)-[0-9]+-ts-[0-9]+|thread-[0-9]+-msg-[0-9]+)\z"
+
 
 def read_log(
     spark: SparkSession, location: str, format: str = "json", streaming: bool = False,
@@ -181,16 +183,17 @@ def parse_probe(df: DataFrame, value: str = "value") -> DataFrame:
     """Decode probe messages: JSON `{seq, ts, rf, acks}`, or the texts `msg-<n>-ts-<ms>`,
     `value-<n>-ts-<ms>` and `thread-<t>-msg-<n>`. Fields a form lacks are null."""
     text = F.col(value)
-    json = F.from_json(text, PROBE)
-    stamped = r"^(?:msg|value)-(\d+)-ts-(\d+)\z"
-    threaded = r"^thread-(\d+)-msg-(\d+)\z"
-
-    def part(pattern: str, group: int) -> Column:
-        return F.when(text.rlike(pattern), long_or_zero(F.regexp_extract(text, pattern, group)))
-
-    seq = F.coalesce(json["seq"], part(stamped, 1), part(threaded, 2))
-    sent_ms = F.coalesce(json["ts"], part(stamped, 2))
-    return df.withColumns({
-        "seq": seq, "sent_ms": sent_ms, "sent_at": F.timestamp_millis(sent_ms),
-        "thread": part(threaded, 1), "rf": json["rf"], "acks": json["acks"],
+    looks_json = text.startswith("{")
+    parsed = df.withColumns({
+        "__probe": F.when(looks_json, F.from_json(text, PROBE)),
+        "__parts": F.when(~looks_json & text.rlike(_PROBE_TEXT), F.split(text, "-")),
+    })
+    json, parts = F.col("__probe"), F.col("__parts")
+    threaded = F.coalesce(F.get(parts, 0) == "thread", F.lit(False))
+    first, second = long_or_zero(F.get(parts, 1)), long_or_zero(F.get(parts, 3))
+    out = parsed.withColumns({
+        "seq": F.coalesce(json["seq"], F.when(threaded, second).otherwise(F.when(parts.isNotNull(), first))),
+        "sent_ms": F.coalesce(json["ts"], F.when(parts.isNotNull() & ~threaded, second)),
+        "thread": F.when(threaded, first), "rf": json["rf"], "acks": json["acks"],
     })
+    return out.withColumn("sent_at", F.timestamp_millis("sent_ms")).drop("__probe", "__parts")
