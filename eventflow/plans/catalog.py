@@ -736,3 +736,36 @@ def dedup_stream(spark, sf):
     return pipelines.run_append(pipelines.dedup(twice, "time", "1 day"), "dedup").select("id", "type", "traceid", _us("time"))
 
 
+
+
+@query
+def payment_timeouts_stream(spark, sf):
+    bus = views.bus_of(views.ev_of(_event_stream(spark, sf)))
+    return pipelines.run_append(pipelines.payment_timeouts(bus, HORIZON, "1 hour"), "timeouts")
+
+
+@query
+def rate_limited_alerts_stream(spark, sf):
+    posts = routing.post_filter(views.posts_of(views.ev_of(_event_stream(spark, sf))))
+    passed = pipelines.rate_limit_stream(posts, "topic", "ts", signals.seconds(HORIZON), "1 hour")
+    return pipelines.run_append(passed, "rate-limit").select("topic", _us("ts"))
+
+
+@query
+def signup_sessions_stream(spark, sf):
+    bus = views.bus_of(views.ev_of(_event_stream(spark, sf)))
+    return pipelines.run_append(pipelines.signup_state_sessions(bus, "1 day", "1 hour"), "sessions").select(
+        "traceid", _us("first_at"), _us("closed_at"), "state"
+    )
+
+
+@query
+def choreography_stream(spark, sf):
+    stream = envelope.parse_envelope(envelope.event_type(views.raw_log(views.bus_of(views.ev_of(_event_stream(spark, sf))))))
+    decisions = views.bus(spark, sf).groupBy("traceid").agg((F.count(F.lit(1)) % 2 == 0).alias("payment_success"))
+    landed = pipelines.run_append(pipelines.choreography(stream, decisions, "shop"), "choreography")
+    parsed = envelope.parse_envelope(envelope.event_type(landed))
+    return parsed.select(
+        F.col("id").alias("event_id"), "type", "traceid", field(F.col("data"), "email").alias("email"),
+        field(F.col("data"), "tier").alias("tier"), _us("time"),
+    )

@@ -549,4 +549,32 @@ ORACLES: dict[str, str] = {
     "saga_state_stream": _sql("state", "SELECT traceid, state FROM state"),
     "topic_counts_stream": _sql("windows", "SELECT topic, window_start_us, posts FROM windows"),
     "dedup_stream": _sql("bus", "SELECT id, type, traceid, epoch_us(time) AS time_us FROM bus"),
+    # A row comes out once the watermark (one hour behind the newest event) is past the grid point
+    # (every 45 minutes, an eighth of the interval) that follows it, or its deadline for requests.
+    "payment_timeouts_stream": _sql("bus pay", """SELECT r.traceid, r.id, r.type, coalesce(o.type, 'TIMEOUT') AS outcome,
+        o.id AS outcome_id
+      FROM bus r LEFT JOIN (
+        SELECT r.id AS rid, arg_min(p, (p.time, p.id)) AS o FROM bus r JOIN pay p ON p.traceid = r.traceid
+          AND p.time >= r.time AND p.time <= r.time + INTERVAL 6 HOURS
+        WHERE r.type LIKE '%RequestedEvent' GROUP BY r.id) f ON f.rid = r.id
+      WHERE r.type LIKE '%RequestedEvent' AND ((epoch_us(r.time) // 1000 + 21600000) // 2700000 + 1) * 2700000
+        < (SELECT epoch_us(max(time)) // 1000 - 3600000 FROM bus
+           WHERE type LIKE '%RequestedEvent' OR type IN ('PaymentReceivedEvent', 'PaymentFailedEvent'))"""),
+    "rate_limited_alerts_stream": _sql("posts", """SELECT topic, t AS ts_us FROM passed
+      WHERE (t // 1000 // 2700000 + 1) * 2700000 < (SELECT epoch_us(max(ts)) // 1000 - 3600000 FROM posts)""",
+        recursive="""passed AS (
+        SELECT topic, min(epoch_us(ts)) AS t FROM posts GROUP BY topic
+        UNION ALL SELECT a.topic, min(epoch_us(p.ts)) FROM passed a JOIN posts p
+          ON p.topic = a.topic AND epoch_us(p.ts) >= a.t + 21600000000 GROUP BY a.topic)"""),
+    # A trace covers one day, so it is one session, closed when the watermark is past its end.
+    "signup_sessions_stream": _sql("bus state", """SELECT s.traceid, epoch_us(min(b.time)) AS first_at_us,
+        epoch_us(max(b.time)) + 86400000000 AS closed_at_us, any_value(s.state) AS state
+      FROM state s JOIN bus b ON b.traceid = s.traceid GROUP BY s.traceid
+      HAVING epoch_us(max(b.time)) // 1000 + 86400000 <= (SELECT epoch_us(max(time)) // 1000 - 3600000 FROM bus)"""),
+    "choreography_stream": _sql("bus", """SELECT sha256('shop:event:' || e.type || ':' || e.id) AS event_id, e.type, e.traceid,
+        'u' || user_id || '@example.com' AS email, tier, epoch_us(time) AS time_us
+      FROM (SELECT b.id, b.traceid, b.user_id, b.tier, b.time,
+          CASE WHEN n % 2 = 0 THEN 'PaymentReceivedEvent' ELSE 'PaymentFailedEvent' END AS type
+        FROM bus b JOIN (SELECT traceid, count(*) AS n FROM bus GROUP BY traceid) d ON d.traceid = b.traceid
+        WHERE b.type = 'SignupRequestedEvent' AND b.k % 6 <> 0) e"""),
 }

@@ -6,11 +6,7 @@ per-trace states carry no watermark of their own and take late rows into account
 
 from __future__ import annotations
 
-from bisect import bisect_left
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from eventflow.operators.domain import payment_event_legacy
 from eventflow.operators.routing import signup_only
@@ -19,6 +15,7 @@ from eventflow.operators.signals import seconds
 from eventflow.schemas import REQUEST_TYPES
 from eventflow.sources.checkpoints import run_dir
 from eventflow.sources.logs import to_records
+from eventflow.streaming.processors import GreedyLimit, Timeouts
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
@@ -51,61 +48,6 @@ def signup_state_sessions(df: DataFrame, idle: str, delay: str = "1 hour") -> Da
     )
 
 
-class _Timeouts(StatefulProcessor):
-    """Open requests and payment outcomes of one trace, resolved once the watermark is past the
-    deadline, when no earlier outcome can still arrive."""
-
-    def __init__(self, timeout_ms: int) -> None:
-        self.timeout_ms = timeout_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.requests = handle.getListState("requests", "id STRING, type STRING, us LONG")
-        self.outcomes = handle.getListState("outcomes", "id STRING, type STRING, us LONG")
-
-    def handleInputRows(self, key, rows, timerValues):
-        for frame in rows:
-            for row in frame.itertuples(index=False):
-                entry = (row.id, row.type, int(row.us))
-                if row.type in PAYMENT_OUTCOMES:
-                    self.outcomes.appendValue(entry)
-                else:
-                    self.requests.appendValue(entry)
-                    self.handle.registerTimer(entry[2] // 1_000_000 * 1000 + self.timeout_ms + 1000)
-        yield pd.DataFrame()
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        # Resolve everything the watermark has passed, so the trace's other timers find nothing left.
-        passed_us = timerValues.getCurrentWatermarkInMs() * 1000
-        wait_us = self.timeout_ms * 1000
-        requests = list(self.requests.get())
-        due = [r for r in requests if r[2] + wait_us < passed_us]
-        if not due:
-            return
-        outcomes = sorted(self.outcomes.get(), key=lambda o: (o[2], o[0]))
-        times = [o[2] for o in outcomes]
-        result = []
-        for rid, rtype, us in due:
-            at = bisect_left(times, us)
-            hit = outcomes[at] if at < len(outcomes) and times[at] <= us + wait_us else None
-            result.append((key[0], rid, rtype, hit[1] if hit else "TIMEOUT", hit[0] if hit else None))
-        still_open = [r for r in requests if r[2] + wait_us >= passed_us]
-        # an outcome at or after the watermark may answer a request that has not arrived yet
-        oldest = min([r[2] for r in still_open] + [passed_us])
-        self._replace(self.requests, still_open)
-        self._replace(self.outcomes, [o for o in outcomes if o[2] >= oldest])
-        yield pd.DataFrame(result, columns=["traceid", "id", "type", "outcome", "outcome_id"])
-
-    @staticmethod
-    def _replace(state, values) -> None:
-        state.clear()
-        if values:
-            state.put(values)
-
-    def close(self) -> None:
-        pass
-
-
 def payment_timeouts(df: DataFrame, timeout: str = "5 minutes", delay: str = "1 minute") -> DataFrame:
     """First payment outcome per request within `timeout`, else TIMEOUT; one row per request, once the
     watermark has passed its deadline. Equals `saga.request_outcome` on what was not late."""
@@ -115,51 +57,13 @@ def payment_timeouts(df: DataFrame, timeout: str = "5 minutes", delay: str = "1
         wanted.select("traceid", "id", "type", F.unix_micros("time").alias("us"), "time")
         .groupBy("traceid")
         .transformWithStateInPandas(
-            statefulProcessor=_Timeouts(seconds(timeout) * 1000),
+            statefulProcessor=Timeouts(seconds(timeout) * 1000, PAYMENT_OUTCOMES),
             outputStructType="traceid STRING, id STRING, type STRING, outcome STRING, outcome_id STRING",
             outputMode="Append", timeMode="EventTime",
         )
     )
 
 
-class _Greedy(StatefulProcessor):
-    """Alerts of one key waiting for the watermark, and the last one let through."""
-
-    def __init__(self, width_us: int) -> None:
-        self.width_us = width_us
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.waiting = handle.getMapState("waiting", "us LONG", "n INT")
-        self.last = handle.getValueState("last", "us LONG")
-
-    def handleInputRows(self, key, rows, timerValues):
-        for frame in rows:
-            for us in frame["us"].unique():
-                self.waiting.updateValue((int(us),), (1,))
-                self.handle.registerTimer(int(us) // 1_000_000 * 1000 + 1000)
-        yield pd.DataFrame()
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        passed_us = timerValues.getCurrentWatermarkInMs() * 1000
-        due = sorted(k[0] for k in self.waiting.keys() if k[0] < passed_us)
-        if not due:
-            return
-        last = self.last.get()[0] if self.last.exists() else None
-        passed = []
-        for us in due:
-            if last is None or us - last >= self.width_us:
-                passed.append(us)
-                last = us
-            self.waiting.removeKey((us,))
-        if passed:
-            self.last.update((last,))
-        yield pd.DataFrame({"key": [key[0]] * len(passed), "us": passed})
-
-    def close(self) -> None:
-        pass
-
-
 def rate_limit_stream(
     alerts: DataFrame, key: str, time: str, interval_seconds: int, delay: str = "1 minute"
 ) -> DataFrame:
@@ -172,7 +76,7 @@ def rate_limit_stream(
         .withColumn("us", F.unix_micros("time"))
         .groupBy("key")
         .transformWithStateInPandas(
-            statefulProcessor=_Greedy(interval_seconds * 1_000_000),
+            statefulProcessor=GreedyLimit(interval_seconds * 1_000_000),
             outputStructType="key STRING, us LONG", outputMode="Append", timeMode="EventTime",
         )
         .select(F.col("key").alias(key), F.timestamp_micros("us").alias(time))
