@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, functions as F
 
 from eventflow.schemas import PAID_TIERS, TIER_PRICE_CENTS, TIERS
@@ -13,6 +15,15 @@ _TRUE_PADDED = r"^[\x00-\x20]*true[\x00-\x20]*\z"
 _LONG_MAX, _LONG_MIN = 2**63 - 1, -(2**63)
 
 
+def case(branches: Iterable[tuple[Column, Column]]) -> Column:
+    """First branch whose condition holds, else null: one flat CASE."""
+    (condition, value), *rest = branches
+    out = F.when(condition, value)
+    for condition, value in rest:
+        out = out.when(condition, value)
+    return out
+
+
 def is_blank(text: Column) -> Column:
     """Empty or whitespace only. Null stays null; wrap in `blank_or_null` where null counts as blank."""
     return text.rlike(_BLANK)
@@ -110,10 +121,8 @@ def is_paid_tier(tier: Column) -> Column:
 def price_for_tier(tier: Column) -> Column:
     """Price in cents, case-insensitive; unknown tiers cost nothing."""
     upper = normalize_tier(tier)
-    price = F.lit(0).cast("bigint")
-    for name, cents in TIER_PRICE_CENTS.items():
-        price = F.when(upper == name, F.lit(cents).cast("bigint")).otherwise(price)
-    return price
+    prices = ((upper == name, F.lit(cents).cast("bigint")) for name, cents in TIER_PRICE_CENTS.items())
+    return case(prices).otherwise(F.lit(0).cast("bigint"))
 
 
 def refund_detail(skipped: Column, success: Column, refund_tx: Column) -> Column:

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from eventflow.functions.scalar import (
-    blank_or_null, coalesce_null, derived_id, iso_time, is_paid_tier, is_supported_tier, is_valid_email,
+    blank_or_null, case, coalesce_null, derived_id, iso_time, is_paid_tier, is_supported_tier, is_valid_email,
     normalize_tier, price_for_tier,
 )
 from eventflow.functions.templates import CHAT_TEXTS, TEMPLATES, fill, render
@@ -232,11 +232,9 @@ def render_notification(df: DataFrame, brand: str = DEFAULT_BRAND, out: str = "t
     """Text for each row's `template` over its payload document `data`; null for an unknown template or a
     missing mandatory field. The validation reason is taken from the payload, as intended by the
     modelled process, although the original worker dropped it on the way."""
-    text = F.lit(None).cast("string")
-    for name in TEMPLATES:
-        text = F.when(
-            F.col("template") == name, render(name, F.col("data"), F.col("traceid"), brand)
-        ).otherwise(text)
+    text = case(
+        (F.col("template") == name, render(name, F.col("data"), F.col("traceid"), brand)) for name in TEMPLATES
+    )
     return df.withColumn(out, text)
 
 
@@ -247,10 +245,11 @@ def render_chat_message(df: DataFrame) -> DataFrame:
         name: F.col(name) for name in ("traceid", "email", "name", "tier", "user_id")
     } | {"transaction": F.col("transaction_id")}
     amount = F.col("payment_amount").cast("string")
-    text = F.lit(None).cast("string")
-    for kind, template in CHAT_TEXTS.items():
-        shown = F.coalesce(amount, F.lit("0")) if kind == "error" else amount
-        text = F.when(F.col("chat_kind") == kind, fill(template, values | {"amount": shown})).otherwise(text)
+    zero = {"error": F.coalesce(amount, F.lit("0"))}
+    text = case(
+        (F.col("chat_kind") == kind, fill(template, values | {"amount": zero.get(kind, amount)}))
+        for kind, template in CHAT_TEXTS.items()
+    )
     return df.withColumn("chat_text", text)
 
 

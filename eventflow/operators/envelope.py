@@ -41,7 +41,8 @@ def parse_envelope(df: DataFrame, value_col: str = "value") -> DataFrame:
         name: field(doc, name) for name in ENVELOPE.fieldNames() if name not in ("type", "time", "data")
     }
     columns["time"] = field(doc, "time").try_cast("timestamp")
-    columns["data"] = F.try_variant_get(doc, "$.data", "variant")
+    payload = F.try_variant_get(doc, "$.data", "variant")
+    columns["data"] = F.when(~F.is_variant_null(payload), payload)
     if "event_type" in df.columns:
         columns["type"] = F.coalesce(F.col("event_type"), body_type)
         columns["type_mismatch"] = F.coalesce(F.col("event_type") != body_type, F.lit(False))

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
-from eventflow.functions.scalar import normalize_tier
+from eventflow.functions.scalar import case, normalize_tier
 from eventflow.schemas import (
     ACCOUNT_DEACTIVATED, ACTIVATION_FAILED, DEACTIVATION_REQUESTED, MARKET_ALERT_EVENT,
     MAX_ATTEMPTS, MESSAGE_CLASSES, PAYMENT_FAILED, PAYMENT_RECEIVED, PAYMENT_REFUNDED,
@@ -42,11 +40,7 @@ ALERT_TEMPLATES = {MARKET_ALERT_EVENT: "market_alert", SOCIAL_TREND_EVENT: "soci
 
 def lookup(key: Column, mapping: dict[str, str]) -> Column:
     """Value of a small fixed mapping, null when the key is unknown."""
-    return reduce(
-        lambda acc, kv: acc.when(key == kv[0], F.lit(kv[1])),
-        list(mapping.items())[1:],
-        F.when(key == next(iter(mapping)), F.lit(next(iter(mapping.values())))),
-    )
+    return case((key == k, F.lit(v)) for k, v in mapping.items())
 
 
 def ingress_filter(df: DataFrame, column: str = "type") -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from eventflow.functions.scalar import blank_or_null, is_paid_tier, normalize_tier
+from eventflow.functions.scalar import blank_or_null, case, is_paid_tier, normalize_tier
 from eventflow.operators.ordered import next_known, numbered
 from eventflow.schemas import (
     ACCOUNT_ACTIVATED_EVENT, ACCOUNT_DEACTIVATED, ACTIVATION_FAILED, DEACTIVATION_REQUESTED,
@@ -84,9 +84,7 @@ def signup_state_of_flags() -> Column:
         ("CHARGED_PENDING", f("paid")),
         ("PENDING", f("requested")),
     )
-    state = F.when(rules[0][1], rules[0][0])
-    for name, condition in rules[1:]:
-        state = state.when(condition, name)
+    state = case((condition, F.lit(name)) for name, condition in rules)
     return state.otherwise("NO_REQUEST")
 
 

@@ -90,6 +90,11 @@ def write_log(
     return writer.start() if format == KAFKA else writer.start(location)
 
 
+def write_by_type(df: DataFrame, location: str, format: str = "parquet") -> None:
+    """Land events in one folder per type, so that readers of one type open only its files."""
+    df.write.format(format).mode("append").partitionBy("type").save(location)
+
+
 def drain(query: StreamingQuery) -> int:
     """Wait until an availableNow query has read everything there was; rows it read."""
     query.awaitTermination()
