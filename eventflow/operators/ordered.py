@@ -19,7 +19,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 MAX_GROUP_ROWS = 2_000_000
 MAX_HOT_GROUPS = 20_000
@@ -39,7 +39,8 @@ class BlockPlan:
     longest: int
 
 
-def _group_limit(df: DataFrame, max_rows: int | None) -> int:
+def group_limit(df: DataFrame, max_rows: int | None) -> int:
+    """Rows one task may order: the argument, else the session setting, else the default."""
     if max_rows is not None:
         return max_rows
     return int(df.sparkSession.conf.get(MAX_GROUP_ROWS_CONF, str(MAX_GROUP_ROWS)))
@@ -58,7 +59,7 @@ def block_plan(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows: int | None = None
 ) -> BlockPlan | None:
     """Split points for the groups too large for one task, or None when there is no such group."""
-    limit = _group_limit(df, max_rows)
+    limit = group_limit(df, max_rows)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     total, largest = counts.agg(F.sum("__n"), F.max("__n")).first()
     limit = max(limit, (total or 0) // MAX_HOT_GROUPS)
@@ -213,10 +214,9 @@ def previous(
 
 def next_known(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, name: str,
-    max_rows: int | None = None,
+    plan: BlockPlan | None,
 ) -> DataFrame:
     """First non-null `value` at or after each row: the forward as-of lookup."""
-    plan = block_plan(df, keys, order, max_rows)
     blocked = with_blocks(df.withColumn("__value", value), plan, keys, order)
     window = _window(plan, keys, order, True).rowsBetween(Window.unboundedPreceding, 0)
     local = blocked.withColumn(name, F.last("__value", ignorenulls=True).over(window))
@@ -225,3 +225,24 @@ def next_known(
         local = _with_carry(local, blocked, keys, state, lambda a, b: F.coalesce(b, a), True)
         local = local.withColumn(name, F.coalesce(name, "__carry")).drop("__carry")
     return local.drop("__value", BLOCK)
+
+
+def running_state(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str,
+    local: Callable[[DataFrame, WindowSpec], DataFrame], merge: Callable[[Column, Column], Column],
+    plan: BlockPlan | None, reverse: bool = False,
+) -> DataFrame:
+    """Running value of any mergeable state, in column `name`.
+
+    `local` adds it for the rows of one window; `merge(earlier, later)` joins the states of two
+    adjacent stretches. The state of a whole block is the one at its last row.
+    """
+    blocked = with_blocks(df, plan, keys, order)
+    window = _window(plan, keys, order, reverse).rowsBetween(Window.unboundedPreceding, 0)
+    out = local(blocked, window)
+    if plan is None:
+        return out.drop(BLOCK)
+    whole = (F.min_by if reverse else F.max_by)(F.col(name), _at(order))
+    full = _with_carry(out, out, keys, whole, merge, reverse)
+    both = F.when(F.col("__carry").isNull(), F.col(name)).otherwise(merge(F.col("__carry"), F.col(name)))
+    return full.withColumn(name, both).drop("__carry", BLOCK)

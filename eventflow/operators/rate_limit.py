@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from eventflow.operators.ordered import next_known
+from eventflow.operators.ordered import block_plan, next_known
 from eventflow.sources.checkpoints import ensure_checkpoint_dir
 
 FOLD_LIMIT = 20_000
@@ -55,15 +55,13 @@ def _double(times: DataFrame, key: str, width: int) -> DataFrame:
     ensure_checkpoint_dir(spark)
     base = times.checkpoint()
 
-    probes = base.select(
-        key, F.col("t").alias("src"), (F.col("t") + width).alias("at"), F.lit(0).alias("kind")
-    )
-    nodes = base.select(
-        key, F.col("t").alias("src"), F.col("t").alias("at"), F.lit(1).alias("kind")
-    )
+    # Each time as a node and, one interval later, as the question which node comes next.
+    node = F.struct(F.col("t").alias("at"), F.lit(1).alias("kind"))
+    probe = F.struct((F.col("t") + width).alias("at"), F.lit(0).alias("kind"))
+    both = base.select(key, F.col("t").alias("src"), F.inline(F.array(node, probe)))
+    keys, order = [key], ["at", "kind", "src"]
     linked = next_known(
-        probes.unionByName(nodes), [key], ["at", "kind", "src"],
-        F.when(F.col("kind") == 1, F.col("at")), "jump",
+        both, keys, order, F.when(F.col("kind") == 1, F.col("at")), "jump", block_plan(both, keys, order)
     ).filter("kind = 0")
 
     first = base.groupBy(F.col(key).alias("__k")).agg(F.min("t").alias("__first"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from eventflow.functions.scalar import blank_or_null, case, is_paid_tier, normalize_tier
-from eventflow.operators.ordered import next_known, numbered
+from eventflow.operators.ordered import block_plan, next_known, numbered
 from eventflow.schemas import (
     ACCOUNT_ACTIVATED_EVENT, ACCOUNT_DEACTIVATED, ACTIVATION_FAILED, DEACTIVATION_REQUESTED,
     MAX_ATTEMPTS, NOTIFICATION_FAILED, NOTIFICATION_SENT, PAYMENT_FAILED, PAYMENT_RECEIVED,
@@ -218,7 +218,8 @@ def request_outcome(df: DataFrame, timeout: str = PAYMENT_TIMEOUT, max_rows: int
         "traceid", "time", "id", "type", _is(*PAYMENT_OUTCOMES).alias("is_outcome")
     )
     outcome = F.when(F.col("is_outcome"), F.struct("time", "id", "type"))
-    found = next_known(both, ["traceid"], ["time", "is_outcome", "id"], outcome, "outcome", max_rows)
+    keys, order = ["traceid"], ["time", "is_outcome", "id"]
+    found = next_known(both, keys, order, outcome, "outcome", block_plan(both, keys, order, max_rows))
     in_time = F.col("outcome.time") <= F.col("time") + F.expr(f"INTERVAL {timeout}")
     hit = F.when(in_time, F.col("outcome"))
     return found.filter("NOT is_outcome").select(

@@ -2,17 +2,18 @@
 
 A price frame of one horizon spans at most two horizon-wide buckets: the end of one and the start
 of the next. Running statistics are kept per (symbol, bucket) and merged, so each row costs a
-constant amount of work however many prices its frame holds, and a symbol with a large share of
-the data is spread over its buckets. Equal (symbol, time, price) rows are collapsed to a count first.
+constant amount of work however many prices its frame holds. A symbol with a large share of the data
+is spread over its buckets, and a bucket above the block limit is cut further (see `ordered`). Equal
+(symbol, time, price) rows are collapsed to a count first.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from eventflow.operators.ordered import next_known
+from eventflow.operators.ordered import block_plan, group_limit, next_known, running_state
 
 MARKET_DROP_PERCENT = 3.0
 MARKET_SPIKE_PERCENT = 5.0
@@ -39,11 +40,14 @@ def price_change(prices: DataFrame, horizon: str = "1 hour", max_rows: int | Non
     one where several share that time). A zero base price gives null."""
     q = quotes(prices)
     span = F.expr(f"INTERVAL {horizon}")
-    probes = q.select("symbol", (F.col("ts") - span).alias("at"), F.lit(0).alias("kind"), "price", "ts", "copies")
-    rows = q.select("symbol", F.col("ts").alias("at"), F.lit(1).alias("kind"), "price", "ts", "copies")
+    # Each quote as itself and, one horizon earlier, as the question which quote comes first.
+    row = F.struct(F.col("ts").alias("at"), F.lit(1).alias("kind"))
+    probe = F.struct((F.col("ts") - span).alias("at"), F.lit(0).alias("kind"))
+    both = q.select("symbol", "price", "ts", "copies", F.inline(F.array(row, probe)))
+    keys, order = ["symbol"], ["at", "kind", "price", "ts"]
     found = next_known(
-        probes.unionByName(rows), ["symbol"], ["at", "kind", "price", "ts"],
-        F.when(F.col("kind") == 1, F.col("price")), "base_price", max_rows,
+        both, keys, order, F.when(F.col("kind") == 1, F.col("price")), "base_price",
+        block_plan(both, keys, order, max_rows),
     )
     change = F.try_divide(F.col("price") - F.col("base_price"), F.col("base_price")) * 100.0
     return found.filter("kind = 0").select(
@@ -60,66 +64,77 @@ def price_alerts(
     return changes.withColumn("alert_type", kind).filter("alert_type IS NOT NULL")
 
 
-def _merge_spread(n1, mean1, m1, n2, mean2, m2) -> tuple[Column, Column]:
-    """Count and sum of squared deviations of two samples taken together."""
-    n = n1 + n2
-    return n, m1 + m2 + F.try_divide((mean2 - mean1) * (mean2 - mean1) * n1 * n2, n)
+def _merge_spread(a: Column, b: Column) -> Column:
+    """Count, mean and sum of squared deviations of two samples taken together."""
+    n = a["n"] + b["n"]
+    gap = b["mean"] - a["mean"]
+    return F.struct(
+        n.alias("n"), (a["mean"] + gap * b["n"] / n).alias("mean"),
+        (a["m2"] + b["m2"] + gap * gap * a["n"] * b["n"] / n).alias("m2"),
+    )
 
 
-def volatility(prices: DataFrame, threshold: float | None = None, horizon: str = "1 hour") -> DataFrame:
-    """Sample standard deviation over the trailing horizon, per (symbol, time); null for a single
-    price. With a threshold only the rows above it are kept.
+def _add_spread(name: str):
+    """Running count, mean and squared deviations of the ticks of a window, summed around the first
+    tick of the window and not around zero, which would lose small deviations of large prices."""
 
-    Ticks are grouped by (symbol, horizon-wide bucket): the group is bounded by the distinct times
-    in one horizon. Deviations are summed around the bucket's first tick, not around zero.
-    """
-    width = seconds(horizon) * 1_000_000
-    ticks = prices.groupBy("symbol", F.unix_micros("ts").alias("at")).agg(
-        F.count("price").alias("n"), F.avg("price").alias("mean"),
-        (F.var_pop("price") * F.count("price")).alias("m2"),
-        F.max("price").alias("last_price"),
-    ).withColumn("bucket", F.floor(F.col("at") / F.lit(width)))
-
-    group = Window.partitionBy("symbol", "bucket")
-    upto = group.orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    from_ = group.orderBy(F.col("at").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    centred = ticks.withColumn("c", F.first("mean").over(upto)).withColumns({
-        "d1": F.col("n") * (F.col("mean") - F.col("c")),
-        "d2": F.col("n") * (F.col("mean") - F.col("c")) * (F.col("mean") - F.col("c")) + F.col("m2"),
-    })
-
-    def running(window) -> Column:
-        n, s1, s2 = F.sum("n").over(window), F.sum("d1").over(window), F.sum("d2").over(window)
-        return F.struct(
-            n.alias("n"), (F.col("c") + s1 / n).alias("mean"), (s2 - s1 * s1 / n).alias("m2")
+    def add(ticks: DataFrame, window: WindowSpec) -> DataFrame:
+        off = F.col("mean") - F.col("__c")
+        centred = ticks.withColumn("__c", F.first("mean").over(window)).withColumns({
+            "__d1": F.col("n") * off, "__d2": F.col("n") * off * off + F.col("m2"),
+        })
+        n, s1, s2 = (F.sum(c).over(window) for c in ("n", "__d1", "__d2"))
+        spread = F.struct(
+            n.alias("n"), (F.col("__c") + s1 / n).alias("mean"), (s2 - s1 * s1 / n).alias("m2")
         )
+        return centred.withColumn(name, spread).drop("__c", "__d1", "__d2")
 
-    both = centred.select(
-        "symbol", "bucket", "at", "last_price", running(upto).alias("head"), running(from_).alias("tail")
-    )
-    # The start of each frame, looked up in the bucket before: the first tick at or after it.
-    starts = both.select(
-        "symbol", (F.col("bucket") - 1).alias("bucket"), (F.col("at") - width).alias("pos"), "at",
-        F.lit(0).alias("kind"), "last_price", "head", F.lit(None).cast(both.schema["tail"].dataType).alias("tail"),
-    )
-    ends = both.select(
-        "symbol", "bucket", F.col("at").alias("pos"), "at", F.lit(1).alias("kind"), "last_price", "head", "tail"
+    return add
+
+
+def volatility(
+    prices: DataFrame, threshold: float | None = None, horizon: str = "1 hour", max_rows: int | None = None
+) -> DataFrame:
+    """Sample standard deviation over the trailing horizon, per (symbol, time); null for a single
+    price. With a threshold only the rows above it are kept."""
+    width = seconds(horizon) * 1_000_000
+    keys, order = ["symbol", "bucket"], ["at"]
+    ticks = (
+        prices.filter(F.col("price").isNotNull())
+        .groupBy("symbol", F.unix_micros("ts").alias("at"))
+        .agg(
+            F.count("price").alias("n"), F.avg("price").alias("mean"),
+            (F.var_pop("price") * F.count("price")).alias("m2"), F.max("price").alias("last_price"),
+        )
+        .withColumn("bucket", F.floor(F.col("at") / F.lit(width)))
     )
-    lookup = Window.partitionBy("symbol", "bucket").orderBy(F.col("pos").desc(), F.col("kind").desc()).rowsBetween(
-        Window.unboundedPreceding, 0
+    # A group of the lookup below holds the ticks of two buckets, hence half the limit here: without
+    # a group above it there is none to cut there either.
+    plan = block_plan(ticks, keys, order, group_limit(ticks, max_rows) // 2)
+    head = running_state(ticks, keys, order, "head", _add_spread("head"), _merge_spread, plan)
+    both = running_state(head, keys, order, "tail", _add_spread("tail"), _merge_spread, plan, reverse=True)
+
+    # Each tick as itself and, one horizon earlier in the bucket before, as the question which tick
+    # its frame starts with.
+    tick = F.struct("bucket", F.col("at").alias("pos"), F.lit(1).alias("kind"))
+    start = F.struct(
+        (F.col("bucket") - 1).alias("bucket"), (F.col("at") - width).alias("pos"), F.lit(0).alias("kind")
     )
-    framed = starts.unionByName(ends).withColumn("before", F.last("tail", ignorenulls=True).over(lookup)).filter(
-        "kind = 0"
+    asked = both.select(
+        "symbol", "at", "last_price", "head", "tail", F.inline(F.array(tick, start))
     )
-    zero = lambda name: F.coalesce(F.col(f"before.{name}"), F.lit(0))
-    n, m2 = _merge_spread(
-        zero("n"), F.coalesce(F.col("before.mean"), F.col("head.mean")), zero("m2"),
-        F.col("head.n"), F.col("head.mean"), F.col("head.m2"),
+    pairs = None if plan is None else block_plan(asked, keys, ["pos", "kind"], max_rows)
+    framed = next_known(
+        asked, keys, ["pos", "kind"], F.when(F.col("kind") == 1, F.col("tail")), "before", pairs
+    ).filter("kind = 0")
+    whole = F.when(F.col("before").isNull(), F.col("head")).otherwise(
+        _merge_spread(F.col("before"), F.col("head"))
     )
-    spread = F.when(n > 1, F.sqrt(F.greatest(m2, F.lit(0.0)) / (n - 1)))
-    out = framed.select(
+    spread = framed.withColumn("__f", whole)
+    n, m2 = F.col("__f.n"), F.greatest(F.col("__f.m2"), F.lit(0.0))
+    out = spread.select(
         "symbol", F.timestamp_micros("at").alias("ts"), F.col("last_price").alias("price"),
-        n.alias("prices"), spread.alias("volatility"),
+        n.alias("prices"), F.when(n > 1, F.sqrt(m2 / (n - 1))).alias("volatility"),
     )
     return out if threshold is None else out.filter(F.col("volatility") > threshold)
 
@@ -141,19 +156,18 @@ def describe_price_alert(alerts: DataFrame, horizon: str = "1 hour") -> DataFram
 def topic_counts(posts: DataFrame, width: str = "5 minutes", slide: str = "1 minute") -> DataFrame:
     """Posts per topic over a sliding window. Also runs on a stream (watermark `ts` first).
 
-    Posts are counted per slide-wide slot before they are spread over the windows of a batch; a
-    stream keeps the single aggregation.
+    Where the windows are whole numbers of slides, a batch first counts per slide-wide slot, so that
+    slots and not posts are spread over the windows. A stream keeps the single aggregation.
     """
-    if posts.isStreaming:
-        return _window_bounds(
-            posts.groupBy("topic", F.window("ts", width, slide)).agg(F.count(F.lit(1)).alias("posts"))
-        )
+    per_window = lambda df, time, posts: _window_bounds(
+        df.groupBy("topic", F.window(time, width, slide)).agg(posts.alias("posts"))
+    )
+    if posts.isStreaming or seconds(width) % seconds(slide):
+        return per_window(posts, "ts", F.count(F.lit(1)))
     slots = posts.groupBy("topic", F.window("ts", slide).start.alias("slot")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    return _window_bounds(
-        slots.groupBy("topic", F.window("slot", width, slide)).agg(F.sum("n").alias("posts"))
-    )
+    return per_window(slots, "slot", F.sum("n"))
 
 
 def _window_bounds(df: DataFrame) -> DataFrame:

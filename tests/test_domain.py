@@ -104,9 +104,9 @@ def test_render(rows, template, json, text):
 def test_every_template_renders(rows):
     everything = ('{"name":"n","email":"e","tier":"t","symbol":"s","alertType":"a","changePercent":1.5,"description":"d",'
                   '"topic":"t","postCount":1,"sentiment":"s"}')
-    for template in TEMPLATES:
-        text = render(rows, template, everything)
-        assert text and "{" not in text and text.endswith("| Trace: t1")
+    df = rows([(t, "t1", everything) for t in TEMPLATES], "template STRING, traceid STRING, j STRING")
+    for r in domain.render_notification(df.withColumn("data", document(F.col("j")))).collect():
+        assert r.text and "{" not in r.text and r.text.endswith("| Trace: t1")
 
 
 def test_chat(rows):

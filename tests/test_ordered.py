@@ -65,7 +65,8 @@ def test_previous(skewed, window):
 
 
 def test_next_known(skewed, window):
-    same(ordered.next_known(skewed, KEYS, ORDER, F.col("v"), "nv", 300),
+    plan = ordered.block_plan(skewed, KEYS, ORDER, 300)
+    same(ordered.next_known(skewed, KEYS, ORDER, F.col("v"), "nv", plan),
          skewed.withColumn("nv", F.first("v", True).over(window.rowsBetween(0, Window.unboundedFollowing))))
 
 

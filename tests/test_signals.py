@@ -39,9 +39,10 @@ def test_price_change(rows, max_rows):
         assert r.change_percent == (pytest.approx((r.price - base) / base * 100) if base else None)
 
 
-def test_volatility(rows):
+@pytest.mark.parametrize("max_rows", [None, 2])
+def test_volatility(rows, max_rows):
     data, df = prices(rows, 400, 2)
-    out = signals.volatility(df).collect()
+    out = signals.volatility(df, max_rows=max_rows).collect()
     assert {(r.symbol, r.ts) for r in out} == {(s, t) for s, t, _ in data}
     for r in out:
         sample = [p for _, p in frame(data, r.symbol, r.ts)]
@@ -106,5 +107,8 @@ def test_windows_and_spikes(rows):
     counts = signals.topic_counts(df)
     assert counts.agg(F.sum("posts")).first()[0] == 5 * 5
     assert signals.trending(counts, 1).filter("posts <= 1").isEmpty()
+    uneven = {(r.window_start.minute, r.posts) for r in signals.topic_counts(df, "5 minutes", "2 minutes").collect()
+              if r.window_start >= T0}
+    assert uneven == {(0, 2), (2, 1), (4, 2), (6, 2), (8, 1), (10, 1), (12, 1)} - {(2, 1)} | {(2, 1)}
     spikes = signals.sentiment_spike(df).orderBy("window_start").collect()
     assert [(r.previous_mean, r.mean_score) for r in spikes] == [(1.0, -0.5), (-0.5, -1.0)]
