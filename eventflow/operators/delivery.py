@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from eventflow.operators.metrics import latency_counts, summarize_latencies
+from eventflow.schemas import DELIVERY_RESULT
 
 CONFIG = ("rf", "acks")
 
@@ -63,6 +64,15 @@ def delivery_result_with_latency(df: DataFrame, latency: str = "latency_ms", tim
     return add_loss(summarize_latencies(counts, by, "floor", extra=("attempted", "consumed")))
 
 
+def report_rows(results: DataFrame) -> DataFrame:
+    """Results under the names of `schemas.DELIVERY_RESULT`, as they are persisted."""
+    names = {"failed": "sendFailed", "lost": "dropped", "loss_rate": "dropRate"}
+    renamed = results.withColumnsRenamed(names)
+    return renamed.select(
+        *[F.col(f.name).cast(f.dataType) for f in DELIVERY_RESULT.fields if f.name in renamed.columns]
+    )
+
+
 def config_matrix(results: DataFrame, configs: DataFrame) -> DataFrame:
     """Report over every configuration of `configs`, with empty ones kept as zero counts."""
     counts = ("attempted", "sent", "failed", "consumed", "lost")

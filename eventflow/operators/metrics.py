@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from eventflow.operators.joins import lookup
 from eventflow.operators.ordered import BlockPlan, block_plan, running_sum
 
 PERCENTILES = (50, 95, 99)
@@ -140,7 +141,7 @@ def latency_since_start(
     ticks = df.groupBy(*by, _ms(F.col(time)).alias("__ms")).agg(
         F.count_if("ok").alias("__ok"), F.count_if(~F.col("ok")).alias("__failed")
     )
-    timed = ticks.join(_starts(df, by, time), list(by)).withColumns({
+    timed = lookup(ticks, _starts(df, by, time), by, F.col("__ms")).withColumns({
         "__x": F.col("__ms") - F.col("__start"), "__first": F.col("__ms"), "__last": F.col("__ms"),
     })
     return summarize_latencies(timed, by, plan=block_plan(timed, by, ["__x"], max_rows))
@@ -157,7 +158,7 @@ def per_second_counts(
     )
     bucket = F.floor((F.col("__ms") - F.col("__start")) / F.lit(width_ms))
     return (
-        ticks.join(_starts(df, by, time), list(by))
+        lookup(ticks, _starts(df, by, time), by, F.col("__ms"))
         .groupBy(*by, bucket.alias("bucket"))
         .agg(F.sum("__n").alias("acks"))
     )
@@ -183,9 +184,10 @@ def progress_samples(df: DataFrame, by: Sequence[str], time: str, width: str = "
 
 
 def progress_marks(
-    df: DataFrame, by: Sequence[str], time: str, every: int = 1000, max_rows: int | None = None
+    df: DataFrame, by: Sequence[str], time: str, every: int = 1000, first: bool = True,
+    max_rows: int | None = None,
 ) -> DataFrame:
-    """Time at which record 1 and every `every`-th record of a label was processed.
+    """Time at which every `every`-th record of a label (and record 1 if `first`) was processed.
 
     Marks are read off the running totals per timestamp, so no record is numbered one by one.
     """
@@ -193,12 +195,12 @@ def progress_marks(
     plan = block_plan(counts, by, ["at"], max_rows)
     totals = running_sum(counts, by, ["at"], {"__total": F.col("__n")}, plan)
     before = F.col("__total") - F.col("__n")
-    first = (F.floor(before / every) + 1) * every
-    last = F.floor(F.col("__total") / every) * every
-    marks = F.when(first <= last, F.sequence(first, last, F.lit(every).cast("bigint"))).otherwise(
+    low = (F.floor(before / every) + 1) * every
+    high = F.floor(F.col("__total") / every) * every
+    marks = F.when(low <= high, F.sequence(low, high, F.lit(every).cast("bigint"))).otherwise(
         F.array().cast("array<bigint>")
     )
-    if every > 1:
+    if first and every > 1:
         marks = F.when(before == 0, F.array_append(marks, F.lit(1).cast("bigint"))).otherwise(marks)
     return totals.select(*by, "at", F.explode(marks).alias("record"))
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from eventflow.operators.joins import lookup
 from eventflow.operators.ordered import block_plan, next_known
 from eventflow.sources.checkpoints import ensure_checkpoint_dir
 
@@ -29,14 +30,19 @@ def rate_limit(
     if largest is None or largest <= fold_limit:
         passed = _fold(times, key, width)
     else:
-        size = sizes.select(F.col(key).alias("__k"), "n")
-        sized = times.join(size, times[key].eqNullSafe(size["__k"])).drop("__k")
+        sized = lookup(times, sizes, [key], F.col("t"))
         small = sized.filter(F.col("n") <= fold_limit).drop("n")
         large = sized.filter(F.col("n") > fold_limit).drop("n")
         passed = _fold(small, key, width).unionByName(_double(large, key, width))
     return passed.select(key, F.timestamp_micros("t").alias(time))
 
 
+def rate_limit_tumbling(alerts: DataFrame, key: str, time: str, interval: str) -> DataFrame:
+    """Cheaper variant: the first alert of each fixed interval. Two may be closer than the interval."""
+    first = alerts.groupBy(key, F.window(time, interval)).agg(F.min(time).alias(time))
+    return first.select(key, time)
+
+
 def _fold(times: DataFrame, key: str, width: int) -> DataFrame:
     """Greedy pass over one sorted array per key; the arrays are bounded by the fold limit."""
     empty = F.array().cast("array<bigint>")
@@ -64,8 +70,8 @@ def _double(times: DataFrame, key: str, width: int) -> DataFrame:
         both, keys, order, F.when(F.col("kind") == 1, F.col("at")), "jump", block_plan(both, keys, order)
     ).filter("kind = 0")
 
-    first = base.groupBy(F.col(key).alias("__k")).agg(F.min("t").alias("__first"))
-    offsets = linked.join(first, linked[key].eqNullSafe(first["__k"])).select(
+    first = base.groupBy(key).agg(F.min("t").alias("__first"))
+    offsets = lookup(linked, first, [key], F.col("src")).select(
         key, "__first", (F.col("src") - F.col("__first")).alias("off"),
         (F.col("jump") - F.col("__first")).alias("jump"),
     )

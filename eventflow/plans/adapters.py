@@ -99,7 +99,7 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cluster_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev(spark, sf_dir).selectExpr(
-        "'t' AS topic", "CAST(user_id % 3 AS INT) AS part", "event_id AS obs_id", "ts AS observed_at",
+        "'t' AS topic", "CAST(user_id % 3 AS INT) AS partition", "event_id AS obs_id", "ts AS observed_at",
         "CASE WHEN k % 10 = 0 THEN NULL ELSE CAST(k % 3 AS INT) END AS leader",
         "CASE k % 4 WHEN 0 THEN '' WHEN 1 THEN '1' WHEN 2 THEN '1,2' ELSE '2,1' END AS isr_text",
     ).withColumn(

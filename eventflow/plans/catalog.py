@@ -560,38 +560,43 @@ def event_type_counts(spark, sf):
 
 # --- cluster metadata -----------------------------------------------------------------------
 
+_OBSERVED = ("observed_at", "obs_id")
+
+
 @query
 def leader_changes(spark, sf):
-    return cluster.leader_changes(views.cluster_obs(spark, sf)).select(
-        "topic", "part", "obs_id", _us("observed_at"), "old_leader", "new_leader"
+    return cluster.leader_changes(views.cluster_obs(spark, sf), order=_OBSERVED).select(
+        "topic", "partition", "obs_id", _us("observed_at"), "old_leader", "new_leader"
     )
 
 
 @query
 def isr_changes(spark, sf):
-    return cluster.isr_changes(views.cluster_obs(spark, sf)).select(
-        "topic", "part", "obs_id", "old_isr", "new_isr"
+    return cluster.isr_changes(views.cluster_obs(spark, sf), order=_OBSERVED).select(
+        "topic", "partition", "obs_id", "old_isr", "new_isr"
     )
 
 
 @query
 def isr_set_changes(spark, sf):
-    return cluster.isr_changes(views.cluster_obs(spark, sf), as_set=True).select(
-        "topic", "part", "obs_id", "old_isr", "new_isr"
+    return cluster.isr_changes(views.cluster_obs(spark, sf), as_set=True, order=_OBSERVED).select(
+        "topic", "partition", "obs_id", "old_isr", "new_isr"
     )
 
 
 @query
 def failover_time(spark, sf):
-    return cluster.failover_time(cluster.leader_changes(views.cluster_obs(spark, sf))).select(
-        "topic", "part", "obs_id", "gap_ms"
+    return cluster.failover_time(
+        cluster.leader_changes(views.cluster_obs(spark, sf), order=_OBSERVED), order=_OBSERVED
+    ).select(
+        "topic", "partition", "obs_id", "gap_ms"
     )
 
 
 @query
 def cluster_state(spark, sf):
-    return cluster.cluster_state(views.cluster_obs(spark, sf)).select(
-        "topic", "part", _us("observed_at"), "leader", "isr"
+    return cluster.cluster_state(views.cluster_obs(spark, sf), order=_OBSERVED).select(
+        "topic", "partition", _us("observed_at"), "leader", "isr"
     )
 
 

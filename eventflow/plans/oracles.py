@@ -56,7 +56,7 @@ _VIEWS = {
         k * 1048576 + user_id AS heap_used, CAST(536870912 AS BIGINT) AS heap_max
       FROM ev""",
     "cluster_obs": """
-      SELECT 't' AS topic, CAST(user_id % 3 AS INT) AS part, event_id AS obs_id, ts AS observed_at,
+      SELECT 't' AS topic, CAST(user_id % 3 AS INT) AS "partition", event_id AS obs_id, ts AS observed_at,
         CASE WHEN k % 10 = 0 THEN NULL ELSE CAST(k % 3 AS INT) END AS leader,
         CASE k % 4 WHEN 0 THEN '' WHEN 1 THEN '1' WHEN 2 THEN '1,2' ELSE '2,1' END AS isr_text
       FROM ev""",
@@ -110,9 +110,9 @@ _VIEWS = {
           count_if(NOT acked) AS failed, count_if(consumed) AS consumed
           FROM deliveries GROUP BY rf, acks, phase))""",
     "seen": """
-      SELECT topic, part, obs_id, observed_at, coalesce(leader, -1) AS new_leader,
+      SELECT topic, "partition", obs_id, observed_at, coalesce(leader, -1) AS new_leader,
         lag(coalesce(leader, -1)) OVER w AS old_leader, isr_text AS new_isr, lag(isr_text) OVER w AS old_isr
-      FROM cluster_obs WINDOW w AS (PARTITION BY topic, part ORDER BY observed_at, obs_id)""",
+      FROM cluster_obs WINDOW w AS (PARTITION BY topic, "partition" ORDER BY observed_at, obs_id)""",
     "changes": """
       SELECT symbol, ts, price, count(*) AS copies, min(base_price) AS base_price,
         CASE WHEN min(base_price) <> 0
@@ -498,18 +498,18 @@ ORACLES: dict[str, str] = {
         GROUP BY label, slot WINDOW w AS (PARTITION BY label ORDER BY slot))"""),
     "event_type_counts": _sql("bus", """SELECT type, CAST(CAST(time AS DATE) AS VARCHAR) AS day, count(*) AS events
       FROM bus GROUP BY ALL"""),
-    "leader_changes": _sql("seen", """SELECT topic, part, obs_id, epoch_us(observed_at) AS observed_at_us, old_leader, new_leader
+    "leader_changes": _sql("seen", """SELECT topic, "partition", obs_id, epoch_us(observed_at) AS observed_at_us, old_leader, new_leader
       FROM seen WHERE old_leader <> new_leader"""),
-    "isr_changes": _sql("seen", "SELECT topic, part, obs_id, old_isr, new_isr FROM seen WHERE old_isr <> new_isr"),
-    "isr_set_changes": _sql("seen", """SELECT topic, part, obs_id, replace(old_isr, '2,1', '1,2') AS old_isr,
+    "isr_changes": _sql("seen", "SELECT topic, "partition", obs_id, old_isr, new_isr FROM seen WHERE old_isr <> new_isr"),
+    "isr_set_changes": _sql("seen", """SELECT topic, "partition", obs_id, replace(old_isr, '2,1', '1,2') AS old_isr,
         replace(new_isr, '2,1', '1,2') AS new_isr FROM seen
       WHERE replace(old_isr, '2,1', '1,2') <> replace(new_isr, '2,1', '1,2')"""),
-    "failover_time": _sql("seen", """SELECT topic, part, obs_id, epoch_us(observed_at) // 1000
-        - lag(epoch_us(observed_at) // 1000) OVER (PARTITION BY topic, part ORDER BY observed_at, obs_id) AS gap_ms
+    "failover_time": _sql("seen", """SELECT topic, "partition", obs_id, epoch_us(observed_at) // 1000
+        - lag(epoch_us(observed_at) // 1000) OVER (PARTITION BY topic, "partition" ORDER BY observed_at, obs_id) AS gap_ms
       FROM seen WHERE old_leader <> new_leader"""),
-    "cluster_state": _sql("cluster_obs", """SELECT topic, part, epoch_us(observed_at) AS observed_at_us,
+    "cluster_state": _sql("cluster_obs", """SELECT topic, "partition", epoch_us(observed_at) AS observed_at_us,
         coalesce(CAST(leader AS VARCHAR), 'NONE') AS leader, isr_text AS isr
-      FROM cluster_obs QUALIFY row_number() OVER (PARTITION BY topic, part ORDER BY observed_at DESC, obs_id DESC) = 1"""),
+      FROM cluster_obs QUALIFY row_number() OVER (PARTITION BY topic, "partition" ORDER BY observed_at DESC, obs_id DESC) = 1"""),
     "price_change": _sql("changes", """SELECT symbol, epoch_us(ts) AS ts_us, price, copies, base_price, change_percent
       FROM changes"""),
     "price_alerts": _sql("changes", """SELECT symbol, epoch_us(ts) AS ts_us,

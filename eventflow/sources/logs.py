@@ -34,18 +34,20 @@ def read_log(
     """
     reader = spark.readStream if streaming else spark.read
     if format == KAFKA:
-        begin = start if streaming or start != "latest" else None
-        reader = reader.format(KAFKA).option("subscribe", location).option("includeHeaders", "true")
-        if begin:
-            reader = reader.option("startingOffsets", begin)
-        return reader.options(**options).load().withColumns(
+        options = {"subscribe": location, "includeHeaders": "true", **options}
+        if streaming:
+            options.setdefault("startingOffsets", start)
+        records = reader.format(KAFKA).options(**options).load().withColumns(
             {"key": F.col("key").cast("string"), "value": F.col("value").cast("string")}
         )
-    records = reader.format(format).schema(schema).options(**options).load(location)
-    if start == "latest":
-        attached = spark.sql("SELECT current_timestamp()").first()[0]
-        return after_cutoff(records, F.lit(attached), "timestamp")
-    return records
+        if streaming or start != "latest":
+            return records
+    else:
+        records = reader.format(format).schema(schema).options(**options).load(location)
+        if start != "latest":
+            return records
+    attached = spark.sql("SELECT current_timestamp()").first()[0]
+    return after_cutoff(records, F.lit(attached), "timestamp")
 
 
 def after_cutoff(df: DataFrame, cutoff: Column, time: str = "time") -> DataFrame:

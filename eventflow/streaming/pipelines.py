@@ -6,13 +6,16 @@ per-trace states carry no watermark of their own and take late rows into account
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from time import sleep
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventflow.operators.domain import payment_event_legacy
+from eventflow.operators.domain import dead_letter_event, payment_event_legacy
 from eventflow.operators.routing import signup_only
 from eventflow.operators.saga import PAYMENT_OUTCOMES, signup_flags, signup_state_of_flags
 from eventflow.operators.signals import seconds
-from eventflow.schemas import REQUEST_TYPES
+from eventflow.schemas import MAX_ATTEMPTS, REQUEST_TYPES
 from eventflow.sources.checkpoints import run_dir
 from eventflow.sources.logs import to_records
 from eventflow.streaming.processors import GreedyLimit, Timeouts
@@ -94,6 +97,32 @@ def choreography(requests: DataFrame, decisions: DataFrame, source: str = "event
     return to_records(payment_event_legacy(answered, source))
 
 
+def start_sink(
+    start: Callable[[DataFrame], None], dead_location: str, format: str = "json",
+    max_attempts: int = MAX_ATTEMPTS, pause_seconds: float = 0.5, source: str = "eventflow",
+) -> Callable[[DataFrame, int], None]:
+    """foreachBatch handler that hands each micro-batch of requests to `start`, with a bounded number
+    of tries, and dead-letters the batch when all of them failed.
+
+    Rows need id, type, traceid, time and the original text in `value`. The dead letters of a batch
+    replace its folder, so a replayed batch adds none twice.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        reason = ""
+        for attempt in range(max_attempts):
+            if attempt:
+                sleep(pause_seconds)
+            try:
+                return start(batch)
+            except Exception as error:  # noqa: BLE001 - any failure counts as a failed start
+                reason = str(error)
+        failed = dead_letter_event(batch.withColumn("reason", F.lit(reason)), source)
+        to_records(failed).write.format(format).mode("overwrite").save(f"{dead_location}/batch={batch_id}")
+
+    return handle
+
+
 # --- running a bounded stream to its end ------------------------------------------------------
 
 def run_append(df: DataFrame, name: str) -> DataFrame:

@@ -70,7 +70,7 @@ def test_progress(rows):
     samples = metrics.progress_samples(df, ["label"], "at_ts").filter("label = 'a'").orderBy("sampled_at").collect()
     assert [(r.processed, r.total) for r in samples] == [(35, 35), (15, 50)]
     for max_rows in (None, 2):
-        marks = metrics.progress_marks(df, ["label"], "at_ts", 10, max_rows).collect()
+        marks = metrics.progress_marks(df, ["label"], "at_ts", 10, max_rows=max_rows).collect()
         expected = {("a", n, T0 + timedelta(seconds=(n - 1) // 7)) for n in (1, 10, 20, 30, 40, 50)} | {("b", 1, T0)}
         assert {(r.label, r.record, r["at"]) for r in marks} == expected
 
@@ -113,6 +113,7 @@ def test_conservation_and_phases(rows):
     assert delivery.compare_phases(results.filter("NOT (rf = 1 AND phase = 'BASELINE')")).count() == 2
     matrix = rows([(rf, a, "FAULT") for rf, a in delivery.FAULT_CONFIGS], "rf INT, acks STRING, phase STRING")
     report = {(r.rf, r.acks): r for r in delivery.config_matrix(results, matrix).collect()}
+    assert set(delivery.report_rows(results).columns) >= {"rf", "acks", "sendFailed", "dropped", "dropRate", "verdict"}
     assert len(report) == 4 and not report[(1, "1")].tested and report[(1, "1")].attempted == 0
 
 
@@ -123,7 +124,7 @@ def test_offset_reset(rows):
     assert out == {"earliest": (6, 10, 0), "latest": (6, 4, 6)}
 
 
-OBS = "topic STRING, part INT, obs_id INT, observed_at TIMESTAMP, leader INT, isr ARRAY<INT>, replicas ARRAY<INT>"
+OBS = "topic STRING, partition INT, obs_id INT, observed_at TIMESTAMP, leader INT, isr ARRAY<INT>, replicas ARRAY<INT>"
 
 
 @pytest.mark.parametrize("max_rows", [None, 1])
@@ -131,11 +132,11 @@ def test_cluster(rows, max_rows):
     leaders = [1, 1, 2, None, 2]
     isrs = [[1, 2], [1, 2], [2, 1], [], [1]]
     df = rows([("t", 0, i, T0 + timedelta(seconds=i), leader, isr, [1, 2, 3]) for i, (leader, isr) in enumerate(zip(leaders, isrs))], OBS)
-    changes = cluster.leader_changes(df, max_rows)
-    assert [(r.old_leader, r.new_leader) for r in changes.orderBy("obs_id").collect()] == [(1, 2), (2, -1), (-1, 2)]
-    gaps = cluster.failover_time(changes, max_rows).orderBy("obs_id").collect()
+    changes = cluster.leader_changes(df, max_rows=max_rows)
+    assert [(r.old_leader, r.new_leader) for r in changes.orderBy("observed_at").collect()] == [(1, 2), (2, -1), (-1, 2)]
+    gaps = cluster.failover_time(changes, max_rows=max_rows).orderBy("observed_at").collect()
     assert [r.gap_ms for r in gaps] == [None, 1000, 1000]
-    ordered = cluster.isr_changes(df, max_rows=max_rows).orderBy("obs_id").collect()
+    ordered = cluster.isr_changes(df, max_rows=max_rows).orderBy("observed_at").collect()
     assert [(r.old_isr, r.new_isr) for r in ordered] == [("1,2", "2,1"), ("2,1", ""), ("", "1")]
     assert cluster.isr_changes(df, as_set=True, max_rows=max_rows).count() == 2
     state = cluster.cluster_state(df.filter("obs_id < 4")).first()

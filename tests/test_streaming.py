@@ -7,9 +7,11 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from eventflow.operators import saga, signals
+from eventflow.functions.scalar import field
+from eventflow.operators import envelope, routing, saga, signals
 from eventflow.operators.rate_limit import rate_limit
 from eventflow.plans import adapters as views
+from eventflow.schemas import LOG_RECORD
 from eventflow.streaming import pipelines
 
 SF = "/root/testdata/sf0.001"
@@ -79,3 +81,26 @@ def test_rate_limit(split_bus):
     assert out.count() > 50 and out.exceptAll(batch).isEmpty()
     settled = datetime(2024, 1, 19)
     assert batch.filter(F.col("time") < settled).exceptAll(out).isEmpty()
+
+
+def test_start_or_dead_letter(spark, split_bus, tmp_path):
+    bus, stream = split_bus
+    requests = routing.ingress_filter(stream.withColumn("value", F.col("id")))
+    tries = []
+
+    def start(batch):
+        """Fails for good on odd batches, once on the others."""
+        tries.append(1)
+        if len(tries) % 2 or (len(tries) // 2) % 2 == 0:
+            raise RuntimeError("engine down" if len(tries) % 3 else " ")
+        batch.select("id").write.mode("append").parquet(str(tmp_path / "started"))
+
+    sink = pipelines.start_sink(start, str(tmp_path / "dead"), pause_seconds=0)
+    query = requests.writeStream.trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "cp")).foreachBatch(sink).start()
+    query.awaitTermination()
+    started = spark.read.parquet(str(tmp_path / "started")) if (tmp_path / "started").exists() else None
+    dead = envelope.parse_envelope(envelope.event_type(spark.read.schema(LOG_RECORD).json(str(tmp_path / "dead"))))
+    assert {r.type for r in dead.select("type").distinct().collect()} == {"ProcessStartFailedEvent"}
+    lost = dead.select(field(F.col("data"), "originalMessage").alias("id"))
+    assert started is not None and lost.intersect(started).isEmpty()
+    same(lost.unionByName(started), routing.ingress_filter(bus).select("id"))
