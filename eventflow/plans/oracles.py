@@ -500,7 +500,8 @@ ORACLES: dict[str, str] = {
       FROM bus GROUP BY ALL"""),
     "leader_changes": _sql("seen", """SELECT topic, "partition", obs_id, epoch_us(observed_at) AS observed_at_us, old_leader, new_leader
       FROM seen WHERE old_leader <> new_leader"""),
-    "isr_changes": _sql("seen", "SELECT topic, "partition", obs_id, old_isr, new_isr FROM seen WHERE old_isr <> new_isr"),
+    "isr_changes": _sql("seen", """SELECT topic, "partition", obs_id, old_isr, new_isr FROM seen
+      WHERE old_isr <> new_isr"""),
     "isr_set_changes": _sql("seen", """SELECT topic, "partition", obs_id, replace(old_isr, '2,1', '1,2') AS old_isr,
         replace(new_isr, '2,1', '1,2') AS new_isr FROM seen
       WHERE replace(old_isr, '2,1', '1,2') <> replace(new_isr, '2,1', '1,2')"""),

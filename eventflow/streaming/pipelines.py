@@ -51,14 +51,21 @@ def signup_state_sessions(df: DataFrame, idle: str, delay: str = "1 hour") -> Da
     )
 
 
-def payment_timeouts(df: DataFrame, timeout: str = "5 minutes", delay: str = "1 minute") -> DataFrame:
+def payment_timeouts(
+    df: DataFrame, timeout: str = "5 minutes", delay: str = "1 minute", buckets: int = 64
+) -> DataFrame:
     """First payment outcome per request within `timeout`, else TIMEOUT; one row per request, once the
-    watermark has passed its deadline. Equals `saga.request_outcome` on what was not late."""
+    watermark has passed its deadline. Equals `saga.request_outcome` on what was not late.
+
+    Traces share state in `buckets` hash buckets; raise the number with the volume within
+    `timeout` + `delay`, which is what one bucket holds its part of.
+    """
     use_rocksdb(df.sparkSession)
     wanted = df.filter(F.col("type").isin(*REQUEST_TYPES, *PAYMENT_OUTCOMES)).withWatermark("time", delay)
+    bucket = F.pmod(F.xxhash64("traceid"), F.lit(buckets)).cast("int")
     return (
-        wanted.select("traceid", "id", "type", F.unix_micros("time").alias("us"), "time")
-        .groupBy("traceid")
+        wanted.select(bucket.alias("bucket"), "traceid", "id", "type", F.unix_micros("time").alias("us"), "time")
+        .groupBy("bucket")
         .transformWithStateInPandas(
             statefulProcessor=Timeouts(seconds(timeout) * 1000, PAYMENT_OUTCOMES),
             outputStructType="traceid STRING, id STRING, type STRING, outcome STRING, outcome_id STRING",

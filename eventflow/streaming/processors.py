@@ -2,14 +2,14 @@
 
 The module imports nothing of this package and is shipped by value, so the workers need no copy.
 
-Timers lie on a grid of an eighth of the interval in question: few timers per key, at the price of
-answers that come up to one grid step after the watermark would allow them.
+A key has one timer at a time, for its earliest waiting row; when it fires, everything the watermark
+has passed is resolved and the next timer is set. Times are rounded up to a grid of an eighth of the
+interval in question, so answers come up to one grid step after the watermark would allow them.
 """
 
 from __future__ import annotations
 
 import sys
-from bisect import bisect_left
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -23,50 +23,80 @@ def grid_after(ms: int, step: int) -> int:
     return (ms // step + 1) * step
 
 
+class Alarm:
+    """The one timer of a key."""
+
+    def __init__(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.at = handle.getValueState("alarm", "ms LONG")
+
+    def not_later_than(self, ms: int) -> None:
+        if self.at.exists():
+            pending = self.at.get()[0]
+            if pending <= ms:
+                return
+            self.handle.deleteTimer(pending)
+        self.set(ms)
+
+    def set(self, ms: int | None) -> None:
+        """Set the next one, after the last has fired; None for no more."""
+        if ms is None:
+            self.at.clear()
+        else:
+            self.handle.registerTimer(ms)
+            self.at.update((ms,))
+
+
 class Timeouts(StatefulProcessor):
-    """Open requests and payment outcomes of one trace. A request is resolved once the watermark is
-    past its deadline, when no earlier outcome can still arrive."""
+    """Open requests and payment outcomes of the traces of one bucket. A request is resolved once the
+    watermark is past its deadline, when no earlier outcome can still arrive.
+
+    State is kept per bucket of traces and handled as whole frames, since a call per trace would
+    cost more than the work it does.
+    """
+
+    columns = ["traceid", "id", "type", "us"]
 
     def __init__(self, timeout_ms: int, outcome_types: tuple[str, ...]) -> None:
         self.timeout_ms = timeout_ms
         self.step_ms = max(timeout_ms // 8, 1)
-        self.outcome_types = outcome_types
+        self.outcome_types = list(outcome_types)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.events = handle.getListState("events", "id STRING, type STRING, us LONG")
+        self.alarm = Alarm(handle)
+        self.events = handle.getListState("events", "traceid STRING, id STRING, type STRING, us LONG")
 
-    def _timer(self, us: int) -> int:
+    def _timers(self, us: pd.Series) -> pd.Series:
         return grid_after(us // 1000 + self.timeout_ms, self.step_ms)
 
     def handleInputRows(self, key, rows, timerValues):
-        arrived = [(r.id, r.type, int(r.us)) for frame in rows for r in frame.itertuples(index=False)]
-        self.events.appendList(arrived)
-        for timer in {self._timer(us) for _, type_, us in arrived if type_ not in self.outcome_types}:
-            self.handle.registerTimer(timer)
+        for frame in rows:
+            self.events.appendList(list(frame[self.columns].itertuples(index=False, name=None)))
+            self.alarm.not_later_than(int(self._timers(frame["us"]).min()))
         yield pd.DataFrame()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        # Resolve everything the watermark has passed, so the trace's other timers find nothing left.
         watermark = timerValues.getCurrentWatermarkInMs()
-        wait_us = self.timeout_ms * 1000
-        events = list(self.events.get())
-        requests = [e for e in events if e[1] not in self.outcome_types]
-        due = [r for r in requests if self._timer(r[2]) < watermark]
-        if not due:
-            return
-        outcomes = sorted((e for e in events if e[1] in self.outcome_types), key=lambda o: (o[2], o[0]))
-        times = [o[2] for o in outcomes]
-        result = []
-        for rid, rtype, us in due:
-            at = bisect_left(times, us)
-            hit = outcomes[at] if at < len(outcomes) and times[at] <= us + wait_us else None
-            result.append((key[0], rid, rtype, hit[1] if hit else "TIMEOUT", hit[0] if hit else None))
-        still_open = [r for r in requests if self._timer(r[2]) >= watermark]
-        # an outcome at or after the watermark may answer a request that has not arrived yet
-        oldest = min([r[2] for r in still_open] + [watermark * 1000])
-        replace(self.events, still_open + [o for o in outcomes if o[2] >= oldest])
-        yield pd.DataFrame(result, columns=["traceid", "id", "type", "outcome", "outcome_id"])
+        events = pd.DataFrame(list(self.events.get()), columns=self.columns).sort_values(["us", "id"])
+        answers = events["type"].isin(self.outcome_types)
+        requests, outcomes = events[~answers], events[answers]
+        open_ = self._timers(requests["us"]) >= watermark
+        # An outcome is kept for the open requests before it, and for those that may yet arrive: they
+        # are not older than the watermark.
+        oldest = requests.loc[open_, "us"].min() if open_.any() else watermark * 1000
+        kept = pd.concat([requests[open_], outcomes[outcomes["us"] >= min(oldest, watermark * 1000)]])
+        replace(self.events, list(kept.itertuples(index=False, name=None)))
+        # outcomes at or after the watermark are due for another look only once it has passed them
+        self.alarm.set(max(int(self._timers(kept["us"]).min()), watermark) if len(kept) else None)
+        due = requests[~open_]
+        if len(due):
+            found = pd.merge_asof(
+                due, outcomes.rename(columns={"type": "outcome", "id": "outcome_id"}), on="us", by="traceid",
+                direction="forward", tolerance=self.timeout_ms * 1000,
+            )
+            found["outcome"] = found["outcome"].fillna("TIMEOUT")
+            found["outcome_id"] = found["outcome_id"].where(found["outcome_id"].notna(), None)
+            yield found[["traceid", "id", "type", "outcome", "outcome_id"]]
 
     def close(self) -> None:
         pass
@@ -80,7 +110,7 @@ class GreedyLimit(StatefulProcessor):
         self.step_ms = max(width_us // 8000, 1)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
+        self.alarm = Alarm(handle)
         self.waiting = handle.getListState("waiting", "us LONG")
         self.last = handle.getValueState("last", "us LONG")
 
@@ -90,25 +120,31 @@ class GreedyLimit(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues):
         arrived = {int(us) for frame in rows for us in frame["us"].unique()}
         self.waiting.appendList([(us,) for us in arrived])
-        for timer in {self._timer(us) for us in arrived}:
-            self.handle.registerTimer(timer)
+        self.alarm.not_later_than(self._timer(min(arrived)))
         yield pd.DataFrame()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         watermark = timerValues.getCurrentWatermarkInMs()
         waiting = sorted({row[0] for row in self.waiting.get()})
         due = [us for us in waiting if self._timer(us) < watermark]
-        if not due:
-            return
         last = self.last.get()[0] if self.last.exists() else None
         passed = []
         for us in due:
             if last is None or us - last >= self.width_us:
                 passed.append(us)
                 last = us
-        self.last.update((last,))
-        replace(self.waiting, [(us,) for us in waiting[len(due):]])
-        yield pd.DataFrame({"key": [key[0]] * len(passed), "us": passed})
+        rest = waiting[len(due):]
+        replace(self.waiting, [(us,) for us in rest])
+        forget = None if last is None else self._timer(last + self.width_us)
+        if not rest and forget is not None and forget < watermark:
+            self.last.clear()  # whatever may still arrive is far enough from it
+            self.alarm.set(None)
+        else:
+            if passed:
+                self.last.update((last,))
+            self.alarm.set(self._timer(rest[0]) if rest else forget)
+        if passed:
+            yield pd.DataFrame({"key": [key[0]] * len(passed), "us": passed})
 
     def close(self) -> None:
         pass
