@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventflow.operators import signals
-from eventflow.operators.rate_limit import rate_limit
+from eventflow.operators.joins import lookup
+from eventflow.operators.rate_limit import rate_limit, rate_limit_tumbling
 
 T0 = datetime(2024, 1, 1)
 
@@ -112,3 +113,19 @@ def test_windows_and_spikes(rows):
     assert uneven == {(0, 2), (2, 1), (4, 2), (6, 2), (8, 1), (10, 1), (12, 1)} - {(2, 1)} | {(2, 1)}
     spikes = signals.sentiment_spike(df).orderBy("window_start").collect()
     assert [(r.previous_mean, r.mean_score) for r in spikes] == [(1.0, -0.5), (-0.5, -1.0)]
+
+
+def test_tumbling_rate_limit(rows):
+    df = rows([("x", T0 + timedelta(minutes=m)) for m in (1, 5, 16, 20, 31, 33)], "topic STRING, ts TIMESTAMP")
+    out = rate_limit_tumbling(df, "topic", "ts", "15 minutes").orderBy("ts").collect()
+    assert [(r.ts - T0).seconds // 60 for r in out] == [1, 16, 31]
+
+
+def test_salted_lookup(spark, rows):
+    many = spark.range(5000).select(F.when(F.col("id") % 3 > 0, "hot").when(F.col("id") % 2 == 0, "cold").alias("k"), "id")
+    facts = rows([("hot", 1), (None, 2), ("unused", 3)], "k STRING, v INT")
+    out = lookup(many, facts, ["k"], F.col("id"))
+    assert {(r.k, r.v): r["count"] for r in out.groupBy("k", "v").count().collect()} == {("hot", 1): 3333, (None, 2): 833}
+    assert out.columns == ["k", "id", "v"]
+    spread = lookup(many, facts, ["k"], F.col("id"), "left")
+    assert spread.count() == 5000
