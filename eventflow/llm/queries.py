@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventflow.llm import bpe_codec
+from eventflow.llm import bpe_codec, token_counts
 from eventflow.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,3 +31,15 @@ def op1_bpe_codec(spark, sf):
         F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op2_token_counts(spark, sf):
+    docs = read(spark, sf, "documents").select("doc_id", "text")
+    counted = token_counts.token_counts(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return counted.select(
+        "doc_id",
+        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+        "n_tokens",
+        token_counts.over_limit("n_tokens", 4096).alias("over_limit"),
+    )
