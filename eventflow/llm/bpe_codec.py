@@ -18,19 +18,10 @@ from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
 from eventflow.llm.common import BoundedCache, append_columns
+from eventflow.llm.text_units import UNSETTLED, spell, unspell
 
 #: Words a Python worker remembers.
 CACHE_WORDS = 150_000
-#: Outside these blocks the class of a character may depend on the version of Unicode.
-SETTLED = "\\x00-\u024f\u0370-\u03ff\u0400-\u052f\u2000-\u2069\u20a0-\u20b5\u3000-\u302f\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5"
-UNSETTLED = regex.compile(f"[^{SETTLED}]")
-
-
-def byte_alphabet() -> dict[int, str]:
-    """The printable character that stands for each byte in byte-level vocabularies."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in plain]
-    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
 class Vocabulary:
@@ -179,8 +170,6 @@ class Codec:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.library = Tokenizer.from_str(definition.decode())
-        self.bytes = byte_alphabet()
-        self.back = {c: b for b, c in self.bytes.items()}
         self.table = [""] * (max([self.vocabulary.size - 1, *self.special.values()]) + 1)
         for text, i in {**model["vocab"], **self.special}.items():
             self.table[i] = text
@@ -192,13 +181,10 @@ class Codec:
             if UNSETTLED.search(text):
                 normal = self.library.normalizer.normalize_str(text)
                 spelled = self.library.pre_tokenizer.pre_tokenize_str(normal)
-                return [bytes(map(self.back.__getitem__, w)).decode() for w, _ in spelled]
+                return [unspell(w) for w, _ in spelled]
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # lower case regardless of context
         return self.pattern.findall(text.lower())
 
-    def _spell(self, word: str) -> str:
-        return "".join(map(self.bytes.__getitem__, word.encode()))
-
     def encode(self, texts: list[str]) -> list[list[int]]:
         cut = [self.cut.split(t) if self.cut and "<|" in t else [t] for t in texts]
         parts = [[p if p in self.special else self.words(p) for p in pieces] for pieces in cut]
@@ -207,7 +193,7 @@ class Codec:
         fresh: dict[str, list[int]] = {}
         if unseen:
             words = list(unseen)
-            spelled = [self._spell(w) for w in words]
+            spelled = [spell(w) for w in words]
             ids = self.vocabulary.encode_words(spelled)
             fresh = {w: ids[s] for w, s in zip(words, spelled)}
         both = {**known, **fresh} if len(known) + len(fresh) > known.limit else None

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventflow.llm import bpe_codec, token_counts
+from eventflow.llm import bpe_codec, packing, token_counts
 from eventflow.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,3 +43,11 @@ def op2_token_counts(spark, sf):
         "n_tokens",
         token_counts.over_limit("n_tokens", 4096).alias("over_limit"),
     )
+
+
+@query
+def op5_packing(spark, sf):
+    pieces = packing.pack(read(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset",
+    )
