@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventflow.llm import bpe_codec, packing, token_counts
+from eventflow.llm import bpe_codec, packing, simhash, token_counts
 from eventflow.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,3 +51,9 @@ def op5_packing(spark, sf):
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset",
     )
+
+
+@query
+def op8_simhash_near_dedup(spark, sf):
+    found = simhash.near_duplicates(read(spark, sf, "documents"), words=4, radius=4)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
