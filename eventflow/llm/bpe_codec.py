@@ -11,8 +11,12 @@ from __future__ import annotations
 import heapq
 import json
 import unicodedata
+from collections.abc import Iterator
+from itertools import chain
 
+import ahocorasick
 import numpy as np
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
@@ -22,6 +26,14 @@ from eventflow.llm.text_units import UNSETTLED, spell, unspell
 
 #: Words a Python worker remembers.
 CACHE_WORDS = 150_000
+#: Words of more symbols are merged one by one.
+SHORT = 64
+#: Rank of a pair that never merges.
+NEVER = np.iinfo(np.int64).max
+#: Moves a symbol out of the alphabet, to mark it as the last of its word.
+LAST = 0x1000
+#: Between words; in no token.
+BREAK = "\uffff"
 
 
 class Vocabulary:
@@ -44,6 +56,13 @@ class Vocabulary:
         order = np.argsort(keys)
         self.pair_keys = keys[order]
         self.pair_ranks = np.array([r for r, _ in self.pair.values()], np.int64)[order]
+        self.made = np.zeros(len(merges), np.int64)
+        for rank, joined in self.pair.values():
+            self.made[rank] = joined
+        self.symbols = np.zeros(self.size, np.int64)
+        for text, i in tokens.items():
+            ends = end and text.endswith(end) and len(text) > len(end)
+            self.symbols[i] = len(text) - len(end) if ends else len(text)
         self._proposals()
 
     def _proposals(self) -> None:
@@ -53,25 +72,23 @@ class Vocabulary:
         whole[made] = self._unbroken(self.left[made], self.right[made], self.rank[made])
         for token in made[np.argsort(self.rank[made])]:
             whole[token] &= whole[self.left[token]] and whole[self.right[token]]
-        self.inner: dict[str, int] = {}
-        self.final: dict[str, int] = {}
+        self.proposals = ahocorasick.Automaton()
         for text, i in self.tokens.items():
             if whole[i]:
-                if self.end and text.endswith(self.end) and len(text) > len(self.end):
-                    self.final[text[: -len(self.end)]] = i
-                else:
-                    self.inner[text] = i
-        if not self.end:
-            self.final = self.inner
-        self.longest = max(map(len, {**self.inner, **self.final}))
+                ends = self.end and text.endswith(self.end) and len(text) > len(self.end)
+                self.proposals.add_word(self._last(text[: -len(self.end)]) if ends else text, i)
+        self.proposals.make_automaton()
+
+    def _last(self, word: str) -> str:
+        """The word with its last symbol marked as such, if the vocabulary tells it apart."""
+        return word[:-1] + chr(ord(word[-1]) + LAST) if self.end else word
 
     def _pair_rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        none = np.iinfo(np.int64).max
         if not len(self.pair_keys):
-            return np.full(len(a), none)
+            return np.full(len(a), NEVER)
         key = a * self.size + b
         at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
-        return np.where(self.pair_keys[at] == key, self.pair_ranks[at], none)
+        return np.where(self.pair_keys[at] == key, self.pair_ranks[at], NEVER)
 
     def _unbroken(self, a: np.ndarray, b: np.ndarray, limit: np.ndarray, skip_first: bool = True) -> np.ndarray:
         """Whether no merge across the border comes before both sides are complete.
@@ -99,23 +116,14 @@ class Vocabulary:
 
     def compatible(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether each pair of tokens stays as it is when its text is encoded."""
-        return self._unbroken(a, b, np.full(len(a), np.iinfo(np.int64).max), skip_first=False)
-
-    def greedy(self, word: str) -> list[int] | None:
-        out, at, n = [], 0, len(word)
-        inner, final, longest = self.inner, self.final, self.longest
-        while at < n:
-            if n - at <= longest and (token := final.get(word[at:])) is not None:
-                out.append(token)
-                return out
-            for stop in range(min(n - 1, at + longest) if self.end else min(n, at + longest), at, -1):
-                if (token := inner.get(word[at:stop])) is not None:
-                    break
-            else:
-                return None
-            out.append(token)
-            at = stop
-        return out
+        return self._unbroken(a, b, np.full(len(a), NEVER), skip_first=False)
+
+    def greedy(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Longest tokens from the left, for all words at once: the tokens, and the word of each."""
+        joined = BREAK.join(map(self._last, words))
+        found = np.array(list(self.proposals.iter_long(joined)), np.int64).reshape(-1, 2)
+        stops = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+        return found[:, 1], np.searchsorted(stops, found[:, 0])
 
     def merge(self, word: str) -> list[int]:
         """Exact BPE: the pair of lowest rank first, of equal ones the leftmost. n log n."""
@@ -140,18 +148,64 @@ class Vocabulary:
                     heapq.heappush(heap, (self.pair[p][0], k, p))
         return [i for i in ids if i >= 0]
 
+    def merge_all(self, words: list[str]) -> list[list[int]]:
+        """Exact BPE of many short words: each round does every word's first pair of lowest rank."""
+        out: list[list[int]] = [[]] * len(words)
+        tokens, end = self.tokens, self.end
+        ids = np.array([tokens[p] for w in words for p in (*w[:-1], w[-1] + end)], np.int64)
+        word = np.repeat(np.arange(len(words)), np.fromiter(map(len, words), np.int64, len(words)))
+        rank = self._ranks(ids, word)
+        while len(ids):
+            first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+            best = np.minimum.reduceat(rank, first)
+            done = best == NEVER
+            if done.any():
+                sizes = np.diff(np.append(first, len(ids)))
+                gone = np.repeat(done, sizes)
+                for w, part in zip(word[first[done]].tolist(), _lists(ids[gone], sizes[done])):
+                    out[w] = part
+                ids, word, rank = ids[~gone], word[~gone], rank[~gone]
+                first, best = first[~done] - np.cumsum(sizes * done)[~done], best[~done]
+                if not len(ids):
+                    break
+            hits = np.flatnonzero(rank == np.repeat(best, np.diff(np.append(first, len(ids)))))
+            at = hits[np.concatenate([[True], word[hits[1:]] != word[hits[:-1]]])]
+            ids[at] = self.made[rank[at]]
+            keep = np.ones(len(ids), bool)
+            keep[at + 1] = False
+            ids, word, rank = ids[keep], word[keep], rank[keep]
+            at = at - np.arange(len(at))
+            for place in (at, at[at > 0] - 1):
+                rank[place] = self._ranks(ids, word, place)
+        return out
+
+    def _ranks(self, ids: np.ndarray, word: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
+        """Rank of the merge of each symbol with the next one of its word."""
+        at = np.arange(len(ids)) if at is None else at
+        after = np.minimum(at + 1, len(ids) - 1)
+        return np.where((word[after] == word[at]) & (after > at), self._pair_rank(ids[at], ids[after]), NEVER)
+
     def encode_words(self, words: list[str]) -> dict[str, list[int]]:
         """Greedy guesses for all words, one test of all their pairs, exact merges for what failed."""
-        guesses = [self.greedy(w) for w in words]
-        sizes = np.array([len(g) if g else 0 for g in guesses], np.int64)
-        flat = np.array([t for g in guesses if g for t in g], np.int64)
-        bad = sizes == 0
-        if len(flat) > 1:
-            owner = np.repeat(np.arange(len(words)), sizes)
-            inside = owner[1:] == owner[:-1]
-            failing = ~self.compatible(flat[:-1][inside], flat[1:][inside])
-            bad[owner[1:][inside][failing]] = True
-        return {w: self.merge(w) if wrong else g for w, g, wrong in zip(words, guesses, bad)}
+        flat, owner = self.greedy(words)
+        bad = np.zeros(len(words), bool)
+        inside = owner[1:] == owner[:-1]
+        failing = ~self.compatible(flat[:-1][inside], flat[1:][inside])
+        bad[owner[1:][inside][failing]] = True
+        sizes = np.bincount(owner, minlength=len(words))
+        covered = np.bincount(owner, weights=self.symbols[flat], minlength=len(words))
+        bad |= covered != np.fromiter(map(len, words), np.int64, len(words))
+        out = dict(zip(words, _lists(flat, sizes)))
+        wrong = [words[i] for i in np.flatnonzero(bad)]
+        short = [w for w in wrong if len(w) <= SHORT]
+        out.update(zip(short, self.merge_all(short)))
+        out.update((w, self.merge(w)) for w in wrong if len(w) > SHORT)
+        return out
+
+
+def _lists(flat: np.ndarray, sizes: np.ndarray) -> Iterator[list[int]]:
+    values, stops = flat.tolist(), np.cumsum(sizes).tolist()
+    return (values[a:b] for a, b in zip([0, *stops], stops))
 
 
 class Codec:
@@ -185,39 +239,43 @@ class Codec:
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # lower case regardless of context
         return self.pattern.findall(text.lower())
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and where each text's ids start and end."""
         cut = [self.cut.split(t) if self.cut and "<|" in t else [t] for t in texts]
         parts = [[p if p in self.special else self.words(p) for p in pieces] for pieces in cut]
-        known = self.cache
-        unseen = {w for pieces in parts for p in pieces if not isinstance(p, str) for w in p if w not in known}
-        fresh: dict[str, list[int]] = {}
-        if unseen:
-            words = list(unseen)
-            spelled = [spell(w) for w in words]
-            ids = self.vocabulary.encode_words(spelled)
-            fresh = {w: ids[s] for w, s in zip(words, spelled)}
-        both = {**known, **fresh} if len(known) + len(fresh) > known.limit else None
-        if both is None:
-            known.update(fresh)
-        lookup = known if both is None else both
-        out = []
+        lookup = self._lookup({w for pieces in parts for p in pieces if not isinstance(p, str) for w in p})
+        ids: list[int] = []
+        stops = [0]
         for pieces in parts:
-            ids: list[int] = []
             for p in pieces:
                 if isinstance(p, str):
                     ids.append(self.special[p])
                 else:
-                    for word_ids in map(lookup.__getitem__, p):
-                        ids += word_ids
-            out.append(ids)
-        if both is not None:
-            known.clear()
-            known.add(fresh)
-        return out
+                    ids.extend(chain.from_iterable(map(lookup.__getitem__, p)))
+            stops.append(len(ids))
+        return np.array(ids, np.int32), np.array(stops, np.int32)
 
-    def decode(self, ids: list[int]) -> str:
+    def _lookup(self, words: set[str]) -> dict[str, list[int]]:
+        """The ids of all these words, from the cache as far as it has them."""
+        known = self.cache
+        unseen = [w for w in words if w not in known]
+        if not unseen:
+            return known
+        spelled = [w if w.isascii() and w.isprintable() else spell(w) for w in unseen]
+        ids = self.vocabulary.encode_words(spelled)
+        fresh = {w: ids[s] for w, s in zip(unseen, spelled)}
+        if len(known) + len(fresh) <= known.limit:
+            known.update(fresh)
+            return known
+        both = {w: known[w] for w in words if w in known} | fresh
+        known.clear()
+        known.add(both)
+        return both
+
+    def decode(self, ids: np.ndarray, stops: np.ndarray) -> list[str]:
         """The tokens' strings joined by blanks, word-end marks included: the file names no decoder."""
-        return " ".join(map(self.table.__getitem__, ids))
+        tokens, stops = list(map(self.table.__getitem__, ids.tolist())), stops.tolist()
+        return [" ".join(tokens[a:b]) for a, b in zip(stops, stops[1:])]
 
 
 def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -231,7 +289,12 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> Da
 
     def start():
         codec = Codec(definition.value)
-        return lambda batch: {ids: codec.encode([t or "" for t in batch.column(text).to_pylist()])}
+
+        def work(batch):
+            values, stops = codec.encode([t or "" for t in batch.column(text).to_pylist()])
+            return {ids: pa.ListArray.from_arrays(stops, values)}
+
+        return work
 
     return append_columns(df, start, f"`{ids}` array<int>")
 
@@ -242,7 +305,13 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
 
     def start():
         codec = Codec(definition.value)
-        return lambda batch: {text: [codec.decode(i or []) for i in batch.column(ids).to_pylist()]}
+
+        def work(batch):
+            lists = batch.column(ids)
+            sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            return {text: codec.decode(lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(sizes)]))}
+
+        return work
 
     return append_columns(df, start, f"`{text}` string")
 
