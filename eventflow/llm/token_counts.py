@@ -50,7 +50,10 @@ def frequent_pre_tokens(df: DataFrame, text: str, size: int = TABLE_SIZE) -> lis
         .where(F.length("pre_token") <= MAX_KEY)
         .groupBy("g").agg(F.expr(f"approx_top_k_accumulate(pre_token, {SKETCH_ITEMS})").alias("sketch"))
     )
-    top = sketches.agg(F.expr(f"approx_top_k_combine(sketch, {SKETCH_ITEMS})").alias("sketch"))
+    # one group, but by a column: a global aggregate would also start on partitions without sketches, and fail
+    top = sketches.groupBy(F.floor(F.col("g") / GROUPS).alias("all")).agg(
+        F.expr(f"approx_top_k_combine(sketch, {SKETCH_ITEMS})").alias("sketch")
+    )
     rows = top.select(F.explode(F.expr(f"approx_top_k_estimate(sketch, {size})")).alias("x")).select("x.item")
     return [r.item for r in rows.collect()]
 
