@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventflow.llm import bpe_codec, packing, simhash, token_counts
-from eventflow.llm.common import read
+from eventflow.llm import bpe_codec, packing, sharding, simhash, token_counts
+from eventflow.llm.common import read, text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -57,3 +57,16 @@ def op5_packing(spark, sf):
 def op8_simhash_near_dedup(spark, sf):
     found = simhash.near_duplicates(read(spark, sf, "documents"), words=4, radius=4)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op4_sharding(spark, sf):
+    placed = sharding.shard(read(spark, sf, "documents"), shards=8)
+    return placed.select(
+        "doc_id",
+        (F.octet_length(text_or_empty()) + 1).cast("long").alias("size"),
+        F.crc32(text_or_empty()).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
