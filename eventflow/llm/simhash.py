@@ -248,4 +248,5 @@ def near_duplicates(
     )
     linked = stars.join(reach, "component").select(F.col("node").alias("fp"), "component_id")
     named = nodes.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id"))
-    return marked.join(named, "fp").select("doc_id", "fp", "component_id")
+    # from a table of its own, so that Spark can split the documents of a hot fingerprint over tasks
+    return marked.join(written(named, "named"), "fp").select("doc_id", "fp", "component_id")
