@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventflow.llm import bpe_codec, packing, sharding, simhash, token_counts
+from eventflow.llm import bpe_codec, merkle, packing, sharding, simhash, token_counts
 from eventflow.llm.common import read, text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,3 +70,12 @@ def op4_sharding(spark, sf):
         "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query
+def op10_document_fingerprints(spark, sf):
+    pairs = merkle.edited_pairs(read(spark, sf, "documents"))
+    return pairs.select(
+        "doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
+        "near_edited", "near_next",
+    )
