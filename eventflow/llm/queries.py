@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventflow.llm import bpe_codec, merkle, packing, sharding, simhash, token_counts
+from eventflow.llm import bpe_codec, merkle, packing, secrets, sharding, simhash, token_counts
 from eventflow.llm.common import read, text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,3 +79,15 @@ def op10_document_fingerprints(spark, sf):
         "doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
         "near_edited", "near_next",
     )
+
+
+@query
+def op9_secret_scans(spark, sf):
+    docs = read(spark, sf, "documents").select("doc_id", "text")
+    found = secrets.scan(docs, secrets.learn(docs)).select("doc_id", "spans")
+    return found.select(
+        "doc_id",
+        *[secrets.count("spans", kind).alias(f"n_{kind}") for kind in secrets.KINDS],
+        F.sha2(secrets.listing("spans", secrets.KINDS), 256).alias("base_sha256"),
+        secrets.listing("spans").alias("spans"),
+    )
