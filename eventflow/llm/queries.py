@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventflow.llm import bpe_codec, merkle, packing, secrets, sharding, simhash, token_counts
-from eventflow.llm.common import read, text_or_empty
+from eventflow.llm import bpe_codec, merkle, packing, secrets, sharding, simhash, token_counts, toxicity
+from eventflow.llm.common import read, remainder, text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -91,3 +91,16 @@ def op9_secret_scans(spark, sf):
         F.sha2(secrets.listing("spans", secrets.KINDS), 256).alias("base_sha256"),
         secrets.listing("spans").alias("spans"),
     )
+
+
+@query
+def op3_toxicity(spark, sf):
+    docs = read(spark, sf, "documents").select("doc_id", "text")
+    labels = read(spark, sf, "labels").where(remainder("doc_id", 3) != 1)
+    scored = toxicity.score(docs, toxicity.learn(docs, labels))
+    return scored.select(
+        "doc_id",
+        (remainder("doc_id", 3) == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
