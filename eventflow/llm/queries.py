@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventflow.llm import bpe_codec, merkle, packing, secrets, sharding, simhash, token_counts, toxicity
+from eventflow.llm import bpe_codec, lm_scoring, merkle, packing, secrets, sharding, simhash, token_counts, toxicity
 from eventflow.llm.common import read, remainder, text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,3 +104,9 @@ def op3_toxicity(spark, sf):
         "score",
         (F.col("score") >= 0.7).cast("int").alias("predicted"),
     )
+
+
+@query
+def op6_lm_scoring(spark, sf):
+    training, tuning = lm_scoring.folds("doc_id")
+    return lm_scoring.score(read(spark, sf, "documents"), training, tuning)
