@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventflow.llm import bpe_codec, lm_scoring, merkle, packing, secrets, sharding, simhash, token_counts, toxicity
+from eventflow.llm import bpe_codec, lm_scoring, merkle, nn_descent, packing, secrets, sharding, simhash, token_counts, toxicity
 from eventflow.llm.common import read, remainder, text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,3 +110,8 @@ def op3_toxicity(spark, sf):
 def op6_lm_scoring(spark, sf):
     training, tuning = lm_scoring.folds("doc_id")
     return lm_scoring.score(read(spark, sf, "documents"), training, tuning)
+
+
+@query
+def op7_embedding_near_dedup(spark, sf):
+    return nn_descent.near_duplicates(read(spark, sf, "embeddings"), threshold=0.93)
