@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 import unicodedata
 from collections.abc import Iterator
 from itertools import chain
@@ -21,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from eventflow.llm.common import BoundedCache, append_columns
+from eventflow.llm.common import append_columns
 from eventflow.llm.text_units import UNSETTLED, spell, unspell
 
 #: Words a Python worker remembers.
@@ -220,57 +221,71 @@ class Codec:
         model = spec["model"]
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
         self.vocabulary = Vocabulary(model["vocab"], merges, model.get("end_of_word_suffix") or "")
-        self.pattern = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
+        pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        self.pattern = regex.compile(pattern)
+        for general, plain in (r"\p{L}", "A-Za-z"), (r"\p{N}", "0-9"), (r"\s", r"\t\n\v\f\r "):
+            pattern = pattern.replace(general, plain)
+        self.ascii_pattern = re.compile(pattern)  # the same for ASCII; the file has its classes in brackets
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.library = Tokenizer.from_str(definition.decode())
         self.table = [""] * (max([self.vocabulary.size - 1, *self.special.values()]) + 1)
         for text, i in {**model["vocab"], **self.special}.items():
             self.table[i] = text
-        self.cache = BoundedCache(CACHE_WORDS)
+        self._forget()
 
     def words(self, text: str) -> list[str]:
         """The words of a text without special tokens, in normal form."""
-        if not text.isascii():
-            if UNSETTLED.search(text):
-                normal = self.library.normalizer.normalize_str(text)
-                spelled = self.library.pre_tokenizer.pre_tokenize_str(normal)
-                return [unspell(w) for w, _ in spelled]
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # lower case regardless of context
+        if text.isascii():
+            return self.ascii_pattern.findall(text.lower())
+        if UNSETTLED.search(text):
+            normal = self.library.normalizer.normalize_str(text)
+            spelled = self.library.pre_tokenizer.pre_tokenize_str(normal)
+            return [unspell(w) for w, _ in spelled]
+        text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # lower case regardless of context
         return self.pattern.findall(text.lower())
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, and where each text's ids start and end."""
-        cut = [self.cut.split(t) if self.cut and "<|" in t else [t] for t in texts]
-        parts = [[p if p in self.special else self.words(p) for p in pieces] for pieces in cut]
-        lookup = self._lookup({w for pieces in parts for p in pieces if not isinstance(p, str) for w in p})
-        ids: list[int] = []
-        stops = [0]
-        for pieces in parts:
-            for p in pieces:
-                if isinstance(p, str):
-                    ids.append(self.special[p])
+        found: list[str] = []
+        ends = [0]
+        for text in texts:
+            for piece in self.cut.split(text) if self.cut and "<|" in text else [text]:
+                if piece in self.special:
+                    found.append(piece)
                 else:
-                    ids.extend(chain.from_iterable(map(lookup.__getitem__, p)))
-            stops.append(len(ids))
-        return np.array(ids, np.int32), np.array(stops, np.int32)
-
-    def _lookup(self, words: set[str]) -> dict[str, list[int]]:
-        """The ids of all these words, from the cache as far as it has them."""
-        known = self.cache
-        unseen = [w for w in words if w not in known]
-        if not unseen:
-            return known
-        spelled = [w if w.isascii() and w.isprintable() else spell(w) for w in unseen]
-        ids = self.vocabulary.encode_words(spelled)
-        fresh = {w: ids[s] for w, s in zip(unseen, spelled)}
-        if len(known) + len(fresh) <= known.limit:
-            known.update(fresh)
-            return known
-        both = {w: known[w] for w in words if w in known} | fresh
-        known.clear()
-        known.add(both)
-        return both
+                    found += self.words(piece)
+            ends.append(len(found))
+        slots = self._slots(found)
+        sizes, starts = self.sizes[slots], self.starts[slots]
+        stops = np.concatenate([[0], np.cumsum(sizes)])
+        ids = self.ids[np.repeat(starts - stops[:-1], sizes) + np.arange(stops[-1])]
+        return ids, stops[ends].astype(np.int32)
+
+    def _forget(self) -> None:
+        """Back to the special tokens alone; they are no words, so they share the table with them."""
+        self.slot: dict[str, int] = {t: i for i, t in enumerate(self.special)}
+        self.ids = np.array(list(self.special.values()), np.int32)
+        self.starts = np.arange(len(self.ids))
+        self.sizes = np.ones(len(self.ids), np.int64)
+
+    def _slots(self, words: list[str]) -> np.ndarray:
+        """The place of each word in the table of remembered words, which is filled as needed."""
+        distinct = set(words)
+        unseen = [w for w in distinct if w not in self.slot]
+        if len(self.slot) + len(unseen) > CACHE_WORDS:
+            self._forget()
+            unseen = [w for w in distinct if w not in self.slot]
+        if unseen:
+            spelled = [w if w.isascii() and w.isprintable() else spell(w) for w in unseen]
+            ids = self.vocabulary.encode_words(spelled)
+            lists = [ids[s] for s in spelled]
+            sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+            self.slot.update(zip(unseen, range(len(self.sizes), len(self.sizes) + len(unseen))))
+            self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
+            self.sizes = np.concatenate([self.sizes, sizes])
+            self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(lists), np.int32, int(sizes.sum()))])
+        return np.fromiter(map(self.slot.__getitem__, words), np.int64, len(words))
 
     def decode(self, ids: np.ndarray, stops: np.ndarray) -> list[str]:
         """The tokens' strings joined by blanks, word-end marks included: the file names no decoder."""
