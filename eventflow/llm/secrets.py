@@ -19,7 +19,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from eventflow.llm.common import append_columns, arrow_batch, struct
+from eventflow.llm.common import append_columns, arrow_batch, struct, written
 
 # The kinds in their order, their patterns, the group whose length counts, and its least length.
 KINDS = ("assign", "access", "hex")
@@ -255,7 +255,8 @@ def learn(df: DataFrame, text: str = "text", examples: int = EXAMPLES, ordinary:
         rows = [(kind, f"{-rank:032x}", value) for kind, heap in kept.items() for rank, value in heap]
         yield arrow_batch(dict(zip(schema.names, map(list, zip(*rows)))) if rows else {n: [] for n in schema.names}, schema)
 
-    found = df.select(text).mapInArrow(smallest, schema).distinct()
+    # as a table: taking each kind's values must not scan the texts again
+    found = written(df.select(text).mapInArrow(smallest, schema), "values").distinct()
     taken = _take(found, limits)
     return Formats({k: taken[k] for k in KINDS}, taken[""])
 
