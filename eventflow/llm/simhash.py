@@ -204,8 +204,10 @@ def _send_variants(codes: Codes, half: int):
 
 
 def links(distinct: DataFrame, radius: int, fp: str = "fp") -> DataFrame:
-    """Edges (a, b) between distinct fingerprints that connect all pairs at most `radius` bits apart."""
-    half = radius // 2 + radius % 2
+    """Edges (a, b) between distinct fingerprints that connect all pairs at most `radius` (an even number) bits apart."""
+    if radius % 2:
+        raise ValueError("the radius must be even: at half of an odd one, two that meet may be too far apart")
+    half = radius // 2
     count = distinct.count()
     blocks = max(1, math.ceil(count / BLOCK))
     codes = Codes(count, len(masks(half)))

@@ -1,0 +1,103 @@
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+import re
+
+from eventflow.llm import secrets
+from eventflow.llm.queries import QUERIES
+
+
+def spans_by_hand(text):
+    out = []
+    assign = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    for kind, pattern, flags, group, least in (
+        ("assign", assign, re.I | re.A, 2, 12), ("access", "AKIA[A-Z0-9]+", 0, 0, 18), ("hex", "[0-9a-f]+", 0, 0, 16)):
+        out += [(m.start(), m.end(), kind) for m in re.finditer(pattern, text, flags) if len(m[group]) >= least]
+    return sorted(out, key=lambda s: (s[0], ("assign", "access", "hex").index(s[2])))
+
+
+def corpus(spark, n=300):
+    rng = random.Random(2)
+    rows = []
+    for i in range(n):
+        words = [rng.choice(("alpha", "beta", "gammadelta", "antidisestablishmentarianism", "https/www_example_org_page")) for _ in range(30)]
+        if i % 3 == 0:
+            words.insert(9, 'token = "' + "".join(rng.choices("0123456789ABCDEF", k=40)) + '"')
+        if i % 3 == 1:
+            words.insert(9, "AKIA" + "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", k=16)))
+        rows.append((i, " ".join(words)))
+    return spark.createDataFrame(rows, "doc_id bigint, text string")
+
+
+def test_base_spans(chance):
+    alphabet = ["token", "API_KEY", "apikey", "ſecret", "=", ":", " ", '"', "AKIA", "A1B2C3D4E5F6G7H8", "0123456789abcdef", "deadbeef", "é", "\n", "Z9"]
+    for _ in range(3000):
+        text = "".join(chance.choices(alphabet, k=chance.randint(0, 14)))
+        assert sorted(secrets.base_spans(text)) == sorted(spans_by_hand(text))
+
+
+def test_automaton_learns_a_format():
+    rng = random.Random(1)
+    words = [secrets.symbols("".join(rng.choices("0123456789abcdef", k=32))) for _ in range(200)]
+    automaton = secrets.Automaton(words)
+    assert len(automaton.move) < 60  # thousands of states before merging
+    same = secrets.symbols("".join(rng.choices("0123456789abcdef", k=32)))
+    other = secrets.symbols("ThisIsCamelCaseTextOfThirtyTwoCh")
+    assert automaton.likelihood(same) > automaton.likelihood(other) + 50
+
+
+def test_automaton_keeps_unlike_states_apart():
+    words = [[0, 2]] * 200 + [[1, 3]] * 200
+    automaton = secrets.Automaton(words)
+    assert automaton.likelihood([0, 2]) > automaton.likelihood([0, 3]) + 5
+    total = math.exp(automaton.log[0][0]) + math.exp(automaton.log[0][1])
+    assert 0.95 < total <= 1
+
+
+def test_learned_formats_find_what_no_pattern_sees(spark):
+    docs = corpus(spark)
+    formats = secrets.learn(docs)
+    bare = "found ABCDEF0123456789ABCDEF0123456789ABCDEF01 here, not antidisestablishmentarianism"
+    assert spans_by_hand(bare) == []
+    assert formats.spans(bare) == [(6, 46, "format")]
+    again = secrets.learn(docs.repartition(7))
+    assert again.least == formats.least and again.automata.keys() == formats.automata.keys()
+
+
+def test_samples_stay_within_their_bounds(spark):
+    few = secrets.learn(corpus(spark), examples=5, ordinary=3)
+    assert set(few.automata) == {"assign", "access"}
+
+
+def test_odd_rows(spark, odd, odd_rows, nothing):
+    found = secrets.scan(odd, secrets.learn(odd))
+    rows = found.collect()
+    assert len(rows) == len(odd_rows) and found.columns.count("spans") == 1
+    for r in rows:
+        assert [tuple(s) for s in r.spans if s.kind != "format"] == spans_by_hand(r.text or "")
+    clean = secrets.redact(found)
+    assert clean.columns == found.columns
+    assert {r.doc_id for r in clean.where("text IS NULL").collect()} == {r.doc_id for r in rows if r.text is None}
+    assert secrets.learn(nothing).spans("token = abcdefghijklmnop") == [(0, 24, "assign")]
+    assert secrets.scan(nothing, secrets.learn(nothing)).collect() == []
+
+
+def test_redacted_text(spark):
+    text = 'é token = "0123456789abcdef0123" and 0123456789abcdef end'
+    df = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    assert secrets.redact(secrets.scan(df, secrets.learn(df))).first().text == 'é [SECRET]" and [SECRET] end'
+
+
+def test_query(spark):
+    sf = "/root/testdata/sf0.1"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = QUERIES["op9_secret_scans"](spark, sf).collect()
+    assert len(rows) == len(texts) and any(r.n_hex for r in rows)
+    for r in rows:
+        base = spans_by_hand(texts[r.doc_id])
+        listed = ",".join(f"{k}:{a}:{b}" for a, b, k in base)
+        assert r.base_sha256 == hashlib.sha256(listed.encode()).hexdigest()
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(k == kind for *_, k in base) for kind in secrets.KINDS)
+        assert [s for s in r.spans.split(",") if s and not s.startswith("format")] == [s for s in listed.split(",") if s]
