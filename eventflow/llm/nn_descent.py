@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from eventflow.llm.common import arrow_batch, struct, written
 from eventflow.llm.components import connected_components
+from eventflow.llm.simhash import mix
 
 #: Neighbours in a list at first.
 NEIGHBOURS = 10
@@ -76,7 +77,7 @@ def _longest(lists: Column, k: int) -> Column:
 
 
 def first_lists(nodes: DataFrame, k: int, seed: int) -> DataFrame:
-    """(node, nbrs): each vector's best k among those in its cells."""
+    """(node, nbrs): each vector's best k among those in its cells, TREES of hyperplanes and one at random."""
     codes = struct("node bigint, tree int, code bigint")
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,6 +91,9 @@ def first_lists(nodes: DataFrame, k: int, seed: int) -> DataFrame:
                     bits = (x @ planes > 0).astype(np.int64)
                     yield arrow_batch({"node": ids[rows], "tree": [tree] * len(rows),
                                        "code": bits @ (1 << np.arange(CODE_BITS)[::-1])}, codes)
+                # and cells at random, which connect those of the hyperplanes
+                anyhow = mix(ids[rows].view(np.uint64) + np.uint64(seed)) >> np.uint64(64 - CODE_BITS)
+                yield arrow_batch({"node": ids[rows], "tree": [TREES] * len(rows), "code": anyhow.astype(np.int64)}, codes)
 
     coded = nodes.select("node", "dim", "vec").mapInArrow(cells, codes)
     sizes = nodes.groupBy("label", "dim").agg(F.count("*").alias("n"))
