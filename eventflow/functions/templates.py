@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import Column, functions as F
 
-from eventflow.functions.scalar import bool_lenient, field, refund_detail, text_or
+from eventflow.functions.scalar import bool_lenient, field, refund_detail, str_or_empty, text_or
 
 # --- fixed values: the wording of each message ----------------------------------------------
 TEMPLATES = {
@@ -52,8 +52,12 @@ def fill(template: str, values: dict[str, Column]) -> Column:
     return F.concat(*pieces)
 
 
-def render(template: str, doc: Column, traceid: Column, brand: str) -> Column:
-    """Text of one template over a payload document; null when a mandatory field is absent."""
+def render(template: str, doc: Column, traceid: Column, brand: str, command: bool = False) -> Column:
+    """Text of one template over a payload document; null when a mandatory field is absent.
+
+    A command carries name, e-mail and tier in any case, empty where it was not told them, so none of
+    them is ever absent or replaced there.
+    """
     values = {
         "brand": F.lit(brand), "traceid": F.coalesce(traceid, F.lit("")),
         "refundDetail": refund_detail(
@@ -64,9 +68,15 @@ def render(template: str, doc: Column, traceid: Column, brand: str) -> Column:
     for slot in _SLOT.findall(TEMPLATES[template]):
         if slot in values:
             continue
-        mandatory = template in ALERTS or (template in STRICT and slot in ("name", "email", "tier"))
-        values[slot] = field(doc, slot) if mandatory else text_or(doc, slot, DEFAULTS[slot])
+        person = slot in ("name", "email", "tier")
+        mandatory = template in ALERTS or (template in STRICT and person)
+        if command and person:
+            values[slot] = str_or_empty(doc, slot)
+        else:
+            values[slot] = field(doc, slot) if mandatory else text_or(doc, slot, DEFAULTS[slot])
         if slot in NUMBERS:
-            number = F.coalesce(field(doc, slot).try_cast(NUMBERS[slot]), F.lit(0).cast(NUMBERS[slot]))
+            # a number in any notation; whole ones lose their fraction
+            content = field(doc, slot).try_cast("double").try_cast(NUMBERS[slot])
+            number = F.coalesce(content, F.lit(0).cast(NUMBERS[slot]))
             values[slot] = F.when(field(doc, slot).isNotNull(), number.cast("string"))
     return fill(TEMPLATES[template], values)

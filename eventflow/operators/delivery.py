@@ -74,10 +74,12 @@ def report_rows(results: DataFrame) -> DataFrame:
 
 
 def config_matrix(results: DataFrame, configs: DataFrame) -> DataFrame:
-    """Report over every configuration of `configs`, with empty ones kept as zero counts."""
+    """Report over every configuration of `configs`. An empty one has zero counts, lost nothing and
+    delivered all of it."""
     counts = ("attempted", "sent", "failed", "consumed", "lost")
     joined = configs.join(results, [c for c in configs.columns], "left")
-    return joined.fillna(0, list(counts)).withColumn("tested", F.col("verdict").isNotNull())
+    empty = {name: 0 for name in counts} | {"loss_rate": 0.0, "delivery_rate": 100.0}
+    return joined.fillna(empty).withColumn("tested", F.col("verdict").isNotNull())
 
 
 def union_phases(baseline: DataFrame, fault: DataFrame) -> DataFrame:

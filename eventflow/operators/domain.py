@@ -135,9 +135,9 @@ def refund_payment(df: DataFrame) -> DataFrame:
 # --- events ---------------------------------------------------------------------------------
 
 def _person(*extra: Column) -> Column:
-    return F.struct(
-        F.col("user_id").alias("userId"), F.col("email"), F.col("name"), F.col("tier"), *extra
-    )
+    """Who it is about; what is not known is written as empty text."""
+    known = {"userId": "user_id", "email": "email", "name": "name", "tier": "tier"}
+    return F.struct(*[F.coalesce(F.col(c), F.lit("")).alias(name) for name, c in known.items()], *extra)
 
 
 def payment_event(df: DataFrame, source: str = DEFAULT_SOURCE) -> DataFrame:
@@ -187,19 +187,20 @@ def account_activated_event(df: DataFrame, source: str = DEFAULT_SOURCE) -> Data
 
 
 def dead_letter_event(
-    df: DataFrame, source: str = DEFAULT_SOURCE, value_col: str = "value"
+    df: DataFrame, source: str = DEFAULT_SOURCE, value_col: str = "value", failed_at: str = "time"
 ) -> DataFrame:
-    """Wrap the original text, its type and the reason (blank reads 'unknown'), same trace id."""
+    """Wrap the original text, its type and the reason (blank reads 'unknown'), same trace id.
+    `failed_at` is the column with the time of the failure."""
     payload = F.struct(
         F.col("type").alias("originalType"),
         F.when(blank_or_null(F.col("reason")), F.lit("unknown")).otherwise(F.col("reason")).alias("reason"),
-        iso_time(F.col("time")).alias("failedAt"),
+        iso_time(F.col(failed_at)).alias("failedAt"),
         F.col(value_col).alias("originalMessage"),
     )
     return df.withColumn(
         "event",
         reply_event(
-            F.lit(PROCESS_START_FAILED_EVENT), payload, F.col("id"), source, F.col("time"), F.col("traceid")
+            F.lit(PROCESS_START_FAILED_EVENT), payload, F.col("id"), source, F.col(failed_at), F.col("traceid")
         ),
     )
 
@@ -228,12 +229,15 @@ def alerts_to_events(df: DataFrame, kind: str, source: str = DEFAULT_SOURCE) ->
 
 # --- notifications --------------------------------------------------------------------------
 
-def render_notification(df: DataFrame, brand: str = DEFAULT_BRAND, out: str = "text") -> DataFrame:
+def render_notification(
+    df: DataFrame, brand: str = DEFAULT_BRAND, out: str = "text", command: bool = False
+) -> DataFrame:
     """Text for each row's `template` over its payload document `data`; null for an unknown template or a
     missing mandatory field. The validation reason is taken from the payload, as intended by the
-    modelled process, although the original worker dropped it on the way."""
+    modelled process, although the original worker dropped it on the way. With `command` a missing
+    name, e-mail or tier reads as empty text, as it does in commands."""
     text = case(
-        (F.col("template") == name, render(name, F.col("data"), F.col("traceid"), brand)) for name in TEMPLATES
+        (F.col("template") == name, render(name, F.col("data"), F.col("traceid"), brand, command)) for name in TEMPLATES
     )
     return df.withColumn(out, text)
 
@@ -254,11 +258,14 @@ def render_chat_message(df: DataFrame) -> DataFrame:
 
 
 def notification_outcome(df: DataFrame) -> DataFrame:
-    """Result of each command from its `template` and rendered `text`.
+    """Result of each command from its `template`, rendered `text` and, where there is such a column,
+    `dispatch_ok`: whether the channel took it.
 
-    Unknown type: fallback and no event. Known type without text: fallback and a Failed event.
+    Unknown type: fallback and no event. Known type without text or not taken: fallback and a Failed event.
     """
     known, sent = F.col("template").isNotNull(), F.col("text").isNotNull()
+    if "dispatch_ok" in df.columns:
+        sent = sent & coalesce_null(F.col("dispatch_ok"), False)
     return df.withColumns({
         "notification_sent": known & sent,
         "fallback_used": ~(known & sent),
@@ -271,7 +278,8 @@ def notification_outcome(df: DataFrame) -> DataFrame:
 
 
 def send_notification(df: DataFrame, brand: str = DEFAULT_BRAND) -> DataFrame:
-    return notification_outcome(render_notification(route_notification_type(df), brand))
+    """Commands to their outcome. Name, e-mail and tier are never missing here, only empty."""
+    return notification_outcome(render_notification(route_notification_type(df), brand, command=True))
 
 
 def notification_event(df: DataFrame, source: str = DEFAULT_SOURCE) -> DataFrame:
@@ -279,7 +287,7 @@ def notification_event(df: DataFrame, source: str = DEFAULT_SOURCE) -> DataFrame
     payload = F.struct(
         F.col("notification_type").alias("notificationType"),
         F.col("notification_id").alias("notificationId"),
-        F.col("email"), F.col("name"), F.col("tier"),
+        *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("email", "name", "tier")],
         F.col("notification_sent").alias("success"),
     )
     return df.filter(F.col("outcome_type").isNotNull()).withColumn(

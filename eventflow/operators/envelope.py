@@ -51,8 +51,13 @@ def parse_envelope(df: DataFrame, value_col: str = "value") -> DataFrame:
     return parsed.withColumns(columns).drop("__doc", "event_type")
 
 
-def quarantine(df: DataFrame, required: tuple[str, ...] = ("type", "traceid", "data")) -> tuple[DataFrame, DataFrame]:
-    """Split parsed rows into (good, bad). Every input row lands in exactly one side."""
+def quarantine(df: DataFrame, required: tuple[str, ...] = ("type", "traceid", "data", "time")) -> tuple[DataFrame, DataFrame]:
+    """Split parsed rows into (good, bad). Every input row lands in exactly one side.
+
+    A row without a readable time is bad: event-time state could not place it. Columns of `required`
+    that the rows do not have are not asked for.
+    """
+    required = tuple(c for c in required if c in df.columns)
     missing = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in required]))
     tagged = df.withColumn("missing_fields", missing)
     good = tagged.filter(F.size("missing_fields") == 0).drop("missing_fields")

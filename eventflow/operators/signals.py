@@ -189,16 +189,16 @@ def keyword_match(posts: DataFrame, keywords: Sequence[str], text: str = "text")
     return posts.withColumn("keyword", F.explode(hits))
 
 
-def sentiment(posts: DataFrame, lexicon: dict[str, int], text: str = "text") -> DataFrame:
+def sentiment(posts: DataFrame, lexicon: dict[str, float], text: str = "text") -> DataFrame:
     """Sum of the lexicon weights of a post's words, and its sign as a label.
 
-    Words of one weight are counted together against a literal set, inside the row: no shuffle.
+    Words are runs of letters, so punctuation and line breaks hide none. Each is looked up once in a
+    literal map, inside the row: no shuffle. Whole-number weights give a BIGINT, others a DOUBLE.
     """
-    words = F.split(F.lower(text), " ")
-    score = F.lit(0).cast("bigint")
-    for weight in sorted(set(lexicon.values())):
-        listed = [w for w, value in lexicon.items() if value == weight]
-        score = score + F.size(F.filter(words, lambda w: w.isin(*listed))) * F.lit(weight).cast("bigint")
+    kind = "bigint" if all(float(w).is_integer() for w in lexicon.values()) else "double"
+    words = F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}]+")
+    weights = F.create_map(*[F.lit(x) if i % 2 == 0 else F.lit(x).cast(kind) for pair in lexicon.items() for i, x in enumerate(pair)])
+    score = F.aggregate(words, F.lit(0).cast(kind), lambda sum_, w: sum_ + F.coalesce(F.element_at(weights, w), F.lit(0).cast(kind)))
     return posts.withColumn("score", score).withColumn("sentiment", sentiment_label(F.col("score")))
 
 
@@ -212,12 +212,18 @@ def topic_sentiment(scored: DataFrame, topic: str = "topic") -> DataFrame:
     ).withColumn("sentiment", sentiment_label(F.col("mean_score")))
 
 
+def window_means(scored: DataFrame, width: str) -> DataFrame:
+    """Posts and mean score per topic and window. A stream needs its watermark on `ts`."""
+    means = scored.groupBy("topic", F.window("ts", width)).agg(
+        F.count(F.lit(1)).alias("posts"), F.avg("score").alias("mean_score")
+    )
+    return means.select("topic", F.col("window.start").alias("window_start"), "posts", "mean_score")
+
+
 def sentiment_spike(scored: DataFrame, width: str = "5 minutes", delta: float = SENTIMENT_DELTA) -> DataFrame:
     """Windows whose mean score moved by more than `delta` from the topic's previous non-empty
     window. The ordered step sees one row per topic and window."""
-    means = scored.groupBy("topic", F.window("ts", width).start.alias("window_start")).agg(
-        F.count(F.lit(1)).alias("posts"), F.avg("score").alias("mean_score")
-    )
+    means = window_means(scored, width)
     before = F.lag("mean_score").over(Window.partitionBy("topic").orderBy("window_start"))
     return means.withColumn("previous_mean", before).filter(
         F.abs(F.col("mean_score") - F.col("previous_mean")) > delta

@@ -18,6 +18,7 @@ from eventflow.schemas import (
     PROCESS_START_FAILED_EVENT, REQUEST_TYPES, SIGNUP_REQUESTED, TECHNICAL_ERROR,
 )
 from eventflow.sources import logs
+from eventflow.sources.checkpoints import run_dir
 from eventflow.streaming import pipelines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,7 +107,7 @@ def notification_routes(spark, sf):
         """named_struct('name', CASE WHEN k % 6 <> 0 THEN concat('User ', CAST(user_id AS STRING)) END,
            'email', concat('u', CAST(user_id AS STRING), '@example.com'), 'tier', tier)"""
     ))
-    commands = bus.filter("notification_type IS NOT NULL").withColumn("data", payload)
+    commands = bus.filter("notification_type IS NOT NULL").withColumns({"data": payload, "dispatch_ok": F.col("k") % 10 != 0})
     sent = domain.send_notification(commands).select(
         "id", F.lit("command").alias("channel"), "template", F.col("notification_sent").alias("sent"),
         F.col("notification_error").alias("error"), "outcome_type",
@@ -134,13 +135,10 @@ def envelope_roundtrip(spark, sf):
 
 @query
 def events_by_type(spark, sf):
-    bus = views.bus(spark, sf)
-    parts = routing.demux_by_type(bus, REQUEST_TYPES)
-    counts = [
-        part.agg(F.count(F.lit(1)).alias("events")).select(F.lit(name).alias("type"), "events")
-        for name, part in parts.items()
-    ]
-    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+    """One pass that lands every type in its folder; the counts come from the folders' footers."""
+    folder = run_dir(spark, "by-type")
+    logs.write_by_type(views.bus(spark, sf), folder)
+    return spark.read.parquet(folder).groupBy("type").agg(F.count(F.lit(1)).alias("events"))
 
 
 @query
@@ -288,10 +286,16 @@ def payment_gates(spark, sf):
         "payment_success": F.when(F.col("type") == PAYMENT_RECEIVED, True).when(F.col("type") == PAYMENT_FAILED, False),
         "retry_count": F.col("k") % 5,
     })
-    outcome = F.when(F.col("payment_success"), "succeeded").when(~F.col("payment_success"), "failed")
+    succeeded, failed = routing.payment_result_gate(bus.withColumn("payment_branch", F.lit(None).cast("string")))
+    rest = bus.filter("payment_success IS NULL")
+    bus = (
+        succeeded.withColumn("payment_branch", F.lit("succeeded"))
+        .unionByName(failed.withColumn("payment_branch", F.lit("failed")))
+        .unionByName(rest.withColumn("payment_branch", F.lit("neither")))
+    )
     decision = routing.retry_decision(F.col("retry_payment"), F.col("retry_count"))
     return bus.groupBy(
-        F.coalesce(outcome, F.lit("neither")).alias("payment_branch"),
+        "payment_branch",
         F.coalesce(routing.tier_gate_v1(F.col("tier")), F.lit("neither")).alias("tier_branch_v1"),
         routing.tier_gate(F.col("tier")).alias("tier_branch"), decision.alias("retry_branch"),
     ).agg(F.count(F.lit(1)).alias("rows_in_branch"))
@@ -715,9 +719,10 @@ def probe_payload(spark, sf):
 # --- streams --------------------------------------------------------------------------------
 
 def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The table as a stream, whether it is one file or a folder of them, some files at a time."""
     static = views.table(spark, sf, "events")
-    # a file stream needs a folder: read it with a filter on the file name
-    return spark.readStream.schema(static.schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    # a file stream takes a folder or a pattern, so a single file is named by a pattern
+    return spark.readStream.schema(static.schema).option("maxFilesPerTrigger", 16).parquet(f"{sf}/events.parque[t]")
 
 
 @query
@@ -745,21 +750,33 @@ def dedup_stream(spark, sf):
 
 @query
 def payment_timeouts_stream(spark, sf):
-    bus = views.bus_of(views.ev_of(_event_stream(spark, sf)))
-    return pipelines.run_append(pipelines.payment_timeouts(bus, HORIZON, "1 hour"), "timeouts")
+    closing = pipelines.Closing(views.bus_of(views.ev_of(_event_stream(spark, sf))), "time")
+    return pipelines.run_append(pipelines.payment_timeouts(closing.stream, HORIZON, "1 hour"), "timeouts", closing)
 
 
 @query
 def rate_limited_alerts_stream(spark, sf):
     posts = routing.post_filter(views.posts_of(views.ev_of(_event_stream(spark, sf))))
-    passed = pipelines.rate_limit_stream(posts, "topic", "ts", signals.seconds(HORIZON), "1 hour")
-    return pipelines.run_append(passed, "rate-limit").select("topic", _us("ts"))
+    closing = pipelines.Closing(posts, "ts")
+    passed = pipelines.rate_limit_stream(closing.stream, "topic", "ts", signals.seconds(HORIZON), "1 hour")
+    return pipelines.run_append(passed, "rate-limit", closing).select("topic", _us("ts"))
+
+
+@query
+def sentiment_spike_stream(spark, sf):
+    closing = pipelines.Closing(routing.post_filter(views.posts_of(views.ev_of(_event_stream(spark, sf)))), "ts")
+    spikes = pipelines.sentiment_spike_stream(closing.stream, HORIZON, delay="1 hour")
+    return pipelines.run_append(spikes, "spikes", closing).select(
+        "topic", _us("window_start"), "posts", F.round("mean_score", 6).alias("mean_score"),
+        F.round("previous_mean", 6).alias("previous_mean"),
+    )
 
 
 @query
 def signup_sessions_stream(spark, sf):
-    bus = views.bus_of(views.ev_of(_event_stream(spark, sf)))
-    return pipelines.run_append(pipelines.signup_state_sessions(bus, "1 day", "1 hour"), "sessions").select(
+    closing = pipelines.Closing(views.bus_of(views.ev_of(_event_stream(spark, sf))), "time")
+    sessions = pipelines.signup_state_sessions(closing.stream, "1 day", "1 hour")
+    return pipelines.run_append(sessions, "sessions", closing).select(
         "traceid", _us("first_at"), _us("closed_at"), "state"
     )
 
@@ -767,8 +784,12 @@ def signup_sessions_stream(spark, sf):
 @query
 def choreography_stream(spark, sf):
     stream = envelope.parse_envelope(envelope.event_type(views.raw_log(views.bus_of(views.ev_of(_event_stream(spark, sf))))))
-    decisions = views.bus(spark, sf).groupBy("traceid").agg((F.count(F.lit(1)) % 2 == 0).alias("payment_success"))
-    landed = pipelines.run_append(pipelines.choreography(stream, decisions, "shop"), "choreography")
+    decided = views.bus(spark, sf).groupBy("traceid").agg(
+        (F.count(F.lit(1)) % 2 == 0).alias("payment_success"), F.max("time").alias("decided_at"))
+    folder = run_dir(spark, "decisions")
+    decided.write.parquet(folder)
+    decisions = spark.readStream.schema(decided.schema).parquet(folder)
+    landed = pipelines.run_append(pipelines.choreography(stream, decisions, "shop", delay="1 day"), "choreography")
     parsed = envelope.parse_envelope(envelope.event_type(landed))
     return parsed.select(
         F.col("id").alias("event_id"), "type", "traceid", field(F.col("data"), "email").alias("email"),

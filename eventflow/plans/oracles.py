@@ -132,7 +132,7 @@ _VIEWS = {
     "words": """
       SELECT doc_id, source, CAST(sum(CASE w WHEN 'the' THEN 1 WHEN 'this' THEN 1 WHEN 'from' THEN 1
         WHEN 'was' THEN -1 WHEN 'that' THEN -1 ELSE 0 END) AS BIGINT) AS score
-      FROM (SELECT doc_id, source, unnest(string_split(lower(text), ' ')) AS w FROM documents)
+      FROM (SELECT doc_id, source, unnest(regexp_split_to_array(lower(text), '[^\\p{L}]+')) AS w FROM documents)
       GROUP BY doc_id, source""",
     "ticks": """
       SELECT label, epoch_ms(cb_ts) AS ms, ok,
@@ -243,10 +243,10 @@ ORACLES: dict[str, str] = {
       SELECT id, 'command', CASE k % 7 WHEN 0 THEN 'activation_failed' WHEN 1 THEN 'validation_failed'
           WHEN 2 THEN 'technical_error' WHEN 3 THEN 'payment_received' WHEN 4 THEN 'upgrade_completed'
           WHEN 5 THEN 'deactivated' END,
-        CASE WHEN k % 7 = 6 THEN false WHEN k % 7 >= 4 THEN true ELSE k % 6 <> 0 END,
-        CASE WHEN k % 7 = 6 THEN 'unknown-notification-type' WHEN k % 7 < 4 AND k % 6 = 0
+        k % 7 <> 6 AND k % 10 <> 0,
+        CASE WHEN k % 7 = 6 THEN 'unknown-notification-type' WHEN k % 10 = 0
           THEN 'notification-dispatch-failed' ELSE '' END,
-        CASE WHEN k % 7 = 6 THEN NULL WHEN k % 7 < 4 AND k % 6 = 0 THEN 'NotificationFailedEvent'
+        CASE WHEN k % 7 = 6 THEN NULL WHEN k % 10 = 0 THEN 'NotificationFailedEvent'
           ELSE 'NotificationSentEvent' END
       FROM bus WHERE notification_type IS NOT NULL"""),
     "message_classes": _sql("bus", f"""SELECT m.message, m.messages, d.kind, d.mechanism, d.kind IS NOT NULL AS classified
@@ -261,8 +261,7 @@ ORACLES: dict[str, str] = {
         'application/json' AS datacontenttype, '1.0' AS specversion, CAST(NULL AS VARCHAR) AS correlationid,
         'events' AS event_group, 'User ' || user_id AS name,
         CASE WHEN k % 5 <> 0 THEN 'u' || user_id END AS user_id FROM bus"""),
-    "events_by_type": _sql("bus", """SELECT type, count(*) AS events FROM bus
-      WHERE type LIKE '%RequestedEvent' GROUP BY type"""),
+    "events_by_type": _sql("bus", "SELECT type, count(*) AS events FROM bus GROUP BY type"),
     "scalar_functions": _sql("bus", """SELECT id, CASE WHEN k % 6 = 0 THEN sha256('trace:' || id) ELSE traceid END AS traceid,
         CASE WHEN k % 5 = 0 THEN sha256('user:' || id) ELSE 'u' || user_id END AS user_id,
         CASE WHEN k % 9 = 0 THEN 'data' ELSE '' END AS missing,
@@ -432,7 +431,8 @@ ORACLES: dict[str, str] = {
       WHERE type IN ('ProcessStartFailedEvent', 'AccountActivatedEvent') AND k % 2 = 0"""),
     "delivery_report": _sql("results", """SELECT c.rf, c.acks, c.phase, coalesce(attempted, 0) AS attempted,
         coalesce(sent, 0) AS sent, coalesce(failed, 0) AS failed, coalesce(consumed, 0) AS consumed,
-        coalesce(lost, 0) AS lost, loss_rate, delivery_rate, verdict, verdict IS NOT NULL AS tested
+        coalesce(lost, 0) AS lost, coalesce(loss_rate, 0) AS loss_rate,
+        coalesce(delivery_rate, 100) AS delivery_rate, verdict, verdict IS NOT NULL AS tested
       FROM (VALUES (3, 'all', 'BASELINE'), (3, '1', 'BASELINE'), (3, '0', 'BASELINE'), (2, 'all', 'BASELINE'),
         (2, '1', 'BASELINE'), (2, '0', 'BASELINE'), (1, '1', 'BASELINE'), (1, '0', 'BASELINE'), (3, 'all', 'FAULT'),
         (3, '0', 'FAULT'), (1, '1', 'FAULT'), (1, '0', 'FAULT')) c(rf, acks, phase)
@@ -550,28 +550,25 @@ ORACLES: dict[str, str] = {
     "saga_state_stream": _sql("state", "SELECT traceid, state FROM state"),
     "topic_counts_stream": _sql("windows", "SELECT topic, window_start_us, posts FROM windows"),
     "dedup_stream": _sql("bus", "SELECT id, type, traceid, epoch_us(time) AS time_us FROM bus"),
-    # A row comes out once the watermark (one hour behind the newest event) is past the grid point
-    # (every 45 minutes, an eighth of the interval) that follows it, or its deadline for requests.
+    # The stream answers are those of the batch: every request, every alert, every trace.
     "payment_timeouts_stream": _sql("bus pay", """SELECT r.traceid, r.id, r.type, coalesce(o.type, 'TIMEOUT') AS outcome,
         o.id AS outcome_id
       FROM bus r LEFT JOIN (
         SELECT r.id AS rid, arg_min(p, (p.time, p.id)) AS o FROM bus r JOIN pay p ON p.traceid = r.traceid
           AND p.time >= r.time AND p.time <= r.time + INTERVAL 6 HOURS
         WHERE r.type LIKE '%RequestedEvent' GROUP BY r.id) f ON f.rid = r.id
-      WHERE r.type LIKE '%RequestedEvent' AND ((epoch_us(r.time) // 1000 + 21600000) // 2700000 + 1) * 2700000
-        < (SELECT epoch_us(max(time)) // 1000 - 3600000 FROM bus
-           WHERE type LIKE '%RequestedEvent' OR type IN ('PaymentReceivedEvent', 'PaymentFailedEvent'))"""),
-    "rate_limited_alerts_stream": _sql("posts", """SELECT topic, t AS ts_us FROM passed
-      WHERE (t // 1000 // 2700000 + 1) * 2700000 < (SELECT epoch_us(max(ts)) // 1000 - 3600000 FROM posts)""",
+      WHERE r.type LIKE '%RequestedEvent'"""),
+    "rate_limited_alerts_stream": _sql("posts", "SELECT topic, t AS ts_us FROM passed",
         recursive="""passed AS (
         SELECT topic, min(epoch_us(ts)) AS t FROM posts GROUP BY topic
         UNION ALL SELECT a.topic, min(epoch_us(p.ts)) FROM passed a JOIN posts p
           ON p.topic = a.topic AND epoch_us(p.ts) >= a.t + 21600000000 GROUP BY a.topic)"""),
-    # A trace covers one day, so it is one session, closed when the watermark is past its end.
+    "sentiment_spike_stream": _sql("spikes", """SELECT topic, window_start_us, posts, round(mean_score, 6) AS mean_score,
+      round(previous_mean, 6) AS previous_mean FROM spikes"""),
+    # A trace covers one day, so it is one session.
     "signup_sessions_stream": _sql("bus state", """SELECT s.traceid, epoch_us(min(b.time)) AS first_at_us,
         epoch_us(max(b.time)) + 86400000000 AS closed_at_us, any_value(s.state) AS state
-      FROM state s JOIN bus b ON b.traceid = s.traceid GROUP BY s.traceid
-      HAVING epoch_us(max(b.time)) // 1000 + 86400000 <= (SELECT epoch_us(max(time)) // 1000 - 3600000 FROM bus)"""),
+      FROM state s JOIN bus b ON b.traceid = s.traceid GROUP BY s.traceid"""),
     "choreography_stream": _sql("bus", """SELECT sha256('shop:event:' || e.type || ':' || e.id) AS event_id, e.type, e.traceid,
         'u' || user_id || '@example.com' AS email, tier, epoch_us(time) AS time_us
       FROM (SELECT b.id, b.traceid, b.user_id, b.tier, b.time,

@@ -97,10 +97,20 @@ def write_by_type(df: DataFrame, location: str, format: str = "parquet") -> None
     df.write.format(format).mode("append").partitionBy("type").save(location)
 
 
-def drain(query: StreamingQuery) -> int:
-    """Wait until an availableNow query has read everything there was; rows it read."""
-    query.awaitTermination()
-    return sum(p.numInputRows for p in query.recentProgress)
+def drain(query: StreamingQuery, poll_seconds: float = 0.2) -> int:
+    """Wait until an availableNow query has read everything there was; rows it read.
+
+    A query remembers its last 100 progress reports only, so they are gathered while it runs: call it
+    right after the start. A report that was already gone by then is an error, not a smaller number.
+    """
+    rows: dict[int, int] = {}
+    ended = False
+    while not ended:
+        ended = query.awaitTermination(poll_seconds)
+        rows.update({p.batchId: p.numInputRows for p in query.recentProgress})
+    if rows and sorted(rows) != list(range(min(rows), max(rows) + 1)):
+        raise RuntimeError("progress reports were lost between two polls")
+    return sum(rows.values())
 
 
 def read_to_end(spark: SparkSession, location: str, format: str = "json", **options: str) -> int:
@@ -166,15 +176,23 @@ def read_requests(
 ) -> DataFrame:
     """Request payloads dropped in a folder, as envelopes in `event`. Name and e-mail are trimmed.
 
-    The event id hashes the payload and the file it came in, so re-reading a file repeats its ids.
+    The event id hashes the payload, its file and, for JSON lines, its line, so equal requests differ and
+    re-reading a file repeats its ids. Each file of JSON lines is read whole: requests land in small files.
     """
     reader = spark.readStream if streaming else spark.read
-    rows = reader.format(format).schema(schema).load(location)
+    if format == "json":
+        files = reader.format("text").option("wholetext", True).load(location)
+        lines = files.select(F.col("_metadata.file_path").alias("__file"), F.posexplode(F.split("value", r"\r?\n")).alias("__at", "__line"))
+        rows = lines.filter(F.trim("__line") != "").select("__file", "__at", F.from_json("__line", schema).alias("__r"))
+        rows = rows.select("__file", "__at", "__r.*")
+    else:
+        rows = reader.format(format).schema(schema).load(location).withColumns(
+            {"__file": F.col("_metadata.file_path"), "__at": F.lit(0)})
     trimmed = rows.withColumns(
         {c: F.regexp_replace(c, _EDGES, "") for c in ("name", "email") if c in schema.fieldNames()}
     )
     payload = F.struct(*[F.col(c) for c in schema.fieldNames()])
-    key = F.concat_ws(":", F.input_file_name(), F.to_json(payload))
+    key = F.concat_ws(":", "__file", "__at", F.to_json(payload))
     return trimmed.withColumn("__key", key).select(
         new_event(F.lit(type_), payload, F.col("__key"), source, F.current_timestamp(), group=group).alias("event")
     )

@@ -7,21 +7,25 @@ per-trace states carry no watermark of their own and take late rows into account
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 from time import sleep
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from eventflow.operators.domain import dead_letter_event, payment_event_legacy
 from eventflow.operators.routing import signup_only
 from eventflow.operators.saga import PAYMENT_OUTCOMES, signup_flags, signup_state_of_flags
-from eventflow.operators.signals import seconds
+from eventflow.operators.signals import SENTIMENT_DELTA, window_means
 from eventflow.schemas import MAX_ATTEMPTS, REQUEST_TYPES
 from eventflow.sources.checkpoints import run_dir
 from eventflow.sources.logs import to_records
-from eventflow.streaming.processors import GreedyLimit, Timeouts
+from eventflow.streaming.processors import GreedyLimit, PreviousMean
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
+# No event is as late as this; the row that ends a bounded stream is. Nanoseconds since 1970 still hold it.
+END_OF_TIME = datetime(2200, 1, 1)
+CLOSING_TIME = datetime(2200, 1, 2)
 
 
 def use_rocksdb(spark: SparkSession) -> None:
@@ -51,26 +55,29 @@ def signup_state_sessions(df: DataFrame, idle: str, delay: str = "1 hour") -> Da
     )
 
 
-def payment_timeouts(
-    df: DataFrame, timeout: str = "5 minutes", delay: str = "1 minute", buckets: int = 64
-) -> DataFrame:
+def payment_timeouts(df: DataFrame, timeout: str = "5 minutes", delay: str = "1 minute") -> DataFrame:
     """First payment outcome per request within `timeout`, else TIMEOUT; one row per request, once the
     watermark has passed its deadline. Equals `saga.request_outcome` on what was not late.
 
-    Traces share state in `buckets` hash buckets; raise the number with the volume within
-    `timeout` + `delay`, which is what one bucket holds its part of.
+    A left outer interval join of the stream with itself, then the earliest match of each request; both
+    keep their state per trace and drop it with the watermark. Events without a time can have no deadline
+    and are left out.
     """
-    use_rocksdb(df.sparkSession)
-    wanted = df.filter(F.col("type").isin(*REQUEST_TYPES, *PAYMENT_OUTCOMES)).withWatermark("time", delay)
-    bucket = F.pmod(F.xxhash64("traceid"), F.lit(buckets)).cast("int")
-    return (
-        wanted.select(bucket.alias("bucket"), "traceid", "id", "type", F.unix_micros("time").alias("us"), "time")
-        .groupBy("bucket")
-        .transformWithStateInPandas(
-            statefulProcessor=Timeouts(seconds(timeout) * 1000, PAYMENT_OUTCOMES),
-            outputStructType="traceid STRING, id STRING, type STRING, outcome STRING, outcome_id STRING",
-            outputMode="Append", timeMode="EventTime",
-        )
+    timed = df.filter(F.col("time").isNotNull()).withWatermark("time", delay)
+
+    def some(types: tuple[str, ...]) -> DataFrame:
+        # one condition on the time as well, so that it is not moved below the watermark: every event counts there
+        return timed.filter(F.when(F.col("time") < F.lit(END_OF_TIME), F.col("type").isin(*types)).otherwise(F.lit(False)))
+
+    requests = some(REQUEST_TYPES).select("traceid", "id", "type", "time")
+    outcomes = some(PAYMENT_OUTCOMES).select(
+        F.col("traceid").alias("o_traceid"), F.col("id").alias("o_id"), F.col("type").alias("o_type"), F.col("time").alias("o_time")
+    )
+    in_time = F.col("o_time").between(F.col("time"), F.col("time") + F.expr(f"INTERVAL {timeout}"))
+    met = requests.join(outcomes, (F.col("traceid") == F.col("o_traceid")) & in_time, "left_outer")
+    first = F.min(F.when(F.col("o_id").isNotNull(), F.struct("o_time", "o_id", "o_type"))).alias("o")
+    return met.groupBy("traceid", "id", "type", "time").agg(first).select(
+        "traceid", "id", "type", F.coalesce("o.o_type", F.lit("TIMEOUT")).alias("outcome"), F.col("o.o_id").alias("outcome_id")
     )
 
 
@@ -78,10 +85,11 @@ def rate_limit_stream(
     alerts: DataFrame, key: str, time: str, interval_seconds: int, delay: str = "1 minute"
 ) -> DataFrame:
     """Streaming form of `rate_limit`: alerts pass in event-time order once the watermark is past
-    them. Alerts are rare by construction; the state of a key is its alerts within the delay."""
+    them. Alerts are rare by construction; the state of a key is its distinct alert times within the
+    delay. Alerts without a time are left out."""
     use_rocksdb(alerts.sparkSession)
     return (
-        alerts.select(F.col(key).alias("key"), F.col(time).alias("time"))
+        alerts.filter(F.col(time).isNotNull()).select(F.col(key).alias("key"), F.col(time).alias("time"))
         .withWatermark("time", delay)
         .withColumn("us", F.unix_micros("time"))
         .groupBy("key")
@@ -93,54 +101,120 @@ def rate_limit_stream(
     )
 
 
-def choreography(requests: DataFrame, decisions: DataFrame, source: str = "eventflow") -> DataFrame:
+def sentiment_spike_stream(
+    scored: DataFrame, width: str = "5 minutes", delta: float = SENTIMENT_DELTA, delay: str = "1 minute"
+) -> DataFrame:
+    """Streaming form of `signals.sentiment_spike`: a window is compared with the topic's previous
+    non-empty one as soon as the watermark has closed it. The state of a topic is one mean."""
+    use_rocksdb(scored.sparkSession)
+    means = window_means(scored.filter(F.col("ts").isNotNull()).withWatermark("ts", delay), width)
+    return (
+        means.groupBy("topic").transformWithStateInPandas(
+            statefulProcessor=PreviousMean(delta), outputMode="Append", timeMode="None",
+            outputStructType="topic STRING, window_start TIMESTAMP, posts LONG, mean_score DOUBLE, previous_mean DOUBLE",
+        )
+    )
+
+
+def choreography(
+    requests: DataFrame, decisions: DataFrame, source: str = "eventflow", within: str = "1 day", delay: str = "1 hour"
+) -> DataFrame:
     """Signup requests answered straight from the log, without an orchestrator: parsed requests in,
     log records of their payment outcome out.
 
-    `decisions` (traceid, payment_success) is what the payment provider answered. A request
+    `decisions` (traceid, payment_success) is what the payment provider answered. As a stream it also has
+    `decided_at` and waits for its request, or is waited for, up to `within` in event time. A request
     without a decision publishes nothing.
     """
-    answered = signup_only(requests).join(decisions, "traceid")
+    asked = signup_only(requests)
+    if not decisions.isStreaming:
+        return to_records(payment_event_legacy(asked.join(decisions, "traceid"), source))
+    asked = asked.filter(F.col("time").isNotNull()).withWatermark("time", delay)
+    decided = decisions.filter(F.col("decided_at").isNotNull()).withWatermark("decided_at", delay).select(
+        F.col("traceid").alias("__traceid"), "payment_success", "decided_at")
+    span = F.expr(f"INTERVAL {within}")
+    near = F.col("decided_at").between(F.col("time") - span, F.col("time") + span)
+    answered = asked.join(decided, (F.col("traceid") == F.col("__traceid")) & near).drop("__traceid", "decided_at")
     return to_records(payment_event_legacy(answered, source))
 
 
 def start_sink(
-    start: Callable[[DataFrame], None], dead_location: str, format: str = "json",
+    start: Callable[[DataFrame], DataFrame | None], dead_location: str, format: str = "json",
     max_attempts: int = MAX_ATTEMPTS, pause_seconds: float = 0.5, source: str = "eventflow",
 ) -> Callable[[DataFrame, int], None]:
-    """foreachBatch handler that hands each micro-batch of requests to `start`, with a bounded number
-    of tries, and dead-letters the batch when all of them failed.
+    """foreachBatch handler that hands requests to `start` with a bounded number of tries each, and
+    dead-letters those that failed in all of them.
 
-    Rows need id, type, traceid, time and the original text in `value`. The dead letters of a batch
-    replace its folder, so a replayed batch adds none twice.
+    `start` gives back the rows it could not start as (id, reason), or None if there are none; only those
+    are tried again. If it raises, all it was given count as failed. Rows need id, type, traceid, time
+    and the original text in `value`; ids are unique. The dead letters of a batch replace its folder, so
+    a replayed batch adds none twice; they carry the time of the last failure.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        reason = ""
+        spark = batch.sparkSession
+        root = run_dir(spark, "starts")
+        waiting = batch.withColumn("reason", F.lit("").cast("string"))
         for attempt in range(max_attempts):
             if attempt:
                 sleep(pause_seconds)
             try:
-                return start(batch)
+                failed = start(waiting.drop("reason"))
+                if failed is None:
+                    return
+                reasons = failed.select("id", F.col("reason").cast("string").alias("reason"))
+                waiting = waiting.drop("reason").join(reasons, "id")
             except Exception as error:  # noqa: BLE001 - any failure counts as a failed start
-                reason = str(error)
-        failed = dead_letter_event(batch.withColumn("reason", F.lit(reason)), source)
-        to_records(failed).write.format(format).mode("overwrite").save(f"{dead_location}/batch={batch_id}")
+                waiting = waiting.withColumn("reason", F.lit(str(error)))
+            path = f"{root}/{attempt}"
+            waiting.write.parquet(path)  # what is tried again must not change with another look at the failures
+            waiting = spark.read.schema(waiting.schema).parquet(path)
+            if waiting.isEmpty():
+                return
+        dead = dead_letter_event(waiting.withColumn("failed_at", F.current_timestamp()), source, failed_at="failed_at")
+        to_records(dead).write.format(format).mode("overwrite").save(f"{dead_location}/batch={batch_id}")
 
     return handle
 
 
 # --- running a bounded stream to its end ------------------------------------------------------
 
-def run_append(df: DataFrame, name: str) -> DataFrame:
-    """Run an append-mode stream over what is there now; its output as a batch DataFrame."""
+class Closing:
+    """A second input of a bounded stream that ends it.
+
+    It is empty until all else was read, and then holds one row without content, later than any deadline,
+    so that the watermark passes everything that waits. `stream` is the input together with it; give it
+    to the operators and this to `run_append`.
+    """
+
+    def __init__(self, stream: DataFrame, time: str):
+        self.spark, self.time = stream.sparkSession, time
+        self.schema = T.StructType([T.StructField(f.name, f.dataType) for f in stream.schema])
+        self.folder = run_dir(self.spark, "closing")
+        self._write([])
+        self.stream = stream.unionByName(self.spark.readStream.schema(self.schema).parquet(self.folder))
+
+    def _write(self, rows: list) -> None:
+        self.spark.createDataFrame(rows, self.schema).write.mode("append").parquet(self.folder)
+
+    def end(self) -> None:
+        self._write([tuple(CLOSING_TIME if f.name == self.time else None for f in self.schema)])
+
+
+def run_append(df: DataFrame, name: str, closing: Closing | None = None) -> DataFrame:
+    """Run an append-mode stream over what is there now; its output as a batch DataFrame. With `closing`
+    the stream is run once more to its very end, so that nothing is left waiting."""
     spark = df.sparkSession
     root = run_dir(spark, name)
-    query = (
-        df.writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
-        .option("checkpointLocation", f"{root}/checkpoint").option("path", f"{root}/data").start()
-    )
-    query.awaitTermination()
+
+    def run() -> None:
+        df.writeStream.format("parquet").outputMode("append").trigger(availableNow=True).option(
+            "checkpointLocation", f"{root}/checkpoint").option("path", f"{root}/data").start().awaitTermination()
+
+    run()
+    if closing is not None:
+        closing.end()
+        run()
     return spark.read.schema(df.schema).parquet(f"{root}/data")
 
 
@@ -160,7 +234,8 @@ def run_update(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
         .option("checkpointLocation", f"{root}/checkpoint").foreachBatch(land).start()
     )
     query.awaitTermination()
-    landed = spark.read.parquet(f"{root}/data")
+    schema = T.StructType([*df.schema.fields, T.StructField("batch", T.LongType())])
+    landed = spark.read.schema(schema).option("basePath", f"{root}/data").parquet(f"{root}/data*")
     rest = [c for c in df.columns if c not in keys]
     latest = landed.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("r"))
     return latest.select(*keys, "r.*")

@@ -1,4 +1,4 @@
-"""State transitions of the two keyed processors, the only Python that runs in streaming tasks.
+"""State transitions of the two keyed processors, the only Python that runs in streaming tasks of this package.
 
 The module imports nothing of this package and is shipped by value, so the workers need no copy.
 
@@ -47,61 +47,6 @@ class Alarm:
             self.at.update((ms,))
 
 
-class Timeouts(StatefulProcessor):
-    """Open requests and payment outcomes of the traces of one bucket. A request is resolved once the
-    watermark is past its deadline, when no earlier outcome can still arrive.
-
-    State is kept per bucket of traces and handled as whole frames, since a call per trace would
-    cost more than the work it does.
-    """
-
-    columns = ["traceid", "id", "type", "us"]
-
-    def __init__(self, timeout_ms: int, outcome_types: tuple[str, ...]) -> None:
-        self.timeout_ms = timeout_ms
-        self.step_ms = max(timeout_ms // 8, 1)
-        self.outcome_types = list(outcome_types)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.alarm = Alarm(handle)
-        self.events = handle.getListState("events", "traceid STRING, id STRING, type STRING, us LONG")
-
-    def _timers(self, us: pd.Series) -> pd.Series:
-        return grid_after(us // 1000 + self.timeout_ms, self.step_ms)
-
-    def handleInputRows(self, key, rows, timerValues):
-        for frame in rows:
-            self.events.appendList(list(frame[self.columns].itertuples(index=False, name=None)))
-            self.alarm.not_later_than(int(self._timers(frame["us"]).min()))
-        yield pd.DataFrame()
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        watermark = timerValues.getCurrentWatermarkInMs()
-        events = pd.DataFrame(list(self.events.get()), columns=self.columns).sort_values(["us", "id"])
-        answers = events["type"].isin(self.outcome_types)
-        requests, outcomes = events[~answers], events[answers]
-        open_ = self._timers(requests["us"]) >= watermark
-        # An outcome is kept for the open requests before it, and for those that may yet arrive: they
-        # are not older than the watermark.
-        oldest = requests.loc[open_, "us"].min() if open_.any() else watermark * 1000
-        kept = pd.concat([requests[open_], outcomes[outcomes["us"] >= min(oldest, watermark * 1000)]])
-        replace(self.events, list(kept.itertuples(index=False, name=None)))
-        # outcomes at or after the watermark are due for another look only once it has passed them
-        self.alarm.set(max(int(self._timers(kept["us"]).min()), watermark) if len(kept) else None)
-        due = requests[~open_]
-        if len(due):
-            found = pd.merge_asof(
-                due, outcomes.rename(columns={"type": "outcome", "id": "outcome_id"}), on="us", by="traceid",
-                direction="forward", tolerance=self.timeout_ms * 1000,
-            )
-            found["outcome"] = found["outcome"].fillna("TIMEOUT")
-            found["outcome_id"] = found["outcome_id"].where(found["outcome_id"].notna(), None)
-            yield found[["traceid", "id", "type", "outcome", "outcome_id"]]
-
-    def close(self) -> None:
-        pass
-
-
 class GreedyLimit(StatefulProcessor):
     """Alerts of one key waiting for the watermark, and the last one let through."""
 
@@ -150,6 +95,27 @@ class GreedyLimit(StatefulProcessor):
         pass
 
 
+class PreviousMean(StatefulProcessor):
+    """Mean score of a topic's last closed window. Windows reach it in the order of their ends."""
+
+    def __init__(self, delta: float) -> None:
+        self.delta = delta
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last", "mean DOUBLE")
+
+    def handleInputRows(self, key, rows, timerValues):
+        closed = pd.concat(list(rows)).sort_values("window_start")
+        before = self.last.get()[0] if self.last.exists() else float("nan")
+        closed["previous_mean"] = closed["mean_score"].shift(1, fill_value=before)
+        self.last.update((float(closed["mean_score"].iloc[-1]),))
+        moved = closed[(closed["mean_score"] - closed["previous_mean"]).abs() > self.delta]
+        yield moved[["topic", "window_start", "posts", "mean_score", "previous_mean"]]
+
+    def close(self) -> None:
+        pass
+
+
 def replace(state, values) -> None:
     state.clear()
     if values:

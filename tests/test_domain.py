@@ -124,7 +124,9 @@ def test_notification_outcome(rows):
                ("4", None, "{}")], "id STRING, notification_type STRING, j STRING").withColumns({
         "data": document(F.col("j")), "traceid": F.lit("t"), "time": F.lit(T0), "email": F.lit("e"),
         "name": F.lit("n"), "tier": F.lit("PRO")})
-    sent = domain.send_notification(df)
+    assert domain.send_notification(df).filter("id = '2'").first().notification_sent  # nobody named is no failure
+    sent = domain.send_notification(df.withColumn("dispatch_ok", F.col("id") != "2"))
+    assert "null" not in sent.filter("id = '2'").first().text
     out = {r.id: (r.notification_sent, r.fallback_used, r.notification_error, r.outcome_type) for r in sent.collect()}
     assert out == {
         "1": (True, False, "", "NotificationSentEvent"),
@@ -168,12 +170,12 @@ def test_envelope_roundtrip(rows):
 
 
 def test_missing_header_and_quarantine(rows):
-    df = rows([('{"type":"A","traceid":"t","data":{}}', None), ("broken", []), ('{"type":"B","data":null}', None)],
+    df = rows([('{"type":"A","traceid":"t","data":{},"time":"2024-01-01T00:00:00Z"}', None), ("broken", []), ('{"type":"B","data":null}', None)],
               "value STRING, headers ARRAY<STRUCT<key: STRING, value: BINARY>>")
     parsed = envelope.parse_envelope(envelope.event_type(df))
     good, bad = envelope.quarantine(parsed)
     assert [r.type for r in good.collect()] == ["A"]
-    assert {tuple(r.missing_fields) for r in bad.collect()} == {("type", "traceid", "data"), ("traceid", "data")}
+    assert {tuple(r.missing_fields) for r in bad.collect()} == {("type", "traceid", "data", "time"), ("traceid", "data", "time")}
 
 
 def test_copy_present(rows):

@@ -49,6 +49,22 @@ def test_stream_copy_and_drain(spark, records, tmp_path):
         logs.write_log(stream, str(tmp_path / "out"), "json")
 
 
+def test_drain_of_many_batches(spark, tmp_path):
+    spark.range(130).selectExpr("CAST(id AS STRING) AS key", "CAST(id AS STRING) AS value").repartition(130).write.json(str(tmp_path / "in"))
+    stream = spark.readStream.schema("key STRING, value STRING").option("maxFilesPerTrigger", 1).json(str(tmp_path / "in"))
+    query = logs.write_log(stream, str(tmp_path / "out"), "json", checkpoint=str(tmp_path / "cp"))
+    assert logs.drain(query) == 130 == logs.read_to_end(spark, str(tmp_path / "out"), "json")
+
+
+def test_equal_requests_are_different(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text('{"userId":"u","email":"a@b","name":"Al","tier":"pro"}\n' * 3)
+    read = lambda: logs.to_records(logs.read_requests(
+        spark, str(tmp_path / "in"), "SignupRequestedEvent", SIGNUP_REQUEST, "web"))
+    ids = [{(r.id, r.traceid) for r in envelope.parse_envelope(envelope.event_type(read())).collect()} for _ in range(2)]
+    assert len(ids[0]) == 3 and len({t for _, t in ids[0]}) == 3 and ids[0] == ids[1]
+
+
 def test_fan_out(spark, records, tmp_path):
     logs.write_log(records, str(tmp_path / "in"), "json")
     stream = envelope.event_type(logs.read_log(spark, str(tmp_path / "in"), "json", streaming=True))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -41,16 +39,23 @@ def test_signup_state(split_bus):
 
 def test_sessions(split_bus):
     bus, stream = split_bus
-    out = pipelines.run_append(pipelines.signup_state_sessions(stream, "2 days"), "t-sessions")
-    expected = saga.signup_state(bus)
-    assert out.select("traceid", "state").exceptAll(expected).isEmpty()
-    assert out.count() > expected.count() * 0.7
+    closing = pipelines.Closing(stream, "time")
+    out = pipelines.run_append(pipelines.signup_state_sessions(closing.stream, "2 days"), "t-sessions", closing)
+    same(out.select("traceid", "state"), saga.signup_state(bus))
 
 
 def test_dedup(split_bus):
     bus, stream = split_bus
     twice = stream.withColumn("n", F.explode(F.array(F.lit(1), F.lit(2)))).drop("n")
     same(pipelines.run_append(pipelines.dedup(twice), "t-dedup").select("id", "type"), bus.select("id", "type"))
+
+
+def test_dedup_across_batches(spark, split_bus, tmp_path):
+    bus, _ = split_bus
+    for i in range(2):
+        bus.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(bus.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    same(pipelines.run_append(pipelines.dedup(stream, "time", "60 days"), "t-dedup2").select("id", "type"), bus.select("id", "type"))
     assert pipelines.dedup(bus.unionByName(bus)).count() == bus.count()
 
 
@@ -63,44 +68,90 @@ def test_topic_counts(split_bus):
          signals.topic_counts(posts(bus), "1 day", "6 hours").select("topic", "window_start", "posts"))
 
 
-def test_payment_timeouts(split_bus):
+def with_untimed(spark, bus, tmp_path, n):
+    """The stream with some more rows whose time is null."""
+    folder = str(tmp_path / "untimed")
+    bus.limit(n).withColumn("time", F.lit(None).cast("timestamp")).write.parquet(folder)
+    return spark.readStream.schema(bus.schema).parquet(folder)
+
+
+def test_payment_timeouts(spark, split_bus, tmp_path):
+    bus, stream = split_bus
+    closing = pipelines.Closing(stream.unionByName(with_untimed(spark, bus, tmp_path, 9)), "time")
+    out = pipelines.run_append(pipelines.payment_timeouts(closing.stream, "6 hours", "10 days"), "t-timeouts", closing)
+    same(out, saga.request_outcome(bus, "6 hours").select("traceid", "id", "type", "outcome", "outcome_id"))
+
+
+def test_rate_limit(spark, split_bus, tmp_path):
+    bus, stream = split_bus
+    closing = pipelines.Closing(stream.unionByName(with_untimed(spark, bus, tmp_path, 9)), "time")
+    out = pipelines.run_append(pipelines.rate_limit_stream(closing.stream, "type", "time", 6 * 3600, "10 days"), "t-limit", closing)
+    same(out, rate_limit(bus, "type", "time", 6 * 3600))
+
+
+def test_sentiment_spike(split_bus):
     bus, stream = split_bus
-    out = pipelines.run_append(pipelines.payment_timeouts(stream, "6 hours", "10 days"), "t-timeouts")
-    batch = saga.request_outcome(bus, "6 hours").select("traceid", "id", "type", "outcome", "outcome_id")
-    assert out.count() > 50 and out.exceptAll(batch).isEmpty()
-    settled = bus.agg(F.max("time")).first()[0] - timedelta(days=10, hours=8)
-    older = saga.request_outcome(bus.filter(F.col("time") < settled), "6 hours").filter(
-        F.col("time") < settled - timedelta(hours=6))
-    assert older.select("id").exceptAll(out.select("id")).isEmpty()
+    scored = lambda df: df.select(F.col("type").alias("topic"), F.col("time").alias("ts"), (F.col("k") % 7 - 3).alias("score"))
+    closing = pipelines.Closing(scored(stream), "ts")
+    out = pipelines.run_append(pipelines.sentiment_spike_stream(closing.stream, "1 day", delay="10 days"), "t-spikes", closing)
+    rounded = lambda df: df.select("topic", "window_start", "posts", F.round("mean_score", 9), F.round("previous_mean", 9))
+    batch = rounded(signals.sentiment_spike(scored(bus), "1 day"))
+    assert batch.count() > 20
+    same(rounded(out), batch)
 
 
-def test_rate_limit(split_bus):
+def test_choreography_waits_for_late_decisions(spark, split_bus, tmp_path):
     bus, stream = split_bus
-    out = pipelines.run_append(pipelines.rate_limit_stream(stream, "type", "time", 6 * 3600, "10 days"), "t-limit")
-    batch = rate_limit(bus, "type", "time", 6 * 3600)
-    assert out.count() > 50 and out.exceptAll(batch).isEmpty()
-    settled = datetime(2024, 1, 19)
-    assert batch.filter(F.col("time") < settled).exceptAll(out).isEmpty()
+    parsed = lambda df: df.withColumn("data", F.to_variant_object(F.struct("tier")))
+    decided = bus.groupBy("traceid").agg((F.count("*") % 2 == 0).alias("payment_success"), F.max("time").alias("decided_at"))
+    expected = pipelines.choreography(parsed(bus), decided.drop("decided_at")).select("key", "value")
+    for i in range(3):  # decisions come in three files, whatever the order of their requests
+        decided.filter(F.pmod(F.xxhash64("traceid"), F.lit(3)) == i).coalesce(1).write.mode("append").parquet(str(tmp_path / "decided"))
+    decisions = spark.readStream.schema(decided.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "decided"))
+    out = pipelines.run_append(pipelines.choreography(parsed(stream), decisions, delay="60 days"), "t-choreography")
+    same(out.select("key", "value"), expected)
+
+
+def test_update_of_no_rows(spark, split_bus, tmp_path):
+    bus, _ = split_bus
+    bus.limit(0).write.parquet(str(tmp_path / "none"))
+    stream = spark.readStream.schema(bus.schema).parquet(str(tmp_path / "none"))
+    assert pipelines.run_update(saga.signup_state(stream), "t-none", ["traceid"]).count() == 0
 
 
 def test_start_or_dead_letter(spark, split_bus, tmp_path):
+    """One bad request of many is dead-lettered alone; a good one is started once, at the second try for some."""
     bus, stream = split_bus
     requests = routing.ingress_filter(stream.withColumn("value", F.col("id")))
-    tries = []
+    bad, slow = F.col("id").cast("int") % 10 == 3, F.col("id").cast("int") % 10 == 4
+    tries = {}
 
     def start(batch):
-        """Fails for good on odd batches, once on the others."""
-        tries.append(1)
-        if len(tries) % 2 or (len(tries) // 2) % 2 == 0:
-            raise RuntimeError("engine down" if len(tries) % 3 else " ")
-        batch.select("id").write.mode("append").parquet(str(tmp_path / "started"))
+        ids = frozenset(r.id for r in batch.select("id").collect())
+        again = any(ids < other for other in tries)
+        tries[ids] = again
+        failing = bad if again else bad | slow
+        batch.filter(~failing).select("id").write.mode("append").parquet(str(tmp_path / "started"))
+        return batch.filter(failing).select("id", F.lit("engine down").alias("reason"))
 
     sink = pipelines.start_sink(start, str(tmp_path / "dead"), pause_seconds=0)
-    query = requests.writeStream.trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "cp")).foreachBatch(sink).start()
-    query.awaitTermination()
-    started = spark.read.parquet(str(tmp_path / "started")) if (tmp_path / "started").exists() else None
+    requests.writeStream.trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "cp")).foreachBatch(sink).start().awaitTermination()
+    started = spark.read.parquet(str(tmp_path / "started"))
     dead = envelope.parse_envelope(envelope.event_type(spark.read.schema(LOG_RECORD).json(str(tmp_path / "dead"))))
+    wanted = routing.ingress_filter(bus)
+    same(started, wanted.filter(~bad).select("id"))
+    same(dead.select(field(F.col("data"), "originalMessage").alias("id")), wanted.filter(bad).select("id"))
     assert {r.type for r in dead.select("type").distinct().collect()} == {"ProcessStartFailedEvent"}
-    lost = dead.select(field(F.col("data"), "originalMessage").alias("id"))
-    assert started is not None and lost.intersect(started).isEmpty()
-    same(lost.unionByName(started), routing.ingress_filter(bus).select("id"))
+    assert {r.reason for r in dead.select(field(F.col("data"), "reason").alias("reason")).distinct().collect()} == {"engine down"}
+    assert dead.filter(F.col("time") < F.current_timestamp() - F.expr("INTERVAL 1 HOUR")).isEmpty()
+
+
+def test_start_that_always_raises(spark, split_bus, tmp_path):
+    bus, _ = split_bus
+    requests = routing.ingress_filter(bus.withColumn("value", F.col("id"))).limit(5)
+
+    def start(batch):
+        raise RuntimeError("down")
+
+    pipelines.start_sink(start, str(tmp_path / "dead"), pause_seconds=0)(requests, 0)
+    assert spark.read.schema(LOG_RECORD).json(str(tmp_path / "dead")).count() == 5
