@@ -28,7 +28,7 @@ from eventflow.llm.components import connected_components
 BITS = 64
 SEED = 42
 #: Fingerprints whose variants one task holds at a time.
-BLOCK = 4096
+BLOCK = 2048
 #: Variant codes that one bucket of the exchange gets, about.
 BUCKET = 2_000_000
 #: Values of the short code for each variant there is, at least (as a power of two).
