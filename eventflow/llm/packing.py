@@ -48,17 +48,21 @@ class ByteEncoder:
     characters that another version of Unicode may see differently are left to the file's own library.
     """
 
-    def __init__(self, definition: str):
+    def __init__(self, definition: str, ranks: dict[bytes, int], special: dict[str, int]):
+        self.definition, self.special = definition, special
+        self.ranked = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.cut = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
+        self.type = np.dtype("<u2" if max([*ranks.values(), *special.values()]) < 1 << 16 else "<u4")
+
+    @classmethod
+    def parts(cls, definition: str) -> tuple[str, dict[bytes, int], dict[str, int]]:
+        """What an encoder is made of, read from the file once and not by every worker."""
         spec = json.loads(definition)
-        vocab, self.definition = spec["model"]["vocab"], definition
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        vocab, special = spec["model"]["vocab"], {t["content"]: t["id"] for t in spec["added_tokens"]}
         made = [vocab["".join(m if isinstance(m, list) else m.split(" "))] for m in spec["model"]["merges"]]
         if made != sorted(made):
             raise ValueError("the vocabulary's ids do not follow its merges")
-        ranks = {bytes(map(BYTES.__getitem__, t)): i for t, i in vocab.items() if t not in self.special}
-        self.ranked = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
-        self.type = np.dtype("<u2" if max([*vocab.values(), *self.special.values()]) < 1 << 16 else "<u4")
+        return definition, {bytes(map(BYTES.__getitem__, t)): i for t, i in vocab.items() if t not in special}, special
 
     @cached_property
     def library(self) -> Tokenizer:
@@ -130,7 +134,7 @@ def tokenized(df: DataFrame, path: str, doc_id: str, text: str, source: str) ->
     A block is what one task read. The rows are written to the shared folder, so that blocks stay as they are.
     """
     with open(path, encoding="utf-8") as f:
-        definition = df.sparkSession.sparkContext.broadcast(f.read())
+        parts = df.sparkSession.sparkContext.broadcast(ByteEncoder.parts(f.read()))
     id_type = df.schema[doc_id].dataType.simpleString()
     schema = struct(f"doc_id {id_type}, source string, block int, block_start bigint, n bigint, ids binary")
     rows = df.select(
@@ -139,7 +143,7 @@ def tokenized(df: DataFrame, path: str, doc_id: str, text: str, source: str) ->
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, block, places = ByteEncoder(definition.value), TaskContext.get().partitionId(), {}
+        encoder, block, places = ByteEncoder(*parts.value), TaskContext.get().partitionId(), {}
         for batch in slices(batches):
             ids = encoder.encode(batch.column("text").to_pylist())
             sizes = [len(i) // encoder.type.itemsize for i in ids]

@@ -18,7 +18,7 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 def encoder():
     with open(PATH, encoding="utf-8") as f:
-        return packing.ByteEncoder(f.read())
+        return packing.ByteEncoder(*packing.ByteEncoder.parts(f.read()))
 
 
 def library_ids(texts):
