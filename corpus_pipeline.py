@@ -14,6 +14,8 @@ from eventflow.llm.common import read, remainder, written
 
 #: From this score on a document is rejected as toxic.
 TOXIC = 0.7
+#: What stands for a secret.
+MARK = "[SECRET]"
 
 
 def clean_of_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,8 +41,7 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with every secret found in their texts replaced by a mark."""
-    found = secrets.scan(docs, secrets.learn(docs), spans="__spans")
-    clean = secrets.redact(found, spans="__spans")
+    clean = secrets.scan(docs, secrets.learn(docs), spans="__spans", mark=MARK)
     length = F.when(F.size("__spans") > 0, F.length("text")).otherwise(F.col("n_chars"))
     return clean.withColumn("n_chars", length.cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 

@@ -272,12 +272,23 @@ def _take(found: DataFrame, limits: dict[str, int]) -> dict[str, list[str]]:
     return out
 
 
-def scan(df: DataFrame, formats: Formats, text: str = "text", spans: str = "spans") -> DataFrame:
+def cleaned(text: str, found: list[tuple[int, int, str]], mark: str) -> str:
+    """The text with each span replaced by the mark; overlapping spans become one."""
+    out, at = [], 0
+    for start, stop, _ in sorted(found):
+        if start >= at:
+            out += [text[at:start], mark]
+        at = max(at, stop)
+    return "".join([*out, text[at:]])
+
+
+def scan(df: DataFrame, formats: Formats, text: str = "text", spans: str = "spans", mark: str | None = None) -> DataFrame:
     """df with all secrets of the whole text: an array of (start, stop, kind), stop exclusive, in code points.
 
     Sorted by start, then kind as listed. Kinds are those of the fixed patterns, and "format" for what the
-    learned formats add; the latter never overlap the former. Null and empty texts have none. Repeated rows
-    stay, empty tables stay empty, and an input column of that name is replaced.
+    learned formats add; the latter never overlap the former. With a `mark` the text comes back with every
+    span replaced by it. Null and empty texts have no secrets and stay as they are. Repeated rows stay,
+    empty tables stay empty, and an input column named as the spans is replaced.
     """
     shared = df.sparkSession.sparkContext.broadcast(formats)
 
@@ -285,32 +296,20 @@ def scan(df: DataFrame, formats: Formats, text: str = "text", spans: str = "span
         model = shared.value
 
         def work(batch):
-            found = (model.spans(t or "") for t in batch.column(text).to_pylist())
-            return {spans: [[{"start": a, "stop": b, "kind": k} for a, b, k in s] for s in found]}
+            texts = batch.column(text).to_pylist()
+            found = [model.spans(t or "") for t in texts]
+            out = {spans: [[{"start": a, "stop": b, "kind": k} for a, b, k in s] for s in found]}
+            if mark is not None:
+                out[text] = [cleaned(t, s, mark) if s else t for t, s in zip(texts, found)]
+            return out
 
         return work
 
-    return append_columns(df, start, f"`{spans}` array<struct<start: bigint, stop: bigint, kind: string>>")
-
-
-def redact(df: DataFrame, text: str = "text", spans: str = "spans", mark: str = "[SECRET]") -> DataFrame:
-    """df with each span of the text replaced by the mark; overlapping spans become one. Null texts stay null."""
-
-    def start():
-        def clean(t, found):
-            if t is None or not found:
-                return t
-            out, at = [], 0
-            for s in sorted(found, key=lambda s: s["start"]):
-                if s["start"] >= at:
-                    out += [t[at : s["start"]], mark]
-                at = max(at, s["stop"])
-            return "".join([*out, t[at:]])
-
-        return lambda batch: {text: list(map(clean, batch.column(text).to_pylist(), batch.column(spans).to_pylist()))}
-
-    order = df.columns
-    return append_columns(df, start, f"`{text}` string").select(*[f"`{c}`" for c in order])
+    kind = f"`{spans}` array<struct<start: bigint, stop: bigint, kind: string>>"
+    if mark is None:
+        return append_columns(df, start, kind)
+    kept = [c for c in df.columns if c.lower() != spans.lower()]
+    return append_columns(df, start, f"{kind}, `{text}` string").select(*[f"`{c}`" for c in kept], f"`{spans}`")
 
 
 def listing(spans: str | Column, kinds: tuple[str, ...] = (*KINDS, LEARNED)) -> Column:
