@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from eventflow.operators.joins import lookup
-from eventflow.operators.ordered import BlockPlan, block_plan, running_sum
+from eventflow.operators.ordered import DAY, HOUR, running_sum
 
 PERCENTILES = (50, 95, 99)
 
@@ -75,14 +75,14 @@ def _rank_hit(kind: str, percentile: int, total: Column, cumulative: Column) ->
 
 def summarize_latencies(
     counts: DataFrame, by: Sequence[str], kind: str = "nearest", include_failed: bool = False,
-    extra: Sequence[str] = (), timed: bool = True, plan: BlockPlan | None = None,
+    extra: Sequence[str] = (), timed: bool = True, slot: float | None = None,
 ) -> DataFrame:
-    """Fold `latency_counts` into one row per label. Pass a block plan where a label may have more
-    distinct values than one task should order."""
+    """Fold `latency_counts` into one row per label. Pass a slot of the values where a label may have
+    more distinct ones than one task should order."""
     weight = F.col("__ok") + F.col("__failed") if include_failed else F.col("__ok")
     weight = F.when(F.col("__x").isNotNull(), weight).otherwise(F.lit(0))
     ranked = running_sum(
-        counts.withColumn("__n", weight), by, ["__x"], {"__cum": F.col("__n")}, plan, {"__total": "__cum"}
+        counts.withColumn("__n", weight), by, ["__x"], {"__cum": F.col("__n")}, slot, {"__total": "__cum"}
     )
     present = F.col("__n") > 0
     value = F.when(present, F.col("__x"))
@@ -134,17 +134,17 @@ def _starts(df: DataFrame, by: Sequence[str], time: str) -> DataFrame:
 
 
 def latency_since_start(
-    df: DataFrame, by: Sequence[str], time: str = "cb_ts", max_rows: int | None = None
+    df: DataFrame, by: Sequence[str], time: str = "cb_ts", slot_ms: float = HOUR * 1000
 ) -> DataFrame:
     """Summary where the latency of a record is its time since the first record of its label. These
-    values spread over the whole run, so a label with very many of them is cut into blocks."""
+    values spread over the whole run, so a label is cut into slots of them."""
     ticks = df.groupBy(*by, _ms(F.col(time)).alias("__ms")).agg(
         F.count_if("ok").alias("__ok"), F.count_if(~F.col("ok")).alias("__failed")
     )
     timed = lookup(ticks, _starts(df, by, time), by, F.col("__ms")).withColumns({
         "__x": F.col("__ms") - F.col("__start"), "__first": F.col("__ms"), "__last": F.col("__ms"),
     })
-    return summarize_latencies(timed, by, plan=block_plan(timed, by, ["__x"], max_rows))
+    return summarize_latencies(timed, by, slot=slot_ms)
 
 
 # --- throughput over time -------------------------------------------------------------------
@@ -180,20 +180,19 @@ def progress_samples(df: DataFrame, by: Sequence[str], time: str, width: str = "
     counts = df.groupBy(*by, F.window(time, width).end.alias("sampled_at")).agg(
         F.count(F.lit(1)).alias("processed")
     )
-    return running_sum(counts, by, ["sampled_at"], {"total": F.col("processed")})
+    return running_sum(counts, by, ["sampled_at"], {"total": F.col("processed")}, DAY)
 
 
 def progress_marks(
     df: DataFrame, by: Sequence[str], time: str, every: int = 1000, first: bool = True,
-    max_rows: int | None = None,
+    slot: float = HOUR,
 ) -> DataFrame:
     """Time at which every `every`-th record of a label (and record 1 if `first`) was processed.
 
     Marks are read off the running totals per timestamp, so no record is numbered one by one.
     """
     counts = df.groupBy(*by, F.col(time).alias("at")).agg(F.count(F.lit(1)).alias("__n"))
-    plan = block_plan(counts, by, ["at"], max_rows)
-    totals = running_sum(counts, by, ["at"], {"__total": F.col("__n")}, plan)
+    totals = running_sum(counts, by, ["at"], {"__total": F.col("__n")}, slot)
     before = F.col("__total") - F.col("__n")
     low = (F.floor(before / every) + 1) * every
     high = F.floor(F.col("__total") / every) * every
@@ -215,7 +214,7 @@ def consumer_lag(
     counts = moves.groupBy(*by, F.window("t", width).end.alias("at")).agg(
         F.sum("p").alias("__p"), F.sum("c").alias("__c")
     )
-    totals = running_sum(counts, by, ["at"], {"produced": F.col("__p"), "processed": F.col("__c")})
+    totals = running_sum(counts, by, ["at"], {"produced": F.col("__p"), "processed": F.col("__c")}, DAY)
     return totals.select(
         *by, "at", "produced", "processed", (F.col("produced") - F.col("processed")).alias("lag")
     )

@@ -1,248 +1,141 @@
 """Ordered windows that survive a hot group.
 
-A plain window sends each group to one task. Here a group above `max_rows` is cut into blocks at
-split points of its own order columns, each block is scanned on its own, and a small carry (one
-row per block) joins the pieces. Groups below the limit keep the plain window.
-
-`block_plan` looks for such groups with one counting job over the key columns. The number of split
-points is bounded: the limit grows with the data so that at most `MAX_HOT_GROUPS` groups are cut,
-into about `2 * MAX_HOT_GROUPS` blocks altogether, and only those rows are broadcast. Split points
-come from a hash of the order columns, so a recomputed task cuts exactly where the first one did.
-
-Order columns must identify a row within its group for the cut to help against copies of one row;
-callers collapse copies (counts per value) before they scan.
+A plain window sends each group to one task. Here a group is cut into slots of the first order column,
+such as the hours of a day, without looking at the data first: rows are shuffled once, by group and slot;
+every slot is scanned on its own; and one row per slot carries over what lies before it (or behind it),
+found by a window over the group's slots. These rows come from a second read of only the columns they
+need, combined on the map side. Nothing runs while a query is built.
+
+The first order column is a timestamp, and `slot` a number of seconds, or it is a number, and `slot` is in
+its unit. `slot=None` asks for the plain window, for groups known to be small. Copies of one row fall into
+one slot; callers collapse copies (counts per value) before they scan.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-MAX_GROUP_ROWS = 2_000_000
-MAX_HOT_GROUPS = 20_000
-MAX_GROUP_ROWS_CONF = "eventflow.maxGroupRows"
+MINUTE, HOUR, DAY = 60, 3_600, 86_400
 
-BLOCK = "__block"
-_CUT = "__cut"
+_GROUP = "__group"
+_BEFORE = (Window.unboundedPreceding, -1)
 
 
-@dataclass(frozen=True)
-class BlockPlan:
-    """Sorted split points of each oversized group."""
+def _slot(df: DataFrame, column: str, width: float) -> Column:
+    """Number of the slot a row falls into; null order values come first, in a slot of their own."""
+    kind = df.schema[column].dataType.simpleString()
+    value = F.unix_micros(F.col(column).cast("timestamp")) if kind.startswith("timestamp") else F.col(column)
+    scale = 1_000_000 if kind.startswith("timestamp") else 1
+    return F.coalesce(F.floor(value / F.lit(width * scale)).cast("bigint"), F.lit(-(2**63)).cast("bigint"))
 
-    keys: tuple[str, ...]
-    order: tuple[str, ...]
-    splits: DataFrame
-    longest: int
 
+def in_slots(df: DataFrame, keys: Sequence[str], order: Sequence[str], slot: float) -> DataFrame:
+    """Rows with their group and slot, in one struct, so that null keys are equal to each other."""
+    group = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], _slot(df, order[0], slot).alias("slot"))
+    return df.withColumn(_GROUP, group)
 
-def group_limit(df: DataFrame, max_rows: int | None) -> int:
-    """Rows one task may order: the argument, else the session setting, else the default."""
-    if max_rows is not None:
-        return max_rows
-    return int(df.sparkSession.conf.get(MAX_GROUP_ROWS_CONF, str(MAX_GROUP_ROWS)))
+
+def _window(parts: Sequence[str], order: Sequence[str], reverse: bool) -> WindowSpec:
+    return Window.partitionBy(*parts).orderBy(*[F.col(c).desc() if reverse else F.col(c).asc() for c in order])
 
 
 def _at(order: Sequence[str]) -> Column:
     return F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)])
 
 
-def _same(left: DataFrame, right: DataFrame, left_cols: Sequence[str], right_cols: Sequence[str]) -> Column:
-    pairs = [left[a].eqNullSafe(right[b]) for a, b in zip(left_cols, right_cols)]
-    return reduce(lambda a, b: a & b, pairs)
-
-
-def block_plan(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows: int | None = None
-) -> BlockPlan | None:
-    """Split points for the groups too large for one task, or None when there is no such group."""
-    limit = group_limit(df, max_rows)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    total, largest = counts.agg(F.sum("__n"), F.max("__n")).first()
-    limit = max(limit, (total or 0) // MAX_HOT_GROUPS)
-    if not largest or largest <= limit:
-        return None
-    hot_keys = [f"__h{i}" for i in range(len(keys))]
-    hot = counts.filter(F.col("__n") > limit).select(
-        *[F.col(k).alias(h) for k, h in zip(keys, hot_keys)],
-        F.ceil(F.col("__n") * 2 / F.lit(limit)).alias("__parts"),
-    )
-    rows = df.select(*keys, *[c for c in order if c not in keys])
-    sample = (
-        rows.join(F.broadcast(hot), _same(rows, hot, keys, hot_keys))
-        .withColumn("__hash", F.xxhash64(*order))
-        .groupBy(*hot_keys, F.pmod("__hash", "__parts").alias("__slot"))
-        .agg(F.min(F.struct("__hash", _at(order).alias("at"))).alias("pick"))
-        .groupBy(*hot_keys)
-        .agg(F.array_sort(F.collect_set("pick.at")).alias(_CUT))
-    )
-    points = sample.collect()  # at most about 2 * MAX_HOT_GROUPS split points, see the module note
-    splits = df.sparkSession.createDataFrame(points, sample.schema)
-    return BlockPlan(tuple(keys), tuple(order), splits, max(len(p[_CUT]) for p in points))
-
-
-def with_blocks(df: DataFrame, plan: BlockPlan | None, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Add the block number of each row: how many split points of its group lie below it."""
-    if plan is None:
-        return df.withColumn(BLOCK, F.lit(0))
-    hot_keys = [f"__h{i}" for i in range(len(keys))]
-    steps = [2**i for i in reversed(range(plan.longest.bit_length()))]
-    at = _at(order)
-    position = F.aggregate(
-        F.array(*[F.lit(s) for s in steps]),
-        F.lit(0),
-        lambda pos, step: F.when(F.get(F.col(_CUT), pos + step - 1) < at, pos + step).otherwise(pos),
-    )
-    joined = df.join(F.broadcast(plan.splits), _same(df, plan.splits, keys, hot_keys), "left")
-    return joined.withColumn(BLOCK, F.when(F.col(_CUT).isNull(), F.lit(-1)).otherwise(position)).drop(
-        _CUT, *hot_keys
-    )
-
-
-def _window(plan: BlockPlan | None, keys: Sequence[str], order: Sequence[str], reverse: bool):
-    parts = [*keys] if plan is None else [*keys, BLOCK]
-    return Window.partitionBy(*parts).orderBy(*[F.col(c).desc() if reverse else F.col(c).asc() for c in order])
-
-
-def _carry(
-    blocked: DataFrame, keys: Sequence[str], state: Column,
-    merge: Callable[[Column, Column], Column], reverse: bool,
+def _carried(
+    placed: DataFrame, keys: Sequence[str], state: Column, carry: Callable[[WindowSpec, WindowSpec], dict[str, Column]],
+    reverse: bool = False,
 ) -> DataFrame:
-    """State of everything before each block (after it when reversed), one row per block."""
-    per_block = blocked.filter(F.col(BLOCK) >= 0).groupBy(*keys, BLOCK).agg(state.alias("__state"))
-    listed = per_block.groupBy(*keys).agg(
-        F.sort_array(F.collect_list(F.struct(F.col(BLOCK).alias("b"), F.col("__state").alias("s"))), not reverse)
-        .alias("__all")  # bounded: one entry per block
-    )
-    before = F.transform(
-        F.col("__all"),
-        lambda entry, i: F.struct(
-            entry["b"].alias("b"),
-            F.when(
-                i > 0,
-                F.aggregate(
-                    F.slice(F.col("__all"), F.lit(2), F.greatest(i - 1, F.lit(0))),
-                    F.get(F.col("__all"), 0)["s"],
-                    lambda acc, x: merge(acc, x["s"]),
-                ),
-            ).alias("s"),
-        ),
-    )
-    carry_keys = [F.col(k).alias(f"__c{i}") for i, k in enumerate(keys)]
-    return (
-        listed.select(*carry_keys, F.explode(before).alias("e"))
-        .select("*", F.col("e.b").alias("__cb"), F.col("e.s").alias("__carry"))
-        .drop("e")
-    )
+    """One row per slot: its `__state`, and what `carry` makes of the states of the group's other slots.
 
+    `carry` gets the window over all earlier slots (later ones when reversed) and that over all slots.
+    """
+    group = [F.col(f"{_GROUP}.k{i}") for i in range(len(keys))]
+    at = F.col(f"{_GROUP}.slot")
+    whole = Window.partitionBy(F.struct(*group, F.lit(0).alias("all")))
+    before = whole.orderBy(at.desc() if reverse else at.asc()).rowsBetween(*_BEFORE)
+    per_slot = placed.groupBy(_GROUP).agg(state.alias("__state"))
+    carried = per_slot.withColumns(carry(before, whole))
+    return carried.withColumnRenamed(_GROUP, "__of").drop("__state")
 
-def _with_carry(
-    df: DataFrame, blocked: DataFrame, keys: Sequence[str], state: Column,
-    merge: Callable[[Column, Column], Column], reverse: bool,
-) -> DataFrame:
-    carry = _carry(blocked, keys, state, merge, reverse)
-    cond = _same(df, carry, [*keys, BLOCK], [*[f"__c{i}" for i in range(len(keys))], "__cb"])
-    return df.join(F.broadcast(carry), cond, "left").drop("__cb", *[f"__c{i}" for i in range(len(keys))])
+
+def _joined(local: DataFrame, carried: DataFrame) -> DataFrame:
+    return local.join(carried, F.col(_GROUP) == F.col("__of"), "left").drop("__of")
 
 
 def running_sum(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], sums: dict[str, Column],
-    plan: BlockPlan | None = None, totals: dict[str, str] | None = None,
+    slot: float | None = None, totals: dict[str, str] | None = None,
 ) -> DataFrame:
     """Inclusive running sums, nulls counting as 0. Rows that tie on the order columns get rising sums.
 
     `totals` names further columns for the sum over the whole group: new name -> name in `sums`.
     """
-    totals = totals or {}
-    blocked = with_blocks(df, plan, keys, order)
-    window = _window(plan, keys, order, False).rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(*keys) if plan is None else Window.partitionBy(*keys, BLOCK)
-    zero = F.lit(0)
-    local = blocked.withColumns(
-        {name: F.coalesce(F.sum(value).over(window), zero) for name, value in sums.items()}
-        | {name: F.coalesce(F.sum(sums[of]).over(whole), zero) for name, of in totals.items()}
-    )
-    if plan is None:
-        return local.drop(BLOCK)
-    state = F.struct(*[F.coalesce(F.sum(v), zero).alias(n) for n, v in sums.items()])
-    full = _with_carry(
-        local, blocked, keys, state,
-        lambda a, b: F.struct(*[(a[n] + b[n]).alias(n) for n in sums]), False,
-    ).withColumns({n: F.col(n) + F.coalesce(F.col("__carry")[n], zero) for n in sums}).drop("__carry")
-    if totals:
-        # one row per hot group, so bounded by MAX_HOT_GROUPS
-        hot = blocked.filter(F.col(BLOCK) >= 0).groupBy(
-            *[F.col(k).alias(f"__t{i}") for i, k in enumerate(keys)]
-        ).agg(*[F.sum(sums[of]).alias(f"__sum_{name}") for name, of in totals.items()])
-        full = full.join(
-            F.broadcast(hot), _same(full, hot, keys, [f"__t{i}" for i in range(len(keys))]), "left"
+    totals, zero = totals or {}, F.lit(0)
+    if slot is None:
+        window = _window(keys, order, False).rowsBetween(Window.unboundedPreceding, 0)
+        whole = Window.partitionBy(*keys)
+        return df.withColumns(
+            {name: F.coalesce(F.sum(value).over(window), zero) for name, value in sums.items()}
+            | {name: F.coalesce(F.sum(sums[of]).over(whole), zero) for name, of in totals.items()}
         )
-        full = full.withColumns({
-            name: F.when(F.col(BLOCK) >= 0, F.col(f"__sum_{name}")).otherwise(F.col(name)) for name in totals
-        }).drop(*[f"__t{i}" for i in range(len(keys))], *[f"__sum_{name}" for name in totals])
-    return full.drop(BLOCK)
+    placed = in_slots(df, keys, order, slot)
+    window = _window([_GROUP], order, False).rowsBetween(Window.unboundedPreceding, 0)
+    local = placed.withColumns({name: F.coalesce(F.sum(value).over(window), zero) for name, value in sums.items()})
+    state = F.struct(*[F.coalesce(F.sum(v), zero).alias(n) for n, v in sums.items()])
+    carried = _carried(placed, keys, state, lambda before, whole: {
+        "__carry": F.struct(*[F.coalesce(F.sum(F.col("__state")[n]).over(before), zero).alias(n) for n in sums]),
+        **{f"__total_{n}": F.sum(F.col("__state")[of]).over(whole) for n, of in totals.items()},
+    })
+    return _joined(local, carried).withColumns(
+        {n: F.col(n) + F.col("__carry")[n] for n in sums} | {n: F.col(f"__total_{n}") for n in totals}
+    ).drop(_GROUP, "__carry", *[f"__total_{n}" for n in totals])
 
 
 def numbered(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, max_rows: int | None = None
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, slot: float = DAY
 ) -> DataFrame:
     """1-based position of each row in its group."""
-    plan = block_plan(df, keys, order, max_rows)
-    if plan is None:
-        return df.withColumn(name, F.row_number().over(_window(None, keys, order, False)).cast("bigint"))
-    return running_sum(df, keys, order, {name: F.lit(1).cast("bigint")}, plan)
+    return running_sum(df, keys, order, {name: F.lit(1).cast("bigint")}, slot)
 
 
 def previous(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: dict[str, str],
-    max_rows: int | None = None,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: dict[str, str], slot: float = DAY
 ) -> DataFrame:
     """Values of the row before: `columns` maps new names to source columns."""
-    plan = block_plan(df, keys, order, max_rows)
-    blocked = with_blocks(df, plan, keys, order)
+    placed = in_slots(df, keys, order, slot)
     values = F.struct(*[F.col(src).alias(new) for new, src in columns.items()])
-    local = blocked.withColumn("__prev", F.lag(values).over(_window(plan, keys, order, False)))
-    if plan is not None:
-        state = F.max_by(values, _at(order))
-        local = _with_carry(local, blocked, keys, state, lambda _, b: b, False)
-        local = local.withColumn("__prev", F.coalesce("__prev", "__carry")).drop("__carry")
-    return local.withColumns({new: F.col("__prev")[new] for new in columns}).drop("__prev", BLOCK)
+    local = placed.withColumn("__prev", F.lag(values).over(_window([_GROUP], order, False)))
+    carried = _carried(placed, keys, F.max_by(values, _at(order)), lambda before, _: {"__carry": F.last("__state").over(before)})
+    return _joined(local, carried).withColumns(
+        {new: F.coalesce("__prev", "__carry")[new] for new in columns}
+    ).drop("__prev", "__carry", _GROUP)
 
 
 def next_known(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, name: str,
-    plan: BlockPlan | None,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, name: str, slot: float | None
 ) -> DataFrame:
     """First non-null `value` at or after each row: the forward as-of lookup."""
-    blocked = with_blocks(df.withColumn("__value", value), plan, keys, order)
-    window = _window(plan, keys, order, True).rowsBetween(Window.unboundedPreceding, 0)
-    local = blocked.withColumn(name, F.last("__value", ignorenulls=True).over(window))
-    if plan is not None:
-        state = F.min_by("__value", F.when(F.col("__value").isNotNull(), _at(order)))
-        local = _with_carry(local, blocked, keys, state, lambda a, b: F.coalesce(b, a), True)
-        local = local.withColumn(name, F.coalesce(name, "__carry")).drop("__carry")
-    return local.drop("__value", BLOCK)
+    asked = df.withColumn("__value", value)
+    if slot is None:
+        window = _window(keys, order, True).rowsBetween(Window.unboundedPreceding, 0)
+        return asked.withColumn(name, F.last("__value", ignorenulls=True).over(window)).drop("__value")
+    placed = in_slots(asked, keys, order, slot)
+    window = _window([_GROUP], order, True).rowsBetween(Window.unboundedPreceding, 0)
+    local = placed.withColumn(name, F.last("__value", ignorenulls=True).over(window))
+    first = F.min_by("__value", F.when(F.col("__value").isNotNull(), _at(order)))
+    carried = _carried(
+        placed, keys, first, lambda before, _: {"__carry": F.last("__state", ignorenulls=True).over(before)}, reverse=True
+    )
+    return _joined(local, carried).withColumn(name, F.coalesce(name, "__carry")).drop("__value", "__carry", _GROUP)
 
 
 def running_state(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str,
-    local: Callable[[DataFrame, WindowSpec], DataFrame], merge: Callable[[Column, Column], Column],
-    plan: BlockPlan | None, reverse: bool = False,
+    local: Callable[[DataFrame, WindowSpec], DataFrame], reverse: bool = False,
 ) -> DataFrame:
-    """Running value of any mergeable state, in column `name`.
-
-    `local` adds it for the rows of one window; `merge(earlier, later)` joins the states of two
-    adjacent stretches. The state of a whole block is the one at its last row.
-    """
-    blocked = with_blocks(df, plan, keys, order)
-    window = _window(plan, keys, order, reverse).rowsBetween(Window.unboundedPreceding, 0)
-    out = local(blocked, window)
-    if plan is None:
-        return out.drop(BLOCK)
-    whole = (F.min_by if reverse else F.max_by)(F.col(name), _at(order))
-    full = _with_carry(out, out, keys, whole, merge, reverse)
-    both = F.when(F.col("__carry").isNull(), F.col(name)).otherwise(merge(F.col("__carry"), F.col(name)))
-    return full.withColumn(name, both).drop("__carry", BLOCK)
+    """Running value of any state, in column `name`, within groups that are slots already."""
+    return local(df, _window(keys, order, reverse).rowsBetween(Window.unboundedPreceding, 0))

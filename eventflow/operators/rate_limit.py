@@ -13,10 +13,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from eventflow.operators.joins import lookup
-from eventflow.operators.ordered import block_plan, next_known
+from eventflow.operators.ordered import next_known
 from eventflow.sources.checkpoints import ensure_checkpoint_dir
 
 FOLD_LIMIT = 20_000
+#: Intervals in a slot of the as-of lookup.
+SLOT_WIDTHS = 64
 
 
 def rate_limit(
@@ -67,7 +69,7 @@ def _double(times: DataFrame, key: str, width: int) -> DataFrame:
     both = base.select(key, F.col("t").alias("src"), F.inline(F.array(node, probe)))
     keys, order = [key], ["at", "kind", "src"]
     linked = next_known(
-        both, keys, order, F.when(F.col("kind") == 1, F.col("at")), "jump", block_plan(both, keys, order)
+        both, keys, order, F.when(F.col("kind") == 1, F.col("at")), "jump", SLOT_WIDTHS * width
     ).filter("kind = 0")
 
     first = base.groupBy(key).agg(F.min("t").alias("__first"))

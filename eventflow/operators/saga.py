@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from eventflow.functions.scalar import blank_or_null, case, is_paid_tier, normalize_tier
-from eventflow.operators.ordered import block_plan, next_known, numbered
+from eventflow.operators.ordered import DAY, next_known, numbered
 from eventflow.schemas import (
     ACCOUNT_ACTIVATED_EVENT, ACCOUNT_DEACTIVATED, ACTIVATION_FAILED, DEACTIVATION_REQUESTED,
     MAX_ATTEMPTS, NOTIFICATION_FAILED, NOTIFICATION_SENT, PAYMENT_FAILED, PAYMENT_RECEIVED,
@@ -43,10 +43,10 @@ def _position() -> Column:
 
 # --- timeline -------------------------------------------------------------------------------
 
-def trace_timeline(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+def trace_timeline(df: DataFrame, slot: float = DAY) -> DataFrame:
     """All events of each trace with their position in time order, one row per event."""
     events = df.select("traceid", "time", "id", "type")
-    return numbered(events, ["traceid"], ["time", "id"], "seq", max_rows)
+    return numbered(events, ["traceid"], ["time", "id"], "seq", slot)
 
 
 # --- outcome of each kind of transaction ----------------------------------------------------
@@ -208,7 +208,7 @@ def parallel_ready(df: DataFrame) -> DataFrame:
 
 # --- correlation ----------------------------------------------------------------------------
 
-def request_outcome(df: DataFrame, timeout: str = PAYMENT_TIMEOUT, max_rows: int | None = None) -> DataFrame:
+def request_outcome(df: DataFrame, timeout: str = PAYMENT_TIMEOUT, slot: float = DAY) -> DataFrame:
     """First payment outcome of the same trace within `timeout` of each request, else TIMEOUT.
 
     An as-of lookup in one ordered pass over requests and outcomes together, not a join of all
@@ -219,7 +219,7 @@ def request_outcome(df: DataFrame, timeout: str = PAYMENT_TIMEOUT, max_rows: int
     )
     outcome = F.when(F.col("is_outcome"), F.struct("time", "id", "type"))
     keys, order = ["traceid"], ["time", "is_outcome", "id"]
-    found = next_known(both, keys, order, outcome, "outcome", block_plan(both, keys, order, max_rows))
+    found = next_known(both, keys, order, outcome, "outcome", slot)
     in_time = F.col("outcome.time") <= F.col("time") + F.expr(f"INTERVAL {timeout}")
     hit = F.when(in_time, F.col("outcome"))
     return found.filter("NOT is_outcome").select(
@@ -313,10 +313,10 @@ def refund_follow_up(df: DataFrame) -> DataFrame:
 
 # --- retries --------------------------------------------------------------------------------
 
-def payment_attempts(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+def payment_attempts(df: DataFrame, slot: float = DAY) -> DataFrame:
     """Payment events with their attempt number within the trace."""
     payments = df.filter(_is(*PAYMENT_OUTCOMES)).select("traceid", "time", "id", "type", "retry_payment")
-    return numbered(payments, ["traceid"], ["time", "id"], "attempt", max_rows)
+    return numbered(payments, ["traceid"], ["time", "id"], "attempt", slot)
 
 
 def retries_exhausted(df: DataFrame, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from eventflow.operators.ordered import block_plan, group_limit, next_known, running_state
+from eventflow.operators.ordered import next_known, running_state
 
 MARKET_DROP_PERCENT = 3.0
 MARKET_SPIKE_PERCENT = 5.0
@@ -35,7 +35,7 @@ def quotes(prices: DataFrame) -> DataFrame:
     return prices.groupBy("symbol", "ts", "price").agg(F.count(F.lit(1)).alias("copies"))
 
 
-def price_change(prices: DataFrame, horizon: str = "1 hour", max_rows: int | None = None) -> DataFrame:
+def price_change(prices: DataFrame, horizon: str = "1 hour") -> DataFrame:
     """Percent change of each quote against the earliest price in its trailing horizon (the lowest
     one where several share that time). A zero base price gives null."""
     q = quotes(prices)
@@ -47,7 +47,7 @@ def price_change(prices: DataFrame, horizon: str = "1 hour", max_rows: int | Non
     keys, order = ["symbol"], ["at", "kind", "price", "ts"]
     found = next_known(
         both, keys, order, F.when(F.col("kind") == 1, F.col("price")), "base_price",
-        block_plan(both, keys, order, max_rows),
+        seconds(horizon),
     )
     change = F.try_divide(F.col("price") - F.col("base_price"), F.col("base_price")) * 100.0
     return found.filter("kind = 0").select(
@@ -93,7 +93,7 @@ def _add_spread(name: str):
 
 
 def volatility(
-    prices: DataFrame, threshold: float | None = None, horizon: str = "1 hour", max_rows: int | None = None
+    prices: DataFrame, threshold: float | None = None, horizon: str = "1 hour"
 ) -> DataFrame:
     """Sample standard deviation over the trailing horizon, per (symbol, time); null for a single
     price. With a threshold only the rows above it are kept."""
@@ -108,11 +108,9 @@ def volatility(
         )
         .withColumn("bucket", F.floor(F.col("at") / F.lit(width)))
     )
-    # A group of the lookup below holds the ticks of two buckets, hence half the limit here: without
-    # a group above it there is none to cut there either.
-    plan = block_plan(ticks, keys, order, group_limit(ticks, max_rows) // 2)
-    head = running_state(ticks, keys, order, "head", _add_spread("head"), _merge_spread, plan)
-    both = running_state(head, keys, order, "tail", _add_spread("tail"), _merge_spread, plan, reverse=True)
+    # a symbol is spread over its buckets already, with one row per distinct time
+    head = running_state(ticks, keys, order, "head", _add_spread("head"))
+    both = running_state(head, keys, order, "tail", _add_spread("tail"), reverse=True)
 
     # Each tick as itself and, one horizon earlier in the bucket before, as the question which tick
     # its frame starts with.
@@ -123,9 +121,8 @@ def volatility(
     asked = both.select(
         "symbol", "at", "last_price", "head", "tail", F.inline(F.array(tick, start))
     )
-    pairs = None if plan is None else block_plan(asked, keys, ["pos", "kind"], max_rows)
     framed = next_known(
-        asked, keys, ["pos", "kind"], F.when(F.col("kind") == 1, F.col("tail")), "before", pairs
+        asked, keys, ["pos", "kind"], F.when(F.col("kind") == 1, F.col("tail")), "before", None
     ).filter("kind = 0")
     whole = F.when(F.col("before").isNull(), F.col("head")).otherwise(
         _merge_spread(F.col("before"), F.col("head"))

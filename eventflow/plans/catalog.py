@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -15,7 +16,7 @@ from eventflow.operators.rate_limit import rate_limit
 from eventflow.plans import adapters as views
 from eventflow.schemas import (
     ACTIVATION_FAILED, NOTIFICATION_SENT, PAYMENT_FAILED, PAYMENT_RECEIVED,
-    PROCESS_START_FAILED_EVENT, REQUEST_TYPES, SIGNUP_REQUESTED, TECHNICAL_ERROR,
+    PROCESS_START_FAILED_EVENT, REQUEST_TYPES, SIGNUP_REQUEST, SIGNUP_REQUESTED, TECHNICAL_ERROR,
 )
 from eventflow.sources import logs
 from eventflow.sources.checkpoints import run_dir
@@ -173,12 +174,12 @@ def scalar_functions(spark, sf):
 
 @query
 def validate_accounts(spark, sf):
-    return domain.validate_signup(views.accounts(spark, sf)).select("user_id", "validation_error", "tier")
+    return domain.handler("validate-signup")(views.accounts(spark, sf)).select("user_id", "validation_error", "tier")
 
 
 @query
 def price_accounts(spark, sf):
-    rated = domain.assess_payment_eligibility(views.accounts(spark, sf)).withColumn(
+    rated = domain.handler("assess-payment-eligibility")(views.accounts(spark, sf)).withColumn(
         "price_cents", price_for_tier(F.col("tier"))
     )
     paid, free = routing.payment_required_gate(rated)
@@ -190,7 +191,7 @@ def price_accounts(spark, sf):
 @query
 def upgrade_plan(spark, sf):
     targets = views.accounts(spark, sf).withColumnRenamed("tier", "target_tier")
-    return domain.apply_tier_upgrade(targets).select("user_id", "upgrade_applied", "upgrade_error", "tier")
+    return domain.handler("apply-tier-upgrade")(targets).select("user_id", "upgrade_applied", "upgrade_error", "tier")
 
 
 _RENDERED = routing.LOG_TEMPLATES | routing.COMMAND_TEMPLATES
@@ -725,6 +726,92 @@ def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
     return spark.readStream.schema(static.schema).option("maxFilesPerTrigger", 16).parquet(f"{sf}/events.parque[t]")
 
 
+@query
+def landed_log(spark, sf):
+    """The log written, streamed on to its end, and read back: all of it, and what a late subscriber gets."""
+    root = run_dir(spark, "landed")
+    logs.write_log(views.raw_log(views.bus(spark, sf)), f"{root}/in", "parquet")
+    stream = logs.read_log(spark, f"{root}/in", "parquet", streaming=True)
+    moved = logs.drain(logs.write_log(stream, f"{root}/out", "parquet", checkpoint=f"{root}/checkpoint"))
+    back = logs.read_log(spark, f"{root}/out", "parquet")
+    late = logs.after_cutoff(back, F.lit(CUTOFF).cast("timestamp"), "timestamp")
+    parts = [part.withColumn("policy", F.lit(policy)) for policy, part in (("earliest", back), ("latest", late))]
+    both = envelope.event_type(parts[0].unionByName(parts[1]))
+    return both.groupBy("policy", F.col("event_type").alias("type")).agg(F.count(F.lit(1)).alias("events")).withColumn(
+        "moved", F.lit(moved).cast("bigint")
+    )
+
+
+@query
+def accepted_and_dead(spark, sf):
+    """Two subscribers of one log, each with all of it: one splits good records from dead letters, one counts."""
+    root = run_dir(spark, "split")
+    bus = views.bus(spark, sf)
+    broken = views.raw_log(bus.filter("k % 9 = 0")).withColumn("value", F.lit("{broken"))
+    logs.write_log(views.raw_log(bus.filter("k % 9 <> 0")).unionByName(broken), f"{root}/in", "parquet")
+    stream = logs.read_log(spark, f"{root}/in", "parquet", streaming=True)
+
+    def accept(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+        good, bad = envelope.quarantine(envelope.parse_envelope(envelope.event_type(batch)), ("type", "data", "time"))
+        return good.select("key", "value"), bad.select("key", "value")
+
+    def count(batch: DataFrame, batch_id: int) -> None:
+        logs.write_report(batch.agg(F.count(F.lit(1)).alias("records")), f"{root}/seen/batch={batch_id}")
+
+    subscribers = {"split": logs.split_sink(accept, f"{root}/good", f"{root}/dead", "parquet"), "count": count}
+    for running in logs.fan_out(stream, subscribers, f"{root}/checkpoints").values():
+        running.awaitTermination()
+    logs.write_dead_letter(broken.select("key", "value"), f"{root}/again", "parquet")
+    sides = [spark.read.schema("key STRING, value STRING").parquet(f"{root}/{side}").agg(
+        F.lit(side).alias("side"), F.count(F.lit(1)).alias("records")) for side in ("good", "dead", "again")]
+    seen = spark.read.parquet(f"{root}/seen").agg(F.lit("seen").alias("side"), F.sum("records").alias("records"))
+    return reduce(DataFrame.unionByName, [*sides, seen])
+
+
+@query
+def landed_requests(spark, sf):
+    """Request payloads dropped in a folder, every third one twice, each an event of its own."""
+    folder = run_dir(spark, "requests")
+    payload = views.accounts(spark, sf).select(
+        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("userId"), "email", F.concat(F.lit("  "), "name").alias("name"),
+        "tier", F.explode(F.when(F.col("user_id") % 3 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy"))
+    payload.drop("copy").write.json(folder)
+    events = logs.read_requests(spark, folder, SIGNUP_REQUESTED, SIGNUP_REQUEST, "web")
+    parsed = envelope.extract_variables(envelope.parse_envelope(envelope.event_type(logs.to_records(events))))
+    return parsed.groupBy("type", F.col("userId").alias("user_id"), "name").agg(
+        F.countDistinct("id").alias("events"), F.countDistinct("traceid").alias("traces"))
+
+
+@query
+def written_report(spark, sf):
+    """The delivery results as they are persisted, read back."""
+    folder = run_dir(spark, "report")
+    logs.write_report(delivery.report_rows(delivery.delivery_result(views.deliveries(spark, sf))), folder, "csv")
+    schema = "rf INT, acks STRING, phase STRING, attempted BIGINT, sent BIGINT, sendFailed BIGINT, consumed BIGINT, dropped BIGINT"
+    found = spark.read.option("header", "true").csv(folder)
+    return found.selectExpr(*[f"CAST({c.split()[0]} AS {c.split()[1]}) AS {c.split()[0]}" for c in schema.split(", ") if c.split()[0] in found.columns])
+
+
+@query
+def started_requests(spark, sf):
+    """Requests of a stream started one by one: those that fail every time are dead-lettered alone."""
+    root = run_dir(spark, "starting")
+    requests = routing.ingress_filter(views.bus_of(views.ev_of(_event_stream(spark, sf)))).withColumn("value", F.col("id"))
+    bad = F.col("k") % 10 == 3
+
+    def start(batch: DataFrame) -> DataFrame:
+        batch.filter(~bad).select("id", "type").write.mode("append").parquet(f"{root}/started")
+        return batch.filter(bad).select("id", F.lit("engine down").alias("reason"))
+
+    sink = pipelines.start_sink(start, f"{root}/dead", "parquet", pause_seconds=0)
+    requests.writeStream.trigger(availableNow=True).option("checkpointLocation", f"{root}/checkpoint").foreachBatch(sink).start().awaitTermination()
+    started = spark.read.schema("id STRING, type STRING").parquet(f"{root}/started").withColumn("outcome", F.lit("started"))
+    dead = envelope.parse_envelope(envelope.event_type(logs.read_log(spark, f"{root}/dead", "parquet")))
+    lost = dead.select(field(F.col("data"), "originalMessage").alias("id"), field(F.col("data"), "originalType").alias("type"),
+                       F.lit("dead letter").alias("outcome"))
+    return started.unionByName(lost)
+
+
 @query
 def saga_state_stream(spark, sf):
     bus = views.bus_of(views.ev_of(_event_stream(spark, sf)))

@@ -547,6 +547,18 @@ ORACLES: dict[str, str] = {
         CASE WHEN l_linenumber % 4 = 3 THEN CAST(l_linenumber AS BIGINT) END AS thread,
         CASE WHEN l_linenumber % 4 = 0 THEN l_linenumber END AS rf,
         CASE WHEN l_linenumber % 4 = 0 THEN 'all' END AS acks FROM lineitem""",
+    "landed_log": _sql("bus", """SELECT policy, type, count(*) AS events, (SELECT count(*) FROM bus) AS moved
+      FROM (SELECT 'earliest' AS policy, type FROM bus UNION ALL
+        SELECT 'latest', type FROM bus WHERE time > TIMESTAMP '2024-01-16') GROUP BY policy, type"""),
+    "accepted_and_dead": _sql("bus", """SELECT 'good' AS side, count_if(k % 9 <> 0) AS records FROM bus
+      UNION ALL SELECT 'dead', count_if(k % 9 = 0) FROM bus UNION ALL SELECT 'again', count_if(k % 9 = 0) FROM bus
+      UNION ALL SELECT 'seen', count(*) FROM bus"""),
+    "landed_requests": _sql("accounts", """SELECT 'SignupRequestedEvent' AS type, 'u' || user_id AS user_id, trim(name) AS name,
+        CASE WHEN user_id % 3 = 0 THEN 2 ELSE 1 END AS events, CASE WHEN user_id % 3 = 0 THEN 2 ELSE 1 END AS traces FROM accounts"""),
+    "written_report": _sql("results", """SELECT rf, acks, phase, attempted, sent, failed AS sendFailed, consumed, lost AS dropped
+      FROM results"""),
+    "started_requests": _sql("bus", """SELECT id, type, CASE WHEN k % 10 = 3 THEN 'dead letter' ELSE 'started' END AS outcome
+      FROM bus WHERE type LIKE '%RequestedEvent'"""),
     "saga_state_stream": _sql("state", "SELECT traceid, state FROM state"),
     "topic_counts_stream": _sql("windows", "SELECT topic, window_start_us, posts FROM windows"),
     "dedup_stream": _sql("bus", "SELECT id, type, traceid, epoch_us(time) AS time_us FROM bus"),

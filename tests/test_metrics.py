@@ -61,7 +61,7 @@ def test_buckets(rows):
 def test_latency_since_start_in_blocks(rows):
     df = rows([(label, 0, i % 3 > 0, T0 + timedelta(milliseconds=i * i)) for label in "ab" for i in range(200)], PROBES)
     plain = metrics.latency_since_start(df, ["label"])
-    cut = metrics.latency_since_start(df, ["label"], max_rows=20)
+    cut = metrics.latency_since_start(df, ["label"], slot_ms=20)
     assert plain.exceptAll(cut).isEmpty() and plain.count() == cut.count() == 2
 
 
@@ -69,8 +69,8 @@ def test_progress(rows):
     df = rows([("a", T0 + timedelta(seconds=i // 7)) for i in range(50)] + [("b", T0)], "label STRING, at_ts TIMESTAMP")
     samples = metrics.progress_samples(df, ["label"], "at_ts").filter("label = 'a'").orderBy("sampled_at").collect()
     assert [(r.processed, r.total) for r in samples] == [(35, 35), (15, 50)]
-    for max_rows in (None, 2):
-        marks = metrics.progress_marks(df, ["label"], "at_ts", 10, max_rows=max_rows).collect()
+    for slot in (3600, 2):
+        marks = metrics.progress_marks(df, ["label"], "at_ts", 10, slot=slot).collect()
         expected = {("a", n, T0 + timedelta(seconds=(n - 1) // 7)) for n in (1, 10, 20, 30, 40, 50)} | {("b", 1, T0)}
         assert {(r.label, r.record, r["at"]) for r in marks} == expected
 
@@ -127,17 +127,17 @@ def test_offset_reset(rows):
 OBS = "topic STRING, partition INT, obs_id INT, observed_at TIMESTAMP, leader INT, isr ARRAY<INT>, replicas ARRAY<INT>"
 
 
-@pytest.mark.parametrize("max_rows", [None, 1])
-def test_cluster(rows, max_rows):
+@pytest.mark.parametrize("slot", [86_400, 1])
+def test_cluster(rows, slot):
     leaders = [1, 1, 2, None, 2]
     isrs = [[1, 2], [1, 2], [2, 1], [], [1]]
     df = rows([("t", 0, i, T0 + timedelta(seconds=i), leader, isr, [1, 2, 3]) for i, (leader, isr) in enumerate(zip(leaders, isrs))], OBS)
-    changes = cluster.leader_changes(df, max_rows=max_rows)
+    changes = cluster.leader_changes(df, slot=slot)
     assert [(r.old_leader, r.new_leader) for r in changes.orderBy("observed_at").collect()] == [(1, 2), (2, -1), (-1, 2)]
-    gaps = cluster.failover_time(changes, max_rows=max_rows).orderBy("observed_at").collect()
+    gaps = cluster.failover_time(changes, slot=slot).orderBy("observed_at").collect()
     assert [r.gap_ms for r in gaps] == [None, 1000, 1000]
-    ordered = cluster.isr_changes(df, max_rows=max_rows).orderBy("observed_at").collect()
+    ordered = cluster.isr_changes(df, slot=slot).orderBy("observed_at").collect()
     assert [(r.old_isr, r.new_isr) for r in ordered] == [("1,2", "2,1"), ("2,1", ""), ("", "1")]
-    assert cluster.isr_changes(df, as_set=True, max_rows=max_rows).count() == 2
+    assert cluster.isr_changes(df, as_set=True, slot=slot).count() == 2
     state = cluster.cluster_state(df.filter("obs_id < 4")).first()
     assert (state.leader, state.isr, state.replicas) == ("NONE", "", "1,2,3")

@@ -31,56 +31,69 @@ def same(a, b):
     assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
 
-def test_plan_splits_only_large_groups(skewed):
-    assert ordered.block_plan(skewed, KEYS, ORDER, 10_000) is None
-    plan = ordered.block_plan(skewed, KEYS, ORDER, 300)
-    assert [r["__h0"] for r in plan.splits.collect()] == ["hot"]
-    blocks = ordered.with_blocks(skewed, plan, KEYS, ORDER).filter("k = 'hot'").groupBy(ordered.BLOCK).count()
-    sizes = [r["count"] for r in blocks.collect()]
-    assert sum(sizes) == 2000 and len(sizes) > 5 and max(sizes) < 1000
-
-
-def test_configured_limit(skewed, spark):
-    spark.conf.set(ordered.MAX_GROUP_ROWS_CONF, "300")
-    try:
-        assert ordered.block_plan(skewed, KEYS, ORDER) is not None
-    finally:
-        spark.conf.unset(ordered.MAX_GROUP_ROWS_CONF)
-
-
-def test_number_of_blocks_is_bounded(skewed, monkeypatch):
-    monkeypatch.setattr(ordered, "MAX_HOT_GROUPS", 4)
-    plan = ordered.block_plan(skewed, KEYS, ORDER, 1)
-    assert plan is None or plan.splits.count() <= 4
-
-
-def test_numbered(skewed, window):
-    same(ordered.numbered(skewed, KEYS, ORDER, "n", 300),
+@pytest.mark.parametrize("slot", [1, 37, 10_000])
+def test_numbered(skewed, window, slot):
+    same(ordered.numbered(skewed, KEYS, ORDER, "n", slot),
          skewed.withColumn("n", F.row_number().over(window).cast("bigint")))
 
 
-def test_previous(skewed, window):
-    same(ordered.previous(skewed, KEYS, ORDER, {"pv": "v", "pid": "id"}, 300),
+@pytest.mark.parametrize("slot", [1, 37, 10_000])
+def test_previous(skewed, window, slot):
+    same(ordered.previous(skewed, KEYS, ORDER, {"pv": "v", "pid": "id"}, slot),
          skewed.withColumns({"pv": F.lag("v").over(window), "pid": F.lag("id").over(window)}))
 
 
-def test_next_known(skewed, window):
-    plan = ordered.block_plan(skewed, KEYS, ORDER, 300)
-    same(ordered.next_known(skewed, KEYS, ORDER, F.col("v"), "nv", plan),
+@pytest.mark.parametrize("slot", [1, 37, 10_000, None])
+def test_next_known(skewed, window, slot):
+    same(ordered.next_known(skewed, KEYS, ORDER, F.col("v"), "nv", slot),
          skewed.withColumn("nv", F.first("v", True).over(window.rowsBetween(0, Window.unboundedFollowing))))
 
 
-def test_running_sum_and_total(skewed, window):
-    plan = ordered.block_plan(skewed, KEYS, ORDER, 300)
+@pytest.mark.parametrize("slot", [1, 37, 10_000, None])
+def test_running_sum_and_total(skewed, window, slot):
     expected = skewed.withColumns({
         "s": F.coalesce(F.sum("v").over(window.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0)),
         "total": F.coalesce(F.sum("v").over(Window.partitionBy("k")), F.lit(0)),
     })
-    for p in (plan, None):
-        same(ordered.running_sum(skewed, KEYS, ORDER, {"s": F.col("v")}, p, {"total": "s"}), expected)
+    same(ordered.running_sum(skewed, KEYS, ORDER, {"s": F.col("v")}, slot, {"total": "s"}), expected)
+
+
+def test_null_and_time_order(spark):
+    rows = [("a", None, 1), ("a", "2024-01-01 00:10:00", 2), ("a", "2024-01-01 00:50:00", 3), ("a", "2024-01-03 00:00:00", 4)]
+    df = spark.createDataFrame(rows, "k STRING, t STRING, id BIGINT").withColumn("t", F.col("t").cast("timestamp"))
+    for slot in (60, ordered.HOUR, ordered.DAY):
+        got = ordered.previous(ordered.numbered(df, ["k"], ["t", "id"], "n", slot), ["k"], ["t", "id"], {"p": "id"}, slot)
+        assert [(r.id, r.n, r.p) for r in got.orderBy("id").collect()] == [(1, 1, None), (2, 2, 1), (3, 3, 2), (4, 4, 3)]
+
+
+def test_a_hot_group_is_spread_over_its_slots(skewed):
+    placed = ordered.in_slots(skewed.filter("k = 'hot'"), KEYS, ORDER, 10)
+    assert placed.select("__group").distinct().count() > 40
+
+
+def test_building_a_query_runs_nothing(spark, skewed):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "")
+    try:
+        df = ordered.previous(ordered.numbered(skewed, KEYS, ORDER, "n", 10), KEYS, ORDER, {"p": "n"}, 10)
+        assert list(tracker.getJobIdsForGroup("building")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    same(df.select("id", "p"), skewed.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("t", "id")).cast("bigint"))
+         .select("id", F.lag("n").over(Window.partitionBy("k").orderBy("t", "id")).alias("p")))
+
+
+def test_one_shuffle_of_the_rows(spark, tmp_path):
+    spark.range(1000).selectExpr("id % 7 AS k", "id AS t", "id").write.parquet(str(tmp_path / "rows"))
+    df = ordered.numbered(spark.read.parquet(str(tmp_path / "rows")), ["k"], ["t"], "n", 100)
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    # the rows by group and slot; the second read is combined before its shuffles, of a row per slot each
+    assert text.count("Exchange hashpartitioning") <= 3 and text.count("partial_sum") == 1 and text.count("Scan parquet") == 2
+    assert "ReadSchema: struct<k:bigint,t:bigint>" in text
 
 
 def test_empty(spark):
     empty = spark.createDataFrame([], "k STRING, t INT, id BIGINT, v BIGINT")
-    assert ordered.block_plan(empty, KEYS, ORDER, 1) is None
-    assert ordered.numbered(empty, KEYS, ORDER, "n").isEmpty()
+    assert ordered.numbered(empty, KEYS, ORDER, "n", 5).isEmpty()
+    assert ordered.previous(empty, KEYS, ORDER, {"p": "v"}, 5).isEmpty()

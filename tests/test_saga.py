@@ -123,8 +123,8 @@ def test_request_outcome(rows):
         rows, ("late", ["SignupRequestedEvent", late]), ("edge", ["SignupRequestedEvent", edge, late]),
         ("at once", ["SignupRequestedEvent", same_time]), ("before", [early, ("SignupRequestedEvent", {"minute": 0})]),
     )
-    for max_rows in (None, 1):
-        out = {r.traceid: r.outcome for r in saga.request_outcome(df, max_rows=max_rows).collect()}
+    for slot in (86_400, 1):
+        out = {r.traceid: r.outcome for r in saga.request_outcome(df, slot=slot).collect()}
         assert out == {"late": "TIMEOUT", "edge": "PaymentFailedEvent", "at once": "PaymentReceivedEvent",
                        "before": "TIMEOUT"}
 

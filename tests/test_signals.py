@@ -29,10 +29,9 @@ def frame(data, symbol, ts, hour=3600):
     return [(t, p) for s, t, p in data if s == symbol and ts - timedelta(seconds=hour) <= t <= ts]
 
 
-@pytest.mark.parametrize("max_rows", [None, 10])
-def test_price_change(rows, max_rows):
+def test_price_change(rows):
     data, df = prices(rows)
-    out = signals.price_change(df, max_rows=max_rows).collect()
+    out = signals.price_change(df).collect()
     assert len(out) == len(set(data)) and sum(r.copies for r in out) == len(data)
     for r in out:
         base = min(frame(data, r.symbol, r.ts))[1]
@@ -40,10 +39,9 @@ def test_price_change(rows, max_rows):
         assert r.change_percent == (pytest.approx((r.price - base) / base * 100) if base else None)
 
 
-@pytest.mark.parametrize("max_rows", [None, 2])
-def test_volatility(rows, max_rows):
+def test_volatility(rows):
     data, df = prices(rows, 400, 2)
-    out = signals.volatility(df, max_rows=max_rows).collect()
+    out = signals.volatility(df).collect()
     assert {(r.symbol, r.ts) for r in out} == {(s, t) for s, t, _ in data}
     for r in out:
         sample = [p for _, p in frame(data, r.symbol, r.ts)]
