@@ -34,9 +34,15 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read back: cuts the lineage and survives lost executors."""
+def written(df: DataFrame, name: str, slim: bool = False) -> DataFrame:
+    """Write to the shared folder and read back: cuts the lineage and survives lost executors.
+
+    Slim tables, of a few bytes for each document, are gathered into a file per core first: many tasks
+    would leave as many tiny files.
+    """
     path = scratch(df.sparkSession, name)
+    if slim:
+        df = df.repartition(max(1, df.sparkSession.sparkContext.defaultParallelism))
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

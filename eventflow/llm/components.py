@@ -23,7 +23,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     up, down = F.greatest(a, b).alias("u"), F.least(a, b).alias("v")
     now = written(
         edges.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))).select(up, down).distinct(),
-        "edges",
+        "edges", slim=True,
     )
     seen = None
     while True:
@@ -39,4 +39,4 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         smallest = _smallest(large)
         small = large.join(smallest, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         star = smallest.select("u", F.col("m").alias("v"))
-        now = written(small.unionByName(star).where("u > v").distinct(), "edges")
+        now = written(small.unionByName(star).where("u > v").distinct(), "edges", slim=True)

@@ -20,7 +20,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from eventflow.llm.common import append_columns, arrow_batch, struct, text_or_empty, written
 from eventflow.llm.components import connected_components
@@ -214,19 +214,21 @@ def links(distinct: DataFrame, radius: int, fp: str = "fp") -> DataFrame:
     grouped = written(
         distinct.groupBy(F.pmod(F.xxhash64(fp), F.lit(blocks)).cast("int").alias("block"))
         .agg(F.sort_array(F.collect_list(fp)).alias("fps")),
-        "fingerprints",
+        "fingerprints", slim=True,
     )
     dealt = grouped.repartition(blocks, "block")
     send, sent_schema = _send_codes(codes, half)
     meet, met_schema = _met_codes(codes)
     met = dealt.mapInArrow(send, sent_schema).groupBy("bucket").applyInArrow(meet, met_schema)
-    met = written(met.groupBy("block").agg(F.collect_list(F.struct("bucket", "codes")).alias("met")), "codes")
+    met = written(met.groupBy("block").agg(F.collect_list(F.struct("bucket", "codes")).alias("met")), "codes", slim=True)
     send, variant_schema = _send_variants(codes, half)
-    found = written(grouped.join(met, "block").repartition(blocks, "block").mapInArrow(send, variant_schema), "variants")
-    outside = found.where("variant IS NOT NULL").select("variant", "a")
-    hubs = outside.groupBy("variant").agg(F.min("a").alias("hub"), F.count("*").alias("n")).where("n > 1")
-    across = outside.join(hubs, "variant").select(F.col("hub").alias("a"), F.col("a").alias("b"))
-    stars = across.unionByName(found.where("variant IS NULL").select("a", "b")).where("a != b").distinct()
+    found = grouped.join(met, "block").repartition(blocks, "block").mapInArrow(send, variant_schema)
+    # a variant is owned by each block once at most; the stars of a block have no variant and stay as they are
+    inside = F.col("variant").isNull()
+    hub = F.min("a").over(W.partitionBy(inside, F.when(inside, F.xxhash64("a", "b")).otherwise(F.col("variant"))))
+    stars = found.select(
+        F.when(inside, F.col("a")).otherwise(hub).alias("a"), F.when(inside, F.col("b")).otherwise(F.col("a")).alias("b")
+    ).where("a != b").distinct()
     return stars.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)
 
 
@@ -242,7 +244,7 @@ def near_duplicates(
     and an empty table gives no rows.
     """
     rows = df.select(F.col(doc_id).alias("doc_id"), text_or_empty(text).alias("text"))
-    marked = written(fingerprints(rows, "text", words, seed).select("doc_id", "fp"), "marked")
+    marked = written(fingerprints(rows, "text", words, seed).select("doc_id", "fp"), "marked", slim=True)
     nodes = marked.groupBy("fp").agg(F.min("doc_id").alias("first"))
     stars = connected_components(links(nodes.select("fp"), radius), "a", "b")
     reach = (
@@ -251,4 +253,4 @@ def near_duplicates(
     linked = stars.join(reach, "component").select(F.col("node").alias("fp"), "component_id")
     named = nodes.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id"))
     # from a table of its own, so that Spark can split the documents of a hot fingerprint over tasks
-    return marked.join(written(named, "named"), "fp").select("doc_id", "fp", "component_id")
+    return marked.join(written(named, "named", slim=True), "fp").select("doc_id", "fp", "component_id")
