@@ -152,7 +152,7 @@ def _introduce(nodes: DataFrame, graph: DataFrame, k: int) -> DataFrame:
 def descend(nodes: DataFrame, k: int, seed: int) -> DataFrame:
     """(node, nbrs): the k nearest neighbours found for every vector that has others of its label."""
     ids = F.transform("nbrs", lambda e: e["v"])
-    graph = written(first_lists(nodes, k, seed).withColumn("fresh", ids), "neighbours")
+    graph = written(first_lists(nodes, k, seed).withColumn("fresh", ids), "neighbours", slim=True)
     for _ in range(ROUNDS):
         found = _introduce(nodes, graph, k)
         merged = (
@@ -160,7 +160,7 @@ def descend(nodes: DataFrame, k: int, seed: int) -> DataFrame:
                 found.select("node", "nbrs", F.lit(None).cast("array<bigint>").alias("before")))
             .groupBy("node").agg(_longest(F.collect_list("nbrs"), k).alias("nbrs"), F.max("before").alias("before"))
         )
-        graph = written(merged.select("node", "nbrs", F.array_except(ids, "before").alias("fresh")), "neighbours")
+        graph = written(merged.select("node", "nbrs", F.array_except(ids, "before").alias("fresh")), "neighbours", slim=True)
         changed = graph.agg(F.sum(F.size("fresh")).alias("new"), F.sum(F.size("nbrs")).alias("every")).first()
         if not changed.every or changed.new < SETTLED * changed.every:
             break
@@ -198,10 +198,10 @@ def _count_blocks(members: DataFrame, least: int) -> DataFrame:
 def links(nodes: DataFrame, threshold: float, k: int, seed: int) -> tuple[DataFrame, DataFrame]:
     """(node, links), links to other nodes counted with their copies; and the edges (a, b) that were found."""
     least = math.ceil(round(threshold * SCALE, 3))
-    graph = written(descend(nodes, k, seed), "graph")
+    graph = written(descend(nodes, k, seed), "graph", slim=True)
     entries = graph.select("node", F.explode("nbrs").alias("x")).where(F.col("x.q") >= least)
     edges = written(
-        entries.select(F.least("node", "x.v").alias("a"), F.greatest("node", "x.v").alias("b")).distinct(), "links"
+        entries.select(F.least("node", "x.v").alias("a"), F.greatest("node", "x.v").alias("b")).distinct(), "links", slim=True
     )
     groups = connected_components(edges, "a", "b")
     full = graph.where((F.size("nbrs") >= k) & (F.element_at("nbrs", -1)["q"] >= least)).select("node")
@@ -213,7 +213,7 @@ def links(nodes: DataFrame, threshold: float, k: int, seed: int) -> tuple[DataFr
     listed = sides.join(nodes.select(F.col("node").alias("other"), "copies"), "other").groupBy("node").agg(
         F.sum("copies").alias("listed"))
     return written(
-        listed.join(exact, "node", "left").select("node", F.coalesce("links", "listed").alias("links")), "counted"
+        listed.join(exact, "node", "left").select("node", F.coalesce("links", "listed").alias("links")), "counted", slim=True
     ), groups
 
 
@@ -269,9 +269,8 @@ def near_duplicates(
     nodes = written(
         rows.where(good & F.col("vec_id").isNotNull()).groupBy("label", "vec")
         .agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"))
-        .select("node", "label", F.size("vec").alias("dim"), "vec", "copies")
-        .repartition(F.col("node")),
-        "vectors",
+        .select("node", "label", F.size("vec").alias("dim"), "vec", "copies"),
+        "vectors", slim=True,
     )
     for attempt in range(ATTEMPTS):
         counted, groups = links(nodes, threshold, k << attempt, seed + attempt)
@@ -282,7 +281,7 @@ def near_duplicates(
         nodes.join(counted, "node", "left").join(groups, "node", "left").select(
             "label", "vec", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
             F.coalesce("component", "node").alias("component_id"),
-        ), "named")
+        ), "named", slim=True)
     linked = rows.where(good & F.col("vec_id").isNotNull()).join(named, ["label", "vec"]).select("vec_id", "n_links", "component_id")
     alone = rows.where(~good | F.col("vec_id").isNull()).select(
         "vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"))
