@@ -174,14 +174,14 @@ def pack(
     """
     spark = df.sparkSession
     tokens = tokenized(df, path, doc_id, text, source)
-    sums = written(tokens.groupBy("source", "block").agg(F.sum("n").alias("n")), "sums")
+    sums = written(tokens.groupBy("source", "block").agg(F.sum("n").alias("n")), "sums", slim=True)
     by_source = sums.groupBy("source").agg(F.sum("n").alias("n"))
     own = [(r.source, r.n) for r in by_source.orderBy(F.desc("n"), "source").limit(MAX_QUEUES).collect()]
     names = spark.createDataFrame([(s, i) for i, (s, _) in enumerate(own)], "source string, own int")
     queue = F.coalesce("own", F.lit(len(own)) + F.pmod(F.xxhash64("source"), F.lit(POOLS))).cast("int")
     placed = sums.join(F.broadcast(names), "source", "left").withColumn("queue", queue)
     before = F.sum("n").over(W.partitionBy("queue").orderBy("source", "block")) - F.col("n")
-    places = written(placed.select("source", "block", "queue", before.alias("before")), "places")
+    places = written(placed.select("source", "block", "queue", before.alias("before")), "places", slim=True)
 
     totals = np.array([n for _, n in own] + [0] * POOLS, np.int64)
     for r in placed.where(F.col("own").isNull()).groupBy("queue").agg(F.sum("n").alias("n")).collect():

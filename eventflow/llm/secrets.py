@@ -256,7 +256,7 @@ def learn(df: DataFrame, text: str = "text", examples: int = EXAMPLES, ordinary:
         yield arrow_batch(dict(zip(schema.names, map(list, zip(*rows)))) if rows else {n: [] for n in schema.names}, schema)
 
     # as a table: taking each kind's values must not scan the texts again
-    found = written(df.select(text).mapInArrow(smallest, schema), "values").distinct()
+    found = written(df.select(text).mapInArrow(smallest, schema), "values", slim=True).distinct()
     taken = _take(found, limits)
     return Formats({k: taken[k] for k in KINDS}, taken[""])
 

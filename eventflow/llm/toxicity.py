@@ -176,7 +176,7 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         docs.join(F.broadcast(chosen), F.col(doc_id) == F.col("__id"))
         .groupBy(text_or_empty(text).alias("text")).agg(F.max("y").alias("y"), F.min("__id").alias("id"))
         .select("text", "y", F.pmod(F.xxhash64("id"), F.lit(10)).cast("int").alias("fold")),
-        "labelled",
+        "labelled", slim=True,
     )
     counting, fitting = sample.where(F.col("fold") < COUNTING), sample.where(F.col("fold") >= COUNTING)
 
@@ -192,7 +192,7 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 
     by_word = written(
         counting.select("text", "y").mapInArrow(count, schema).groupBy("word").agg(F.sum("t").alias("t"), F.sum("c").alias("c")),
-        "words",
+        "words", slim=True,
     )
     stems = F.array(*[F.when(F.length("word") > n, F.concat(F.substring("word", 1, n), F.lit("*"))) for n in PREFIXES])
     prefixes = (
