@@ -6,7 +6,8 @@ per-trace states carry no watermark of their own and take late rows into account
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import datetime
 from time import sleep
 
@@ -28,9 +29,19 @@ END_OF_TIME = datetime(2200, 1, 1)
 CLOSING_TIME = datetime(2200, 1, 2)
 
 
-def use_rocksdb(spark: SparkSession) -> None:
-    """Keep streaming state in RocksDB: it spills to disk and `transformWithState` needs it."""
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep their state in RocksDB, which spills to disk; the keyed processors
+    need it. A stream takes its settings along when it starts, so the session's own stays as it was."""
+    before = spark.conf.get(_PROVIDER_CONF, None)
     spark.conf.set(_PROVIDER_CONF, _ROCKSDB)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_PROVIDER_CONF)
+        else:
+            spark.conf.set(_PROVIDER_CONF, before)
 
 
 def dedup(df: DataFrame, time: str = "time", delay: str = "1 hour") -> DataFrame:
@@ -86,8 +97,7 @@ def rate_limit_stream(
 ) -> DataFrame:
     """Streaming form of `rate_limit`: alerts pass in event-time order once the watermark is past
     them. Alerts are rare by construction; the state of a key is its distinct alert times within the
-    delay. Alerts without a time are left out."""
-    use_rocksdb(alerts.sparkSession)
+    delay. Alerts without a time are left out. Start it inside `rocksdb_state`, as `run_append` does."""
     return (
         alerts.filter(F.col(time).isNotNull()).select(F.col(key).alias("key"), F.col(time).alias("time"))
         .withWatermark("time", delay)
@@ -105,8 +115,8 @@ def sentiment_spike_stream(
     scored: DataFrame, width: str = "5 minutes", delta: float = SENTIMENT_DELTA, delay: str = "1 minute"
 ) -> DataFrame:
     """Streaming form of `signals.sentiment_spike`: a window is compared with the topic's previous
-    non-empty one as soon as the watermark has closed it. The state of a topic is one mean."""
-    use_rocksdb(scored.sparkSession)
+    non-empty one as soon as the watermark has closed it. The state of a topic is one mean. Start it inside
+    `rocksdb_state`, as `run_append` does."""
     means = window_means(scored.filter(F.col("ts").isNotNull()).withWatermark("ts", delay), width)
     return (
         means.groupBy("topic").transformWithStateInPandas(
@@ -208,8 +218,10 @@ def run_append(df: DataFrame, name: str, closing: Closing | None = None) -> Data
     root = run_dir(spark, name)
 
     def run() -> None:
-        df.writeStream.format("parquet").outputMode("append").trigger(availableNow=True).option(
-            "checkpointLocation", f"{root}/checkpoint").option("path", f"{root}/data").start().awaitTermination()
+        with rocksdb_state(spark):
+            query = df.writeStream.format("parquet").outputMode("append").trigger(availableNow=True).option(
+                "checkpointLocation", f"{root}/checkpoint").option("path", f"{root}/data").start()
+        query.awaitTermination()
 
     run()
     if closing is not None:
