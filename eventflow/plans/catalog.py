@@ -12,7 +12,7 @@ from eventflow.functions.scalar import (
     price_for_tier, str_or_empty, text_or,
 )
 from eventflow.operators import audit, cluster, delivery, domain, envelope, metrics, routing, saga, signals
-from eventflow.operators.rate_limit import rate_limit
+from eventflow.operators.rate_limit import rate_limit, rate_limit_tumbling
 from eventflow.plans import adapters as views
 from eventflow.schemas import (
     ACTIVATION_FAILED, NOTIFICATION_SENT, PAYMENT_FAILED, PAYMENT_RECEIVED,
@@ -726,6 +726,36 @@ def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
     return spark.readStream.schema(static.schema).option("maxFilesPerTrigger", 16).parquet(f"{sf}/events.parque[t]")
 
 
+@query
+def dedup_events(spark, sf):
+    bus = views.bus(spark, sf)
+    return pipelines.dedup(bus.unionByName(bus)).select("id", "type", "traceid", _us("time"))
+
+
+@query
+def tumbling_alerts(spark, sf):
+    posts = routing.post_filter(views.posts(spark, sf))
+    return rate_limit_tumbling(posts, "topic", "ts", HORIZON).select("topic", _us("ts"))
+
+
+@query
+def retry_branches(spark, sf):
+    again, stop = routing.retry_gate(views.bus(spark, sf).withColumn("retry_count", F.col("k") % 5))
+    both = again.withColumn("branch", F.lit("retry")).unionByName(stop.withColumn("branch", F.lit("cancel")))
+    return both.groupBy("type", "branch").agg(F.count(F.lit(1)).alias("payments"))
+
+
+@query
+def notification_events(spark, sf):
+    """Events of the notification commands, by what became of them."""
+    commands = views.bus(spark, sf).filter("notification_type IS NOT NULL").withColumns({
+        "data": F.to_variant_object(F.struct("tier")), "dispatch_ok": F.col("k") % 10 != 0,
+        "email": F.lit(None).cast("string"), "name": F.lit(None).cast("string")})
+    events = domain.notification_event(domain.send_notification(commands)).select("event.*")
+    return events.groupBy("type", F.col("data.notificationType").alias("notification_type"), F.col("data.email").alias("email"),
+                          F.col("data.success").alias("success")).agg(F.count(F.lit(1)).alias("events"))
+
+
 @query
 def landed_log(spark, sf):
     """The log written, streamed on to its end, and read back: all of it, and what a late subscriber gets."""

@@ -547,6 +547,14 @@ ORACLES: dict[str, str] = {
         CASE WHEN l_linenumber % 4 = 3 THEN CAST(l_linenumber AS BIGINT) END AS thread,
         CASE WHEN l_linenumber % 4 = 0 THEN l_linenumber END AS rf,
         CASE WHEN l_linenumber % 4 = 0 THEN 'all' END AS acks FROM lineitem""",
+    "dedup_events": _sql("bus", "SELECT id, type, traceid, epoch_us(time) AS time_us FROM bus"),
+    "tumbling_alerts": _sql("posts", """SELECT topic, min(epoch_us(ts)) AS ts_us FROM posts
+      GROUP BY topic, epoch_us(ts) // 21600000000"""),
+    "retry_branches": _sql("bus", """SELECT type, CASE WHEN retry_payment AND k % 5 < 3 THEN 'retry' ELSE 'cancel' END AS branch,
+        count(*) AS payments FROM bus GROUP BY 1, 2"""),
+    "notification_events": _sql("bus", """SELECT CASE WHEN k % 10 = 0 THEN 'NotificationFailedEvent' ELSE 'NotificationSentEvent' END AS type,
+        notification_type, '' AS email, k % 10 <> 0 AS success, count(*) AS events
+      FROM bus WHERE notification_type IS NOT NULL AND k % 7 <> 6 GROUP BY 1, 2, 3, 4"""),
     "landed_log": _sql("bus", """SELECT policy, type, count(*) AS events, (SELECT count(*) FROM bus) AS moved
       FROM (SELECT 'earliest' AS policy, type FROM bus UNION ALL
         SELECT 'latest', type FROM bus WHERE time > TIMESTAMP '2024-01-16') GROUP BY policy, type"""),
