@@ -47,19 +47,22 @@ def _at(order: Sequence[str]) -> Column:
 
 def _carried(
     placed: DataFrame, keys: Sequence[str], state: Column, carry: Callable[[WindowSpec, WindowSpec], dict[str, Column]],
-    reverse: bool = False,
+    reverse: bool = False, every: bool = False,
 ) -> DataFrame:
-    """One row per slot: its `__state`, and what `carry` makes of the states of the group's other slots.
+    """What `carry` makes of the states of a group's other slots, one row per slot.
 
     `carry` gets the window over all earlier slots (later ones when reversed) and that over all slots.
+    Slots with none before them have nothing to carry and no row, unless `every` slot is wanted.
     """
     group = [F.col(f"{_GROUP}.k{i}") for i in range(len(keys))]
     at = F.col(f"{_GROUP}.slot")
     whole = Window.partitionBy(F.struct(*group, F.lit(0).alias("all")))
     before = whole.orderBy(at.desc() if reverse else at.asc()).rowsBetween(*_BEFORE)
     per_slot = placed.groupBy(_GROUP).agg(state.alias("__state"))
-    carried = per_slot.withColumns(carry(before, whole))
-    return carried.withColumnRenamed(_GROUP, "__of").drop("__state")
+    carried = per_slot.withColumns(carry(before, whole) | {"__earlier": F.count(F.lit(1)).over(before)})
+    if not every:
+        carried = carried.filter("__earlier > 0")
+    return carried.drop("__earlier").withColumnRenamed(_GROUP, "__of").drop("__state")
 
 
 def _joined(local: DataFrame, carried: DataFrame) -> DataFrame:
@@ -89,9 +92,9 @@ def running_sum(
     carried = _carried(placed, keys, state, lambda before, whole: {
         "__carry": F.struct(*[F.coalesce(F.sum(F.col("__state")[n]).over(before), zero).alias(n) for n in sums]),
         **{f"__total_{n}": F.sum(F.col("__state")[of]).over(whole) for n, of in totals.items()},
-    })
+    }, every=bool(totals))
     return _joined(local, carried).withColumns(
-        {n: F.col(n) + F.col("__carry")[n] for n in sums} | {n: F.col(f"__total_{n}") for n in totals}
+        {n: F.col(n) + F.coalesce(F.col("__carry")[n], zero) for n in sums} | {n: F.col(f"__total_{n}") for n in totals}
     ).drop(_GROUP, "__carry", *[f"__total_{n}" for n in totals])
 
 
