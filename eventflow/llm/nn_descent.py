@@ -2,10 +2,10 @@
 
 Every vector keeps a list of its nearest neighbours so far. The first lists come from cells of random
 hyperplanes; then each vector introduces its neighbours, both ways, to one another, and lists are
-improved until few change. A list all of whose entries are links may hide more of them: it is enlarged
-to its whole component, where links are counted exactly block against block. The share of all links
-that was found is audited against brute force for a sample, and missed by too much, the search is
-repeated with longer lists. Only pairs whose cosine was computed in double precision become links.
+improved until few change. A list all of whose entries are links may hide more of them: the components
+of such lists are compared exactly, block against block, within and with one another, but for blocks too
+far apart to hold a link. The share of all links that was found is audited against brute force for a
+sample; missed by too much, the search is repeated with longer lists, and in the end it is an error. Only pairs whose cosine was computed in double precision become links.
 
 Equal vectors are one node with a number of copies, so copies never fill a list or a cell.
 """
@@ -167,32 +167,94 @@ def descend(nodes: DataFrame, k: int, seed: int) -> DataFrame:
     return graph.select("node", "nbrs")
 
 
-def _count_blocks(members: DataFrame, least: int) -> DataFrame:
-    """(node, links): links inside each component, counted block against block. members: component, node, vec, copies."""
+def _blocks(members: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
+    """Members dealt into blocks of their component, and all pairs (i, j), i <= j, of blocks that may hold a link.
+
+    A block has a centre and a radius, as angles. Angles obey the triangle inequality, so blocks further
+    apart than both radii and the threshold's angle hold no link between them. Nothing else is left out.
+    """
     sizes = members.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    placed = members.join(sizes, "component").withColumn("own", own)
-    pairs = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-        (F.col("own") <= F.col("other")).alias("first"), "node", "vec", "copies",
+    dealt = written(
+        members.join(sizes, "component").withColumn("block", F.struct("component", own.alias("part"))).drop("blocks"),
+        "members", slim=True,
     )
-    counts = struct("node bigint, links bigint")
+    rings = struct("label string, dim int, block struct<component: bigint, part: int>, centre array<double>, radius double")
+    angle = math.acos(min(1.0, max(-1.0, least / SCALE))) + 1e-6  # and some for rounding
+
+    def ring(table: pa.Table) -> pa.Table:
+        x = _unit(table.column("vec"))
+        centre = x.sum(0)
+        size = np.sqrt(centre @ centre)
+        centre = centre / size if size > 1e-9 else x[0]
+        radius = float(np.arccos(np.clip(x @ centre, -1, 1)).max())
+        return pa.Table.from_batches([arrow_batch({
+            "label": table.column("label")[:1].to_pylist(), "dim": table.column("dim")[:1].to_pylist(),
+            "block": table.column("block")[:1].to_pylist(), "centre": [centre], "radius": [radius]}, rings)])
+
+    around = written(
+        dealt.select(F.col("label").cast("string").alias("label"), "dim", "block", "vec")
+        .groupBy("block").applyInArrow(ring, rings), "blocks", slim=True)
+    # the blocks themselves are compared tile against tile
+    tiles = around.groupBy("label", "dim").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("tiles"))
+    placed = around.join(tiles, ["label", "dim"]).withColumn("own", F.pmod(F.xxhash64("block"), F.col("tiles")).cast("int"))
+    met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select(
+        "label", "dim", F.least("own", "other").alias("s"), F.greatest("own", "other").alias("t"),
+        (F.col("own") <= F.col("other")).alias("first"), "block", "centre", "radius",
+    )
+    near = struct("i struct<component: bigint, part: int>, j struct<component: bigint, part: int>")
+
+    def compare(table: pa.Table) -> pa.Table:
+        blocks = [(b["component"], b["part"]) for b in table.column("block").to_pylist()]
+        x, radius = _unit(table.column("centre")), table.column("radius").to_numpy()
+        first = np.flatnonzero(table.column("first").to_numpy(zero_copy_only=False))
+        same = table.column("s")[0].as_py() == table.column("t")[0].as_py()
+        second = first if same else np.setdiff1d(np.arange(len(blocks)), first)
+        apart = np.arccos(np.clip(x[first] @ x[second].T, -1, 1))
+        close = apart <= radius[first][:, None] + radius[second][None, :] + angle
+        pairs = [sorted((blocks[first[a]], blocks[second[b]])) for a, b in zip(*np.nonzero(close)) if not same or a <= b]
+        return pa.Table.from_batches([arrow_batch({
+            side: [{"component": p[n][0], "part": p[n][1]} for p in pairs] for n, side in enumerate(("i", "j"))}, near)])
+
+    return dealt, met.groupBy("label", "dim", "s", "t").applyInArrow(compare, near)
+
+
+def _count_blocks(members: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
+    """(node, links): all links among the members, whatever their components, counted block against block;
+    and (a, b): links that connect components. members: component, node, label, dim, vec, copies.
+    """
+    dealt, near = _blocks(members, least)
+    sides = near.select("i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("block"))
+    pairs = sides.join(dealt.select("block", "node", "vec", "copies"), "block").select(
+        "i", "j", (F.col("block") == F.col("i")).alias("first"), "node", "vec", "copies")
+    counts = struct("node bigint, links bigint, a bigint, b bigint")
+
+    def rows(ids, links) -> pa.RecordBatch:
+        none = pa.nulls(len(ids), pa.int64())
+        return arrow_batch({"node": ids, "links": links, "a": none, "b": none}, counts)
 
     def count(table: pa.Table) -> pa.Table:
         ids, copies = table.column("node").to_numpy(), table.column("copies").to_numpy()
         first = table.column("first").to_numpy(zero_copy_only=False)
         x = _unit(table.column("vec"))
-        if table.column("i")[0].as_py() == table.column("j")[0].as_py():
+        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        if i == j:
             linked = _cosines(x, x) >= least
             np.fill_diagonal(linked, False)
-            return pa.Table.from_batches([arrow_batch({"node": ids, "links": linked @ copies}, counts)])
+            return pa.Table.from_batches([rows(ids, linked @ copies)])
         linked = _cosines(x[first], x[~first]) >= least
-        return pa.Table.from_batches([
-            arrow_batch({"node": ids[first], "links": linked @ copies[~first]}, counts),
-            arrow_batch({"node": ids[~first], "links": copies[first] @ linked}, counts),
-        ])
-
-    return pairs.groupBy("component", "i", "j").applyInArrow(count, counts).groupBy("node").agg(F.sum("links").alias("links"))
+        out = [rows(ids[first], linked @ copies[~first]), rows(ids[~first], copies[first] @ linked)]
+        if i["component"] != j["component"] and linked.any():
+            # one link is enough, as both components are connected
+            a, b = np.unravel_index(linked.argmax(), linked.shape)
+            out.append(arrow_batch({"node": [None], "links": [None], "a": [ids[first][a]], "b": [ids[~first][b]]}, counts))
+        return pa.Table.from_batches(out)
+
+    found = written(pairs.groupBy("i", "j").applyInArrow(count, counts), "crowds", slim=True)
+    return (
+        found.where(F.col("node").isNotNull()).groupBy("node").agg(F.sum("links").alias("links")),
+        found.where(F.col("a").isNotNull()).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")),
+    )
 
 
 def links(nodes: DataFrame, threshold: float, k: int, seed: int) -> tuple[DataFrame, DataFrame]:
@@ -206,8 +268,11 @@ def links(nodes: DataFrame, threshold: float, k: int, seed: int) -> tuple[DataFr
     groups = connected_components(edges, "a", "b")
     full = graph.where((F.size("nbrs") >= k) & (F.element_at("nbrs", -1)["q"] >= least)).select("node")
     crowded = groups.join(full, "node").select("component").distinct()
-    members = groups.join(crowded, "component").join(nodes.select("node", "vec", "copies"), "node")
-    exact = _count_blocks(members, least)
+    # a link that no list holds has saturated lists at both ends, and so its ends are members
+    members = groups.join(crowded, "component").join(nodes, "node")
+    exact, across = _count_blocks(members, least)
+    if not across.isEmpty():
+        groups = connected_components(edges.unionByName(across), "a", "b")
     sides = edges.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(
         edges.select(F.col("b").alias("node"), F.col("a").alias("other")))
     listed = sides.join(nodes.select(F.col("node").alias("other"), "copies"), "other").groupBy("node").agg(
@@ -262,7 +327,8 @@ def near_duplicates(
     label, and vectors that are null, empty, zero or hold null or non-finite components, link with nothing
     and are their own component. Equal vectors of a label are linked to each other. The component is the
     smallest id that links reach; kept is whether the row's id is that one. Repeated rows are vectors of
-    their own. An empty table gives no rows; other columns are left out.
+    their own. An empty table gives no rows; other columns are left out. RuntimeError if the audit still
+    finds too few links after the last attempt.
     """
     rows = df.select(F.col(vec_id).cast("bigint").alias("vec_id"), F.col(embedding).alias("vec"), F.col(label).alias("label"))
     good = usable("vec", "label")
@@ -277,6 +343,8 @@ def near_duplicates(
         found = audit(nodes, counted, threshold)
         if found >= TARGET:
             break
+    else:
+        raise RuntimeError(f"op7: {found:.3f} of the audited links were found in {ATTEMPTS} attempts, fewer than {TARGET}")
     named = written(
         nodes.join(counted, "node", "left").join(groups, "node", "left").select(
             "label", "vec", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),

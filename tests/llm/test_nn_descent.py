@@ -58,6 +58,28 @@ def test_against_all_pairs(spark, monkeypatch):
     check(nn_descent.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect(), rows)
 
 
+def test_links_between_tight_clumps(spark, monkeypatch):
+    """Lists that are full of a clump's own vectors hide the links to the next clump."""
+    monkeypatch.setattr(nn_descent, "BLOCK", 16)
+    monkeypatch.setattr(nn_descent, "ATTEMPTS", 1)
+    rng = np.random.default_rng(5)
+    axes = np.linalg.qr(rng.standard_normal((40, 40)))[0]
+    near = 0.955 * axes[0] + np.sqrt(1 - 0.955**2) * axes[1]  # of the first clump
+    centres = [axes[0], near, *axes[2:8]]
+    rows = [list(map(float, c + 0.008 * rng.standard_normal(40))) for c in centres for _ in range(40)]
+    rows += [list(map(float, v)) for v in rng.standard_normal((300, 40))]
+    rows = [(i, v, 0, "", 0) for i, v in enumerate(rows)]
+    expected = by_hand(rows)
+    assert expected[0][0] > 60 and expected[79][1] == 0 and expected[80][1] == 80
+    check(nn_descent.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect(), rows)
+
+
+def test_too_low_a_recall_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(nn_descent, "audit", lambda *_: 0.5)
+    with pytest.raises(RuntimeError, match="0.500"):
+        nn_descent.near_duplicates(spark.createDataFrame([(1, [1.0, 2.0], 0, "", 0)], SCHEMA))
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, None, 0, "", 0), (2, [], 0, "", 0), (3, [0.0, 0.0], 0, "", 0), (4, [1.0, None], 0, "", 0), (5, [nan, 1.0], 0, "", 0),
