@@ -42,8 +42,10 @@ END = len(CLASSES)
 #: Distinct labelled values of a kind, and ordinary runs, that the formats are learned from.
 EXAMPLES = 600
 ORDINARY = 4000
-#: Characters of a value that are learned and scored. Formats repeat themselves long before.
+#: Longer runs are searched for stretches that score by themselves, of at least as many characters as a
+#: run has. Longer labelled values are learned in pieces of at most this length.
 LONGEST = 256
+SHORTEST = 16
 #: Confidence of the test that two states differ.
 ALPHA = 0.05
 #: Likelihood of what an automaton has never seen.
@@ -82,8 +84,14 @@ def free_runs(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[int, in
             yield m.span()
 
 
+def pieces(value: str) -> list[str]:
+    """The whole value in pieces of about equal length."""
+    n = math.ceil(len(value) / LONGEST)
+    return [value[len(value) * i // n : len(value) * (i + 1) // n] for i in range(n)]
+
+
 def symbols(value: str) -> list[int]:
-    return [CLASS[c] for c in value[:LONGEST]]
+    return [CLASS[c] for c in value]
 
 
 # --- probabilistic automata -----------------------------------------------------------------
@@ -180,6 +188,26 @@ class Automaton:
             state = self.move[state].get(symbol, 0)
         return total + self.log[state][END]
 
+    def stretches(self, word: list[int], usual: list[float], least: float) -> Iterator[tuple[float, int, int]]:
+        """(score, start, stop) of disjoint stretches whose likelihood is above `usual` by more than `least`.
+
+        One pass: a stretch starts anew once it is worth nothing, and ends at its best once it lost MARGIN.
+        """
+        start = at = state = 0
+        gain, best, stop = 0.0, -math.inf, 0
+        while at < len(word):
+            gain += self.log[state].get(word[at], UNSEEN) + UNIFORM[word[at]] - usual[at]
+            state = self.move[state].get(word[at], 0)
+            at += 1
+            whole = gain + self.log[state][END]
+            if at - start >= SHORTEST and whole > best:
+                best, stop = whole, at
+            if at == len(word) or gain <= 0 or gain < best - MARGIN:
+                if best > least:
+                    yield best, start, stop
+                    at = stop
+                start, state, gain, best = at, 0, 0.0, -math.inf
+
 
 class Chain:
     """Second-order chain over single characters of ordinary runs."""
@@ -187,17 +215,18 @@ class Chain:
     def __init__(self, runs: Iterable[str]):
         self.pairs: dict[str, Counter] = defaultdict(Counter)
         for run in runs:
-            for i, c in enumerate(run[:LONGEST]):
+            for i, c in enumerate(run):
                 self.pairs[run[max(0, i - 2) : i]][c] += 1
         self.totals = {k: sum(v.values()) for k, v in self.pairs.items()}
 
-    def likelihood(self, run: str) -> float:
-        total, letters = 0.0, len(CLASS)
-        for i, c in enumerate(run[:LONGEST]):
+    def steps(self, run: str) -> list[float]:
+        """Logarithms of the likelihoods of the run's characters."""
+        out, letters = [], len(CLASS)
+        for i, c in enumerate(run):
             before = run[max(0, i - 2) : i]
             seen = self.pairs.get(before)
-            total += math.log(((seen[c] if seen else 0) + 0.5) / (self.totals.get(before, 0) + 0.5 * letters))
-        return total
+            out.append(math.log(((seen[c] if seen else 0) + 0.5) / (self.totals.get(before, 0) + 0.5 * letters)))
+        return out
 
 
 class Formats:
@@ -211,16 +240,35 @@ class Formats:
         self.least = max(MARGIN, usual)
 
     def score(self, run: str) -> float:
-        """How much likelier the run is as a credential of the best fitting kind than as an ordinary run."""
+        """How much likelier the run, or a stretch of a long one, is as a credential of the best fitting kind
+        than as an ordinary run."""
+        return max((score for score, _, _ in self.stretches(run, -math.inf)), default=-math.inf)
+
+    def stretches(self, run: str, least: float) -> list[tuple[float, int, int]]:
+        """(score, start, stop) of the whole run if it scores more than `least`, else of the disjoint
+        stretches of a long run that do."""
         if not self.automata:
-            return -math.inf
-        word = symbols(run)
-        return max(a.likelihood(word) for a in self.automata.values()) - self.chain.likelihood(run)
+            return []
+        word, usual = symbols(run), self.chain.steps(run)
+        whole = max(a.likelihood(word) for a in self.automata.values()) - sum(usual)
+        some = [(whole, 0, len(run))] if whole > least else []
+        if len(run) <= LONGEST or some and least > -math.inf:
+            return some
+        for a in self.automata.values():
+            some += a.stretches(word, usual, max(least, MARGIN))
+        if least == -math.inf:
+            return some
+        kept: list[tuple[float, int, int]] = []
+        for score, start, stop in sorted(some, reverse=True):
+            if all(stop <= a or b <= start for _, a, b in kept):
+                kept.append((score, start, stop))
+        return kept
 
     def spans(self, text: str) -> list[tuple[int, int, str]]:
         found = base_spans(text)
         taken = [(a, b) for a, b, _ in found]
-        found += [(a, b, LEARNED) for a, b in free_runs(text, taken) if self.score(text[a:b]) > self.least]
+        for a, b in free_runs(text, taken):
+            found += [(a + start, a + stop, LEARNED) for _, start, stop in self.stretches(text[a:b], self.least)]
         order = {kind: i for i, kind in enumerate((*KINDS, LEARNED))}
         return sorted(found, key=lambda s: (s[0], order[s[2]], s[1]))
 
@@ -240,8 +288,7 @@ def learn(df: DataFrame, text: str = "text", examples: int = EXAMPLES, ordinary:
         known: dict[str, set] = {k: set() for k in limits}
         for batch in batches:
             for t in batch.column(0).to_pylist():
-                for kind, value in values(t or ""):
-                    value = value[:LONGEST]
+                for kind, value in ((k, piece) for k, v in values(t or "") for piece in (pieces(v) if k else [v])):
                     if value in known[kind]:
                         continue
                     rank = int(hashlib.md5(value.encode()).hexdigest(), 16)

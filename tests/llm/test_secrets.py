@@ -66,6 +66,25 @@ def test_learned_formats_find_what_no_pattern_sees(spark):
     assert again.least == formats.least and again.automata.keys() == formats.automata.keys()
 
 
+def test_long_runs_are_scored_to_their_end(spark):
+    formats = secrets.learn(corpus(spark))
+    ordinary = "https/www_example_org_page" * 12
+    key = "ABCDEF0123456789ABCDEF0123456789ABCDEF01"
+    for text in (ordinary + key, ordinary + key + ordinary, ordinary + key + ordinary + key):
+        assert spans_by_hand(text) == []
+        found = formats.spans(text)
+        assert len(found) == text.count(key) and {kind for *_, kind in found} == {"format"}
+        for (a, b, _), m in zip(found, re.finditer(key, text)):
+            assert abs(a - m.start()) <= 4 and abs(b - m.end()) <= 4
+    assert formats.spans(ordinary * 3) == []
+    assert formats.spans(key * 20) == [(0, 800, "format")]
+
+
+def test_labelled_values_are_learned_to_their_end():
+    value = "".join(random.Random(4).choices("0123456789ABCDEF", k=1001))
+    assert "".join(secrets.pieces(value)) == value and max(map(len, secrets.pieces(value))) <= secrets.LONGEST
+
+
 def test_samples_stay_within_their_bounds(spark):
     few = secrets.learn(corpus(spark), examples=5, ordinary=3)
     assert set(few.automata) == {"assign", "access"}
