@@ -3,7 +3,7 @@
 Fixed patterns find the usual credentials. What they find is a labelled set from which the formats are
 learned: the values of each kind become a prefix tree whose statistically compatible states are merged,
 until a probabilistic automaton is left. Every other run of credential characters is then scored by its
-likelihood under these automata against that under a chain learned from ordinary runs, which adds
+likelihood under these automata against that under a chain learned from all ordinary runs, which adds
 values of the same make that stand where no pattern looks.
 """
 
@@ -13,9 +13,10 @@ import hashlib
 import heapq
 import math
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -39,9 +40,12 @@ CLASSES = ("0123456789", "abcdef", "ghijklmnopqrstuvwxyz", "ABCDEF", "GHIJKLMNOP
 CLASS = {c: i for i, chars in enumerate(CLASSES) for c in chars}
 UNIFORM = [-math.log(len(chars)) for chars in CLASSES]
 END = len(CLASSES)
-#: Distinct labelled values of a kind, and ordinary runs, that the formats are learned from.
+#: Numbers of the characters of runs, from one on, and of all other bytes.
+WIDTH = len(CLASS) + 1
+CODE = np.zeros(256, np.int64)
+CODE[[ord(c) for c in CLASS]] = np.arange(1, WIDTH)
+#: Distinct labelled values of a kind that the formats are learned from.
 EXAMPLES = 600
-ORDINARY = 4000
 #: Longer runs are searched for stretches that score by themselves, of at least as many characters as a
 #: run has. Longer labelled values are learned in pieces of at most this length.
 LONGEST = 256
@@ -53,6 +57,8 @@ UNSEEN = math.log(1e-5)
 #: An added value is this much likelier (in logarithms) as a credential, and than nearly all ordinary runs.
 MARGIN = 12.0
 QUANTILE = 0.999
+#: Bins of the scores above the margin, for each doubling.
+BINS = 64
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -94,6 +100,12 @@ def symbols(value: str) -> list[int]:
     return [CLASS[c] for c in value]
 
 
+def cells(runs: list[str]) -> np.ndarray:
+    """The cell of each character of the runs: it and the two before it, which a run does not have at its start."""
+    code = CODE[np.frombuffer("\n\n".join(["", *runs]).encode(), np.uint8)]
+    return ((code[:-2] * WIDTH + code[1:-1]) * WIDTH + code[2:])[code[2:] > 0]
+
+
 # --- probabilistic automata -----------------------------------------------------------------
 
 class Automaton:
@@ -210,34 +222,26 @@ class Automaton:
 
 
 class Chain:
-    """Second-order chain over single characters of ordinary runs."""
+    """Second-order chain over single characters of ordinary runs, from the counts of its cells."""
 
-    def __init__(self, runs: Iterable[str]):
-        self.pairs: dict[str, Counter] = defaultdict(Counter)
-        for run in runs:
-            for i, c in enumerate(run):
-                self.pairs[run[max(0, i - 2) : i]][c] += 1
-        self.totals = {k: sum(v.values()) for k, v in self.pairs.items()}
+    def __init__(self, counts: np.ndarray):
+        n = counts.reshape(-1, WIDTH)[:, 1:]
+        self.log = np.zeros((len(n), WIDTH))
+        self.log[:, 1:] = np.log((n + 0.5) / (n.sum(1, keepdims=True) + 0.5 * len(CLASS)))
+        self.log = self.log.reshape(-1)
 
     def steps(self, run: str) -> list[float]:
         """Logarithms of the likelihoods of the run's characters."""
-        out, letters = [], len(CLASS)
-        for i, c in enumerate(run):
-            before = run[max(0, i - 2) : i]
-            seen = self.pairs.get(before)
-            out.append(math.log(((seen[c] if seen else 0) + 0.5) / (self.totals.get(before, 0) + 0.5 * letters)))
-        return out
+        return self.log[cells([run])].tolist()
 
 
 class Formats:
     """The learned formats and the score from which a run counts as a credential."""
 
-    def __init__(self, examples: dict[str, list[str]], ordinary: list[str]):
+    def __init__(self, examples: dict[str, list[str]], chain: Chain, least: float = MARGIN):
         self.automata = {k: Automaton(sorted(map(symbols, v))) for k, v in sorted(examples.items()) if v}
-        self.chain = Chain(ordinary)
-        scores = sorted(self.score(r) for r in ordinary) if self.automata else []
-        usual = scores[min(len(scores) - 1, int(QUANTILE * len(scores)))] if scores else 0.0
-        self.least = max(MARGIN, usual)
+        self.chain = chain
+        self.least = least
 
     def score(self, run: str) -> float:
         """How much likelier the run, or a stretch of a long one, is as a credential of the best fitting kind
@@ -273,47 +277,93 @@ class Formats:
         return sorted(found, key=lambda s: (s[0], order[s[2]], s[1]))
 
 
-def learn(df: DataFrame, text: str = "text", examples: int = EXAMPLES, ordinary: int = ORDINARY) -> Formats:
-    """The formats of a corpus, from `examples` distinct credentials of each kind and `ordinary` other runs.
+def learn(df: DataFrame, text: str = "text", examples: int = EXAMPLES, ordinary: int | None = None) -> Formats:
+    """The formats of a corpus, from `examples` distinct credentials of each kind and all other runs.
 
     The values with the smallest hashes over all rows are taken, whatever the order of the rows: each task
-    keeps no more than it could contribute. Null and empty texts contribute nothing, and neither does an
-    empty table, whose formats add no spans.
+    keeps no more than it could contribute. The chain and the score that nearly no ordinary run exceeds
+    are those of all ordinary runs, as often as they occur; `ordinary` is accepted and has no effect. Null
+    and empty texts contribute nothing, and neither does an empty table, whose formats add no spans.
     """
-    limits = {kind: examples for kind in KINDS} | {"": ordinary}
-    schema = struct("kind string, hash string, value string")
+    schema = struct("kind string, hash string, value string, cell int, n bigint")
 
-    def smallest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: dict[str, list] = {k: [] for k in limits}
-        known: dict[str, set] = {k: set() for k in limits}
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict[str, list] = {k: [] for k in KINDS}
+        known: dict[str, set] = {k: set() for k in KINDS}
+        counts = np.zeros(WIDTH**3, np.int64)
         for batch in batches:
             for t in batch.column(0).to_pylist():
-                for kind, value in ((k, piece) for k, v in values(t or "") for piece in (pieces(v) if k else [v])):
-                    if value in known[kind]:
+                runs = []
+                for kind, whole in values(t or ""):
+                    if not kind:
+                        runs.append(whole)
                         continue
-                    rank = int(hashlib.md5(value.encode()).hexdigest(), 16)
-                    if len(kept[kind]) < limits[kind]:
-                        heapq.heappush(kept[kind], (-rank, value))
-                    elif -rank > kept[kind][0][0]:
-                        known[kind].discard(heapq.heapreplace(kept[kind], (-rank, value))[1])
-                    else:
-                        continue
-                    known[kind].add(value)
-        rows = [(kind, f"{-rank:032x}", value) for kind, heap in kept.items() for rank, value in heap]
-        yield arrow_batch(dict(zip(schema.names, map(list, zip(*rows)))) if rows else {n: [] for n in schema.names}, schema)
+                    for value in pieces(whole):
+                        if value in known[kind]:
+                            continue
+                        rank = int(hashlib.md5(value.encode()).hexdigest(), 16)
+                        if len(kept[kind]) < examples:
+                            heapq.heappush(kept[kind], (-rank, value))
+                        elif -rank > kept[kind][0][0]:
+                            known[kind].discard(heapq.heapreplace(kept[kind], (-rank, value))[1])
+                        else:
+                            continue
+                        known[kind].add(value)
+                if runs:
+                    np.add.at(counts, cells(runs), 1)
+        rows = [(kind, f"{-rank:032x}", value, None, None) for kind, heap in kept.items() for rank, value in heap]
+        if rows:
+            yield arrow_batch(dict(zip(schema.names, map(list, zip(*rows)))), schema)
+        some = np.flatnonzero(counts)
+        none = pa.nulls(len(some), pa.string())
+        yield arrow_batch({"kind": none, "hash": none, "value": none, "cell": some, "n": counts[some]}, schema)
 
     # as a table: taking each kind's values must not scan the texts again
-    found = written(df.select(text).mapInArrow(smallest, schema), "values", slim=True).distinct()
-    taken = _take(found, limits)
-    return Formats({k: taken[k] for k in KINDS}, taken[""])
-
+    found = written(df.select(text).mapInArrow(gather, schema), "values", slim=True)
+    taken = _take(found.where(F.col("kind").isNotNull()).select("kind", "hash", "value").distinct(), examples)
+    counts = np.zeros(WIDTH**3, np.int64)  # a row for each cell at most
+    sums = found.where(F.col("cell").isNotNull()).groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    counts[sums.column("cell").to_numpy()] = sums.column("n").to_numpy()
+    formats = Formats(taken, Chain(counts))
+    if formats.automata:
+        formats.least = _usual(df, formats, text)
+    return formats
+
+
+def _usual(df: DataFrame, formats: Formats, text: str) -> float:
+    """The score that all but a share of 1 - QUANTILE of the ordinary runs stay within, MARGIN at least.
+
+    From a histogram of the scores of all ordinary runs, in bins about a hundredth wide; the first holds
+    what is no more than the margin.
+    """
+    shared = df.sparkSession.sparkContext.broadcast(formats)
+    schema = struct("bin int, n bigint")
 
-def _take(found: DataFrame, limits: dict[str, int]) -> dict[str, list[str]]:
-    parts = [found.where(F.col("kind") == kind).orderBy("hash").limit(n) for kind, n in limits.items()]
+    def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, bins = shared.value, Counter()
+        for batch in batches:
+            for t in batch.column(0).to_pylist():
+                for kind, run in values(t or ""):
+                    if not kind:
+                        score = model.score(run)
+                        bins[math.ceil(BINS * math.log2(score / MARGIN)) if score > MARGIN else 0] += 1
+        yield arrow_batch({"bin": list(bins), "n": list(bins.values())}, schema)
+
+    bins = df.select(text).mapInArrow(rank, schema).groupBy("bin").agg(F.sum("n").alias("n")).collect()
+    at = int(QUANTILE * sum(r.n for r in bins))
+    for r in sorted(bins):
+        at -= r.n
+        if at < 0:
+            return MARGIN * 2 ** (r.bin / BINS)
+    return MARGIN
+
+
+def _take(found: DataFrame, limit: int) -> dict[str, list[str]]:
+    parts = [found.where(F.col("kind") == kind).orderBy("hash").limit(limit) for kind in KINDS]
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.unionByName(part)
-    out: dict[str, list[str]] = {kind: [] for kind in limits}
+    out: dict[str, list[str]] = {kind: [] for kind in KINDS}
     for r in whole.collect():
         out[r.kind].append(r.value)
     return out

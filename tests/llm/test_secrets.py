@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+from collections import Counter
 
 from eventflow.llm import secrets
 from eventflow.llm.queries import QUERIES
@@ -85,6 +86,24 @@ def test_labelled_values_are_learned_to_their_end():
     assert "".join(secrets.pieces(value)) == value and max(map(len, secrets.pieces(value))) <= secrets.LONGEST
 
 
+def test_all_ordinary_runs_count(spark):
+    """Two makes of ordinary runs, one of them in few rows of many."""
+    rng = random.Random(6)
+    makes = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=20)) for _ in range(9000)]
+    makes += ["".join(rng.choices("0123456789", k=24)) for _ in range(400)]
+    rng.shuffle(makes)
+    extra = spark.createDataFrame([(1000 + i, " ".join(makes[i::100])) for i in range(100)], "doc_id bigint, text string")
+    docs = corpus(spark).unionByName(extra)
+    runs = [run for r in docs.collect() for kind, run in secrets.values(r.text) if not kind]
+    few, formats = secrets.learn(docs, ordinary=3), secrets.learn(docs.repartition(5))
+    assert [few.score(r) for r in runs[:50]] == [formats.score(r) for r in runs[:50]] and few.least == formats.least
+    above, counted = sum(formats.score(r) > formats.least for r in runs), len(runs)
+    assert above <= 0.001 * counted
+    first = Counter(r[0] for r in runs)
+    for c in "aA7":
+        assert math.isclose(formats.chain.steps(c)[0], math.log((first[c] + 0.5) / (len(runs) + 0.5 * len(secrets.CLASS))))
+
+
 def test_samples_stay_within_their_bounds(spark):
     few = secrets.learn(corpus(spark), examples=5, ordinary=3)
     assert set(few.automata) == {"assign", "access"}
