@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventflow.llm import packing, secrets, simhash, toxicity
-from eventflow.llm.common import read, remainder, written
+from eventflow.llm.common import read, remainder, text_or_empty, written
 
 #: From this score on a document is rejected as toxic.
 TOXIC = 0.7
@@ -26,15 +26,23 @@ def clean_of_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id, and of repeated rows one.
-
-    A document without id is kept only if its group has no document with one.
+    """Of each group of near copies one document: that with the smallest id, one without id only if no other
+    has one, and of those with the same id that whose text has the smallest hash. Of repeated rows one.
     """
-    found = simhash.near_duplicates(docs, words=4, radius=4)
-    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__stay")).distinct()
-    kept = docs.join(stay, F.col("doc_id").eqNullSafe(F.col("__stay"))).drop("__stay")
-    first = [F.min(F.struct(*[c for c in docs.columns if c != "doc_id"])).alias("row")]
-    return kept.groupBy("doc_id").agg(*first).select(
+    digest = F.sha2(text_or_empty("text"), 256).alias("__digest")
+    marked = written(
+        simhash.fingerprints(docs.select("doc_id", text_or_empty("text").alias("text"), digest), words=4)
+        .select("doc_id", "__digest", "fp"), "marked", slim=True,
+    )
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__digest")
+    groups = simhash.components(marked.select("doc_id", "fp"), radius=4)
+    stay = marked.join(groups, "fp").groupBy("component").agg(F.min(order).alias("first")).select(
+        F.col("first.doc_id").alias("__stay"), F.col("first.__digest").alias("__text"))
+    first = F.col("doc_id").eqNullSafe(F.col("__stay")) & (F.col("__digest") == F.col("__text"))
+    kept = docs.select("*", digest).join(stay, first)
+    # rows left with the same id and text are repeated rows
+    rest = [F.min(F.struct(*[c for c in docs.columns if c != "doc_id"])).alias("row")]
+    return kept.groupBy("doc_id", "__digest").agg(*rest).select(
         *["doc_id" if c == "doc_id" else F.col(f"row.{c}").alias(c) for c in docs.columns]
     )
 

@@ -232,6 +232,22 @@ def links(distinct: DataFrame, radius: int, fp: str = "fp") -> DataFrame:
     return stars.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)
 
 
+def components(marked: DataFrame, radius: int) -> DataFrame:
+    """fp, component, component_id: for each distinct fingerprint of `marked` (doc_id, fp) a fingerprint that stands
+    for its component, and the component's smallest id, null if it has none."""
+    nodes = marked.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    stars = connected_components(links(nodes.select("fp"), radius), "a", "b")
+    reach = (
+        stars.join(nodes, stars["node"] == nodes["fp"]).groupBy("component").agg(F.min("first").alias("component_id"))
+    )
+    linked = stars.join(reach, "component").select(F.col("node").alias("fp"), "component", "component_id")
+    named = nodes.join(linked, "fp", "left").select(
+        "fp", F.coalesce("component", "fp").alias("component"), F.coalesce("component_id", "first").alias("component_id")
+    )
+    # a table of its own, so that Spark can split the documents of a hot fingerprint over tasks
+    return written(named, "named", slim=True)
+
+
 def near_duplicates(
     df: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 4, radius: int = 4, seed: int = SEED
 ) -> DataFrame:
@@ -245,12 +261,4 @@ def near_duplicates(
     """
     rows = df.select(F.col(doc_id).alias("doc_id"), text_or_empty(text).alias("text"))
     marked = written(fingerprints(rows, "text", words, seed).select("doc_id", "fp"), "marked", slim=True)
-    nodes = marked.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    stars = connected_components(links(nodes.select("fp"), radius), "a", "b")
-    reach = (
-        stars.join(nodes, stars["node"] == nodes["fp"]).groupBy("component").agg(F.min("first").alias("component_id"))
-    )
-    linked = stars.join(reach, "component").select(F.col("node").alias("fp"), "component_id")
-    named = nodes.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id"))
-    # from a table of its own, so that Spark can split the documents of a hot fingerprint over tasks
-    return marked.join(written(named, "named", slim=True), "fp").select("doc_id", "fp", "component_id")
+    return marked.join(components(marked, radius), "fp").select("doc_id", "fp", "component_id")

@@ -70,3 +70,18 @@ def test_odd_rows_and_no_rows(spark, odd, odd_rows, nothing, tmp_path, name, sta
     if name == "simhash near-dedup":
         assert len(rows) == len({r.doc_id for r in rows})
         assert {r.doc_id for r in rows} == {r.component_id for r in simhash.near_duplicates(odd).collect()}
+
+
+def test_each_group_leaves_one_document(spark):
+    rng = random.Random(8)
+
+    def text():
+        return " ".join("".join(rng.choices("abcdefghij", k=7)) for _ in range(60))
+
+    one, two, three, four = (text() for _ in range(4))
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    rows = [(None, one), (None, one), (None, two), (7, three), (7, four), (9, three), (None, four)]
+    docs = spark.createDataFrame([tuple({"doc_id": i, "text": t}.get(f.name) for f in schema) for i, t in rows], schema)
+    kept = corpus_pipeline.without_near_copies(spark, docs, SF)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == sorted([(0, one), (0, two), (7, three), (7, four)])
