@@ -726,6 +726,22 @@ def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
     return spark.readStream.schema(static.schema).option("maxFilesPerTrigger", 16).parquet(f"{sf}/events.parque[t]")
 
 
+def _delay(spark: SparkSession, sf: str, least: int) -> str:
+    """`least` seconds, or how far the table's files go back behind those read before them, so that no row is late.
+
+    Files are read in the order of their modification times, those of the same time in any order.
+    """
+    ts = F.col("ts").cast("timestamp")
+    read = views.table(spark, sf, "events").groupBy(F.col("_metadata.file_modification_time").alias("at")).agg(
+        F.countDistinct("_metadata.file_path").alias("files"), F.unix_micros(F.min(ts)).alias("first"), F.unix_micros(F.max(ts)).alias("last"))
+    back, latest = 0, None
+    for r in sorted(read.where("first IS NOT NULL").collect(), key=lambda r: r["at"]):
+        before = [t for t in (latest, r["last"] if r["files"] > 1 else None) if t is not None]
+        back = max([back, *(t - r["first"] for t in before)])
+        latest = max(r["last"], latest if latest is not None else r["last"])
+    return f"{max(least, back // 1_000_000 + 1)} seconds"
+
+
 @query
 def dedup_events(spark, sf):
     bus = views.bus(spark, sf)
@@ -851,7 +867,7 @@ def saga_state_stream(spark, sf):
 @query
 def topic_counts_stream(spark, sf):
     posts = routing.post_filter(views.posts_of(views.ev_of(_event_stream(spark, sf))))
-    counts = signals.topic_counts(posts.withWatermark("ts", "1 day"), HORIZON, "2 hours")
+    counts = signals.topic_counts(posts.withWatermark("ts", _delay(spark, sf, 86400)), HORIZON, "2 hours")
     latest = pipelines.run_update(counts, "topic-counts", ["topic", "window_start"])
     return latest.select("topic", _us("window_start"), "posts")
 
@@ -860,7 +876,7 @@ def topic_counts_stream(spark, sf):
 def dedup_stream(spark, sf):
     bus = views.bus_of(views.ev_of(_event_stream(spark, sf)))
     twice = bus.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
-    return pipelines.run_append(pipelines.dedup(twice, "time", "1 day"), "dedup").select("id", "type", "traceid", _us("time"))
+    return pipelines.run_append(pipelines.dedup(twice, "time", _delay(spark, sf, 86400)), "dedup").select("id", "type", "traceid", _us("time"))
 
 
 
@@ -868,21 +884,21 @@ def dedup_stream(spark, sf):
 @query
 def payment_timeouts_stream(spark, sf):
     closing = pipelines.Closing(views.bus_of(views.ev_of(_event_stream(spark, sf))), "time")
-    return pipelines.run_append(pipelines.payment_timeouts(closing.stream, HORIZON, "1 hour"), "timeouts", closing)
+    return pipelines.run_append(pipelines.payment_timeouts(closing.stream, HORIZON, _delay(spark, sf, 3600)), "timeouts", closing)
 
 
 @query
 def rate_limited_alerts_stream(spark, sf):
     posts = routing.post_filter(views.posts_of(views.ev_of(_event_stream(spark, sf))))
     closing = pipelines.Closing(posts, "ts")
-    passed = pipelines.rate_limit_stream(closing.stream, "topic", "ts", signals.seconds(HORIZON), "1 hour")
+    passed = pipelines.rate_limit_stream(closing.stream, "topic", "ts", signals.seconds(HORIZON), _delay(spark, sf, 3600))
     return pipelines.run_append(passed, "rate-limit", closing).select("topic", _us("ts"))
 
 
 @query
 def sentiment_spike_stream(spark, sf):
     closing = pipelines.Closing(routing.post_filter(views.posts_of(views.ev_of(_event_stream(spark, sf)))), "ts")
-    spikes = pipelines.sentiment_spike_stream(closing.stream, HORIZON, delay="1 hour")
+    spikes = pipelines.sentiment_spike_stream(closing.stream, HORIZON, delay=_delay(spark, sf, 3600))
     return pipelines.run_append(spikes, "spikes", closing).select(
         "topic", _us("window_start"), "posts", F.round("mean_score", 6).alias("mean_score"),
         F.round("previous_mean", 6).alias("previous_mean"),
@@ -892,7 +908,7 @@ def sentiment_spike_stream(spark, sf):
 @query
 def signup_sessions_stream(spark, sf):
     closing = pipelines.Closing(views.bus_of(views.ev_of(_event_stream(spark, sf))), "time")
-    sessions = pipelines.signup_state_sessions(closing.stream, "1 day", "1 hour")
+    sessions = pipelines.signup_state_sessions(closing.stream, "1 day", _delay(spark, sf, 3600))
     return pipelines.run_append(sessions, "sessions", closing).select(
         "traceid", _us("first_at"), _us("closed_at"), "state"
     )
@@ -906,7 +922,7 @@ def choreography_stream(spark, sf):
     folder = run_dir(spark, "decisions")
     decided.write.parquet(folder)
     decisions = spark.readStream.schema(decided.schema).parquet(folder)
-    landed = pipelines.run_append(pipelines.choreography(stream, decisions, "shop", delay="1 day"), "choreography")
+    landed = pipelines.run_append(pipelines.choreography(stream, decisions, "shop", delay=_delay(spark, sf, 86400)), "choreography")
     parsed = envelope.parse_envelope(envelope.event_type(landed))
     return parsed.select(
         F.col("id").alias("event_id"), "type", "traceid", field(F.col("data"), "email").alias("email"),

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import random
+
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,6 +13,7 @@ from eventflow.functions.scalar import field
 from eventflow.operators import envelope, routing, saga, signals
 from eventflow.operators.rate_limit import rate_limit
 from eventflow.plans import adapters as views
+from eventflow.plans.catalog import QUERIES
 from eventflow.schemas import LOG_RECORD
 from eventflow.streaming import pipelines
 
@@ -155,3 +160,28 @@ def test_start_that_always_raises(spark, split_bus, tmp_path):
 
     pipelines.start_sink(start, str(tmp_path / "dead"), pause_seconds=0)(requests, 0)
     assert spark.read.schema(LOG_RECORD).json(str(tmp_path / "dead")).count() == 5
+
+
+@pytest.fixture(scope="module")
+def shuffled(tmp_path_factory):
+    """The test events in 24 files whose modification times do not follow event time."""
+    root = tmp_path_factory.mktemp("shuffled")
+    events = pq.read_table(f"{SF}/events.parquet").sort_by("ts")
+    (root / "events.parquet").mkdir()
+    order = list(range(24))
+    random.Random(1).shuffle(order)
+    for at, i in enumerate(order):
+        first, stop = len(events) * i // 24, len(events) * (i + 1) // 24
+        path = root / "events.parquet" / f"{i:02}.parquet"
+        pq.write_table(events.slice(first, stop - first), path)
+        os.utime(path, (1_700_000_000 + at, 1_700_000_000 + at))
+    return str(root)
+
+
+@pytest.mark.parametrize("name", [
+    "dedup_stream", "topic_counts_stream", "payment_timeouts_stream", "rate_limited_alerts_stream", "sentiment_spike_stream",
+    "signup_sessions_stream", "choreography_stream"])
+def test_files_in_any_order(spark, shuffled, name):
+    got, expected = QUERIES[name](spark, shuffled), QUERIES[name](spark, SF)
+    assert not expected.isEmpty()
+    same(got, expected)
