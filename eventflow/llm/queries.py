@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventflow.llm import bpe_codec, lm_scoring, merkle, nn_descent, packing, secrets, sharding, simhash, token_counts, toxicity
+from eventflow.llm import (
+    bpe_codec, decontamination, lm_scoring, merkle, nn_descent, oracles, packing, secrets, sharding, simhash, token_counts,
+    toxicity,
+)
 from eventflow.llm.common import read, remainder, text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -115,3 +118,15 @@ def op6_lm_scoring(spark, sf):
 @query
 def op7_embedding_near_dedup(spark, sf):
     return nn_descent.near_duplicates(read(spark, sf, "embeddings"), threshold=0.93)
+
+
+@query
+def op13_decontamination(spark, sf):
+    found = decontamination.decontaminate(read(spark, sf, "documents"), read(spark, sf, "benchmark"), window=10)
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+ORACLES["op13_decontamination"] = oracles.DECONTAMINATION
