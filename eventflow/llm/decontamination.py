@@ -6,9 +6,9 @@ one is all that has to be joined: the rarest over all documents. A document posi
 start for the window; starts that leave the document at either end fall to the positional and length
 bounds, and the rest are verified word by word.
 
-Documents are read in two passes over a written table of their words: one counts the items' shingles, the
-other joins the prefixes. Only narrow positions that matched are ever exchanged. The items' side is sent
-to all tasks if it has at most BROADCAST_ROWS rows, and joined by an exchange otherwise.
+One pass over a written table of the documents' words leaves the positions that hold a shingle of any item.
+The shingles are counted there, and the prefixes joined. The items' side is sent to all tasks if it has at
+most BROADCAST_ROWS rows, and joined by an exchange of narrow rows otherwise.
 """
 
 from __future__ import annotations
@@ -33,18 +33,18 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(lowered, BETWEEN), "")
 
 
-def _shingles(column: str, length: int) -> Column:
-    """The hash of the `length` words from each position on; those that reach over the end are no shingles."""
-    return F.transform(
-        column, lambda word, at: F.xxhash64(F.lit(length), word, *[F.get(F.col(column), at + i) for i in range(1, length)])
-    )
-
-
 def _placed(table: DataFrame, key: str, length: int, shortest: int) -> DataFrame:
-    """(key, n, at, shingle) for each position of the rows of at least `shortest` words."""
+    """(key, n, at, shingle) for each position of the rows of at least `shortest` words.
+
+    A shingle is the hash of the `length` words from its position on. The words' hashes are laid beside
+    themselves, shifted, and hashed together behind the explode, where code is compiled.
+    """
     whole = table.where(F.size("words") >= max(shortest, length))
-    rows = whole.select(key, F.size("words").alias("n"), F.posexplode(_shingles("words", length)).alias("at", "shingle"))
-    return rows.where(F.col("at") + length <= F.col("n"))
+    hashed = whole.select(key, F.size("words").alias("n"), F.transform("words", lambda word: F.xxhash64(word)).alias("h"))
+    shifted = [F.slice("h", i + 1, F.col("n")).alias(f"h{i}") for i in range(length)]
+    rows = hashed.select(key, "n", F.posexplode(F.arrays_zip(*shifted)).alias("at", "of"))
+    return rows.where(F.col("at") + length <= F.col("n")).select(
+        key, "n", "at", F.xxhash64(F.lit(length), *[F.col("of")[f"h{i}"] for i in range(length)]).alias("shingle"))
 
 
 def item_windows(items: DataFrame, window: int, item_id: str = "item_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -65,49 +65,41 @@ def _small(df: DataFrame, most: int) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
-def prefixes(table: DataFrame, windows: DataFrame, shingle: int, most: int = BROADCAST_ROWS) -> DataFrame:
-    """(wid, length, shingle, off, n): of each window that can occur at all its rarest shingle over the whole table.
+def prefixes(every: DataFrame, counts: DataFrame) -> DataFrame:
+    """(wid, length, shingle, off, size): of each window that can occur at all its rarest shingle.
 
-    off is the shingle's place in its window, n the window's words. Ties go to the smaller hash.
+    every: wid, size (the window's words), length, shingle and off (its place in the window); counts: how many
+    positions of the whole table hold a shingle. Ties go to the smaller hash. A window has to be held whole, so
+    that of its shingles in this order one is necessary; a window with a shingle that no document has can't occur.
     """
-    length = F.least(F.lit(shingle), F.size("words"))
-    lengths = [r.length for r in windows.select(length.alias("length")).distinct().collect()]  # at most `shingle` values
-    parts = [
-        _placed(windows.where(length == k), "wid", k, 1).select("wid", F.lit(k).alias("length"), "shingle", F.col("at").alias("off"), "n")
-        for k in sorted(lengths)
-    ]
-    if not parts:
-        return windows.select("wid", F.lit(0).alias("length"), F.lit(0).cast("bigint").alias("shingle"), F.lit(0).alias("off"), F.lit(0).alias("n"))
-    every = written(reduce(DataFrame.unionByName, parts), "window-shingles")
-    wanted = _small(every.select("length", "shingle").distinct(), most)
-    shortest = windows.agg(F.min(F.size("words"))).first()[0]
-    found = [
-        _placed(table, "key", k, shortest).select(F.lit(k).alias("length"), "shingle").join(wanted, ["length", "shingle"])
-        for k in sorted(lengths)
-    ]
-    counts = reduce(DataFrame.unionByName, found).groupBy("length", "shingle").count()
-    # a window with a shingle that no document has can't occur
-    ranked = every.join(counts, ["length", "shingle"], "left").groupBy("wid", "length", "n").agg(
+    ranked = every.join(counts, ["length", "shingle"], "left").groupBy("wid", "length", "size").agg(
         F.min(F.struct(F.coalesce("count", F.lit(0)).alias("count"), "shingle", "off")).alias("rarest"))
-    return written(ranked.where("rarest.count > 0").select("wid", "length", "n", "rarest.shingle", "rarest.off"), "prefixes")
+    return ranked.where("rarest.count > 0").select("wid", "length", "size", "rarest.shingle", "rarest.off")
 
 
 def hits(table: DataFrame, windows: DataFrame, shingle: int, most: int = BROADCAST_ROWS) -> DataFrame:
     """(key, hits array of start, n, wid): where windows stand in the rows of `table` (key, words), verified."""
-    first = prefixes(table, windows, shingle, most)
-    joined = _small(first.withColumnRenamed("n", "size"), most)
-    lengths = sorted(r.length for r in first.select("length").distinct().collect())
-    shortest = first.agg(F.min("n")).first()[0] or 0
+    length = F.least(F.lit(shingle), F.size("words"))
+    lengths = sorted(r.length for r in windows.select(length.alias("length")).distinct().collect())  # at most `shingle` values
+    if not lengths:
+        return table.select("key", F.expr("CAST(NULL AS array<struct<start: int, n: int, wid: bigint>>)").alias("hits")).limit(0)
+    every = written(reduce(DataFrame.unionByName, [
+        _placed(windows.where(length == k), "wid", k, 1).select("wid", F.col("n").alias("size"), F.lit(k).alias("length"), "shingle", F.col("at").alias("off"))
+        for k in lengths
+    ]), "window-shingles")
+    wanted = _small(every.select("length", "shingle").distinct(), most)
+    shortest = windows.agg(F.min(F.size("words"))).first()[0]
+    # the one pass over all words; what it leaves are positions of the items' shingles
+    matched = written(reduce(DataFrame.unionByName, [
+        _placed(table, "key", k, shortest).withColumn("length", F.lit(k)).join(wanted, ["length", "shingle"]) for k in lengths
+    ]), "positions")
+    first = written(prefixes(every, matched.groupBy("length", "shingle").count()), "prefixes")
     start = F.col("at") - F.col("off")
-    parts = [
-        _placed(table, "key", k, shortest).join(joined.where(F.col("length") == k), "shingle")
-        .where((start >= 0) & (start + F.col("size") <= F.col("n")))
+    candidates = (
+        matched.join(_small(first, most), ["length", "shingle"]).where((start >= 0) & (start + F.col("size") <= F.col("n")))
         .select("key", start.alias("start"), F.col("size").alias("n"), "wid")
-        for k in lengths
-    ]
-    if not parts:
-        return table.select("key", F.expr("CAST(NULL AS array<struct<start: int, n: int, wid: bigint>>)").alias("hits")).limit(0)
-    candidates = reduce(DataFrame.unionByName, parts).join(windows.select("wid", F.col("words").alias("wanted")), "wid")
+        .join(windows.select("wid", F.col("words").alias("wanted")), "wid")
+    )
     listed = candidates.groupBy("key").agg(F.collect_list(F.struct("start", "n", "wid", "wanted")).alias("candidates"))
     true = F.filter("candidates", lambda c: F.slice(F.col("words"), c["start"] + 1, c["n"]) == c["wanted"])
     found = table.select("key", "words").join(listed, "key").select(
