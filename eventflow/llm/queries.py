@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventflow.llm import (
-    bpe_codec, decontamination, lm_scoring, merkle, nn_descent, oracles, packing, secrets, sharding, simhash, token_counts,
-    toxicity,
+    bpe_codec, conversation_trie, decontamination, hard_negatives, lm_scoring, merkle, nn_descent, oracles, packing, secrets,
+    sharding, simhash, token_counts, toxicity,
 )
 from eventflow.llm.common import read, remainder, text_or_empty
 
@@ -130,3 +130,24 @@ def op13_decontamination(spark, sf):
 
 
 ORACLES["op13_decontamination"] = oracles.DECONTAMINATION
+
+
+@query
+def op12_hard_negatives(spark, sf):
+    vec_id, label = F.col("vec_id"), F.col("label")
+    moved = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    rows = read(spark, sf, "embeddings").select("vec_id", moved.alias("label"), "embedding")
+    return hard_negatives.hard_negatives(rows, vec_id % 50 == 0)
+
+
+ORACLES["op12_hard_negatives"] = oracles.HARD_NEGATIVES
+
+
+@query
+def op11_conversation_trie(spark, sf):
+    found = conversation_trie.conversation_trie(read(spark, sf, "conversations"), every=20, most=3)
+    return found.select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
+ORACLES["op11_conversation_trie"] = oracles.CONVERSATION_TRIE
