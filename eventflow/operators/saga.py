@@ -355,14 +355,18 @@ def start_or_dead_letter(attempts: DataFrame, max_attempts: int = MAX_ATTEMPTS)
 
 # --- accounts and money ---------------------------------------------------------------------
 
+def account_event_kinds() -> tuple[Column, Column, Column]:
+    """Whether an event opens, upgrades or closes an account."""
+    return _is(ACCOUNT_ACTIVATED_EVENT), _notified(UPGRADE_COMPLETED), _notified(ACCOUNT_DEACTIVATED)
+
+
 def account_state(df: DataFrame, key: str = "account") -> DataFrame:
     """Latest tier and active flag per account, from activation, upgrade and deactivation events.
 
     The user id is minted anew along the way, so the account key must be a stable one (e-mail).
     An upgrade keeps the active flag it does not mention, a deactivation keeps the tier.
     """
-    upgraded, closed = _notified(UPGRADE_COMPLETED), _notified(ACCOUNT_DEACTIVATED)
-    opened = _is(ACCOUNT_ACTIVATED_EVENT)
+    opened, upgraded, closed = account_event_kinds()
     at = F.struct(F.col("time"), F.col("id"))
     return (
         df.filter(opened | upgraded | closed)

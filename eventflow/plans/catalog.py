@@ -20,7 +20,7 @@ from eventflow.schemas import (
 )
 from eventflow.sources import logs
 from eventflow.sources.checkpoints import run_dir
-from eventflow.streaming import pipelines
+from eventflow.streaming import pipelines, upsert
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -864,6 +864,18 @@ def saga_state_stream(spark, sf):
     return pipelines.run_update(saga.signup_state(bus), "saga-state", ["traceid"])
 
 
+@query
+def account_state_stream(spark, sf):
+    """Accounts upserted from a stream into a table of buckets, batch by batch, and read back."""
+    root = run_dir(spark, "accounts")
+    named = lambda bus: bus.withColumn("account", F.concat(F.lit("u"), F.col("user_id").cast("string")))
+    stream = named(views.bus_of(views.ev_of(_event_stream(spark, sf))))
+    table = upsert.account_table(spark, f"{root}/table", stream, buckets=8)
+    stream.writeStream.trigger(availableNow=True).option("checkpointLocation", f"{root}/checkpoint").foreachBatch(
+        table.sink(upsert.account_states)).start().awaitTermination()
+    return upsert.account_view(table.read()).select("account", "tier", "active", _us("updated_at"))
+
+
 @query
 def topic_counts_stream(spark, sf):
     posts = routing.post_filter(views.posts_of(views.ev_of(_event_stream(spark, sf))))

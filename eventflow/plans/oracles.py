@@ -188,6 +188,14 @@ _OK_TEMPLATES = """CASE m WHEN 'SignupRequestedEvent' THEN 'signup' WHEN 'Paymen
   WHEN 'AccountDeactivationRequestedEvent' THEN 'deactivation_requested'
   WHEN 'AccountDeactivatedEvent' THEN 'deactivated' END"""
 
+_ACCOUNT_STATE = _sql("bus", """SELECT 'u' || user_id AS account,
+        coalesce(upper(arg_max(tier, (time, id)) FILTER (WHERE opened OR upgraded)), '') AS tier,
+        arg_max(opened, (time, id)) FILTER (WHERE opened OR closed) AS active, epoch_us(max(time)) AS updated_at_us
+      FROM (SELECT *, type = 'AccountActivatedEvent' AS opened,
+          coalesce(notification_type = 'UpgradeCompletedEvent', false) AS upgraded,
+          coalesce(notification_type = 'AccountDeactivatedEvent', false) AS closed FROM bus)
+      WHERE opened OR upgraded OR closed GROUP BY user_id""")
+
 ORACLES: dict[str, str] = {
     "outcome_summary": _sql("state", """SELECT state, count(*) AS traces,
       round(count(*) / CAST(sum(count(*)) OVER () AS DOUBLE), 6) AS share FROM state GROUP BY state"""),
@@ -398,13 +406,7 @@ ORACLES: dict[str, str] = {
         'ProcessStartFailedEvent' AS type, start_id AS traceid, 'SignupRequestedEvent' AS original_type, reason,
         '{"id":"' || start_id || '"}' AS original_message, epoch_us(last_at) AS failed_at_us
       FROM starts WHERE outcome = 'dead_letter'"""),
-    "account_state": _sql("bus", """SELECT 'u' || user_id AS account,
-        coalesce(upper(arg_max(tier, (time, id)) FILTER (WHERE opened OR upgraded)), '') AS tier,
-        arg_max(opened, (time, id)) FILTER (WHERE opened OR closed) AS active, epoch_us(max(time)) AS updated_at_us
-      FROM (SELECT *, type = 'AccountActivatedEvent' AS opened,
-          coalesce(notification_type = 'UpgradeCompletedEvent', false) AS upgraded,
-          coalesce(notification_type = 'AccountDeactivatedEvent', false) AS closed FROM bus)
-      WHERE opened OR upgraded OR closed GROUP BY user_id"""),
+    "account_state": _ACCOUNT_STATE,
     "revenue_by_tier": _sql("bus", """SELECT upper(tier) AS tier,
         CAST(coalesce(sum(payment_amount) FILTER (WHERE type = 'PaymentReceivedEvent'), 0) AS BIGINT) AS captured_cents,
         CAST(coalesce(sum(payment_amount) FILTER (WHERE type = 'PaymentRefundedEvent'), 0) AS BIGINT) AS refunded_cents,
@@ -568,6 +570,7 @@ ORACLES: dict[str, str] = {
     "started_requests": _sql("bus", """SELECT id, type, CASE WHEN k % 10 = 3 THEN 'dead letter' ELSE 'started' END AS outcome
       FROM bus WHERE type LIKE '%RequestedEvent'"""),
     "saga_state_stream": _sql("state", "SELECT traceid, state FROM state"),
+    "account_state_stream": _ACCOUNT_STATE,
     "topic_counts_stream": _sql("windows", "SELECT topic, window_start_us, posts FROM windows"),
     "dedup_stream": _sql("bus", "SELECT id, type, traceid, epoch_us(time) AS time_us FROM bus"),
     # The stream answers are those of the batch: every request, every alert, every trace.
