@@ -1,41 +1,46 @@
 """At most one alert per key and interval, greedily: the next alert is allowed once the interval has
 passed since the last one that was let through.
 
-Which alert passes depends on all the ones before it, so no window function gives it. Keys with few
-alert times are folded in one row each. For the others the passing alerts are found by pointer
-doubling: every alert points to the first alert at least one interval later; pointers are then
-chained over blocks of 1, 2, 4, ... intervals, keeping per block only the alerts a chain can enter
-by, so the work shrinks by about half per round and no task ever holds a whole key.
+Which alert passes depends on all the ones before it, so no window function gives it. A key's times are cut
+into slots of some intervals. What a slot does to the last alert let through before it is a short list of
+steps (`greedy`); one pass over these lists, in the order of the slots, gives each slot the one time that is
+carried into it, and then every slot is scanned on its own. One way for keys of any size, linear in the alerts,
+and nothing runs while the query is built.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from eventflow.operators.joins import lookup
-from eventflow.operators.ordered import next_known
-from eventflow.sources.checkpoints import ensure_checkpoint_dir
+from eventflow.operators import greedy
 
-FOLD_LIMIT = 20_000
-#: Intervals in a slot of the as-of lookup.
+#: Intervals in a slot.
 SLOT_WIDTHS = 64
 
 
 def rate_limit(
-    alerts: DataFrame, key: str, time: str, interval_seconds: int, fold_limit: int = FOLD_LIMIT,
+    alerts: DataFrame, key: str, time: str, interval_seconds: int, slot_widths: int = SLOT_WIDTHS, chunk: int = greedy.CHUNK,
 ) -> DataFrame:
-    """Alert times that pass, as (key, time). Alerts at the same time count as one."""
+    """Alert times that pass, as (key, time). Alerts at the same time count as one, those without a time as none;
+    a null key is a key of its own."""
     width = interval_seconds * 1_000_000
-    times = alerts.select(F.col(key), F.unix_micros(time).alias("t")).distinct()
-    sizes = times.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.agg(F.max("n")).first()[0]
-    if largest is None or largest <= fold_limit:
-        passed = _fold(times, key, width)
-    else:
-        sized = lookup(times, sizes, [key], F.col("t"))
-        small = sized.filter(F.col("n") <= fold_limit).drop("n")
-        large = sized.filter(F.col("n") > fold_limit).drop("n")
-        passed = _fold(small, key, width).unionByName(_double(large, key, width))
+    slot = F.floor(F.col("t") / F.lit(slot_widths * width)).cast("bigint")
+    times = alerts.select(F.col(key), F.unix_micros(time).alias("t")).filter("t IS NOT NULL").distinct().withColumn("slot", slot)
+    kind = T.StructField(key, alerts.schema[key].dataType)
+    long, longs = T.LongType(), T.ArrayType(T.LongType())
+
+    def schema(**fields: T.DataType) -> T.StructType:
+        return T.StructType([kind, *[T.StructField(n, t) for n, t in fields.items()]])
+
+    listed, carry, out = schema(slot=long, chunk=long, tops=longs, exits=longs), schema(slot=long, t=long), schema(t=long)
+    arrow = to_arrow_schema
+    slots = times.repartition(key, "slot").sortWithinPartitions(key, "slot", "t").mapInArrow(
+        greedy.summaries(key, width, arrow(listed), chunk), listed)
+    carried = slots.repartition(key).sortWithinPartitions(key, "slot", "chunk").mapInArrow(greedy.carries(key, width, arrow(carry)), carry)
+    both = times.withColumn("kind", F.lit(1)).unionByName(carried.withColumn("kind", F.lit(0)))
+    passed = both.repartition(key, "slot").sortWithinPartitions(key, "slot", "kind", "t").mapInArrow(
+        greedy.passing(key, width, arrow(out)), out)
     return passed.select(key, F.timestamp_micros("t").alias(time))
 
 
@@ -43,79 +48,3 @@ def rate_limit_tumbling(alerts: DataFrame, key: str, time: str, interval: str) -
     """Cheaper variant: the first alert of each fixed interval. Two may be closer than the interval."""
     first = alerts.groupBy(key, F.window(time, interval)).agg(F.min(time).alias(time))
     return first.select(key, time)
-
-
-def _fold(times: DataFrame, key: str, width: int) -> DataFrame:
-    """Greedy pass over one sorted array per key; the arrays are bounded by the fold limit."""
-    empty = F.array().cast("array<bigint>")
-    passed = F.aggregate(
-        F.array_sort(F.collect_list("t")),
-        empty,
-        lambda out, t: F.when(
-            (F.size(out) == 0) | (t - F.get(out, F.size(out) - 1) >= width), F.array_append(out, t)
-        ).otherwise(out),
-    )
-    return times.groupBy(key).agg(passed.alias("ts")).select(key, F.explode("ts").alias("t"))
-
-
-def _double(times: DataFrame, key: str, width: int) -> DataFrame:
-    spark = times.sparkSession
-    ensure_checkpoint_dir(spark)
-    base = times.checkpoint()
-
-    # Each time as a node and, one interval later, as the question which node comes next.
-    node = F.struct(F.col("t").alias("at"), F.lit(1).alias("kind"))
-    probe = F.struct((F.col("t") + width).alias("at"), F.lit(0).alias("kind"))
-    both = base.select(key, F.col("t").alias("src"), F.inline(F.array(node, probe)))
-    keys, order = [key], ["at", "kind", "src"]
-    linked = next_known(
-        both, keys, order, F.when(F.col("kind") == 1, F.col("at")), "jump", SLOT_WIDTHS * width
-    ).filter("kind = 0")
-
-    first = base.groupBy(key).agg(F.min("t").alias("__first"))
-    offsets = lookup(linked, first, [key], F.col("src")).select(
-        key, "__first", (F.col("src") - F.col("__first")).alias("off"),
-        (F.col("jump") - F.col("__first")).alias("jump"),
-    )
-    level = offsets.checkpoint()
-    longest = level.agg(F.max("off")).first()[0]
-    levels = [(width, level)]
-    while levels[-1][0] <= longest:
-        block_width, level = levels[-1]
-        levels.append((block_width * 2, _next_level(level, key, width, block_width * 2).checkpoint()))
-
-    # Top down: from the first alert of each key to the first passing alert of every smaller block.
-    passed = levels[-1][1].filter("off = 0").select(key, "__first", "off")
-    for (_, level), (parent_width, _) in zip(reversed(levels[:-1]), reversed(levels[1:])):
-        link = level.select(F.col(key).alias("__k"), F.col("off").alias("__o"), "jump")
-        same = _block(F.col("jump"), parent_width) == _block(F.col("off"), parent_width)
-        chained = passed.join(
-            link, passed[key].eqNullSafe(link["__k"]) & (passed["off"] == link["__o"]), "left"
-        )
-        passed = chained.select(
-            key, "__first",
-            F.explode(F.array_compact(F.array("off", F.when(same, F.col("jump"))))).alias("off"),
-        )
-    return passed.select(key, (F.col("__first") + F.col("off")).alias("t"))
-
-
-def _block(offset: Column, width: int) -> Column:
-    return F.floor(offset / F.lit(width))
-
-
-def _next_level(level: DataFrame, key: str, width: int, block_width: int) -> DataFrame:
-    """Pointers out of blocks twice as wide, for the alerts a chain can enter such a block by: those
-    within one interval of its start, and the first one after that."""
-    within = F.pmod("off", F.lit(block_width)) < width
-    later = (
-        level.filter(~within)
-        .groupBy(key, "__first", _block(F.col("off"), block_width).alias("__b"))
-        .agg(F.min(F.struct("off", "jump")).alias("m"))
-        .select(key, "__first", "m.off", "m.jump")
-    )
-    entries = level.filter(within).unionByName(later)
-    onward = level.select(F.col(key).alias("__k"), F.col("off").alias("__o"), F.col("jump").alias("__j"))
-    inside = _block(F.col("jump"), block_width) == _block(F.col("off"), block_width)
-    return entries.join(
-        onward, entries[key].eqNullSafe(onward["__k"]) & (entries["jump"] == onward["__o"]), "left"
-    ).select(key, "__first", "off", F.when(inside, F.col("__j")).otherwise(F.col("jump")).alias("jump"))

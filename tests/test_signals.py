@@ -4,11 +4,13 @@ import random
 import statistics
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from eventflow.operators import signals
 from eventflow.operators.joins import lookup
+from eventflow.operators import greedy as greedy_pass
 from eventflow.operators.rate_limit import rate_limit, rate_limit_tumbling
 
 T0 = datetime(2024, 1, 1)
@@ -72,8 +74,8 @@ def test_rate_limit_example(rows):
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-def test_rate_limit_by_doubling(rows, seed):
-    """Dense, sparse and regular alerts; every key through the pointer doubling."""
+def test_rate_limit_over_slots(rows, seed):
+    """Dense, sparse and regular alerts; slots of few and many intervals, summed up in small and large parts."""
     rng = random.Random(seed)
     series = {
         "dense": [rng.uniform(0, 40) for _ in range(300)],
@@ -87,11 +89,37 @@ def test_rate_limit_by_doubling(rows, seed):
     data = [(k, stamp(m)) for k, ms in series.items() for m in ms for _ in range(2)]
     df = rows(data, "topic STRING, ts TIMESTAMP")
     expected = {(k, t) for k, ms in series.items() for t in greedy([stamp(m) for m in ms], timedelta(minutes=15))}
-    for limit in (0, 80, 100_000):
-        out = rate_limit(df, "topic", "ts", 900, fold_limit=limit).collect()
+    df = df.unionByName(rows([("untimed", None), ("dense", None)], "topic STRING, ts TIMESTAMP"))
+    for widths, chunk in ((64, 1 << 20), (1, 1 << 20), (2, 7), (3, 1)):
+        out = rate_limit(df, "topic", "ts", 900, widths, chunk).collect()
         assert {(r.topic, r.ts) for r in out} == expected and len(out) == len(expected)
 
 
+@pytest.mark.parametrize("seed", range(5))
+def test_steps_say_where_a_chain_ends(seed):
+    rng = random.Random(seed)
+    times = np.array(sorted({rng.randrange(60 if seed else 8) for _ in range(25)}))
+    for width in (1, 3, 10, 100):
+        tops, exits = greedy_pass.steps(times, width)
+        for last in [None, *range(int(times[0]) - 2 * width - 1, int(times[0]))]:
+            passed, end = greedy_pass.chain(times, last, width)
+            assert greedy_pass.entered(last, tops, exits, width) == end
+            assert passed == greedy([t for t in times.tolist() if last is None or t >= last + width], width)
+    assert len(greedy_pass.steps(np.arange(0, 10**6, 7), 10**5)[0]) <= 10**5 // 7 + 2
+
+
+def test_rate_limit_of_one_key_with_a_million_alerts(spark):
+    alerts = spark.range(1_000_000).select(F.lit("x").alias("topic"), F.timestamp_micros(F.col("id") * 997_001).alias("ts"))
+    got = sorted(int(r.t) for r in rate_limit(alerts, "topic", "ts", 900).select(F.unix_micros("ts").alias("t")).collect())
+    wanted, _ = greedy_pass.chain(np.arange(1_000_000) * 997_001, None, 900_000_000)
+    assert got == wanted
+
+
+def test_rate_limit_runs_nothing_while_it_is_built(spark, rows):
+    broken = rows([("x", T0)], "topic STRING, ts TIMESTAMP").withColumn("topic", F.raise_error(F.lit("ran")).cast("string"))
+    assert rate_limit(broken, "topic", "ts", 900).columns == ["topic", "ts"]
+
+
 def test_keywords_and_sentiment(rows):
     df = rows([(1, "Crypto CRASH now"), (2, "calm"), (3, "good good bad"), (4, None)], "id INT, text STRING")
     hits = {(r.id, r.keyword) for r in signals.keyword_match(df, ("crash", "crypto", "a")).collect()}
