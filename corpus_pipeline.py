@@ -21,30 +21,37 @@ MARK = "[SECRET]"
 def clean_of_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that are not toxic. Learned from the labelled documents outside the held-out third."""
     labels = read(spark, sf_dir, "labels").where(remainder("doc_id", 3) != 1)
-    scored = toxicity.score(docs, toxicity.learn(docs, labels))
-    return scored.where(F.col("score") < TOXIC).select(*docs.columns)
+    model = toxicity.learn(docs.select("doc_id", "text"), labels)
+    # a column of the documents may be named like one that the operator adds
+    aside = {c: f"__{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
+    scored = toxicity.score(docs.withColumnsRenamed(aside), model)
+    return scored.where(F.col("score") < TOXIC).select(*[F.col(aside.get(c, c)).alias(c) for c in docs.columns])
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies one document: that with the smallest id, one without id only if no other
     has one, and of those with the same id that whose text has the smallest hash. Of repeated rows one.
+
+    Groups hold ids and hashes. The texts pass through one join, and only those of repeated rows through another.
     """
     digest = F.sha2(text_or_empty("text"), 256).alias("__digest")
-    marked = written(
-        simhash.fingerprints(docs.select("doc_id", text_or_empty("text").alias("text"), digest), words=4)
-        .select("doc_id", "__digest", "fp"), "marked", slim=True,
-    )
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__digest")
+    prints = simhash.fingerprints(docs.select("doc_id", text_or_empty("text").alias("text"), digest), words=4)
+    marked = written(prints.groupBy("doc_id", "__digest", "fp").agg(F.count("*").alias("rows")), "marked", slim=True)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__digest", "rows")
     groups = simhash.components(marked.select("doc_id", "fp"), radius=4)
-    stay = marked.join(groups, "fp").groupBy("component").agg(F.min(order).alias("first")).select(
-        F.col("first.doc_id").alias("__stay"), F.col("first.__digest").alias("__text"))
+    stay = written(marked.join(groups, "fp").groupBy("component").agg(F.min(order).alias("first")).select(
+        F.col("first.doc_id").alias("__stay"), F.col("first.__digest").alias("__text"), F.col("first.rows").alias("__rows")), "stay", slim=True)
     first = F.col("doc_id").eqNullSafe(F.col("__stay")) & (F.col("__digest") == F.col("__text"))
-    kept = docs.select("*", digest).join(stay, first)
-    # rows left with the same id and text are repeated rows
-    rest = [F.min(F.struct(*[c for c in docs.columns if c != "doc_id"])).alias("row")]
-    return kept.groupBy("doc_id", "__digest").agg(*rest).select(
-        *["doc_id" if c == "doc_id" else F.col(f"row.{c}").alias(c) for c in docs.columns]
-    )
+
+    def kept(some: DataFrame) -> DataFrame:
+        # the side without texts is the one that is held
+        return docs.select("*", digest).join(some.hint("shuffle_hash"), first, "left_semi")
+
+    again = stay.where("__rows > 1")
+    once = kept(stay.where("__rows = 1"))
+    if not again.isEmpty():
+        once = once.unionByName(kept(again).dropDuplicates(["doc_id", "__digest"]))
+    return once.select(*[f"`{c}`" for c in docs.columns])
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
