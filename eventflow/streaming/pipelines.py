@@ -20,7 +20,7 @@ from eventflow.operators.signals import SENTIMENT_DELTA, window_means
 from eventflow.schemas import MAX_ATTEMPTS, REQUEST_TYPES
 from eventflow.sources.checkpoints import run_dir
 from eventflow.sources.logs import to_records
-from eventflow.streaming.processors import GreedyLimit, PreviousMean
+from eventflow.streaming.processors import BlockTimes, GreedyChain, PreviousMean
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
@@ -95,17 +95,28 @@ def payment_timeouts(df: DataFrame, timeout: str = "5 minutes", delay: str = "1
 def rate_limit_stream(
     alerts: DataFrame, key: str, time: str, interval_seconds: int, delay: str = "1 minute"
 ) -> DataFrame:
-    """Streaming form of `rate_limit`: alerts pass in event-time order once the watermark is past
-    them. Alerts are rare by construction; the state of a key is its distinct alert times within the
-    delay. Alerts without a time are left out. Start it inside `rocksdb_state`, as `run_append` does."""
-    return (
-        alerts.filter(F.col(time).isNotNull()).select(F.col(key).alias("key"), F.col(time).alias("time"))
+    """Streaming form of `rate_limit`: alerts pass in event-time order once the watermark is past them, and
+    up to an eighth of the interval later. A key's alerts wait in blocks of that length, each a state and a
+    task's work of its own; the state of the key itself is the last alert let through, as long as it matters.
+    Alerts without a time are left out. Start it inside `rocksdb_state`, as `run_append` does."""
+    width = interval_seconds * 1_000_000
+    block = max(width // 8, 1000)
+    blocks = (
+        alerts.filter(F.col(time).isNotNull()).select(F.col(key).cast("string").alias("key"), F.col(time).alias("time"))
         .withWatermark("time", delay)
         .withColumn("us", F.unix_micros("time"))
-        .groupBy("key")
+        .withColumn("block", F.floor(F.col("us") / F.lit(block)).cast("bigint"))
+        .groupBy("key", "block")
+        .transformWithStateInPandas(
+            statefulProcessor=BlockTimes(block), outputStructType="key STRING, times ARRAY<LONG>, at TIMESTAMP",
+            outputMode="Append", timeMode="EventTime", eventTimeColumnName="at",
+        )
+    )
+    return (
+        blocks.groupBy("key")
         .transformWithStateInPandas(
-            statefulProcessor=GreedyLimit(interval_seconds * 1_000_000),
-            outputStructType="key STRING, us LONG", outputMode="Append", timeMode="EventTime",
+            statefulProcessor=GreedyChain(width, block), outputStructType="key STRING, us LONG",
+            outputMode="Append", timeMode="EventTime",
         )
         .select(F.col("key").alias(key), F.timestamp_micros("us").alias(time))
     )

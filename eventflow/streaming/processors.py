@@ -1,95 +1,103 @@
-"""State transitions of the two keyed processors, the only Python that runs in streaming tasks of this package.
+"""State transitions of the keyed processors, the only Python that runs in streaming tasks of this package.
 
 The module imports nothing of this package and is shipped by value, so the workers need no copy.
 
-A key has one timer at a time, for its earliest waiting row; when it fires, everything the watermark
-has passed is resolved and the next timer is set. Times are rounded up to a grid of an eighth of the
-interval in question, so answers come up to one grid step after the watermark would allow them.
+The greedy rate limit has two levels. The alerts of a key wait in blocks of an eighth of the interval, each
+block a state of its own that is only ever appended to; when the watermark has passed a block it is read once
+and handed on. Behind that, a key is one number, the last alert let through, which is forgotten once nothing
+can arrive that it bears on. So a key with very many alerts is spread over its blocks, each alert is touched
+twice, and answers come up to a block later than the watermark would allow them.
 """
 
 from __future__ import annotations
 
 import sys
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+#: Times handed on in one row.
+TOGETHER = 65_536
 
-def grid_after(ms: int, step: int) -> int:
-    """The first grid point after a time."""
-    return (ms // step + 1) * step
 
+class BlockTimes(StatefulProcessor):
+    """The alert times of one block of one key, handed on in order when the watermark has passed the block."""
 
-class Alarm:
-    """The one timer of a key."""
+    def __init__(self, block_us: int) -> None:
+        self.block_us = block_us
 
-    def __init__(self, handle: StatefulProcessorHandle) -> None:
+    def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.at = handle.getValueState("alarm", "ms LONG")
-
-    def not_later_than(self, ms: int) -> None:
-        if self.at.exists():
-            pending = self.at.get()[0]
-            if pending <= ms:
-                return
-            self.handle.deleteTimer(pending)
-        self.set(ms)
-
-    def set(self, ms: int | None) -> None:
-        """Set the next one, after the last has fired; None for no more."""
-        if ms is None:
-            self.at.clear()
-        else:
-            self.handle.registerTimer(ms)
-            self.at.update((ms,))
+        self.times = handle.getListState("times", "us LONG")
+        self.armed = handle.getValueState("armed", "ms LONG")
+
+    def handleInputRows(self, key, rows, timerValues):
+        for frame in rows:
+            self.times.appendList([(int(us),) for us in frame["us"].unique()])
+        if not self.armed.exists():
+            end = (int(key[1]) + 1) * self.block_us // 1000 + 1
+            self.handle.registerTimer(end)
+            self.armed.update((end,))
+        yield pd.DataFrame()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        times = np.unique(np.fromiter((row[0] for row in self.times.get()), np.int64))
+        self.times.clear()
+        self.armed.clear()
+        at = pd.Timestamp(timerValues.getCurrentWatermarkInMs(), unit="ms")
+        parts = [times[i : i + TOGETHER] for i in range(0, len(times), TOGETHER)]
+        yield pd.DataFrame({"key": [key[0]] * len(parts), "times": parts, "at": [at] * len(parts)})
+
+    def close(self) -> None:
+        pass
 
 
-class GreedyLimit(StatefulProcessor):
-    """Alerts of one key waiting for the watermark, and the last one let through."""
+class GreedyChain(StatefulProcessor):
+    """The last alert of a key that was let through. Its blocks arrive in their order."""
 
-    def __init__(self, width_us: int) -> None:
-        self.width_us = width_us
-        self.step_ms = max(width_us // 8000, 1)
+    def __init__(self, width_us: int, block_us: int) -> None:
+        self.width_us, self.block_us = width_us, block_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.alarm = Alarm(handle)
-        self.waiting = handle.getListState("waiting", "us LONG")
+        self.handle = handle
         self.last = handle.getValueState("last", "us LONG")
+        self.armed = handle.getValueState("armed", "ms LONG")
 
-    def _timer(self, us: int) -> int:
-        return grid_after(us // 1000, self.step_ms)
+    def _forget_at(self, last: int) -> int:
+        """When all blocks that this alert bears on have been handed on."""
+        return (last + self.width_us + self.block_us) // 1000 + 2
 
     def handleInputRows(self, key, rows, timerValues):
-        arrived = {int(us) for frame in rows for us in frame["us"].unique()}
-        self.waiting.appendList([(us,) for us in arrived])
-        self.alarm.not_later_than(self._timer(min(arrived)))
-        yield pd.DataFrame()
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        watermark = timerValues.getCurrentWatermarkInMs()
-        waiting = sorted({row[0] for row in self.waiting.get()})
-        due = [us for us in waiting if self._timer(us) < watermark]
         last = self.last.get()[0] if self.last.exists() else None
         passed = []
-        for us in due:
-            if last is None or us - last >= self.width_us:
-                passed.append(us)
-                last = us
-        rest = waiting[len(due):]
-        replace(self.waiting, [(us,) for us in rest])
-        forget = None if last is None else self._timer(last + self.width_us)
-        if not rest and forget is not None and forget < watermark:
-            self.last.clear()  # whatever may still arrive is far enough from it
-            self.alarm.set(None)
-        else:
-            if passed:
-                self.last.update((last,))
-            self.alarm.set(self._timer(rest[0]) if rest else forget)
+        for times in sorted((t for frame in rows for t in frame["times"]), key=lambda t: t[0]):
+            at = 0 if last is None else int(np.searchsorted(times, last + self.width_us))
+            while at < len(times):
+                last = int(times[at])
+                passed.append(last)
+                at = int(np.searchsorted(times, last + self.width_us))
         if passed:
+            self.last.update((last,))
+            if not self.armed.exists():
+                self.handle.registerTimer(self._forget_at(last))
+                self.armed.update((self._forget_at(last),))
             yield pd.DataFrame({"key": [key[0]] * len(passed), "us": passed})
+        else:
+            yield pd.DataFrame()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        forget = self._forget_at(self.last.get()[0])
+        if forget <= timerValues.getCurrentWatermarkInMs():
+            self.last.clear()
+            self.armed.clear()
+        else:  # another one was let through meanwhile
+            self.handle.registerTimer(forget)
+            self.armed.update((forget,))
+        yield pd.DataFrame()
 
     def close(self) -> None:
         pass
@@ -115,8 +123,3 @@ class PreviousMean(StatefulProcessor):
     def close(self) -> None:
         pass
 
-
-def replace(state, values) -> None:
-    state.clear()
-    if values:
-        state.put(values)

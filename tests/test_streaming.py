@@ -247,3 +247,15 @@ def test_only_touched_buckets_are_rewritten(spark, tmp_path):
     found = {r.k: r.n for r in table.read().collect()}
     assert found == {f"k{i}": i for i in range(200)} | {"k5": 1000, None: 7}
     assert table.get(spark.createDataFrame([(None,)], "k string")).collect()[0].n == 7
+
+
+def test_rate_limit_of_one_key_with_very_many_alerts(spark, tmp_path):
+    """A million alerts of one key wait for the watermark, and come in two files."""
+    alerts = spark.range(1_000_000).select(
+        F.lit("x").alias("topic"), F.timestamp_micros(1_700_000_000_000_000 + F.col("id") * 997_001).alias("ts"), "id")
+    for i in range(2):
+        alerts.filter(F.col("id") % 2 == i).drop("id").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("topic string, ts timestamp").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    closing = pipelines.Closing(stream, "ts")
+    out = pipelines.run_append(pipelines.rate_limit_stream(closing.stream, "topic", "ts", 3600, "20 days"), "t-many", closing)
+    same(out, rate_limit(alerts, "topic", "ts", 3600))
