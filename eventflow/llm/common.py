@@ -14,6 +14,8 @@ from eventflow.sources.checkpoints import shared_dir
 
 #: Rows handled at once inside a task; bounds what a Python worker holds beside its tables.
 SLICE = 1000
+#: Bytes of a slim table's inputs for each of its files.
+FILE_BYTES = 256 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -34,15 +36,26 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str, slim: bool = False) -> DataFrame:
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the tables that df is made of, by their files' sizes; what is no file, such as local rows, counts as none."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(x for x in sizes if x < 1 << 62)
+
+
+def written(df: DataFrame, name: str, slim: bool = False, number: str | None = None) -> DataFrame:
     """Write to the shared folder and read back: cuts the lineage and survives lost executors.
 
-    Slim tables, of a few bytes for each document, are gathered into a file per core first: many tasks
-    would leave as many tiny files.
+    Slim tables, which hold no more than what they are made of, are gathered first, as many tasks would leave as
+    many tiny files: into a file for every FILE_BYTES of their inputs, and one per core at least. `number` names
+    a column for a unique number of each row; it is given in the tasks that write, so that a task that is run
+    again gives no other numbers than those that are read.
     """
     path = scratch(df.sparkSession, name)
     if slim:
-        df = df.repartition(max(1, df.sparkSession.sparkContext.defaultParallelism))
+        df = df.repartition(max(1, df.sparkSession.sparkContext.defaultParallelism, -(-input_bytes(df) // FILE_BYTES)))
+    if number is not None:
+        df = df.withColumn(number, F.monotonically_increasing_id())
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

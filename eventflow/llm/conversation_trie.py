@@ -166,17 +166,18 @@ def rollup(nodes: DataFrame, ways: DataFrame, names: Sequence[str], local: int =
     """
     state = nodes.select("node", "parent", "depth", "conv", "size", F.col("top").alias("comp"), *[F.col(n).cast("bigint").alias(f"v_{n}") for n in names],
                          *[F.col(n).cast("bigint").alias(f"s_{n}") for n in names])
-    finished, small = [], []
+    # as a table: a column that Spark knows to be constant would make the joins on it cross joins
+    state, finished, small = written(state, "forest", slim=True), [], []
     while True:
         tops = state.where(F.col("node") == F.col("comp")).select("comp", F.col("size").alias("total"))
-        state = written(state.join(tops, "comp"), "components")
+        state = written(state.join(tops, "comp"), "components", slim=True)
         small.append(state.where(F.col("total") <= local))
         state = state.where(F.col("total") > local)
         heavy = 2 * F.col("size") > F.col("total")
         centres = written(
             state.where(heavy).groupBy("comp").agg(F.max(F.struct("depth", "node", "size")).alias("c")).select(
                 "comp", F.col("c.depth").alias("c_depth"), F.col("c.node").alias("c_node"), F.col("c.size").alias("c_size")),
-            "centroids")
+            "centroids", slim=True)
         if centres.isEmpty():
             break
         placed = state.join(centres, "comp")
@@ -185,13 +186,13 @@ def rollup(nodes: DataFrame, ways: DataFrame, names: Sequence[str], local: int =
         step = ways.select("conv", (F.col("depth") - 1).alias("c_depth"), F.col("node").alias("w_node"), F.col("parent").alias("w_parent"))
         deeper = placed.where(F.col("depth") > F.col("c_depth")).join(step, ["conv", "c_depth"]).withColumn(
             "below", F.col("w_parent") == F.col("c_node")).withColumn("next", F.when(F.col("below"), F.col("w_node")).otherwise(F.col("comp")))
-        moved = written(above.unionByName(deeper.drop("w_node", "w_parent")), "split")
+        moved = written(above.unionByName(deeper.drop("w_node", "w_parent")), "split", slim=True)
         parts = moved.where("below").groupBy("comp").agg(*[F.sum(f"v_{n}").alias(f"t_{n}") for n in names])
         centre = F.col("node") == F.col("c_node")
         added = moved.join(parts, "comp").withColumns(
             {f"s_{n}": F.col(f"s_{n}") + F.when(heavy, F.col(f"t_{n}") - F.when(centre, F.col(f"v_{n}")).otherwise(F.lit(0))).otherwise(F.lit(0)) for n in names}
             | {"size": F.col("size") - F.when(heavy & ~centre, F.col("c_size")).otherwise(F.lit(0))})
-        added = written(added.select(*[c for c in state.columns if c not in ("comp", "total")], F.col("next").alias("comp"), centre.alias("centre")), "added")
+        added = written(added.select(*[c for c in state.columns if c not in ("comp", "total")], F.col("next").alias("comp"), centre.alias("centre")), "added", slim=True)
         finished.append(added.where("centre").select("node", *[F.col(f"s_{n}").alias(n) for n in names]))
         state = added.where(~F.col("centre")).drop("centre")
     return reduce(DataFrame.unionByName, [*finished, _finish(reduce(DataFrame.unionByName, small), names)])
@@ -255,12 +256,12 @@ def trie(each: DataFrame, conversations: DataFrame, local: int = LOCAL) -> DataF
     n_children, n_leaves and saved_tokens over the subtree, ends_sha256. `conversations` (conv) names all members,
     also those without a turn. No members, no rows.
     """
-    ways = written(paths(each), "paths")
+    ways = written(paths(each), "paths", slim=True)
     below = ways.groupBy("node").agg(
         F.min("conv").alias("conv"), F.count("*").alias("n_convs"), F.first("depth").alias("depth"), F.first("parent").alias("parent"), F.max("words").alias("words"))
     root = conversations.agg(F.min("conv").alias("conv"), F.count("*").alias("n_convs")).where("n_convs > 0").select(
         F.lit(ROOT).alias("node"), "conv", "n_convs", F.lit(0).cast("bigint").alias("depth"), F.lit(None).cast("string").alias("parent"), F.lit(0).cast("bigint").alias("words"))
-    nodes = written(below.unionByName(root), "nodes")
+    nodes = written(below.unionByName(root), "nodes", slim=True)
     # a node is counted for the smallest of its members: these own the last part of their way, and each node
     # on it has all owned nodes that are not above it in its subtree
     owned = nodes.where("depth > 0").groupBy("conv").agg(F.count("*").alias("owned"), F.max("depth").alias("length"))
@@ -271,7 +272,7 @@ def trie(each: DataFrame, conversations: DataFrame, local: int = LOCAL) -> DataF
     full = nodes.join(sizes, "node", "left").join(children, "node", "left").select(
         "node", "parent", "depth", "conv", "n_convs", F.coalesce("n_children", F.lit(0)).alias("n_children"), F.coalesce("size", all_nodes).alias("size"),
         ((F.col("n_convs") - 1) * F.col("words")).alias("saved_tokens"))
-    full = written(full, "nodes")
+    full = written(full, "nodes", slim=True)
     count = full.count()
     forest = full.select(
         "node", "parent", "depth", "conv", F.coalesce("size", F.lit(count)).alias("size"), F.lit(ROOT).alias("top"),
@@ -298,7 +299,7 @@ def conversation_trie(
     conversation starts with turns of another one (`shared_starts`); without it, each is taken as it is. Texts
     are read whole, other columns are not looked at, and an empty table gives no rows.
     """
-    each = written(turns(df, conv_id, turn, role, text), "turns")
+    each = written(turns(df, conv_id, turn, role, text), "turns", slim=True)
     conversations = each.select("conv").distinct()
     rows = shared_starts(each, every, most) if every else each.withColumnRenamed("i", "depth")
     return trie(rows, conversations, local)

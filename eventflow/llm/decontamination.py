@@ -56,8 +56,8 @@ def item_windows(items: DataFrame, window: int, item_id: str = "item_id", text:
     starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("all") - window))
     each = cut.where(F.size("all") > 0).select("item_id", "all", F.explode(starts).alias("from")).select(
         "item_id", F.slice("all", F.col("from") + 1, window).alias("words"))
-    windows = written(each.select("words").distinct().withColumn("wid", F.monotonically_increasing_id()), "windows")
-    return windows, written(each.join(windows, "words").select("wid", "item_id").distinct(), "window-items")
+    windows = written(each.select("words").distinct(), "windows", slim=True, number="wid")
+    return windows, written(each.join(windows, "words").select("wid", "item_id").distinct(), "window-items", slim=True)
 
 
 def _small(df: DataFrame, most: int) -> DataFrame:
@@ -86,13 +86,13 @@ def hits(table: DataFrame, windows: DataFrame, shingle: int, most: int = BROADCA
     every = written(reduce(DataFrame.unionByName, [
         _placed(windows.where(length == k), "wid", k, 1).select("wid", F.col("n").alias("size"), F.lit(k).alias("length"), "shingle", F.col("at").alias("off"))
         for k in lengths
-    ]), "window-shingles")
+    ]), "window-shingles", slim=True)
     wanted = _small(every.select("length", "shingle").distinct(), most)
     shortest = windows.agg(F.min(F.size("words"))).first()[0]
     # the one pass over all words; what it leaves are positions of the items' shingles
     matched = written(reduce(DataFrame.unionByName, [
         _placed(table, "key", k, shortest).withColumn("length", F.lit(k)).join(wanted, ["length", "shingle"]) for k in lengths
-    ]), "positions")
+    ]), "positions", slim=True)
     first = written(prefixes(every, matched.groupBy("length", "shingle").count()), "prefixes")
     start = F.col("at") - F.col("off")
     candidates = (
@@ -100,9 +100,11 @@ def hits(table: DataFrame, windows: DataFrame, shingle: int, most: int = BROADCA
         .select("key", start.alias("start"), F.col("size").alias("n"), "wid")
         .join(windows.select("wid", F.col("words").alias("wanted")), "wid")
     )
-    listed = candidates.groupBy("key").agg(F.collect_list(F.struct("start", "n", "wid", "wanted")).alias("candidates"))
+    listed = written(candidates.groupBy("key").agg(F.collect_list(F.struct("start", "n", "wid", "wanted")).alias("candidates")), "candidates", slim=True)
     true = F.filter("candidates", lambda c: F.slice(F.col("words"), c["start"] + 1, c["n"]) == c["wanted"])
-    found = table.select("key", "words").join(listed, "key").select(
+    # most documents have no candidates, and their words need not move
+    some = table.select("key", "words").join(_small(listed.select("key"), most), "key", "left_semi")
+    found = some.join(listed, "key").select(
         "key", F.transform(true, lambda c: F.struct(c["start"], c["n"], c["wid"])).alias("hits"))
     return found.where(F.size("hits") > 0)
 
@@ -119,8 +121,7 @@ def decontaminate(
     rows of their own. Without items nothing is hit; an empty table gives no rows. Other columns of either
     table are not looked at. Texts of any length are read whole.
     """
-    table = written(docs.select(F.col(doc_id).alias("doc_id"), words(text_or_empty(text)).alias("words"))
-                    .withColumn("key", F.monotonically_increasing_id()), "document-words")
+    table = written(docs.select(F.col(doc_id).alias("doc_id"), words(text_or_empty(text)).alias("words")), "document-words", number="key")
     windows, of = item_windows(items, window, item_id, item_text)
     found = hits(table, windows, shingle, most)
     covered = F.array_sort(F.array_distinct(F.flatten(F.transform("hits", lambda h: F.sequence(h["start"], h["start"] + h["n"] - 1)))))
@@ -130,7 +131,7 @@ def decontaminate(
         found.select("key", covered.alias("covered"), F.array_sort(F.array_distinct(F.col("hits.wid"))).alias("wids")).select(
             "key", "wids", F.size("covered").cast("bigint").alias("n_hit"),
             F.zip_with(starts, stops, lambda a, b: F.struct(a.alias("start"), (b + 1).alias("stop"))).alias("spans")),
-        "document-hits",
+        "document-hits", slim=True,
     )
     # documents with the same windows have the same items, so each set of windows is looked up once
     sets = marked.select("wids").distinct().select("wids", F.explode("wids").alias("wid")).join(of, "wid")

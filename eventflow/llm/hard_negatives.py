@@ -240,8 +240,7 @@ def hard_negatives(
     rows = written(
         df.select(F.col(row_id).cast("bigint").alias("id"), F.col(label).cast("bigint").alias("label"), F.col(vector).alias("vector"),
                   F.coalesce(anchor, F.lit(False)).alias("anchor"))
-        .where(F.col("label").isNotNull() & usable).distinct().withColumn("rid", F.monotonically_increasing_id())
-        .withColumn("id", F.coalesce("id", F.lit(int(NO_ID)))), "vectors",
+        .where(F.col("label").isNotNull() & usable).distinct().withColumn("id", F.coalesce("id", F.lit(int(NO_ID)))), "vectors", slim=True, number="rid",
     )
     whole = F.transform("vector", lambda x: F.floor(x.cast("double") * scale).cast("double"))
     squared = F.aggregate(whole, F.lit(0.0), lambda total, x: total + x * x)
@@ -252,7 +251,7 @@ def hard_negatives(
     parts = max(-(-n // GROUP_ROWS), -(-2 * df.sparkSession.sparkContext.defaultParallelism // blocks), 1)
     rows, anchors = rows.drop("anchor"), rows.where("anchor").drop("anchor")
     near = written(_best(anchors.withColumn("windows", F.expr("CAST(NULL AS array<bigint>)")), rows, (blocks, parts), setting, positives),
-                   "positives")
+                   "positives", slim=True)
     scores = near.groupBy("rid").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "score"))), lambda x: x["score"]).alias("windows"))
     far = _best(anchors.join(scores, "rid"), rows, (blocks, parts), setting, negatives)
     pairs = near.select("rid", (F.col("rank") - 1).alias("place"), F.col("id").alias("positive_id"), F.col("score").alias("positive_score"))
