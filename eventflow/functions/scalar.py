@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, SparkSession, functions as F
 
 from eventflow.schemas import PAID_TIERS, TIER_PRICE_CENTS, TIERS
 
@@ -13,6 +13,7 @@ _BLANK = r"^[\t-\r\x1c-\x20\u1680\u2000-\u2006\u2008-\u200a\u2028\u2029\u205f\u3
 _INTEGER = r"^[+-]?[0-9]+\z"
 _TRUE_PADDED = r"^[\x00-\x20]*true[\x00-\x20]*\z"
 _LONG_MAX, _LONG_MIN = 2**63 - 1, -(2**63)
+_REPEATED_KEYS = "spark.sql.variant.allowDuplicateKeys"
 
 
 def case(branches: Iterable[tuple[Column, Column]]) -> Column:
@@ -35,9 +36,17 @@ def blank_or_null(text: Column) -> Column:
 
 # --- fields of a JSON document -----------------------------------------------------------------
 # A document is a VARIANT column: parsed once per row, then looked up by field name. A malformed
-# document is null. Objects and arrays read as their JSON text.
+# document is null. `field` reads objects and arrays as their JSON text.
 
 def document(json: Column) -> Column:
+    """The parsed document. Of a repeated key the last value holds, at any depth.
+
+    Spark rejects repeated keys unless the session allows them, and looks that up when a plan is made, so the
+    session's `spark.sql.variant.allowDuplicateKeys` is switched on here and stays on.
+    """
+    session = SparkSession.getActiveSession()
+    if session is not None and session.conf.get(_REPEATED_KEYS, "false") != "true":
+        session.conf.set(_REPEATED_KEYS, "true")
     return F.try_parse_json(json)
 
 
@@ -51,13 +60,20 @@ def _kind(doc: Column, name: str) -> Column:
     return F.schema_of_variant(F.try_variant_get(doc, f"$.{name}", "variant"))
 
 
+def _plain(doc: Column, name: str) -> Column:
+    """Text of one field, which an object or an array does not have: they read as empty text."""
+    text = field(doc, name)
+    container = text.rlike(r"^[\[{]") & _kind(doc, name).rlike("^(OBJECT|ARRAY)")
+    return F.when(container, F.lit("")).otherwise(text)
+
+
 def str_or_empty(doc: Column, name: str) -> Column:
-    return F.coalesce(field(doc, name), F.lit(""))
+    return F.coalesce(_plain(doc, name), F.lit(""))
 
 
 def text_or(doc: Column, name: str, default: str) -> Column:
     """Field text, or `default` when the field is absent. An empty string stays empty."""
-    return F.coalesce(field(doc, name), F.lit(default))
+    return F.coalesce(_plain(doc, name), F.lit(default))
 
 
 def bool_strict(doc: Column, name: str) -> Column:

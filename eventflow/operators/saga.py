@@ -7,6 +7,8 @@ partial row per task. Only the row-per-event forms use ordered windows (see `ord
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from eventflow.functions.scalar import blank_or_null, case, is_paid_tier, normalize_tier
@@ -66,26 +68,52 @@ def _signup_flags() -> dict[str, Column]:
     }
 
 
+#: The state of a trace: the first rule whose flags are all set, and none of those that rule it out.
+STATE_RULES: tuple[tuple[str, tuple[str, ...], tuple[str, ...]], ...] = (
+    ("START_FAILED", ("start_failed",), ()),
+    ("VALIDATION_FAILED", ("invalid",), ()),
+    ("COMPENSATED", ("activation_failed", "refunded"), ()),
+    ("REFUND_FOLLOW_UP", ("activation_failed", "refund_failed"), ()),
+    ("COMPENSATION_MISSING", ("activation_failed", "paid"), ()),
+    ("ACTIVATION_FAILED_NO_CHARGE", ("activation_failed",), ()),
+    ("ACTIVATED_UNPAID", ("activated", "pay_failed"), ("paid",)),
+    ("ACTIVE", ("activated",), ()),
+    ("TECHNICAL_ERROR", ("technical_error",), ()),
+    ("PAYMENT_FAILED", ("pay_failed",), ("paid",)),
+    ("CHARGED_PENDING", ("paid",), ()),
+    ("PENDING", ("requested",), ()),
+)
+NO_STATE = "NO_REQUEST"
+#: States in which a transaction has ended; in the others something is still to come: a retry, a refund, an activation.
+END_STATES = (
+    "START_FAILED", "VALIDATION_FAILED", "COMPENSATED", "REFUND_FOLLOW_UP", "ACTIVATION_FAILED_NO_CHARGE", "ACTIVATED_UNPAID",
+    "ACTIVE", "TECHNICAL_ERROR",
+)
+FLAGS = (
+    "start_failed", "invalid", "activation_failed", "technical_error", "refunded", "refund_failed", "paid", "pay_failed",
+    "activated", "requested",
+)
+
+
 def signup_state_of_flags() -> Column:
     """First matching rule over the per-trace flags."""
-    f = F.col
-    unpaid = f("pay_failed") & ~f("paid")
-    rules = (
-        ("START_FAILED", f("start_failed")),
-        ("VALIDATION_FAILED", f("invalid")),
-        ("COMPENSATED", f("activation_failed") & f("refunded")),
-        ("REFUND_FOLLOW_UP", f("activation_failed") & f("refund_failed")),
-        ("COMPENSATION_MISSING", f("activation_failed") & f("paid")),
-        ("ACTIVATION_FAILED_NO_CHARGE", f("activation_failed")),
-        ("ACTIVATED_UNPAID", f("activated") & unpaid),
-        ("ACTIVE", f("activated")),
-        ("TECHNICAL_ERROR", f("technical_error")),
-        ("PAYMENT_FAILED", unpaid),
-        ("CHARGED_PENDING", f("paid")),
-        ("PENDING", f("requested")),
-    )
-    state = case((condition, F.lit(name)) for name, condition in rules)
-    return state.otherwise("NO_REQUEST")
+    def holds(needed: tuple[str, ...], against: tuple[str, ...]) -> Column:
+        return reduce(lambda a, b: a & b, [*map(F.col, needed), *[~F.col(c) for c in against]])
+
+    return case((holds(needed, against), F.lit(name)) for name, needed, against in STATE_RULES).otherwise(NO_STATE)
+
+
+def flag_bits() -> Column:
+    """What one event says of its trace: a bit for each of FLAGS."""
+    conditions = _signup_flags()
+    return reduce(lambda a, b: a.bitwiseOR(b), [
+        F.when(conditions[name], F.lit(1 << i)).otherwise(F.lit(0)) for i, name in enumerate(FLAGS)]).cast("bigint")
+
+
+def state_masks() -> list[tuple[str, int, int, bool]]:
+    """The rules over bits: state, bits needed, bits that rule it out, whether the transaction has ended."""
+    bits = lambda names: sum(1 << FLAGS.index(n) for n in names)
+    return [(name, bits(needed), bits(against), name in END_STATES) for name, needed, against in STATE_RULES] + [(NO_STATE, 0, 0, False)]
 
 
 def signup_flags(df: DataFrame, *keys) -> DataFrame:

@@ -15,10 +15,10 @@ from eventflow.operators import audit, cluster, delivery, domain, envelope, metr
 from eventflow.operators.rate_limit import rate_limit, rate_limit_tumbling
 from eventflow.plans import adapters as views
 from eventflow.schemas import (
-    ACTIVATION_FAILED, NOTIFICATION_SENT, PAYMENT_FAILED, PAYMENT_RECEIVED,
+    ACTIVATION_FAILED, LOG_RECORD, NOTIFICATION_SENT, PAYMENT_FAILED, PAYMENT_RECEIVED,
     PROCESS_START_FAILED_EVENT, REQUEST_TYPES, SIGNUP_REQUEST, SIGNUP_REQUESTED, TECHNICAL_ERROR,
 )
-from eventflow.sources import logs
+from eventflow.sources import logs, outbox
 from eventflow.sources.checkpoints import run_dir
 from eventflow.streaming import pipelines, upsert
 
@@ -814,20 +814,99 @@ def accepted_and_dead(spark, sf):
     return reduce(DataFrame.unionByName, [*sides, seen])
 
 
+def _request_payloads(spark: SparkSession, sf: str) -> DataFrame:
+    return views.accounts(spark, sf).select(
+        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("userId"), "email", F.concat(F.lit("  "), "name").alias("name"), "tier",
+        F.explode(F.when(F.col("user_id") % 3 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy")).drop("copy")
+
+
 @query
 def landed_requests(spark, sf):
     """Request payloads dropped in a folder, every third one twice, each an event of its own."""
     folder = run_dir(spark, "requests")
-    payload = views.accounts(spark, sf).select(
-        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("userId"), "email", F.concat(F.lit("  "), "name").alias("name"),
-        "tier", F.explode(F.when(F.col("user_id") % 3 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy"))
-    payload.drop("copy").write.json(folder)
+    _request_payloads(spark, sf).write.json(folder)
     events = logs.read_requests(spark, folder, SIGNUP_REQUESTED, SIGNUP_REQUEST, "web")
     parsed = envelope.extract_variables(envelope.parse_envelope(envelope.event_type(logs.to_records(events))))
     return parsed.groupBy("type", F.col("userId").alias("user_id"), "name").agg(
         F.countDistinct("id").alias("events"), F.countDistinct("traceid").alias("traces"))
 
 
+@query
+def landed_requests_stream(spark, sf):
+    """The same as a stream of files of any size; every event has the id it gets when its folder is read at once."""
+    folder, root = run_dir(spark, "requests"), run_dir(spark, "landed-requests")
+    payload = _request_payloads(spark, sf)
+    payload.write.json(folder)
+    running = logs.land_requests(spark, folder, SIGNUP_REQUESTED, SIGNUP_REQUEST, "web", f"{root}/out", f"{root}/checkpoint")
+    moved = logs.drain(running)
+    landed = envelope.parse_envelope(envelope.event_type(spark.read.schema(LOG_RECORD).json(f"{root}/out/batch=*")))
+    at_once = envelope.parse_envelope(envelope.event_type(logs.to_records(
+        logs.read_requests(spark, folder, SIGNUP_REQUESTED, SIGNUP_REQUEST, "web"))))
+    both = landed.select("id", F.lit(1).alias("s"), F.lit(0).alias("b")).unionByName(
+        at_once.select("id", F.lit(0).alias("s"), F.lit(1).alias("b"))).groupBy("id").agg(F.sum("s").alias("s"), F.sum("b").alias("b"))
+    return both.agg(F.lit(moved).cast("bigint").alias("moved"), F.count(F.lit(1)).alias("ids"), F.count_if(F.expr("s = 1 AND b = 1")).alias("in_both"))
+
+
+@query
+def outbox_relayed(spark, sf):
+    """An outbox relayed twice, the second time with more in it: every event is on the log once."""
+    root = run_dir(spark, "outbox")
+    bus = views.bus(spark, sf).filter(F.col("type").isin(PROCESS_START_FAILED_EVENT, "AccountActivatedEvent"))
+    event = envelope.new_event(F.col("type"), F.struct("tier"), F.col("id"), "accounts", F.col("time"), F.col("traceid"))
+    rows = bus.select(event.alias("event"), "k").select("event.id", "event", "k")
+    numbers = [outbox.relay(part, f"{root}/log", f"{root}/marks", "parquet") for part in (rows.filter("k % 2 = 1"), rows, rows)]
+    log = envelope.parse_envelope(envelope.event_type(outbox.read_published(spark, f"{root}/log", "parquet").select(*LOG_RECORD.fieldNames())))
+    return log.groupBy("type").agg(F.count(F.lit(1)).alias("records"), F.countDistinct("id").alias("events")).withColumn(
+        "relays", F.lit(len(set(numbers))))
+
+
+@query
+def repeated_json_keys(spark, sf):
+    """Messages whose JSON says a thing twice: the last value holds, in the envelope and in its data."""
+    value = F.expr("""concat('{"type":"Superseded","type":"', type, '","id":"x","id":"', id, '","traceid":"', traceid, '","time":"',
+        date_format(time, "yyyy-MM-dd'T'HH:mm:ss'Z'"), '","data":{"tier":"none","tier":"', tier, '","userId":{"old":1},"userId":"u', user_id, '"}}')""")
+    parsed = envelope.parse_envelope(views.bus(spark, sf).select(value.alias("value")))
+    good, _ = envelope.quarantine(parsed)
+    routed = routing.route_process(envelope.extract_variables(routing.ingress_filter(good)))
+    return routed.groupBy("type", "process_id", "tier").agg(
+        F.count(F.lit(1)).alias("messages"), F.countDistinct("id").alias("ids"), F.countDistinct("userId").alias("users"))
+
+
+@query
+def late_rows_stream(spark, sf):
+    """Events that arrive when the watermark has passed them are dropped, and counted. The second half of the
+    month comes first; with a delay of 20 days, what is older than that is late."""
+    root = run_dir(spark, "late")
+    bus = views.bus(spark, sf)
+    late = pipelines.LateRows()
+    bus.filter(F.col("time") >= CUTOFF).write.parquet(f"{root}/in")
+    stream = spark.readStream.schema(bus.schema).parquet(f"{root}/in")
+    run = pipelines.AppendRun(pipelines.dedup(stream, "time", "20 days"), "late-rows", late)
+    run.run()
+    bus.filter(F.col("time") < CUTOFF).write.mode("append").parquet(f"{root}/in")
+    run.run()
+    return run.answer().agg(F.count(F.lit(1)).alias("kept")).withColumn("late", F.lit(late.rows).cast("bigint"))
+
+
+@query
+def events_by_type_stream(spark, sf):
+    """One pass over a stream that lands every type in its folder, all but the named ones together."""
+    root = run_dir(spark, "by-type")
+    bus = views.bus_of(views.ev_of(_event_stream(spark, sf)))
+    logs.write_by_type(bus, f"{root}/out", checkpoint=f"{root}/checkpoint", types=REQUEST_TYPES).awaitTermination()
+    schema = bus.schema.add("original_type", "string")
+    parts = [logs.read_by_type(spark, f"{root}/out", schema, t) for t in (*REQUEST_TYPES, logs.OTHER_TYPES)]
+    return reduce(DataFrame.unionByName, parts).groupBy("type", "original_type").agg(F.count(F.lit(1)).alias("events"))
+
+
+@query
+def signup_final_stream(spark, sf):
+    """Each trace answered once, when it has ended, and forgotten."""
+    closing = pipelines.Closing(views.bus_of(views.ev_of(_event_stream(spark, sf))), "time")
+    ends = pipelines.signup_state_final(closing.stream, 86_400, 2 * 86_400, 7 * 86_400, _delay(spark, sf, 3600))
+    return pipelines.run_append(ends, "final-states", closing).select("traceid", "state", _us("last_at"), "ended")
+
+
 @query
 def written_report(spark, sf):
     """The delivery results as they are persisted, read back."""

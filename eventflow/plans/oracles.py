@@ -565,6 +565,23 @@ ORACLES: dict[str, str] = {
       UNION ALL SELECT 'seen', count(*) FROM bus"""),
     "landed_requests": _sql("accounts", """SELECT 'SignupRequestedEvent' AS type, 'u' || user_id AS user_id, trim(name) AS name,
         CASE WHEN user_id % 3 = 0 THEN 2 ELSE 1 END AS events, CASE WHEN user_id % 3 = 0 THEN 2 ELSE 1 END AS traces FROM accounts"""),
+    "landed_requests_stream": _sql("accounts", """SELECT CAST(sum(n) AS BIGINT) AS moved, CAST(sum(n) AS BIGINT) AS ids, CAST(sum(n) AS BIGINT) AS in_both
+      FROM (SELECT CASE WHEN user_id % 3 = 0 THEN 2 ELSE 1 END AS n FROM accounts)"""),
+    "outbox_relayed": _sql("bus", """SELECT type, count(*) AS records, count(*) AS events, CAST(3 AS INTEGER) AS relays FROM bus
+      WHERE type IN ('ProcessStartFailedEvent', 'AccountActivatedEvent') GROUP BY type"""),
+    "repeated_json_keys": _sql("bus", """SELECT type, CASE type WHEN 'SignupRequestedEvent' THEN 'signup-process'
+          WHEN 'UpgradeRequestedEvent' THEN 'upgrade-process' ELSE 'deactivation-process' END AS process_id,
+        CASE WHEN type = 'UpgradeRequestedEvent' THEN '' ELSE tier END AS tier,
+        count(*) AS messages, count(*) AS ids, count(DISTINCT user_id) AS users
+      FROM bus WHERE type LIKE '%RequestedEvent' GROUP BY ALL"""),
+    "late_rows_stream": _sql("bus", """SELECT count_if(NOT late) AS kept, count_if(late) AS late FROM (SELECT time < TIMESTAMP '2024-01-16'
+        AND epoch_us(time) <= (SELECT max(epoch_ms(time)) FROM bus WHERE time >= TIMESTAMP '2024-01-16') * 1000 - 20 * 86400000000 AS late FROM bus)"""),
+    "events_by_type_stream": _sql("bus", """SELECT CASE WHEN type LIKE '%RequestedEvent' THEN type ELSE 'other' END AS type,
+        type AS original_type, count(*) AS events FROM bus GROUP BY ALL"""),
+    "signup_final_stream": _sql("bus state", """SELECT s.traceid, any_value(s.state) AS state, epoch_us(max(b.time)) AS last_at_us,
+        CASE WHEN any_value(s.state) IN ('START_FAILED', 'VALIDATION_FAILED', 'COMPENSATED', 'REFUND_FOLLOW_UP', 'ACTIVATION_FAILED_NO_CHARGE',
+          'ACTIVATED_UNPAID', 'ACTIVE', 'TECHNICAL_ERROR') THEN 'settled' ELSE 'idle' END AS ended
+      FROM state s JOIN bus b ON b.traceid = s.traceid GROUP BY s.traceid"""),
     "written_report": _sql("results", """SELECT rf, acks, phase, attempted, sent, failed AS sendFailed, consumed, lost AS dropped
       FROM results"""),
     "started_requests": _sql("bus", """SELECT id, type, CASE WHEN k % 10 = 3 THEN 'dead letter' ELSE 'started' END AS outcome

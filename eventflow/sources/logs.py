@@ -5,17 +5,21 @@ Records have the columns of `schemas.LOG_RECORD`, whatever the connector.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryProgress
 
 from eventflow.functions.scalar import long_or_zero
 from eventflow.operators.envelope import DEFAULT_GROUP, new_event
 from eventflow.schemas import LOG_RECORD, PROBE
 
 KAFKA = "kafka"
+_LOG = logging.getLogger(__name__)
 # Leading and trailing white space as a browser form trims it.
 _EDGES = r"^[\s\p{Z}\x{feff}]+|[\s\p{Z}\x{feff}]+\z"
 
@@ -92,25 +96,67 @@ def write_log(
     return writer.start() if format == KAFKA else writer.start(location)
 
 
-def write_by_type(df: DataFrame, location: str, format: str = "parquet") -> None:
-    """Land events in one folder per type, so that readers of one type open only its files."""
-    df.write.format(format).mode("append").partitionBy("type").save(location)
+OTHER_TYPES = "other"
 
 
-def drain(query: StreamingQuery, poll_seconds: float = 0.2) -> int:
-    """Wait until an availableNow query has read everything there was; rows it read.
+def write_by_type(
+    df: DataFrame, location: str, format: str = "parquet", checkpoint: str | None = None,
+    types: tuple[str, ...] | None = None, once: bool = True,
+) -> StreamingQuery | None:
+    """Land events in one folder per type, in one pass, so that readers of one type open only its files.
+
+    With `types` all others share the folder 'other' and keep their type as `original_type`. A stream needs a
+    `checkpoint` folder and returns its query; its sink notes the files of each batch, so a replayed batch
+    adds none.
+    """
+    if types is not None:
+        known = F.coalesce(F.col("type").isin(*types), F.lit(False))
+        df = df.withColumn("original_type", F.col("type")).withColumn("type", F.when(known, F.col("type")).otherwise(F.lit(OTHER_TYPES)))
+    if not df.isStreaming:
+        df.write.format(format).mode("append").partitionBy("type").save(location)
+        return None
+    if checkpoint is None:
+        raise ValueError("a streaming write needs a checkpoint folder")
+    writer = df.writeStream.format(format).partitionBy("type").option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer).start(location)
+
+
+def read_by_type(spark: SparkSession, location: str, schema: T.StructType, type_: str, format: str = "parquet") -> DataFrame:
+    """The landed events of one type; only that type's folder is opened."""
+    return spark.read.format(format).schema(schema).load(location).filter(F.col("type") == type_)
+
+
+@dataclass
+class Progress:
+    """What a query has read, and what its stateful operators dropped behind the watermark, by operator."""
+
+    rows: int
+    late: dict[str, int]
+
+
+def followed(query: StreamingQuery, poll_seconds: float = 0.2) -> Progress:
+    """Wait until an availableNow query has read everything there was; what its progress reports say.
 
     A query remembers its last 100 progress reports only, so they are gathered while it runs: call it
     right after the start. A report that was already gone by then is an error, not a smaller number.
     """
-    rows: dict[int, int] = {}
+    reports: dict[int, StreamingQueryProgress] = {}
     ended = False
     while not ended:
         ended = query.awaitTermination(poll_seconds)
-        rows.update({p.batchId: p.numInputRows for p in query.recentProgress})
-    if rows and sorted(rows) != list(range(min(rows), max(rows) + 1)):
+        reports.update({p.batchId: p for p in query.recentProgress})
+    if reports and sorted(reports) != list(range(min(reports), max(reports) + 1)):
         raise RuntimeError("progress reports were lost between two polls")
-    return sum(rows.values())
+    late: dict[str, int] = {}
+    for report in reports.values():
+        for operator in report.stateOperators:
+            late[operator.operatorName] = late.get(operator.operatorName, 0) + operator.numRowsDroppedByWatermark
+    return Progress(sum(p.numInputRows for p in reports.values()), late)
+
+
+def drain(query: StreamingQuery, poll_seconds: float = 0.2) -> int:
+    """Wait until an availableNow query has read everything there was; rows it read. See `followed`."""
+    return followed(query, poll_seconds).rows
 
 
 def read_to_end(spark: SparkSession, location: str, format: str = "json", **options: str) -> int:
@@ -141,7 +187,7 @@ def write_dead_letter(records: DataFrame, location: str, format: str = "json", *
         write_log(records, location, format, **options)
         return True
     except Exception as error:  # noqa: BLE001 - the caller decides what a lost dead letter means
-        print(f"dead-letter write to {location} failed: {error}")
+        _LOG.error("dead-letter write to %s failed: %s", location, error)
         return False
 
 
@@ -163,7 +209,7 @@ def split_sink(
             try:
                 bad.write.format(format).mode("overwrite").save(f"{dead_location}/batch={batch_id}")
             except Exception as error:  # noqa: BLE001
-                print(f"dead-letter write of batch {batch_id} failed: {error}")
+                _LOG.error("dead-letter write of batch %s failed: %s", batch_id, error)
         finally:
             held.unpersist()
 
@@ -176,23 +222,65 @@ def read_requests(
 ) -> DataFrame:
     """Request payloads dropped in a folder, as envelopes in `event`. Name and e-mail are trimmed.
 
-    The event id hashes the payload, its file and, for JSON lines, its line, so equal requests differ and
-    re-reading a file repeats its ids. Each file of JSON lines is read whole: requests land in small files.
+    The event id hashes the file, the payload and its number among equal ones of that file, so equal requests
+    differ and re-reading a file repeats its ids, whatever tasks read it. Large files are split over tasks. As a
+    stream, where a file's rows can't be numbered without state, each file of JSON lines is one row: for
+    small files only; `land_requests` takes any.
     """
+    if streaming and format == "json":
+        files = spark.readStream.format("text").option("wholetext", True).load(location)
+        split = files.select(F.col("_metadata.file_path").alias("__file"), F.split("value", r"\r?\n").alias("__lines"))
+        lines = split.select("__file", "__lines", F.posexplode("__lines").alias("__at", "__row"))
+        number = F.size(F.filter(F.slice("__lines", 1, F.col("__at") + 1), lambda x: x == F.col("__row")))
+        numbered = lines.filter(F.trim("__row") != "").select("__file", "__row", number.cast("bigint").alias("__number"))
+    elif streaming:
+        numbered = _request_rows(spark, location, schema, True, format).withColumn("__number", F.lit(1).cast("bigint"))
+    else:
+        numbered = _numbered(_request_rows(spark, location, schema, False, format))
+    return _requests(numbered, type_, schema, source, format, group)
+
+
+def land_requests(
+    spark: SparkSession, location: str, type_: str, schema: T.StructType, source: str, out: str, checkpoint: str,
+    format: str = "json", out_format: str = "json", group: str = DEFAULT_GROUP, once: bool = True,
+) -> StreamingQuery:
+    """Requests as they arrive in a folder, landed as records of the log in `out`, with the ids of `read_requests`.
+
+    A file belongs to one micro-batch as a whole, and its rows are counted there. A batch replaces its own
+    folder, so a replayed one adds nothing.
+    """
+    def land(batch: DataFrame, batch_id: int) -> None:
+        events = _requests(_numbered(batch), type_, schema, source, format, group)
+        to_records(events).write.format(out_format).mode("overwrite").save(f"{out}/batch={batch_id}")
+
+    writer = _request_rows(spark, location, schema, True, format).writeStream.option("checkpointLocation", checkpoint).foreachBatch(land)
+    return (writer.trigger(availableNow=True) if once else writer).start()
+
+
+def _request_rows(spark: SparkSession, location: str, schema: T.StructType, streaming: bool, format: str) -> DataFrame:
+    """(file, row): each request as its line of JSON, or as its payload for formats with columns."""
     reader = spark.readStream if streaming else spark.read
+    file = F.col("_metadata.file_path").alias("__file")
     if format == "json":
-        files = reader.format("text").option("wholetext", True).load(location)
-        lines = files.select(F.col("_metadata.file_path").alias("__file"), F.posexplode(F.split("value", r"\r?\n")).alias("__at", "__line"))
-        rows = lines.filter(F.trim("__line") != "").select("__file", "__at", F.from_json("__line", schema).alias("__r"))
-        rows = rows.select("__file", "__at", "__r.*")
-    else:
-        rows = reader.format(format).schema(schema).load(location).withColumns(
-            {"__file": F.col("_metadata.file_path"), "__at": F.lit(0)})
+        lines = reader.format("text").load(location).select(file, F.regexp_replace("value", r"\r\z", "").alias("__row"))
+        return lines.filter(F.trim("__row") != "")
+    return reader.format(format).schema(schema).load(location).select(file, F.struct(*schema.fieldNames()).alias("__row"))
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Equal rows of a file, numbered from 1. They are counted map-side, so their order does not matter."""
+    counted = rows.groupBy("__file", "__row").agg(F.count(F.lit(1)).alias("__n"))
+    return counted.select("__file", "__row", F.explode(F.sequence(F.lit(1).cast("bigint"), "__n")).alias("__number"))
+
+
+def _requests(numbered: DataFrame, type_: str, schema: T.StructType, source: str, format: str, group: str) -> DataFrame:
+    parsed, raw = (F.from_json("__row", schema), F.col("__row")) if format == "json" else (F.col("__row"), F.to_json("__row"))
+    rows = numbered.select("__file", "__number", raw.alias("__raw"), parsed.alias("__r")).select("__file", "__number", "__raw", "__r.*")
     trimmed = rows.withColumns(
         {c: F.regexp_replace(c, _EDGES, "") for c in ("name", "email") if c in schema.fieldNames()}
     )
     payload = F.struct(*[F.col(c) for c in schema.fieldNames()])
-    key = F.concat_ws(":", "__file", "__at", F.to_json(payload))
+    key = F.concat_ws(":", "__file", "__number", "__raw")
     return trimmed.withColumn("__key", key).select(
         new_event(F.lit(type_), payload, F.col("__key"), source, F.current_timestamp(), group=group).alias("event")
     )

@@ -12,15 +12,16 @@ from datetime import datetime
 from time import sleep
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from eventflow.operators.domain import dead_letter_event, payment_event_legacy
 from eventflow.operators.routing import signup_only
-from eventflow.operators.saga import PAYMENT_OUTCOMES, signup_flags, signup_state_of_flags
+from eventflow.operators.saga import PAYMENT_OUTCOMES, flag_bits, signup_flags, signup_state_of_flags, state_masks
 from eventflow.operators.signals import SENTIMENT_DELTA, window_means
 from eventflow.schemas import MAX_ATTEMPTS, REQUEST_TYPES
 from eventflow.sources.checkpoints import run_dir
-from eventflow.sources.logs import to_records
-from eventflow.streaming.processors import BlockTimes, GreedyChain, PreviousMean
+from eventflow.sources.logs import Progress, followed, to_records
+from eventflow.streaming.processors import BlockTimes, GreedyChain, PreviousMean, TraceEnd, combined
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
@@ -66,6 +67,28 @@ def signup_state_sessions(df: DataFrame, idle: str, delay: str = "1 hour") -> Da
     )
 
 
+def signup_state_final(
+    df: DataFrame, settle_seconds: int, idle_seconds: int, remember_seconds: int, delay: str = "1 hour"
+) -> DataFrame:
+    """The final state of each trace, exactly once: (traceid, state, last_at, ended), in append mode.
+
+    A trace in a state that ends its transaction is answered `settle_seconds` of event time after its last event
+    ('settled'); one that still waits for something, `idle_seconds` after it ('idle'). What comes for a trace
+    within `remember_seconds` of its answer is left out, as is what is behind the watermark; after that time the
+    trace is forgotten altogether, so the state is what is open and what ended lately. Equals
+    `saga.signup_state` as long as no trace pauses longer than that. Events without a trace or a time are left out.
+    Start it inside `rocksdb_state`, as `run_append` does.
+    """
+    said = df.filter(F.col("time").isNotNull()).select("traceid", "time", flag_bits().alias("bits"))
+    schema = "traceid STRING, time TIMESTAMP, bits LONG"
+    short = said.mapInPandas(combined, schema).withWatermark("time", delay).withColumn("us", F.unix_micros("time"))
+    ends = short.groupBy("traceid").transformWithStateInPandas(
+        statefulProcessor=TraceEnd(state_masks(), settle_seconds * 1000, idle_seconds * 1000, remember_seconds * 1000),
+        outputStructType="traceid STRING, state STRING, us LONG, ended STRING", outputMode="Append", timeMode="EventTime",
+    )
+    return ends.filter(F.col("traceid").isNotNull()).select("traceid", "state", F.timestamp_micros("us").alias("last_at"), "ended")
+
+
 def payment_timeouts(df: DataFrame, timeout: str = "5 minutes", delay: str = "1 minute") -> DataFrame:
     """First payment outcome per request within `timeout`, else TIMEOUT; one row per request, once the
     watermark has passed its deadline. Equals `saga.request_outcome` on what was not late.
@@ -222,29 +245,64 @@ class Closing:
         self._write([tuple(CLOSING_TIME if f.name == self.time else None for f in self.schema)])
 
 
-def run_append(df: DataFrame, name: str, closing: Closing | None = None) -> DataFrame:
-    """Run an append-mode stream over what is there now; its output as a batch DataFrame. With `closing`
-    the stream is run once more to its very end, so that nothing is left waiting."""
-    spark = df.sparkSession
-    root = run_dir(spark, name)
+class LateRows:
+    """What streams dropped because it was behind the watermark, summed over their batches and operators.
+
+    Hand it to `run_append` or `run_update`. An operator counts the rows that reach it: events, or what a first
+    aggregate on the same machine has made of them; a row that is late for two operators counts at both.
+    """
+
+    def __init__(self) -> None:
+        self.by_operator: dict[str, int] = {}
 
-    def run() -> None:
-        with rocksdb_state(spark):
-            query = df.writeStream.format("parquet").outputMode("append").trigger(availableNow=True).option(
-                "checkpointLocation", f"{root}/checkpoint").option("path", f"{root}/data").start()
+    @property
+    def rows(self) -> int:
+        return sum(self.by_operator.values())
+
+    def add(self, progress: Progress) -> None:
+        for name, rows in progress.late.items():
+            self.by_operator[name] = self.by_operator.get(name, 0) + rows
+
+
+class AppendRun:
+    """An append-mode stream that is run over what is there, as often as there is more; `answer` is its output so far."""
+
+    def __init__(self, df: DataFrame, name: str, late: LateRows | None = None):
+        self.df, self.late, self.root = df, late, run_dir(df.sparkSession, name)
+
+    def run(self) -> None:
+        with rocksdb_state(self.df.sparkSession):
+            query = self.df.writeStream.format("parquet").outputMode("append").trigger(availableNow=True).option(
+                "checkpointLocation", f"{self.root}/checkpoint").option("path", f"{self.root}/data").start()
+        _end(query, self.late)
+
+    def answer(self) -> DataFrame:
+        return self.df.sparkSession.read.schema(self.df.schema).parquet(f"{self.root}/data")
+
+
+def _end(query: StreamingQuery, late: LateRows | None) -> None:
+    if late is None:
         query.awaitTermination()
+    else:
+        late.add(followed(query))
 
-    run()
+
+def run_append(df: DataFrame, name: str, closing: Closing | None = None, late: LateRows | None = None) -> DataFrame:
+    """Run an append-mode stream over what is there now; its output as a batch DataFrame. With `closing`
+    the stream is run once more to its very end, so that nothing is left waiting. `late` gets what was too late."""
+    runs = AppendRun(df, name, late)
+    runs.run()
     if closing is not None:
         closing.end()
-        run()
-    return spark.read.schema(df.schema).parquet(f"{root}/data")
+        runs.run()
+    return runs.answer()
 
 
-def run_update(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
+def run_update(df: DataFrame, name: str, keys: list[str], late: LateRows | None = None) -> DataFrame:
     """Run an update-mode stream over what is there now; the latest row per key as a batch DataFrame.
 
-    Each micro-batch replaces a folder of its own, so a replayed batch does not add rows twice.
+    Each micro-batch replaces a folder of its own, so a replayed batch does not add rows twice. `late` gets what
+    was too late.
     """
     spark = df.sparkSession
     root = run_dir(spark, name)
@@ -256,7 +314,7 @@ def run_update(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
         df.writeStream.outputMode("update").trigger(availableNow=True)
         .option("checkpointLocation", f"{root}/checkpoint").foreachBatch(land).start()
     )
-    query.awaitTermination()
+    _end(query, late)
     schema = T.StructType([*df.schema.fields, T.StructField("batch", T.LongType())])
     landed = spark.read.schema(schema).option("basePath", f"{root}/data").parquet(f"{root}/data*")
     rest = [c for c in df.columns if c not in keys]

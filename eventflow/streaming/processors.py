@@ -123,3 +123,66 @@ class PreviousMean(StatefulProcessor):
     def close(self) -> None:
         pass
 
+
+def combined(batches):
+    """Rows (traceid, time, bits) of each batch as one per trace: all bits, the latest time. Before any exchange, so
+    that many events of one trace are few rows."""
+    for frame in batches:
+        if len(frame):
+            yield frame.groupby("traceid", dropna=False, as_index=False).agg(
+                time=("time", "max"), bits=("bits", lambda b: np.bitwise_or.reduce(b.to_numpy())))
+
+
+class TraceEnd(StatefulProcessor):
+    """One row per trace, when it has ended: its bits, and the state the first matching rule gives them.
+
+    A trace has ended `settle` after its last event if its state is final, else `idle` after it. Its number then
+    stays for `remember`, so that a latecomer is no new trace, and is forgotten for good.
+    """
+
+    def __init__(self, rules: list, settle_ms: int, idle_ms: int, remember_ms: int) -> None:
+        self.rules, self.settle_ms, self.idle_ms, self.remember_ms = rules, settle_ms, idle_ms, remember_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.trace = handle.getValueState("trace", "bits LONG, last LONG, closed BOOLEAN, alarm LONG")
+
+    def rule(self, bits: int) -> tuple[str, bool]:
+        return next((name, ended) for name, needed, against, ended in self.rules if bits & needed == needed and not bits & against)
+
+    def due(self, bits: int, last: int) -> int:
+        return last // 1000 + (self.settle_ms if self.rule(bits)[1] else self.idle_ms) + 1
+
+    def handleInputRows(self, key, rows, timerValues):
+        bits, last, closed, alarm = self.trace.get() if self.trace.exists() else (0, None, False, None)
+        if not closed:
+            for frame in rows:
+                bits |= int(np.bitwise_or.reduce(frame["bits"].to_numpy()))
+                newest = int(frame["us"].max())
+                last = newest if last is None else max(last, newest)
+            due = self.due(bits, last)
+            if alarm is None or due < alarm:
+                if alarm is not None:
+                    self.handle.deleteTimer(alarm)
+                self.handle.registerTimer(due)
+                alarm = due
+            self.trace.update((bits, last, False, alarm))
+        yield pd.DataFrame()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        bits, last, closed, _ = self.trace.get()
+        if closed:
+            self.trace.clear()
+            yield pd.DataFrame()
+            return
+        due, out = self.due(bits, last), pd.DataFrame()
+        if due <= timerValues.getCurrentWatermarkInMs():
+            name, ended = self.rule(bits)
+            out = pd.DataFrame({"traceid": [key[0]], "state": [name], "us": [last], "ended": ["settled" if ended else "idle"]})
+            closed, due = True, due + self.remember_ms
+        self.handle.registerTimer(due)
+        self.trace.update((bits, last, closed, due))
+        yield out
+
+    def close(self) -> None:
+        pass
