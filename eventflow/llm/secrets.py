@@ -9,6 +9,7 @@ values of the same make that stand where no pattern looks.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import heapq
 import math
@@ -46,9 +47,9 @@ CODE = np.zeros(256, np.int64)
 CODE[[ord(c) for c in CLASS]] = np.arange(1, WIDTH)
 #: Distinct labelled values of a kind that the formats are learned from.
 EXAMPLES = 600
-#: Longer runs are searched for stretches that score by themselves, of at least as many characters as a
-#: run has. Longer labelled values are learned in pieces of at most this length.
+#: Longer labelled values are learned in pieces of at most this length.
 LONGEST = 256
+#: Characters of a run, of what a fixed pattern leaves of one, and of a stretch that scores by itself, at least.
 SHORTEST = 16
 #: Confidence of the test that two states differ.
 ALPHA = 0.05
@@ -85,9 +86,27 @@ def values(text: str) -> Iterator[tuple[str, str]]:
 
 
 def free_runs(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """(start, stop) of what the taken ranges leave of each run, in one sweep over both."""
+    held: list[list[int]] = []
+    for a, b in sorted(taken):
+        if held and a <= held[-1][1]:
+            held[-1][1] = max(held[-1][1], b)
+        else:
+            held.append([a, b])
+    i = 0
     for m in RUN.finditer(text):
-        if not any(a < m.end() and m.start() < b for a, b in taken):
-            yield m.span()
+        at, stop = m.span()
+        while i < len(held) and held[i][1] <= at:
+            i += 1
+        while i < len(held) and held[i][0] < stop:
+            if held[i][0] - at >= SHORTEST:
+                yield at, held[i][0]
+            at = max(at, held[i][1])
+            if held[i][1] > stop:
+                break
+            i += 1
+        if stop - at >= SHORTEST:
+            yield at, stop
 
 
 def pieces(value: str) -> list[str]:
@@ -203,18 +222,31 @@ class Automaton:
     def stretches(self, word: list[int], usual: list[float], least: float) -> Iterator[tuple[float, int, int]]:
         """(score, start, stop) of disjoint stretches whose likelihood is above `usual` by more than `least`.
 
-        One pass: a stretch starts anew once it is worth nothing, and ends at its best once it lost MARGIN.
+        One pass: a stretch starts anew with a character that is worth more as a first one than behind what came
+        before, and ends at its best once it lost MARGIN.
         """
         start = at = state = 0
         gain, best, stop = 0.0, -math.inf, 0
+        first = self.log[0]
         while at < len(word):
-            gain += self.log[state].get(word[at], UNSEEN) + UNIFORM[word[at]] - usual[at]
-            state = self.move[state].get(word[at], 0)
+            symbol = word[at]
+            step = UNIFORM[symbol] - usual[at]
+            on, fresh = gain + self.log[state].get(symbol, UNSEEN), first.get(symbol, UNSEEN)
+            if on < fresh:
+                if best > least:
+                    yield best, start, stop
+                    if stop < at:  # what came behind its end may be part of another
+                        start = at = stop
+                        state, gain, best = 0, 0.0, -math.inf
+                        continue
+                start, on, state, best = at, fresh, 0, -math.inf
+            gain = on + step
+            state = self.move[state].get(symbol, 0)
             at += 1
             whole = gain + self.log[state][END]
             if at - start >= SHORTEST and whole > best:
                 best, stop = whole, at
-            if at == len(word) or gain <= 0 or gain < best - MARGIN:
+            if at == len(word) or gain < best - MARGIN:
                 if best > least:
                     yield best, start, stop
                     at = stop
@@ -242,30 +274,43 @@ class Formats:
         self.automata = {k: Automaton(sorted(map(symbols, v))) for k, v in sorted(examples.items()) if v}
         self.chain = chain
         self.least = least
+        logs = [state for a in self.automata.values() for state in a.log]
+        self.likeliest = [max((s.get(c, UNSEEN) for s in logs), default=UNSEEN) + UNIFORM[c] for c in range(END)]
+
+    def _bound(self, word: list[int], usual: list[float]) -> float:
+        """No stretch of the run scores more: its characters where they are likeliest, the best sum of neighbours."""
+        best = gain = 0.0
+        likeliest = self.likeliest
+        for symbol, common in zip(word, usual):
+            gain += likeliest[symbol] - common
+            if gain < 0.0:
+                gain = 0.0
+            elif gain > best:
+                best = gain
+        return best
 
     def score(self, run: str) -> float:
-        """How much likelier the run, or a stretch of a long one, is as a credential of the best fitting kind
-        than as an ordinary run."""
-        return max((score for score, _, _ in self.stretches(run, -math.inf)), default=-math.inf)
+        """How much likelier the run, or a stretch of it, is as a credential of the best fitting kind than as an
+        ordinary run; what is no more than MARGIN is not told apart."""
+        return max((score for score, _, _ in self.stretches(run, MARGIN)), default=-math.inf)
 
     def stretches(self, run: str, least: float) -> list[tuple[float, int, int]]:
-        """(score, start, stop) of the whole run if it scores more than `least`, else of the disjoint
-        stretches of a long run that do."""
+        """(score, start, stop) of the disjoint stretches that score more than `least`, or of the whole run if it
+        does and is hardly worse than its best stretch."""
         if not self.automata:
             return []
         word, usual = symbols(run), self.chain.steps(run)
+        if self._bound(word, usual) <= least:
+            return []
         whole = max(a.likelihood(word) for a in self.automata.values()) - sum(usual)
-        some = [(whole, 0, len(run))] if whole > least else []
-        if len(run) <= LONGEST or some and least > -math.inf:
-            return some
-        for a in self.automata.values():
-            some += a.stretches(word, usual, max(least, MARGIN))
-        if least == -math.inf:
-            return some
+        some = [x for a in self.automata.values() for x in a.stretches(word, usual, least)]
+        if whole > least and whole > max((x[0] for x in some), default=whole) - MARGIN:
+            return [(whole, 0, len(run))]
         kept: list[tuple[float, int, int]] = []
         for score, start, stop in sorted(some, reverse=True):
-            if all(stop <= a or b <= start for _, a, b in kept):
-                kept.append((score, start, stop))
+            at = bisect.bisect(kept, start, key=lambda x: x[1])
+            if (not at or kept[at - 1][2] <= start) and (at == len(kept) or stop <= kept[at][1]):
+                kept.insert(at, (score, start, stop))
         return kept
 
     def spans(self, text: str) -> list[tuple[int, int, str]]:
