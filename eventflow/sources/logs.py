@@ -128,10 +128,12 @@ def read_by_type(spark: SparkSession, location: str, schema: T.StructType, type_
 
 @dataclass
 class Progress:
-    """What a query has read, and what its stateful operators dropped behind the watermark, by operator."""
+    """What a query has read, what its stateful operators dropped behind the watermark, by operator, and the rows of
+    state it ended with."""
 
     rows: int
     late: dict[str, int]
+    state_rows: int = 0
 
 
 def followed(query: StreamingQuery, poll_seconds: float = 0.2) -> Progress:
@@ -151,7 +153,8 @@ def followed(query: StreamingQuery, poll_seconds: float = 0.2) -> Progress:
     for report in reports.values():
         for operator in report.stateOperators:
             late[operator.operatorName] = late.get(operator.operatorName, 0) + operator.numRowsDroppedByWatermark
-    return Progress(sum(p.numInputRows for p in reports.values()), late)
+    kept = sum(o.numRowsTotal for o in reports[max(reports)].stateOperators) if reports else 0
+    return Progress(sum(p.numInputRows for p in reports.values()), late, kept)
 
 
 def drain(query: StreamingQuery, poll_seconds: float = 0.2) -> int:

@@ -246,7 +246,8 @@ class Closing:
 
 
 class LateRows:
-    """What streams dropped because it was behind the watermark, summed over their batches and operators.
+    """What streams dropped because it was behind the watermark, summed over their batches and operators; and the
+    rows of state the last one ended with.
 
     Hand it to `run_append` or `run_update`. An operator counts the rows that reach it: events, or what a first
     aggregate on the same machine has made of them; a row that is late for two operators counts at both.
@@ -254,6 +255,7 @@ class LateRows:
 
     def __init__(self) -> None:
         self.by_operator: dict[str, int] = {}
+        self.state_rows = 0
 
     @property
     def rows(self) -> int:
@@ -262,6 +264,7 @@ class LateRows:
     def add(self, progress: Progress) -> None:
         for name, rows in progress.late.items():
             self.by_operator[name] = self.by_operator.get(name, 0) + rows
+        self.state_rows = progress.state_rows
 
 
 class AppendRun:

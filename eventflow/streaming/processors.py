@@ -180,8 +180,11 @@ class TraceEnd(StatefulProcessor):
             name, ended = self.rule(bits)
             out = pd.DataFrame({"traceid": [key[0]], "state": [name], "us": [last], "ended": ["settled" if ended else "idle"]})
             closed, due = True, due + self.remember_ms
-        self.handle.registerTimer(due)
-        self.trace.update((bits, last, closed, due))
+        if closed and due <= timerValues.getCurrentWatermarkInMs():
+            self.trace.clear()
+        else:
+            self.handle.registerTimer(due)
+            self.trace.update((bits, last, closed, due))
         yield out
 
     def close(self) -> None:

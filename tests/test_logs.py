@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventflow.operators import envelope, routing
-from eventflow.schemas import SIGNUP_REQUEST
-from eventflow.sources import checkpoints, logs
+from eventflow.schemas import LOG_RECORD, SIGNUP_REQUEST
+from eventflow.sources import checkpoints, logs, outbox
 
 T0 = datetime(2024, 1, 1)
 
@@ -136,3 +136,75 @@ def test_probes(rows, text, expected):
 def test_checkpoint_dir(spark):
     assert checkpoints.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert checkpoints.run_dir(spark, "x") != checkpoints.run_dir(spark, "x")
+
+
+def test_requests_in_a_large_file(spark, tmp_path):
+    """One file is read by many tasks; equal lines differ, and their ids stay whatever the splits."""
+    (tmp_path / "in").mkdir()
+    lines = ['{"userId":"u%d","email":"a@b","name":"%s","tier":"pro"}' % (i % 5000, "x" * 40) for i in range(20_000)]
+    lines += ['{"userId":"u1","email":"a@b","name":" padded","tier":"pro"}', '{"userId":"u1","email":"a@b","name":"padded","tier":"pro"}']
+    (tmp_path / "in" / "a.json").write_text("\r\n".join(lines) + "\n\n  \n")
+    before, found, tasks = spark.conf.get("spark.sql.files.maxPartitionBytes"), [], []
+    try:
+        for size in ("64k", "1g"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            tasks.append(logs._request_rows(spark, str(tmp_path / "in"), SIGNUP_REQUEST, False, "json").rdd.getNumPartitions())
+            events = logs.read_requests(spark, str(tmp_path / "in"), "SignupRequestedEvent", SIGNUP_REQUEST, "web").select("event.id", "event.traceid")
+            found.append({(r.id, r.traceid) for r in events.collect()})
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert tasks[0] > 8 > tasks[1] and len(found[0]) == 20_002 and found[0] == found[1]
+    small = logs.read_requests(spark, str(tmp_path / "in"), "SignupRequestedEvent", SIGNUP_REQUEST, "web")
+    query = logs.land_requests(spark, str(tmp_path / "in"), "SignupRequestedEvent", SIGNUP_REQUEST, "web", str(tmp_path / "out"), str(tmp_path / "cp"))
+    assert logs.drain(query) == 20_004  # with two blank lines
+    landed = envelope.parse_envelope(envelope.event_type(spark.read.schema(LOG_RECORD).json(str(tmp_path / "out" / "batch=*"))))
+    assert landed.select("id").exceptAll(small.select("event.id")).isEmpty() and landed.count() == 20_002
+
+
+def test_requests_in_columns(spark, tmp_path):
+    rows = spark.createDataFrame([("u", "a@b", "Al", "pro")] * 3 + [("v", "c@d", " Bo", "free")], "userId string, email string, name string, tier string")
+    rows.coalesce(1).write.parquet(str(tmp_path / "in"))
+    events = logs.read_requests(spark, str(tmp_path / "in"), "SignupRequestedEvent", SIGNUP_REQUEST, "web", format="parquet")
+    got = events.select("event.id", "event.data.name").collect()
+    assert len({r.id for r in got}) == 4 and sorted(r.name for r in got) == ["Al", "Al", "Al", "Bo"]
+
+
+def test_outbox_is_published_once(spark, rows, tmp_path):
+    log, marked = str(tmp_path / "log"), str(tmp_path / "marks")
+
+    def box(names):
+        df = rows([(n, T0) for n in names], "name STRING, time TIMESTAMP")
+        event = envelope.new_event(F.lit("AccountActivatedEvent"), F.struct("name"), F.col("name"), "accounts", F.col("time"))
+        return df.select(event.alias("event")).select("event.id", "event")
+
+    def published():
+        return sorted(r.name for r in envelope.parse_envelope(envelope.event_type(outbox.read_published(spark, log))).select(
+            F.try_variant_get("data", "$.name", "string").alias("name")).collect())
+
+    assert outbox.relay(box("ab"), log, marked) == 1 and published() == ["a", "b"]
+    assert outbox.relay(box("ab"), log, marked) == 2 and published() == ["a", "b"]  # nothing new
+    assert outbox.relay(box("abcc"), log, marked) == 2 and published() == ["a", "b", "c"]
+    # a relay that published and died before its marks: the next one replaces what it left
+    outbox.to_records(box("de")).write.mode("overwrite").json(f"{log}/relay=3")
+    assert published() == ["a", "b", "c", "d", "e"]
+    assert outbox.relay(box("cdef"), log, marked) == 3 and published() == ["a", "b", "c", "d", "e", "f"]
+    assert outbox.relay(box("abcdef"), log, marked) == 4 and published() == ["a", "b", "c", "d", "e", "f"]
+    assert outbox.marks(spark, marked).count() == 6
+
+
+def test_stream_by_type(spark, records, tmp_path):
+    typed = envelope.event_type(records).withColumnRenamed("event_type", "type").drop("topic").withColumn(
+        "type", F.when(~F.col("value").contains('"k1"'), F.col("type")))
+    typed.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(typed.schema).parquet(str(tmp_path / "in"))
+    with pytest.raises(ValueError, match="checkpoint"):
+        logs.write_by_type(stream, str(tmp_path / "out"))
+    for _ in range(2):  # the second run finds nothing new
+        logs.write_by_type(stream, str(tmp_path / "out"), checkpoint=str(tmp_path / "cp"), types=("SignupRequestedEvent",)).awaitTermination()
+    schema = typed.schema.add("original_type", "string")
+    signups = logs.read_by_type(spark, str(tmp_path / "out"), schema, "SignupRequestedEvent")
+    others = logs.read_by_type(spark, str(tmp_path / "out"), schema, logs.OTHER_TYPES)
+    name = lambda r: r.value.split('"name":"')[1][:2]
+    assert {name(r) for r in signups.collect()} == {"k3", "k5"}
+    assert {(name(r), r.original_type) for r in others.collect()} == {("k0", "MarketAlertEvent"), ("k2", "MarketAlertEvent"), ("k4", "MarketAlertEvent"), ("k1", None)}
+    assert "PartitionFilters: [isnotnull(type" in signups._jdf.queryExecution().executedPlan().toString()

@@ -259,3 +259,80 @@ def test_rate_limit_of_one_key_with_very_many_alerts(spark, tmp_path):
     closing = pipelines.Closing(stream, "ts")
     out = pipelines.run_append(pipelines.rate_limit_stream(closing.stream, "topic", "ts", 3600, "20 days"), "t-many", closing)
     same(out, rate_limit(alerts, "topic", "ts", 3600))
+
+
+# --- final states -------------------------------------------------------------------------------
+
+def test_final_states_once_per_trace(split_bus):
+    bus, stream = split_bus
+    closing, late = pipelines.Closing(stream, "time"), pipelines.LateRows()
+    ends = pipelines.signup_state_final(closing.stream, 2 * 86400, 3 * 86400, 86400, "2 days")
+    out = pipelines.run_append(ends, "t-final", closing, late)
+    same(out.select("traceid", "state"), saga.signup_state(bus))
+    last = bus.groupBy("traceid").agg(F.max("time").alias("last_at"))
+    same(out.select("traceid", "last_at"), last)
+    assert {(r.state in saga.END_STATES, r.ended) for r in out.collect()} == {(True, "settled"), (False, "idle")}
+    # all that is left of hundreds of traces is the row that closed the stream
+    assert late.state_rows <= 2 and late.rows == 0
+
+
+def test_final_states_do_not_answer_twice_and_are_forgotten(spark, tmp_path):
+    from datetime import datetime, timedelta
+
+    start, schema = datetime(2024, 1, 1), "traceid string, time timestamp, type string, notification_type string"
+    at = lambda hours: start + timedelta(hours=hours)
+    files = [
+        [("a", at(0), "SignupRequestedEvent", None), ("a", at(1), "AccountActivatedEvent", None), ("b", at(0), "SignupRequestedEvent", None)],
+        [("z", at(10), "SignupRequestedEvent", None)],  # a has settled, b still waits
+        [("a", at(10), "PaymentFailedEvent", None), ("b", at(10), "PaymentReceivedEvent", None)],  # a latecomer, and news
+        [("z", at(60), "PaymentFailedEvent", None)],  # it came before the time had passed
+        [("a", at(61), "SignupRequestedEvent", None)],  # a was forgotten long ago: this is another trace
+    ]
+    run = None
+    for i, rows in enumerate(files):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        if run is None:
+            stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+            closing = pipelines.Closing(stream, "time")
+            run = pipelines.AppendRun(pipelines.signup_state_final(closing.stream, 4 * 3600, 20 * 3600, 20 * 3600, "1 hour"), "t-once")
+        run.run()
+    closing.end()
+    run.run()
+    found = sorted((r.traceid, r.state, r.last_at, r.ended) for r in run.answer().collect())
+    assert found == [
+        ("a", "ACTIVE", at(1), "settled"), ("a", "PENDING", at(61), "idle"), ("b", "CHARGED_PENDING", at(10), "idle"),
+        ("z", "PAYMENT_FAILED", at(60), "idle")]
+
+
+def test_state_masks_are_the_rules(spark):
+    flags = spark.range(1 << len(saga.FLAGS)).select("id", *[(F.col("id").bitwiseAND(1 << i) > 0).alias(f) for i, f in enumerate(saga.FLAGS)])
+    by_column = {r.id: r.state for r in flags.select("id", saga.signup_state_of_flags().alias("state")).collect()}
+    rules = saga.state_masks()
+    by_bits = {i: next(n for n, need, no, _ in rules if i & need == need and not i & no) for i in by_column}
+    assert by_bits == by_column
+
+
+# --- late rows ----------------------------------------------------------------------------------
+
+def test_late_rows_are_counted(spark, split_bus, tmp_path):
+    bus, _ = split_bus
+    day = F.dayofmonth("time")
+    schema, folder = bus.schema, str(tmp_path / "in")
+    bus.filter(day > 20).write.parquet(folder)
+    stream = spark.readStream.schema(schema).parquet(folder)
+    append, update = pipelines.LateRows(), pipelines.LateRows()
+    run = pipelines.AppendRun(pipelines.dedup(stream, "time", "1 day"), "t-late", append)
+    run.run()
+    assert append.rows == 0
+    bus.filter(day < 10).write.mode("append").parquet(folder)
+    run.run()
+    assert append.rows == bus.filter(day < 10).count() > 0
+    assert append.by_operator == {"dedupeWithinWatermark": append.rows}
+    same(run.answer().select("id"), bus.filter(day > 20).select("id"))
+    # in one run, file after file: a batch is held against the watermark known before the one before it
+    for part in (bus.filter(day > 25), bus.filter((day > 20) & (day <= 25)), bus.filter(day < 10)):
+        part.coalesce(1).write.mode("append").parquet(str(tmp_path / "two"))
+    two = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "two"))
+    counts = two.withWatermark("time", "1 day").groupBy(F.window("time", "1 hour").alias("w"), "id").count()
+    out = pipelines.run_update(counts.select(F.col("w.start").alias("at"), "id", "count"), "t-late-update", ["at", "id"], update)
+    assert update.by_operator == {"stateStoreSave": bus.filter(day < 10).count()} and out.count() == bus.filter(day > 20).count()
