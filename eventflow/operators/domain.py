@@ -239,7 +239,8 @@ def render_notification(
     text = case(
         (F.col("template") == name, render(name, F.col("data"), F.col("traceid"), brand, command)) for name in TEMPLATES
     )
-    return df.withColumn(out, text)
+    # a generated row: the text is made once, however many later columns and filters look at it
+    return df.drop(out).select("*", F.explode(F.array(text)).alias(out))
 
 
 def render_chat_message(df: DataFrame) -> DataFrame:

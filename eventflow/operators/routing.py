@@ -97,10 +97,15 @@ def payment_required_gate(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.filter(flag), df.filter(~flag)
 
 
+def payment_result(success: Column) -> Column:
+    """The branch a payment takes: 'succeeded', 'failed', or null where the flag is null."""
+    return F.when(success, F.lit("succeeded")).when(~success, F.lit("failed"))
+
+
 def payment_result_gate(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(succeeded, failed) branches; a null flag satisfies neither."""
-    flag = F.col("payment_success")
-    return df.filter(flag), df.filter(~flag)
+    branch = payment_result(F.col("payment_success"))
+    return df.filter(branch == "succeeded"), df.filter(branch == "failed")
 
 
 def retry_decision(retry: Column, retry_count: Column, max_retry: Column | None = None) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from eventflow.functions.scalar import (
     blank_or_null, bool_lenient, bool_parse, bool_strict, coalesce_null, document, field, long_or_zero,
-    price_for_tier, str_or_empty, text_or,
+    number_to_long, price_for_tier, str_or_empty, text_or,
 )
 from eventflow.operators import audit, cluster, delivery, domain, envelope, metrics, routing, saga, signals
 from eventflow.operators.rate_limit import rate_limit, rate_limit_tumbling
@@ -287,16 +287,9 @@ def payment_gates(spark, sf):
         "payment_success": F.when(F.col("type") == PAYMENT_RECEIVED, True).when(F.col("type") == PAYMENT_FAILED, False),
         "retry_count": F.col("k") % 5,
     })
-    succeeded, failed = routing.payment_result_gate(bus.withColumn("payment_branch", F.lit(None).cast("string")))
-    rest = bus.filter("payment_success IS NULL")
-    bus = (
-        succeeded.withColumn("payment_branch", F.lit("succeeded"))
-        .unionByName(failed.withColumn("payment_branch", F.lit("failed")))
-        .unionByName(rest.withColumn("payment_branch", F.lit("neither")))
-    )
     decision = routing.retry_decision(F.col("retry_payment"), F.col("retry_count"))
     return bus.groupBy(
-        "payment_branch",
+        F.coalesce(routing.payment_result(F.col("payment_success")), F.lit("neither")).alias("payment_branch"),
         F.coalesce(routing.tier_gate_v1(F.col("tier")), F.lit("neither")).alias("tier_branch_v1"),
         routing.tier_gate(F.col("tier")).alias("tier_branch"), decision.alias("retry_branch"),
     ).agg(F.count(F.lit(1)).alias("rows_in_branch"))
@@ -772,6 +765,52 @@ def notification_events(spark, sf):
                           F.col("data.success").alias("success")).agg(F.count(F.lit(1)).alias("events"))
 
 
+@query
+def split_payments(spark, sf):
+    """The payments of each branch of the gate, added up."""
+    bus = views.bus(spark, sf).withColumn(
+        "payment_success", F.when(F.col("type") == PAYMENT_RECEIVED, True).when(F.col("type") == PAYMENT_FAILED, False))
+    sides = [side.groupBy(F.lit(name).alias("branch")).agg(F.count(F.lit(1)).alias("payments"), F.sum("payment_amount").alias("cents"))
+             for name, side in zip(("succeeded", "failed"), routing.payment_result_gate(bus))]
+    return sides[0].unionByName(sides[1])
+
+
+@query
+def accepted_signups(spark, sf):
+    """Valid signups with their new user ids, and the others with what is wrong with them."""
+    valid, rejected = domain.accept_signup(views.accounts(spark, sf).withColumn("key", F.col("user_id").cast("string")), "key", "shop")
+    return valid.select("user_id", "tier", F.col("userId").alias("new_id"), F.lit(None).cast("string").alias("validation_error")).unionByName(
+        rejected.select("user_id", "tier", F.lit(None).cast("string").alias("new_id"), "validation_error"))
+
+
+@query
+def whole_numbers(spark, sf):
+    """Measured values as whole numbers: cut towards zero, kept within the range, nothing as 0."""
+    value = F.when(F.col("k") % 10 == 0, None).when(F.col("k") % 10 == 1, F.col("value") * 1e18).when(F.col("k") % 10 == 2, F.col("value") * -1e18)
+    rows = views.bus(spark, sf).select("id", number_to_long(value.otherwise(F.col("value") - 50)).alias("whole"))
+    return rows.groupBy((F.col("id").cast("bigint") % 100).alias("part")).agg(
+        F.sum(F.col("whole").cast("decimal(38,0)")).cast("double").alias("total"), F.count_if(F.col("whole") == 0).alias("zeros"))
+
+
+@query
+def demuxed_requests(spark, sf):
+    """Each request type as a DataFrame of its own."""
+    parts = routing.demux_by_type(views.bus(spark, sf), REQUEST_TYPES)
+    return reduce(DataFrame.unionByName, [
+        part.groupBy(F.lit(name).alias("type"), "tier").agg(F.count(F.lit(1)).alias("requests")) for name, part in parts.items()])
+
+
+@query
+def latest_log(spark, sf):
+    """A subscriber that wants only what is stamped after it attached: every third record is, in a hundred years."""
+    folder = run_dir(spark, "latest")
+    log = views.raw_log(views.bus(spark, sf).filter("k % 3 <> 0")).unionByName(
+        views.raw_log(views.bus(spark, sf).filter("k % 3 = 0")).withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 100 YEARS")))
+    logs.write_log(log, folder, "parquet")
+    seen = envelope.event_type(logs.read_log(spark, folder, "parquet", start="latest"))
+    return seen.groupBy(F.col("event_type").alias("type")).agg(F.count(F.lit(1)).alias("events"))
+
+
 @query
 def landed_log(spark, sf):
     """The log written, streamed on to its end, and read back: all of it, and what a late subscriber gets."""

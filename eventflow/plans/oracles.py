@@ -565,6 +565,20 @@ ORACLES: dict[str, str] = {
       UNION ALL SELECT 'seen', count(*) FROM bus"""),
     "landed_requests": _sql("accounts", """SELECT 'SignupRequestedEvent' AS type, 'u' || user_id AS user_id, trim(name) AS name,
         CASE WHEN user_id % 3 = 0 THEN 2 ELSE 1 END AS events, CASE WHEN user_id % 3 = 0 THEN 2 ELSE 1 END AS traces FROM accounts"""),
+    "split_payments": _sql("bus", """SELECT CASE type WHEN 'PaymentReceivedEvent' THEN 'succeeded' ELSE 'failed' END AS branch,
+        count(*) AS payments, CAST(sum(payment_amount) AS BIGINT) AS cents FROM bus
+      WHERE type IN ('PaymentReceivedEvent', 'PaymentFailedEvent') GROUP BY 1"""),
+    "accepted_signups": _sql("accounts", """SELECT user_id, tier, CASE WHEN e IS NULL THEN sha256('shop:user:' || user_id) END AS new_id, e AS validation_error
+      FROM (SELECT user_id, upper(tier) AS tier, CASE WHEN trim(name) = '' THEN 'name-missing'
+        WHEN NOT regexp_full_match(email, '[^@](.*[^@])?') OR NOT contains(email, '@') THEN 'email-invalid'
+        WHEN upper(tier) NOT IN ('FREE', 'PRO', 'ENTERPRISE') THEN 'tier-unsupported' END AS e FROM accounts)"""),
+    "whole_numbers": _sql("bus", """SELECT CAST(id AS BIGINT) % 100 AS part, CAST(sum(CAST(w AS DECIMAL(38,0))) AS DOUBLE) AS total, count_if(w = 0) AS zeros
+      FROM (SELECT id, CAST(CASE WHEN v IS NULL THEN 0 WHEN v >= 9223372036854775807 THEN 9223372036854775807
+          WHEN v <= -9223372036854775808 THEN -9223372036854775808 ELSE CAST(trunc(v) AS BIGINT) END AS BIGINT) AS w
+        FROM (SELECT id, CASE k % 10 WHEN 0 THEN NULL WHEN 1 THEN value * 1e18 WHEN 2 THEN value * -1e18 ELSE value - 50 END AS v FROM bus))
+      GROUP BY 1"""),
+    "demuxed_requests": _sql("bus", "SELECT type, tier, count(*) AS requests FROM bus WHERE type LIKE '%RequestedEvent' GROUP BY ALL"),
+    "latest_log": _sql("bus", "SELECT type, count(*) AS events FROM bus WHERE k % 3 = 0 GROUP BY type"),
     "landed_requests_stream": _sql("accounts", """SELECT CAST(sum(n) AS BIGINT) AS moved, CAST(sum(n) AS BIGINT) AS ids, CAST(sum(n) AS BIGINT) AS in_both
       FROM (SELECT CASE WHEN user_id % 3 = 0 THEN 2 ELSE 1 END AS n FROM accounts)"""),
     "outbox_relayed": _sql("bus", """SELECT type, count(*) AS records, count(*) AS events, CAST(3 AS INTEGER) AS relays FROM bus
