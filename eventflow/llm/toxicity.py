@@ -26,8 +26,8 @@ from eventflow.llm.common import BoundedCache, append_columns, arrow_batch, stru
 TRAINING = 20_000
 #: Of ten of these, so many give word counts; the others fit the extreme-value law and the final weights.
 COUNTING = 7
-#: Words and prefixes in the table every task gets, at most: those with the most evidence.
-TABLE = 100_000
+#: A word or a prefix says something by itself if so many of the labelled documents have it.
+SUPPORT = 3
 PREFIXES = (3, 4, 5, 6)
 #: Weight of a prior, in documents.
 PRIOR = 2.0
@@ -79,6 +79,9 @@ class Model:
         self.rate, self.scale, self.weights = 1.0, 1.0, np.zeros(4)
         odds = {}
         for key, (t, c) in counts.items():
+            if not t:
+                odds[key] = 0.0  # what only clean documents have speaks for nothing, whatever its stem does
+                continue
             mean = base
             for size in PREFIXES:
                 prefix = key[:size] + "*"
@@ -87,15 +90,21 @@ class Model:
                     mean = (max(0, pt) + PRIOR * mean) / (max(0, pt) + max(0, pc) + PRIOR)
             share = (t + PRIOR * mean) / (t + c + PRIOR)
             odds[key] = min(CERTAIN, math.log(share / (1 - share)) - self.base)
-        strongest = sorted(odds, key=lambda k: (-abs(odds[k]), k))[:TABLE]
-        self.scores = {k: odds[k] for k in strongest}
+        # what scores as its stem does need not be in the table every task gets
+        for key in sorted(odds, key=lambda k: (not k.endswith("*"), len(k), k)):
+            own = odds[key] if abs(odds[key]) >= NOISE else 0.0
+            if own != self._inherited(key.rstrip("*")):
+                self.scores[key] = own
+
+    def _inherited(self, word: str) -> float:
+        for size in reversed(PREFIXES):
+            if size < len(word) and (found := self.scores.get(word[:size] + "*")) is not None:
+                return found
+        return 0.0
 
     def odds(self, word: str) -> float:
-        if (found := self.scores.get(word)) is None:
-            for size in reversed(PREFIXES):
-                if size < len(word) and (found := self.scores.get(word[:size] + "*")) is not None:
-                    break
-        return found or 0.0
+        found = self.scores.get(word)
+        return self._inherited(word) if found is None else found
 
     def word_scores(self, tokens: list[str]) -> list[float]:
         known = self.cache
@@ -173,8 +182,9 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         .orderBy(F.xxhash64("__id"), "__id").limit(training)
     )
     sample = written(
-        docs.join(F.broadcast(chosen), F.col(doc_id) == F.col("__id"))
-        .groupBy(text_or_empty(text).alias("text")).agg(F.max("y").alias("y"), F.min("__id").alias("id"))
+        docs.select(F.col(doc_id).alias("__doc"), F.col(text).alias("__text"))
+        .join(F.broadcast(chosen), F.col("__doc") == F.col("__id"))
+        .groupBy(text_or_empty("__text").alias("text")).agg(F.max("y").alias("y"), F.min("__id").alias("id"))
         .select("text", "y", F.pmod(F.xxhash64("id"), F.lit(10)).cast("int").alias("fold")),
         "labelled", slim=True,
     )
@@ -199,10 +209,9 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         by_word.select(F.explode(stems).alias("word"), "t", "c").where("word IS NOT NULL")
         .groupBy("word").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
     )
-    strong = by_word.unionByName(prefixes).where("t > 0 AND t + c >= 3")
+    strong = by_word.unionByName(prefixes).where(F.col("t") + F.col("c") >= SUPPORT)
     size = {r.y: r.n for r in counting.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    # bounded by the words of `training` documents, and by this limit in any case
-    rows = strong.orderBy(F.desc(F.col("t") / (F.col("t") + F.col("c"))), F.desc("t"), "word").limit(4 * TABLE).collect()
+    rows = strong.collect()  # bounded by the words that SUPPORT of the `training` documents share
     model = Model({r.word: (r.t, r.c) for r in rows}, size.get(1, 0), size.get(0, 0))
 
     broadcast = docs.sparkSession.sparkContext.broadcast(model)

@@ -40,6 +40,36 @@ def test_word_never_seen_has_the_odds_of_its_stem():
     assert model.odds("scumming") <= toxicity.CERTAIN
 
 
+def test_clean_word_under_a_toxic_stem_scores_nothing():
+    counts = {"bom*": (110, 20), "bombast": (60, 0), "bomente": (0, 5), "bombast*": (0, 3), "zzz": (0, 40), "bomb": (50, 8)}
+    model = toxicity.Model(counts, 200, 900)
+    assert model.odds("bomwxyz") == model.odds("bom*") >= toxicity.NOISE
+    assert model.odds("bomente") == 0 and model.odds("zzz") == 0 and "zzz" not in model.scores
+    assert model.word_scores(["bomente", "zzz"]) == [-toxicity.DRIFT] * 2
+    assert model.odds("bombast") > model.odds("bomb") - 3 and model.odds("bomb") >= toxicity.NOISE
+
+
+def test_the_table_holds_what_differs_from_its_stem(chance):
+    letters = "abcd"
+    counts = {"".join(chance.choices(letters, k=chance.randint(2, 8))): (chance.randint(0, 6), chance.randint(0, 6)) for _ in range(500)}
+    for word, (t, c) in list(counts.items()):
+        for n in toxicity.PREFIXES:
+            if n < len(word):
+                a, b = counts.get(word[:n] + "*", (0, 0))
+                counts[word[:n] + "*"] = (a + t, b + c)
+    model = toxicity.Model(counts, 300, 500)
+    assert all(v != model._inherited(k.rstrip("*")) for k, v in model.scores.items())
+    assert all(model.odds(k) == 0 for k, (t, _) in counts.items() if not t and not k.endswith("*"))
+    assert len(model.scores) < len(counts)
+
+
+def test_learning_from_documents_with_columns_of_any_name(spark, chance):
+    docs, labels = corpus(spark, chance, 100)
+    plain = toxicity.learn(docs, labels)
+    named = toxicity.learn(docs.selectExpr("*", "1 AS y", "2 AS id", "'x' AS fold", "3 AS word", "4 AS __id2"), labels)
+    assert plain.scores == named.scores
+
+
 def corpus(spark, chance, n=400):
     rows, labels = [], []
     for i in range(n):
