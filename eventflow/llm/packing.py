@@ -32,8 +32,8 @@ from eventflow.llm.text_units import BYTES, UNSETTLED
 SEQUENCE = 1024
 #: Tokens in a window: 64 sequences.
 WINDOW = 64 * SEQUENCE
-#: Queues of their own for this many sources, those with the most tokens; the others share POOLS queues.
-#: No source is dropped. It bounds the table of totals that every task gets.
+#: Queues of their own for this many sources, those with the most tokens, and for all that a mixture names; the others
+#: share POOLS queues, in which their blocks alternate. No source is dropped. It bounds the table of totals that every task gets.
 MAX_QUEUES = 1000
 POOLS = 24
 #: The splitting rule of this kind of byte-level vocabulary: a fixed value.
@@ -176,11 +176,13 @@ def pack(
     tokens = tokenized(df, path, doc_id, text, source)
     sums = written(tokens.groupBy("source", "block").agg(F.sum("n").alias("n")), "sums", slim=True)
     by_source = sums.groupBy("source").agg(F.sum("n").alias("n"))
-    own = [(r.source, r.n) for r in by_source.orderBy(F.desc("n"), "source").limit(MAX_QUEUES).collect()]
+    named = F.col("source").isin(list(mixture)) if mixture else F.lit(False)
+    most = by_source.where(~named).orderBy(F.desc("n"), "source").limit(MAX_QUEUES)
+    own = [(r.source, r.n) for part in (by_source.where(named), most) for r in part.collect()]
     names = spark.createDataFrame([(s, i) for i, (s, _) in enumerate(own)], "source string, own int")
     queue = F.coalesce("own", F.lit(len(own)) + F.pmod(F.xxhash64("source"), F.lit(POOLS))).cast("int")
     placed = sums.join(F.broadcast(names), "source", "left").withColumn("queue", queue)
-    before = F.sum("n").over(W.partitionBy("queue").orderBy("source", "block")) - F.col("n")
+    before = F.sum("n").over(W.partitionBy("queue").orderBy("block", "source")) - F.col("n")
     places = written(placed.select("source", "block", "queue", before.alias("before")), "places", slim=True)
 
     totals = np.array([n for _, n in own] + [0] * POOLS, np.int64)

@@ -115,6 +115,28 @@ def test_more_sources_than_queues(spark, monkeypatch):
     check(got.collect(), documents, 64)
 
 
+def test_every_named_source_has_its_share_of_each_window(spark, monkeypatch):
+    """More named sources than queues of their own for others: none of them is pooled."""
+    monkeypatch.setattr(packing, "MAX_QUEUES", 3)
+    monkeypatch.setattr(packing, "POOLS", 2)
+    rows = [(i, "one two three four five six seven " * (3 + i % 5), f"s{i % 60}") for i in range(1800)]
+    mixture = {f"s{j}": 1 / 40 for j in range(40)}
+    got = packing.pack(spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(5), PATH, mixture=mixture, sequence=64, window=4000)
+    first = got.where("window_id < 5").groupBy("window_id", "source").agg(F.sum("length").alias("n")).collect()
+    assert {r.source for r in first} == set(mixture) and {r.n for r in first} == {100}
+    documents = dict(zip(range(1800), library_ids([t for _, t, _ in rows])))
+    check(got.collect(), documents, 64)
+
+
+def test_pooled_sources_alternate(spark, monkeypatch):
+    monkeypatch.setattr(packing, "MAX_QUEUES", 1)
+    monkeypatch.setattr(packing, "POOLS", 1)
+    rows = [(i, "one two three four five six seven " * 4, f"s{i % 10}") for i in range(2000)]
+    got = packing.pack(spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(40), PATH, sequence=64, window=16_384)
+    per_window = got.where("window_id < 3").groupBy("window_id").agg(F.countDistinct("source").alias("n")).collect()
+    assert min(r.n for r in per_window) == 10
+
+
 @pytest.mark.parametrize("n, padded", [(1, 1), (512, 512), (700, 1024), (1024, 1024)])
 def test_padding(spark, n, padded):
     assert spark.range(1).select(packing.padded_length(F.lit(n).cast("bigint"))).first()[0] == padded
