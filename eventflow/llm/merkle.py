@@ -206,7 +206,8 @@ def edited_pairs(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     The next document has the next smaller id, the one after the last is the first; rows of equal id come
     in the order of a hash of their text and null ids come last. The edited text has its last third
     replaced by as many characters from the start of the next document, or all it has. A single document
-    is its own next. Null texts are empty; other columns are not looked at; an empty table gives no rows.
+    is its own next. Null texts are empty; other columns are not looked at; an empty table gives no rows. Ids are
+    whole numbers, or texts of them.
     """
     rows = df.select(
         F.col(doc_id).cast("bigint").alias("doc_id"), text_or_empty(text).alias("text")
@@ -214,7 +215,7 @@ def edited_pairs(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     spread, buckets = with_neighbour(rows, "doc_id")
     order = F.xxhash64("text")
     sorted_rows = (
-        spread.withColumn("__order", order).repartition(max(1, buckets), "bucket")
+        spread.withColumn("__order", order).repartitionById(max(1, buckets), "bucket")
         .sortWithinPartitions("bucket", "extra", F.desc_nulls_last("doc_id"), "__order", "text")
         .select("bucket", "extra", "doc_id", "text")
     )
