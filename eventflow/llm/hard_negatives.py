@@ -28,6 +28,7 @@ CHUNK = 1024
 ANCHORS = 1024
 ROWS = 512
 GROUP_ROWS = 1 << 20
+MOST_TASKS = 1 << 16
 #: Squared length of quantised vectors from which scores might not fit into 62 bits.
 LONGEST = 2.0**62
 NO_ID = np.iinfo(np.int64).max
@@ -196,7 +197,8 @@ def _best(anchors: DataFrame, rows: DataFrame, groups: tuple[int, int], setting:
     stream = rows.withColumn("block", numbers(blocks)).select(
         (F.col("block") * parts + part).alias("cell"), F.lit(1).alias("kind"), "rid", "id", "label", "vector",
         F.expr("CAST(NULL AS array<bigint>)").alias("windows"))
-    dealt = held.unionByName(stream).repartitionByRange(blocks * parts, "cell").sortWithinPartitions("cell", "kind", "id")
+    tasks = min(blocks * parts, MOST_TASKS)
+    dealt = held.unionByName(stream).repartitionById(tasks, (F.col("cell") % tasks).cast("int")).sortWithinPartitions("cell", "kind", "id")
     schema = struct("rid bigint, place int, id bigint, score bigint")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
