@@ -17,7 +17,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from eventflow.llm.common import arrow_batch, struct, written
 from eventflow.llm.components import connected_components
@@ -35,6 +36,8 @@ ROUNDS = 4
 SETTLED = 0.005
 #: Vectors of a block when links are counted exactly.
 BLOCK = 512
+#: Pivots that a component's vectors are dealt by, about, at most, and vectors that meet them in one task.
+PIVOTS, PART = 4096, 32_768
 #: Vectors whose links are audited, at most, the share of links to find, and attempts at it.
 AUDIT, TARGET, ATTEMPTS = 1024, 0.97, 3
 #: Cosines are kept in whole billionths, rounded down, so that equal pairs compare equal.
@@ -167,19 +170,54 @@ def descend(nodes: DataFrame, k: int, seed: int) -> DataFrame:
     return graph.select("node", "nbrs")
 
 
+def _cells(members: DataFrame) -> DataFrame:
+    """members with the cell of each, that of the nearest of its component's pivots (a node).
+
+    A component of one block is one cell. A larger one has about as many pivots as blocks, PIVOTS at most, drawn by
+    a hash; its members meet them in parts of PART, so that no task gets a whole component.
+    """
+    sizes = members.groupBy("component").agg(F.count("*").alias("n"), F.min("node").alias("first"))
+    sized = members.join(sizes, "component")
+    small = sized.where(F.col("n") <= BLOCK).withColumn("cell", F.col("first")).drop("n", "first")
+    large = sized.where(F.col("n") > BLOCK)
+    parts = F.ceil(F.col("n") / PART)
+    wanted = F.least(F.ceil(F.col("n") / BLOCK), F.lit(PIVOTS))
+    drawn = (F.pmod(F.xxhash64("node", F.lit(1)), F.col("n")) < wanted) | (F.col("node") == F.col("first"))
+    pivots = large.where(drawn).select(
+        F.col("component").alias("of"), F.col("node").alias("pivot"), F.col("vec").alias("place"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)).alias("with"))
+    rows = large.withColumn("part", F.pmod(F.xxhash64("node", F.lit(2)), parts)).drop("n", "first")
+    schema = T.StructType([*members.schema.fields, T.StructField("cell", T.LongType())])
+    kept = members.columns
+
+    def nearest(table: pa.Table, pivots: pa.Table) -> pa.Table:
+        if not table.num_rows:
+            return pa.Table.from_batches([], schema=to_arrow_schema(schema))
+        order = np.argsort(pivots.column("pivot").to_numpy())
+        y, names = _unit(pivots.column("place"))[order], pivots.column("pivot").to_numpy()[order]
+        x = _unit(table.column("vec"))
+        best = np.concatenate([np.argmax(x[i : i + BLOCK] @ y.T, axis=1) for i in range(0, len(x), BLOCK)])
+        return pa.Table.from_batches([arrow_batch({c: table.column(c).combine_chunks() for c in kept} | {"cell": names[best]}, schema)])
+
+    met = rows.groupBy("component", "part").cogroup(pivots.groupBy("of", "with")).applyInArrow(nearest, schema)
+    return small.select(*schema.names).unionByName(met)
+
+
 def _blocks(members: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
-    """Members dealt into blocks of their component, and all pairs (i, j), i <= j, of blocks that may hold a link.
+    """Members dealt by place into blocks of their component, and all pairs (i, j), i <= j, of blocks that may hold a link.
 
     A block has a centre and a radius, as angles. Angles obey the triangle inequality, so blocks further
     apart than both radii and the threshold's angle hold no link between them. Nothing else is left out.
     """
-    sizes = members.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    near_each_other = written(_cells(members), "cells", slim=True)
+    crowds = near_each_other.groupBy("component", "cell").agg(F.count("*").alias("crowd"))
+    chunk = F.pmod(F.xxhash64("node"), F.ceil(F.col("crowd") / BLOCK))
     dealt = written(
-        members.join(sizes, "component").withColumn("block", F.struct("component", own.alias("part"))).drop("blocks"),
+        near_each_other.join(crowds, ["component", "cell"])
+        .withColumn("block", F.struct("component", F.xxhash64("cell", chunk).alias("part"))).drop("cell", "crowd"),
         "members", slim=True,
     )
-    rings = struct("label string, dim int, block struct<component: bigint, part: int>, centre array<double>, radius double")
+    rings = struct("label string, dim int, block struct<component: bigint, part: bigint>, centre array<double>, radius double")
     angle = math.acos(min(1.0, max(-1.0, least / SCALE))) + 1e-6  # and some for rounding
 
     def ring(table: pa.Table) -> pa.Table:
@@ -202,7 +240,7 @@ def _blocks(members: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
         "label", "dim", F.least("own", "other").alias("s"), F.greatest("own", "other").alias("t"),
         (F.col("own") <= F.col("other")).alias("first"), "block", "centre", "radius",
     )
-    near = struct("i struct<component: bigint, part: int>, j struct<component: bigint, part: int>")
+    near = struct("i struct<component: bigint, part: bigint>, j struct<component: bigint, part: bigint>")
 
     def compare(table: pa.Table) -> pa.Table:
         blocks = [(b["component"], b["part"]) for b in table.column("block").to_pylist()]

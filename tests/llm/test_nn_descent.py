@@ -74,6 +74,41 @@ def test_links_between_tight_clumps(spark, monkeypatch):
     check(nn_descent.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect(), rows)
 
 
+def path(n_axes, per_axis, seed=2):
+    """Points along a path from axis to axis, one component whose links are sparse."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for i in range(n_axes - 1):
+        for t in np.linspace(0, np.pi / 2, per_axis, endpoint=False):
+            v = 0.004 * rng.standard_normal(32)
+            v[i] += np.cos(t)
+            v[i + 1] += np.sin(t)
+            rows.append(list(map(float, v)))
+    return rows
+
+
+def test_blocks_of_a_long_component_prune_one_another(spark, monkeypatch):
+    """Twice the vectors, about twice the pairs of blocks and rows that are exchanged for them."""
+    monkeypatch.setattr(nn_descent, "BLOCK", 16)
+    monkeypatch.setattr(nn_descent, "PART", 100)  # pivots meet the members in several parts
+    pairs, blocks = [], []
+    for axes in (11, 21):
+        rows = [(i, 0, "0", 32, v, 1) for i, v in enumerate(path(axes, 40))]
+        members = spark.createDataFrame(rows, "node bigint, component bigint, label string, dim int, vec array<double>, copies bigint")
+        dealt, near = nn_descent._blocks(members, int(0.93 * nn_descent.SCALE))
+        assert dealt.select("node").distinct().count() == dealt.count() == len(rows)
+        pairs.append(near.count())
+        blocks.append(dealt.select("block").distinct().count())
+    assert blocks[1] < 2.6 * blocks[0] and pairs[1] < 2.8 * pairs[0] and pairs[1] < 0.25 * blocks[1] ** 2
+
+
+def test_a_long_component_against_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(nn_descent, "BLOCK", 16)
+    monkeypatch.setattr(nn_descent, "PART", 100)
+    rows = [(i, v, 0, "", 0) for i, v in enumerate(path(7, 60))]
+    check(nn_descent.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect(), rows)
+
+
 def test_too_low_a_recall_is_an_error(spark, monkeypatch):
     monkeypatch.setattr(nn_descent, "audit", lambda *_: 0.5)
     with pytest.raises(RuntimeError, match="0.500"):
