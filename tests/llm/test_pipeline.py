@@ -85,3 +85,20 @@ def test_each_group_leaves_one_document(spark):
     kept = corpus_pipeline.without_near_copies(spark, docs, SF)
     assert kept.columns == docs.columns
     assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == sorted([(0, one), (0, two), (7, three), (7, four)])
+
+
+def test_columns_named_like_results_keep_their_values(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60).selectExpr(
+        "*", "'mine' AS score", "7 AS passages", "doc_id % 2 AS y", "'f' AS fp", "1 AS component", "doc_id + 1 AS fold")
+    path = str(tmp_path / "docs")
+    docs.write.parquet(path)
+    docs = spark.read.parquet(path)
+    before = {r.doc_id: r for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns
+        rows = out.collect()
+        assert rows
+        for r in rows:
+            old = before[r.doc_id].asDict()
+            assert {c: v for c, v in r.asDict().items() if c not in ("text", "n_chars")} == {c: v for c, v in old.items() if c not in ("text", "n_chars")}
