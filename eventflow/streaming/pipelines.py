@@ -68,7 +68,7 @@ def signup_state_sessions(df: DataFrame, idle: str, delay: str = "1 hour") -> Da
 
 
 def signup_state_final(
-    df: DataFrame, settle_seconds: int, idle_seconds: int, remember_seconds: int, delay: str = "1 hour"
+    df: DataFrame, settle_seconds: int, idle_seconds: int, remember_seconds: int, delay: str = "1 hour", buckets: int = 1024
 ) -> DataFrame:
     """The final state of each trace, exactly once: (traceid, state, last_at, ended), in append mode.
 
@@ -77,16 +77,18 @@ def signup_state_final(
     within `remember_seconds` of its answer is left out, as is what is behind the watermark; after that time the
     trace is forgotten altogether, so the state is what is open and what ended lately. Equals
     `saga.signup_state` as long as no trace pauses longer than that. Events without a trace or a time are left out.
+    The state is kept in `buckets` of traces by the hash of their ids. A micro-batch rewrites the buckets it has events
+    of, so more of them suit a larger state, and fewer larger batches; their number stays as it is for a checkpoint.
     Start it inside `rocksdb_state`, as `run_append` does.
     """
-    said = df.filter(F.col("time").isNotNull()).select("traceid", "time", flag_bits().alias("bits"))
-    schema = "traceid STRING, time TIMESTAMP, bits LONG"
-    short = said.mapInPandas(combined, schema).withWatermark("time", delay).withColumn("us", F.unix_micros("time"))
-    ends = short.groupBy("traceid").transformWithStateInPandas(
+    said = df.filter(F.col("time").isNotNull()).select("traceid", F.unix_micros("time").alias("us"), flag_bits().alias("bits"))
+    short = said.mapInArrow(combined, "traceid STRING, us LONG, bits LONG").withColumn("time", F.timestamp_micros("us"))
+    bucket = F.pmod(F.xxhash64("traceid"), F.lit(buckets)).alias("bucket")
+    ends = short.withWatermark("time", delay).select(bucket, "*").groupBy("bucket").transformWithStateInPandas(
         statefulProcessor=TraceEnd(state_masks(), settle_seconds * 1000, idle_seconds * 1000, remember_seconds * 1000),
         outputStructType="traceid STRING, state STRING, us LONG, ended STRING", outputMode="Append", timeMode="EventTime",
     )
-    return ends.filter(F.col("traceid").isNotNull()).select("traceid", "state", F.timestamp_micros("us").alias("last_at"), "ended")
+    return ends.select("traceid", "state", F.timestamp_micros("us").alias("last_at"), "ended")
 
 
 def payment_timeouts(df: DataFrame, timeout: str = "5 minutes", delay: str = "1 minute") -> DataFrame:

@@ -15,6 +15,7 @@ import sys
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -22,6 +23,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Times handed on in one row.
 TOGETHER = 65_536
+#: Earlier than any event, in microseconds.
+BEFORE = np.iinfo(np.int64).min
+#: What is kept of a bucket of traces.
+TRACES = pa.schema([("traceid", pa.string()), ("bits", pa.int64()), ("last", pa.int64()), ("closed", pa.bool_())])
 
 
 class BlockTimes(StatefulProcessor):
@@ -124,13 +129,27 @@ class PreviousMean(StatefulProcessor):
         pass
 
 
+def _numbered(ids: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """The place of each id among the distinct ones, and these in the order they first appear in."""
+    coded = ids.dictionary_encode(null_encoding="encode")
+    return coded.indices.to_numpy(), coded.dictionary
+
+
+def _fold(at: np.ndarray, us: np.ndarray, bits: np.ndarray, last: np.ndarray, seen: np.ndarray) -> None:
+    """Add events to the latest times and bits of the traces they are of."""
+    np.maximum.at(last, at, us)
+    np.bitwise_or.at(seen, at, bits)
+
+
 def combined(batches):
-    """Rows (traceid, time, bits) of each batch as one per trace: all bits, the latest time. Before any exchange, so
+    """Rows (traceid, us, bits) of each batch as one per trace: the latest time, all bits. Before any exchange, so
     that many events of one trace are few rows."""
-    for frame in batches:
-        if len(frame):
-            yield frame.groupby("traceid", dropna=False, as_index=False).agg(
-                time=("time", "max"), bits=("bits", lambda b: np.bitwise_or.reduce(b.to_numpy())))
+    for batch in batches:
+        if batch.num_rows:
+            at, ids = _numbered(batch.column("traceid"))
+            last, seen = np.full(len(ids), BEFORE), np.zeros(len(ids), np.int64)
+            _fold(at, batch.column("us").to_numpy(), batch.column("bits").to_numpy(), last, seen)
+            yield pa.RecordBatch.from_arrays([ids, pa.array(last), pa.array(seen)], ["traceid", "us", "bits"])
 
 
 class TraceEnd(StatefulProcessor):
@@ -138,6 +157,9 @@ class TraceEnd(StatefulProcessor):
 
     A trace has ended `settle` after its last event if its state is final, else `idle` after it. Its number then
     stays for `remember`, so that a latecomer is no new trace, and is forgotten for good.
+
+    The key is a bucket of traces, which are kept as one Arrow table and worked on together: a call of the state
+    and of the timers is far dearer than the work on a trace. A bucket has one timer, at or before its first trace's.
     """
 
     def __init__(self, rules: list, settle_ms: int, idle_ms: int, remember_ms: int) -> None:
@@ -145,47 +167,65 @@ class TraceEnd(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.trace = handle.getValueState("trace", "bits LONG, last LONG, closed BOOLEAN, alarm LONG")
+        self.bucket = handle.getValueState("bucket", "traces BINARY, alarm LONG")
 
     def rule(self, bits: int) -> tuple[str, bool]:
         return next((name, ended) for name, needed, against, ended in self.rules if bits & needed == needed and not bits & against)
 
-    def due(self, bits: int, last: int) -> int:
-        return last // 1000 + (self.settle_ms if self.rule(bits)[1] else self.idle_ms) + 1
+    def ruled(self, bits: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """State of each trace, whether that is final, and when the trace has ended if nothing more comes."""
+        distinct, at = np.unique(bits, return_inverse=True)
+        found = [self.rule(b) for b in distinct.tolist()]
+        names, final = np.array([n for n, _ in found], object)[at], np.array([e for _, e in found], bool)[at]
+        return names, final, last // 1000 + np.where(final, self.settle_ms, self.idle_ms) + 1
+
+    def traces(self) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, int | None]:
+        kept = self.bucket.get()
+        if kept is None:
+            return pa.array([], pa.string()), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool), None
+        table = pa.ipc.read_record_batch(pa.py_buffer(bytes(kept[0])), TRACES)
+        return table["traceid"], *[table[c].to_numpy(zero_copy_only=False) for c in ("bits", "last", "closed")], kept[1]
+
+    def keep(self, ids: pa.Array, bits: np.ndarray, last: np.ndarray, closed: np.ndarray, alarm: int | None) -> None:
+        due = self.ruled(bits, last)[2] + np.where(closed, self.remember_ms, 0)
+        first = int(due.min())
+        if alarm is None or first < alarm:
+            if alarm is not None:
+                self.handle.deleteTimer(alarm)
+            self.handle.registerTimer(first)
+            alarm = first
+        table = pa.RecordBatch.from_arrays([ids, pa.array(bits), pa.array(last), pa.array(closed)], schema=TRACES)
+        self.bucket.update((table.serialize().to_pybytes(), alarm))
 
     def handleInputRows(self, key, rows, timerValues):
-        bits, last, closed, alarm = self.trace.get() if self.trace.exists() else (0, None, False, None)
-        if not closed:
-            for frame in rows:
-                bits |= int(np.bitwise_or.reduce(frame["bits"].to_numpy()))
-                newest = int(frame["us"].max())
-                last = newest if last is None else max(last, newest)
-            due = self.due(bits, last)
-            if alarm is None or due < alarm:
-                if alarm is not None:
-                    self.handle.deleteTimer(alarm)
-                self.handle.registerTimer(due)
-                alarm = due
-            self.trace.update((bits, last, False, alarm))
+        said = [frame[frame["traceid"].notna()] for frame in rows]
+        if any(len(frame) for frame in said):
+            ids, bits, last, closed, alarm = self.traces()
+            known = len(ids)
+            at, ids = _numbered(pa.concat_arrays([ids, *[pa.array(frame["traceid"], pa.string()) for frame in said]]))
+            at, new = at[known:], len(ids) - known
+            bits, last = np.append(bits, np.zeros(new, np.int64)), np.append(last, np.full(new, BEFORE))
+            closed = np.append(closed, np.zeros(new, bool))
+            us, seen = (np.concatenate([frame[c].to_numpy(np.int64) for frame in said]) for c in ("us", "bits"))
+            late = closed[at]  # their trace was answered
+            _fold(at[~late], us[~late], seen[~late], last, bits)
+            self.keep(ids, bits, last, closed, alarm)
         yield pd.DataFrame()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        bits, last, closed, _ = self.trace.get()
-        if closed:
-            self.trace.clear()
-            yield pd.DataFrame()
-            return
-        due, out = self.due(bits, last), pd.DataFrame()
-        if due <= timerValues.getCurrentWatermarkInMs():
-            name, ended = self.rule(bits)
-            out = pd.DataFrame({"traceid": [key[0]], "state": [name], "us": [last], "ended": ["settled" if ended else "idle"]})
-            closed, due = True, due + self.remember_ms
-        if closed and due <= timerValues.getCurrentWatermarkInMs():
-            self.trace.clear()
+        now = timerValues.getCurrentWatermarkInMs()
+        ids, bits, last, closed, _ = self.traces()
+        names, final, due = self.ruled(bits, last)
+        out = ~closed & (due <= now)
+        closed = closed | out
+        stays = ~closed | (due + self.remember_ms > now)
+        if stays.any():
+            self.keep(ids.filter(pa.array(stays)), bits[stays], last[stays], closed[stays], None)
         else:
-            self.handle.registerTimer(due)
-            self.trace.update((bits, last, closed, due))
-        yield out
+            self.bucket.clear()
+        yield pd.DataFrame() if not out.any() else pd.DataFrame({
+            "traceid": ids.filter(pa.array(out)).to_pandas(), "state": names[out], "us": last[out],
+            "ended": np.where(final[out], "settled", "idle").astype(object)})
 
     def close(self) -> None:
         pass

@@ -304,6 +304,37 @@ def test_final_states_do_not_answer_twice_and_are_forgotten(spark, tmp_path):
         ("z", "PAYMENT_FAILED", at(60), "idle")]
 
 
+def test_final_states_are_kept_in_buckets(spark, tmp_path):
+    """Traces that share a bucket are answered, remembered and forgotten each for itself; the calls of the state go by
+    buckets, not by traces."""
+    from datetime import datetime, timedelta
+
+    dice, schema = random.Random(7), "traceid string, time timestamp, type string, notification_type string"
+    types = ["SignupRequestedEvent", "PaymentReceivedEvent", "PaymentFailedEvent", "AccountActivatedEvent", "PaymentRefundedEvent"]
+    event = lambda hours: (
+        dice.choice([None, *map(str, range(300))]), datetime(2024, 1, 1) + timedelta(hours=dice.uniform(*hours)), dice.choice(types), None)
+    late, runs = [pipelines.LateRows() for _ in range(2)], {}
+    for i in range(4):
+        part = [event((20 * i, 20 * i + 30)) for _ in range(400)]
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        for n, buckets in enumerate((4, 100_000)):
+            if i == 0:
+                closing = pipelines.Closing(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), "time")
+                ends = pipelines.signup_state_final(closing.stream, 4 * 3600, 20 * 3600, 10 * 3600, "3 hours", buckets)
+                runs[n] = closing, pipelines.AppendRun(ends, "t-buckets", late[n])
+            runs[n][1].run()
+        assert 0 < late[0].state_rows <= 3 * 4 and late[1].state_rows > 100
+    for closing, run in runs.values():
+        closing.end()
+        run.run()
+    few, many = (run.answer() for _, run in runs.values())
+    assert late[0].rows == late[1].rows > 0 and late[0].state_rows == late[1].state_rows == 0
+    same(few, many)
+    answers = few.groupBy("traceid").count()
+    assert few.where("traceid IS NULL").isEmpty() and answers.where("count > 1").count() > 10
+    assert {(r.state in saga.END_STATES, r.ended) for r in few.collect()} == {(True, "settled"), (False, "idle")}
+
+
 def test_state_masks_are_the_rules(spark):
     flags = spark.range(1 << len(saga.FLAGS)).select("id", *[(F.col("id").bitwiseAND(1 << i) > 0).alias(f) for i, f in enumerate(saga.FLAGS)])
     by_column = {r.id: r.state for r in flags.select("id", saga.signup_state_of_flags().alias("state")).collect()}
